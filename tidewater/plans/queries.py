@@ -240,6 +240,17 @@ def q_zone_yesterday(spark, sf_dir):
             .groupBy("sku").agg(F.count(F.lit(1)).alias("n_rows")))
 
 
+def q_publish_round_trip(spark, sf_dir):
+    """K1-K3: the PO document written partitioned by arrival date and clustered
+    by PO number under the shared folder, then read back (rows only)."""
+    from tidewater.sources.publish import publish, scratch_path
+    df = compliance.po_document(sources(spark, sf_dir), AS_OF)
+    path = publish(df, scratch_path(spark, "po_document"), partition_by="expected_arrival_date",
+                   cluster_by="po_number")
+    back = spark.read.parquet(path)
+    return back.select("po_number", "expected_arrival_date", F.size("purchase_oder.po_lines").alias("n_lines"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_in_transit_lines": q_open_in_transit_lines,
     "division_problem_summary": q_division_problem_summary,
@@ -261,9 +272,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "vendor_document_flat": q_vendor_document_flat,
     "text_price_clean": q_text_price_clean,
     "zone_yesterday": q_zone_yesterday,
+    "publish_round_trip": q_publish_round_trip,
 }
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     """A registered query, normalised for comparison."""
+    from tidewater.session import configure
+    configure(spark)
     return normalise(QUERIES[name](spark, sf_dir))
