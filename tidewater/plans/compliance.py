@@ -115,7 +115,10 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
     df = ops.lookup(df, t["departments"], c("department_id"), "department_id", {"cost_center": "full_name"},
                     small=t.is_small("departments"))
 
-    g = df.groupBy(*PO_KEYS, *LABEL_KEYS).agg(
+    # One shuffle on the PO number serves both the wide GROUP BY and the
+    # DISTINCT (the number is among the keys of each); the rows here are
+    # already at (PO, department) grain, so no map-side combine is lost.
+    g = df.repartition("tranid").groupBy(*PO_KEYS, *LABEL_KEYS).agg(
         F.sum("__n").alias("line_count"), F.sum("__qty").alias("total_quantity"),
         F.sum("__open").alias("remaining_open_quantity"), F.sum("__recv").alias("received_amount"))
     return g.select(
@@ -223,7 +226,9 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
 
     qty = F.coalesce(c("item_count"), F.lit(0.0))
     price = F.coalesce(F.replace(c("item_unit_price"), F.lit("%"), F.lit("")), F.lit("0")).cast("double")
-    g = df.groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
+    # Partition once by PO number: the line-group step and the per-PO nest
+    # (po_lines_nested) then need no further shuffle.
+    g = df.repartition("po_number").groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
         F.sum(qty - F.coalesce(c("__recv"), F.lit(0.0))).alias("on_order_quantity"),
         F.sum((qty - F.coalesce(c("__recv"), F.lit(0.0))) * price).alias("on_order_cost"),
         F.sum(c("__recv")).alias("__recv_sum"),
@@ -319,7 +324,8 @@ def carrier_rows(t) -> DataFrame:
     ent = t["entity"]
     df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"},
                     how="inner", live_only=True)
-    return df.select(*CARRIER_KEYS).distinct()
+    # Partition by PO number once: the dedupe and the per-(PO, vendor) nest share it.
+    return df.select(*CARRIER_KEYS).repartition("tranid").distinct()
 
 
 def carrier_shipments_nested(t, as_of: datetime | None = None) -> DataFrame:
