@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import expr as E
@@ -218,20 +218,43 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
     df = ops.lookup(df, t["product_group"], c("product_group_id"), "product_group_id",
                     {"product_group_name": "product_group_name"}, how="inner", live_only=True,
                     small=t.is_small("product_group"))
-    receipts = ops.preaggregate(t["sb_receipts"], ["po_number", "received_sku", "RECORD_SOURCE",
-                                                   "po_purchase_order_item_id"],
-                                {"received_quantity": F.sum("received_quantity")})
-    df = ops.lookup(df, receipts, [c("item_extid"), c("po_number"), c("transaction_line_id")],
-                    ["received_sku", "po_number", "po_purchase_order_item_id"], {"__recv": "received_quantity"})
+    # Receipts (A8, X13). The reference sums receipts by 4 keys and left-joins
+    # them on 3, so a line meets one row per record source (or one NULL row).
+    # Summed over those rows, (qty - recv) gives n * qty - sum(recv). Lines and
+    # receipts are therefore hash-partitioned by PO number, united, and a
+    # window over (PO, SKU, line) counts and sums the receipt rows next to
+    # each line: no pairwise join, and the partitioning then serves the
+    # line-group step and the per-PO nest as well. Receipt rows with a NULL
+    # key never match a line and are dropped first.
+    n_parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    rec = (t["sb_receipts"]
+           .where(c("po_number").isNotNull() & c("received_sku").isNotNull()
+                  & c("po_purchase_order_item_id").isNotNull())
+           .repartition(n_parts, "po_number"))
+    rec = ops.preaggregate(rec, ["po_number", "received_sku", "RECORD_SOURCE", "po_purchase_order_item_id"],
+                           {"__recv": F.sum("received_quantity")})
+    rec = rec.select("po_number", c("received_sku").alias("item_extid"),
+                     c("po_purchase_order_item_id").alias("transaction_line_id"), "__recv",
+                     F.lit(True).alias("__is_receipt"))
+    lines_p = df.repartition(n_parts, "po_number").withColumn("__is_receipt", F.lit(False))
+    both = lines_p.unionByName(rec, allowMissingColumns=True)
+    w = Window.partitionBy("po_number", "item_extid", "transaction_line_id")
+    is_r = c("__is_receipt")
+    df = both.select(
+        "*",
+        F.sum(F.when(is_r, 1).otherwise(0)).over(w).alias("__n_r"),
+        F.sum(F.when(is_r, F.coalesce(c("__recv"), F.lit(0.0)))).over(w).alias("__s_r0"),
+        F.sum(F.when(is_r, c("__recv"))).over(w).alias("__s_rn"),
+    ).where(~is_r)
 
     qty = F.coalesce(c("item_count"), F.lit(0.0))
     price = F.coalesce(F.replace(c("item_unit_price"), F.lit("%"), F.lit("")), F.lit("0")).cast("double")
-    # Partition once by PO number: the line-group step and the per-PO nest
-    # (po_lines_nested) then need no further shuffle.
-    g = df.repartition("po_number").groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
-        F.sum(qty - F.coalesce(c("__recv"), F.lit(0.0))).alias("on_order_quantity"),
-        F.sum((qty - F.coalesce(c("__recv"), F.lit(0.0))) * price).alias("on_order_cost"),
-        F.sum(c("__recv")).alias("__recv_sum"),
+    open_rows = F.when(c("__n_r") > 0, c("__n_r") * qty - c("__s_r0")).otherwise(qty)
+    # The line-group step reuses the PO-number partitioning (a subset of its keys).
+    g = df.groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
+        F.sum(open_rows).alias("on_order_quantity"),
+        F.sum(open_rows * price).alias("on_order_cost"),
+        F.sum(c("__s_rn")).alias("__recv_sum"),
     )
     window_end = E.transit_window_end(c("asn_estimated_delivery_date"), c("asn_shipment_date"))
     inside = E.in_window(as_of, window_end)
