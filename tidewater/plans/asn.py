@@ -266,6 +266,11 @@ def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
         "acknowledgment_scheduled_quan", "n_2nd_acknowledgment_item_s_id", "n_2nd_acknowledgment_scheduled",
         "n_2nd_acknowledgment_schedul_0", "asn_record", "asn_quantity_shipped", "asn_shipment_date",
         "asn_estimated_delivery_date")
+    # Only lines of the recent POs can survive: reduce the line table with a
+    # semi join on the recent POs' distinct keys before the left join, so the
+    # lines shuffled (or, with a small key set, filtered map-side after AQE
+    # broadcasts it) are those of the 30-day window, not all lines.
+    ln = ops.keys_present(ln, po.select("__pk"), c("__lk"), "__pk")
     df = po.join(ln, po["__pk"] == ln["__lk"], "left")
     # Item status; the acknowledgment type is looked up with the matched
     # item-status id (G2), and the 860 flag with the matched integration id.
