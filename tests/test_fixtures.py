@@ -106,3 +106,199 @@ def test_j07_department_fanout_and_missing_buyer(tables):
     assert sorted(out) == ["D1", "D2"]
     assert out["D1"].line_count == 1 and out["D1"].total_quantity == 2.0
     assert out["D1"].po_original_ship_date == "03-01-2024"
+
+
+def test_j03_recency_and_status_filters(tables):
+    # Header exactly 30 days before as_of kept, one second earlier dropped;
+    # Shipment 'Pending' / NULL and header 'CREATED' / NULL dropped; C11: header without shipment absent.
+    po = [dict(PO, transaction_id=i, tranid=f"P{i}") for i in range(1, 7)]
+    hdr = lambda i, created, status="OPEN": dict(carrier_shipping_data_id=i, carrier_shipping_data_name=f"P{i}",
+                                                 date_created=created, is_inactive="F", po_shipping_status=status)
+    edge = datetime(2024, 2, 14, 12, 0, 0)
+    t = tables(
+        transactions=po,
+        carrier_shipping_data=[hdr(1, edge), hdr(2, datetime(2024, 2, 14, 11, 59, 59)), hdr(3, edge, "CREATED"),
+                               hdr(4, edge, None), hdr(5, edge), hdr(6, edge)],
+        carrier_shipments=[dict(carrier_shipping_data_id=i, shipment_id=f"S{i}", status=s)
+                           for i, s in [(1, "Delivered"), (2, "Delivered"), (3, "Delivered"), (4, "Delivered"),
+                                        (5, "Pending")]] + [dict(carrier_shipping_data_id=5, shipment_id="S5b")],
+        entity=[dict(entity_id=7, name="V")],
+    )
+    rows = asn.carrier_shipment_info(t, AS_OF).collect()
+    assert [r.name for r in rows] == ["P1"]
+    assert rows[0].inactive == "No" and rows[0].po_number == "Purchase Order # P1" and rows[0].invoiced == "No"
+
+
+def test_j09_keeps_pending_and_empty_headers_drops_no_location(tables):
+    # C10 kept by J09; C11 header without shipment -> one element with flags 'No'; C12 PO with NULL location dropped.
+    base = dict(PO, location_id=1)
+    t = tables(
+        transactions=[base, dict(base, transaction_id=2, tranid="PO2"), dict(base, transaction_id=3, tranid="PO3",
+                                                                              location_id=None)],
+        transaction_lines=[dict(transaction_id=i, transaction_line_id=1) for i in (1, 2, 3)],
+        locations=[dict(location_id=1, full_name="L")],
+        entity=[dict(entity_id=7, name="V")],
+        carrier_shipping_data=[dict(carrier_shipping_data_id=i, carrier_shipping_data_name=n, is_inactive="F",
+                                    po_shipping_status="CREATED") for i, n in [(1, "PO1"), (2, "PO2"), (3, "PO3")]],
+        carrier_shipments=[dict(carrier_shipping_data_id=1, shipment_id="S1", status="Pending", invoiced="T")],
+    )
+    out = {r.po_number: r for r in compliance.carrier_shipments_nested(t).collect()}
+    assert sorted(out) == ["PO1", "PO2"]
+    assert out["PO1"].shipment_details[0].tracking.status == "Pending"
+    assert out["PO1"].shipment_details[0].invoice.invoiced == "Yes"
+    empty = out["PO2"].shipment_details
+    assert len(empty) == 1 and empty[0].shipment_id is None and empty[0].invoice.invoiced == "No"
+    assert empty[0].inactive == "No" and empty[0].tracking.po_shipping_status == "CREATED"
+
+
+def test_j05_currency_fanout_deduped(tables):
+    # 2 EDI vendors + 1 non-EDI vendor on one currency, a PO with 3 lines -> 6 rows before dedupe.
+    t = tables(
+        transactions=[dict(PO, currency_id=1, n_850_last_execution_timestamp=datetime(2024, 3, 1))],
+        transaction_lines=[dict(transaction_id=1, transaction_line_id=i, asn_record=f"A{i}") for i in (1, 2, 3)],
+        vendors=[dict(vendor_id=1, currency_id=1, edi="T", edi_850_id=1), dict(vendor_id=2, currency_id=1, edi="T"),
+                 dict(vendor_id=3, currency_id=1, edi="F")],
+        edi_document_type_status=[dict(list_id=1, list_item_name="Yes")],
+    )
+    rows = asn.edi_po_vendor_fields(t, AS_OF).collect()
+    assert len(rows) == 6 and {r.edi_850 for r in rows} == {"Yes", None}
+    assert all(r.edi == "Yes" for r in rows)
+
+
+def test_j06_two_map_rows_and_negative_balance(tables):
+    # C17: two subsidiary-map rows -> two rows, two elements; C22: negative balances become positive.
+    t = tables(
+        vendors=[dict(vendor_id=5, name="V5", companyname="Co", subsidiary=1)],
+        vendor_subsidiary_map=[dict(vendor_id=5, subsidiary_id=1, balance=-10.0), dict(vendor_id=5, subsidiary_id=2,
+                                                                                     balance=4.0)],
+        subsidiaries=[dict(subsidiary_id=1, name="S1")],
+    )
+    rows = asn.vendor_contacts(t).collect()
+    assert len(rows) == 2 and sorted(r.financials_tab.balance for r in rows) == [4.0, 10.0]
+    tab = rows[0].subsidiaries_tab
+    assert len(tab) == 2 and sorted((e.subsidiary_id, e.primary) for e in tab) == [(1, True), (2, False)]
+
+
+def test_j10_creator_and_message_recipient_rules(tables):
+    # Vendor without a live creator employee is absent from J10;
+    # Recipient not an employee -> to_0 in J06, message dropped in J10.
+    vend = dict(vendor_id=5, name="V5", companyname="Co", created_by_ven_id=9)
+    t = tables(
+        vendors=[vend, dict(vend, vendor_id=6, name="V6", created_by_ven_id=99)],
+        employees=[dict(employee_id=9, full_name="E9")],
+        entity=[dict(entity_id=9, full_name="E9")],
+        message=[dict(company_id=5, author_id=9, recipient_id=9, to_0="x", subject="a"),
+                 dict(company_id=5, author_id=9, recipient_id=1234, to_0="outside", subject="b")],
+    )
+    j06 = {r.internal_vendor_id: r for r in asn.vendor_contacts(t).collect()}
+    assert sorted(e.primary_recipient for e in j06[5].communications_tab) == ["E9", "outside"]
+    j10 = {r.internal_vendor_id: r for r in compliance.vendor_contacts_stage(t).collect()}
+    assert sorted(j10) == [5]
+    assert [e.subject for e in j10[5].communications_tab] == ["a"]
+
+
+def test_j07_dates_status_due_and_calendar(tables):
+    # C25 status-guarded dates, C26 days past due, C27 edit week at midnight only and 2.5 days -> 3,
+    # C28 repeated calendar day doubles line_count, C29 NULL received, C30 prices.
+    base = dict(PO, sales_rep_id=3)
+    pos = [
+        dict(base, transaction_id=1, tranid="A", status="Pending Receipt", ship_date=datetime(2024, 3, 10),
+             days_to_edit=2.5, due_date=datetime(2024, 3, 10)),
+        dict(base, transaction_id=2, tranid="B", status="Closed", ship_date=datetime(2024, 3, 10, 6),
+             days_to_edit=None, due_date=datetime(2024, 3, 20)),
+        dict(base, transaction_id=3, tranid="C", status="Closed", ship_date=datetime(2024, 3, 10), days_to_edit=None),
+    ]
+    t = tables(
+        transactions=pos,
+        transaction_lines=[
+            dict(transaction_id=1, transaction_line_id=1, item_count=10.0, quantity_received_in_shipment=None,
+                 item_unit_price="-10.0%"),
+            dict(transaction_id=1, transaction_line_id=2, item_count=None, quantity_received_in_shipment=2.0,
+                 item_unit_price="12.50"),
+            dict(transaction_id=2, transaction_line_id=1, item_count=1.0, quantity_received_in_shipment=1.0),
+            dict(transaction_id=3, transaction_line_id=1, item_count=1.0),
+        ],
+        employees=[dict(employee_id=3, full_name="B")],
+        entity=[dict(entity_id=7, name="V")],
+        dim_dates=[dict(calendar_date=datetime(2024, 3, 7), REALIGNED_FISCAL_WEEK_NO=210),
+                   dict(calendar_date=datetime(2024, 3, 10), REALIGNED_FISCAL_WEEK_NO=211),
+                   dict(calendar_date=datetime(2024, 3, 10, 6), REALIGNED_FISCAL_WEEK_NO=211)],
+    )
+    out = {r.po_number: r for r in compliance.purchase_orders_all(t, AS_OF).collect()}
+    a, b, c = out["A"], out["B"], out["C"]
+    assert a.po_original_ship_date == "03-10-2024" and b.po_original_ship_date == "01-01-1900"
+    assert a.days_past_due == 5 and b.days_past_due == -5 and c.days_past_due == 0
+    assert a.po_edit_date == "03-07-2024" and a.po_edit_fiscal_week_number == 210
+    assert b.po_edit_fiscal_week_number is None  # ship date at 06:00 never meets a day-truncated calendar
+    assert c.line_count == 2  # calendar has the 10th twice
+    assert a.line_count == 2 and a.total_quantity == 10.0 and a.remaining_open_quantity is None
+    assert a.received_amount == 2.0 * 12.5
+
+
+def test_j07_yesterday_calendar_rows_multiply(tables):
+    # Two calendar rows for yesterday double every count; none leave them as they are.
+    base = dict(PO, sales_rep_id=3, ship_date=datetime(2024, 3, 1))
+    rows = dict(transactions=[base], transaction_lines=[dict(transaction_id=1, transaction_line_id=1, item_count=1.0)],
+                employees=[dict(employee_id=3, full_name="B")], entity=[dict(entity_id=7, name="V")])
+    one = compliance.purchase_orders_all(tables(**rows), AS_OF).collect()[0]
+    two = compliance.purchase_orders_all(tables(**rows, dim_dates=[
+        dict(calendar_date=datetime(2024, 3, 14)), dict(calendar_date=datetime(2024, 3, 14, 9))]), AS_OF).collect()[0]
+    assert one.line_count == 1 and two.line_count == 2 and two.total_quantity == 2.0
+
+
+def test_j08_drops_lines_without_live_brand_or_group_and_converts_units(tables):
+    # Line without brand or product group dropped; C34: conversion 12 and NULL; C36: PO whose lines all fail.
+    line = dict(transaction_id=1, item_id=1, brand_id=1, product_group_id=1, item_count=24.0, unit_of_measure_id=1)
+    t = tables(
+        transactions=[PO, dict(PO, transaction_id=2, tranid="PO2")],
+        transaction_lines=[dict(line, transaction_line_id=1), dict(line, transaction_line_id=2, unit_of_measure_id=2),
+                           dict(line, transaction_line_id=3, brand_id=9),
+                           dict(line, transaction_line_id=4, product_group_id=2),
+                           dict(line, transaction_id=2, transaction_line_id=1, brand_id=9)],
+        brand=[dict(brand_id=1, brand_name="B")],
+        product_group=[dict(product_group_id=1, product_group_name="G"),
+                       dict(product_group_id=2, product_group_name="Gdel", _fivetran_deleted=True)],
+        uom=[dict(uom_id=1, name="Dozen", conversion_rate=12.0), dict(uom_id=2, name="Odd", conversion_rate=None)],
+    )
+    rows = compliance.po_lines_nested(t, AS_OF).collect()
+    assert [r.po_number for r in rows] == ["PO1"]
+    q = {x.transaction_line_id: x.quantity_in_transaction_unit for x in rows[0].po_lines}
+    assert q == {1: 2.0, 2: 0.0}
+    doc = compliance.purchase_order_nested(
+        compliance.purchase_orders_all(tables(
+            transactions=[dict(PO, transaction_id=2, tranid="PO2", sales_rep_id=3)],
+            transaction_lines=[dict(transaction_id=2, transaction_line_id=1)],
+            employees=[dict(employee_id=3, full_name="B")], entity=[dict(entity_id=7, name="V")]), AS_OF),
+        compliance.po_lines_nested(t, AS_OF), compliance.carrier_shipments_nested(t), AS_OF).collect()
+    assert len(doc) == 1 and doc[0].purchase_oder.po_lines is None and doc[0].expected_arrival_date is None
+
+
+def test_j13_j14_flags_and_live_rows(tables):
+    # is_inactive 'F' / 'T' / NULL -> False / True / True, deleted row absent;
+    # Line with missing or deleted type / division dropped.
+    t = tables(
+        edi_856_asn=[dict(edi_856_asn_id=1, is_inactive="F"), dict(edi_856_asn_id=2, is_inactive="T"),
+                     dict(edi_856_asn_id=3), dict(edi_856_asn_id=4, _fivetran_deleted=True)],
+        edi_856_asn_line=[dict(edi_856_asn_line_id=1, po_type_id=1, po_md_id=1, purchase_order_id_0="X"),
+                          dict(edi_856_asn_line_id=2, po_type_id=2, po_md_id=1),
+                          dict(edi_856_asn_line_id=3, po_type_id=1, po_md_id=2),
+                          dict(edi_856_asn_line_id=4, po_type_id=1, po_md_id=3)],
+        po_types=[dict(list_id=1, list_item_name="T1"), dict(list_id=2, list_item_name="T2", _fivetran_deleted=True)],
+        merchandise_division=[dict(merchandise_division_id=1, merchandise_division_name="D1"),
+                              dict(merchandise_division_id=2, merchandise_division_name="D2", _fivetran_deleted=True)],
+    )
+    hdr = {r.edi_856_asn_id: r.is_inactive for r in compliance.edi_856_asn(t).collect()}
+    assert hdr == {1: False, 2: True, 3: True}
+    lines = compliance.edi_856_asn_line(t).collect()
+    assert [(r.edi_856_asn_line_id, r.po_number, r.po_type) for r in lines] == [(1, "X", "T1")]
+
+
+def test_text_keys_give_same_result(tables, spark):
+    # Keys given as text ('42') join as their numbers in cast-key lookups.
+    from tidewater.functions import expr as E
+    from tidewater.operators import ops
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([("42",), ("7",)], "k string")
+    dim = spark.createDataFrame([(42, "x")], "id long, v string")
+    out = ops.lookup(df, dim, E.as_key(df, "k"), E.as_key(dim, "id"), {"v": "v"}).orderBy(F.col("k")).collect()
+    assert [(r.k, r.v) for r in out] == [("42", "x"), ("7", None)]

@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def publish(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: str | None = None,
-            files_per_partition: int | None = None) -> str:
+            files_per_partition: int | None = None, sort_within=None) -> str:
     """Write ``df`` as Parquet at ``path``, replacing what was there (K1).
 
     ``partition_by`` gives one folder per value (K2; NULL lands in the
@@ -38,6 +38,10 @@ def publish(df: DataFrame, path: str, partition_by: str | None = None, cluster_b
     does not become one task.
     """
     out = df
+    if sort_within is not None and cluster_by is None:
+        # The reference's ORDER BY, kept inside each file (a stored
+        # table has no global order; see ``present`` for an ordered export).
+        out = out.sortWithinPartitions(*sort_within)
     if cluster_by is not None:
         keys = [F.col(partition_by), F.col(cluster_by)] if partition_by else [F.col(cluster_by)]
         n = files_per_partition or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
@@ -56,3 +60,8 @@ def stage_path(base: str, layer: str, name: str) -> str:
 
 def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def present(df: DataFrame, order) -> DataFrame:
+    """R1-R3 for reading or export: a global ``orderBy`` (range shuffle)."""
+    return df.orderBy(*order)
