@@ -360,7 +360,7 @@ def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
         ["name", "vendor_id"],
         [c("a_bill").alias("is_default_bill_address"), c("a_ship").alias("is_default_ship_address"),
          c("a_label").alias("label"), c("a_address").alias("address"), c("a_inactive").alias("is_inactive")],
-        "address_tab")
+        "address_tab", partition_by="vendor_id")
 
     cur = t["currencies"]
     p = ops.lookup(vend, t["vendor_types"], c("vendor_type_id"), "vendor_type_id",
@@ -387,7 +387,7 @@ def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
     relationships = ops.nest(r, ["name", "vendor_id"], [
         c("k_name").alias("contact_name"), c("k_type").alias("category"), c("k_title").alias("job_title"),
         c("k_email").alias("email"), c("k_phone").alias("phone"), c("k_id").alias("contact_id")],
-        "relationships_tab")
+        "relationships_tab", partition_by="vendor_id")
 
     m = ops.lookup(vend, t["message"], c("vendor_id"), "company_id", {
         "m_date": "date_0", "m_author_id": "author_id", "m_recipient_id": "recipient_id", "m_subject": "subject",
@@ -399,7 +399,7 @@ def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
         c("m_recipient_id").alias("recipient_id"),
         F.coalesce(c("m_recipient"), c("m_to")).alias("primary_recipient"), c("m_subject").alias("subject"),
         c("m_to").alias("to_0"), c("m_from").alias("from_0"), c("m_type").alias("message_type_id"),
-        c("m_message").alias("message")], "communications_tab")
+        c("m_message").alias("message")], "communications_tab", partition_by="vendor_id")
 
     allv = t["vendors"]  # approvals: no companyname filter in the reference
     a = ops.lookup(allv, t["employees"], E.as_key(allv, "created_by_ven_id"),
@@ -411,7 +411,8 @@ def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
                    E.as_key(t["operations_status"], "list_id"), {"operations_status": "list_item_name"},
                    small=t.is_small("operations_status"))
     approvals = ops.nest(a, ["name", "vendor_id"], [
-        c("date_created"), c("created_by"), c("finance_status"), c("operations_status")], "approvals_tab")
+        c("date_created"), c("created_by"), c("finance_status"), c("operations_status")], "approvals_tab",
+        partition_by="vendor_id")
 
     subsidiaries = vendor_subsidiaries_tab(t, vend, live_rows=False)
 
@@ -442,7 +443,7 @@ def vendor_subsidiaries_tab(t, vend: DataFrame, live_rows: bool) -> DataFrame:
         F.abs(c("m_balance")).alias("balance"), F.abs(c("m_balance_base")).alias("balance_base"),
         F.abs(c("m_unbilled")).alias("unbilled_orders"), F.abs(c("m_unbilled_base")).alias("unbilled_orders_base"),
         c("m_credit").alias("credit_limit"), c("m_sub").alias("subsidiary_id"), c("currency"),
-        c("vs_tax").alias("tax_code")], "subsidiaries_tab")
+        c("vs_tax").alias("tax_code")], "subsidiaries_tab", partition_by="vendor_id")
 
 
 def assemble(parent: DataFrame, parent_key: str, children: list[DataFrame]) -> DataFrame:
