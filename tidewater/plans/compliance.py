@@ -226,17 +226,18 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
     # each line: no pairwise join, and the partitioning then serves the
     # line-group step and the per-PO nest as well. Receipt rows with a NULL
     # key never match a line and are dropped first.
-    n_parts = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
     rec = (t["sb_receipts"]
            .where(c("po_number").isNotNull() & c("received_sku").isNotNull()
                   & c("po_purchase_order_item_id").isNotNull())
-           .repartition(n_parts, "po_number"))
+           .repartition("po_number"))
     rec = ops.preaggregate(rec, ["po_number", "received_sku", "RECORD_SOURCE", "po_purchase_order_item_id"],
                            {"__recv": F.sum("received_quantity")})
     rec = rec.select("po_number", c("received_sku").alias("item_extid"),
                      c("po_purchase_order_item_id").alias("transaction_line_id"), "__recv",
                      F.lit(True).alias("__is_receipt"))
-    lines_p = df.repartition(n_parts, "po_number").withColumn("__is_receipt", F.lit(False))
+    # No fixed partition count: both sides use spark.sql.shuffle.partitions, and
+    # AQE coalesces the two shuffles of this stage alike.
+    lines_p = df.repartition("po_number").withColumn("__is_receipt", F.lit(False))
     both = lines_p.unionByName(rec, allowMissingColumns=True)
     w = Window.partitionBy("po_number", "item_extid", "transaction_line_id")
     is_r = c("__is_receipt")
