@@ -100,6 +100,18 @@ class Sources(Mapping):
         return cls(spark, {n: factory(n) for n in wanted}, **kw)
 
 
+def materialize(t: "Sources", base: str, names: Iterable[str] | None = None) -> "Sources":
+    """Write each table of ``t`` as Parquet under ``base`` and return the
+    mapping that reads them back (what an ERP replica looks like: stored
+    tables, so filters and column pruning reach the scan)."""
+    paths = {}
+    for name in (names or list(t)):
+        path = f"{base.rstrip('/')}/{name}"
+        t[name].write.mode("overwrite").parquet(path)
+        paths[name] = path
+    return Sources.from_parquet(t.spark, paths, max_broadcast_rows=t.max_broadcast_rows)
+
+
 def standin_sql(name: str, as_of: datetime, placeholders: bool = False) -> tuple[str, tuple[str, ...]]:
     """SQL text of one stand-in, with the snapshot days filled in.
 
