@@ -45,16 +45,19 @@ def _po_lines_in_transit(t, as_of: datetime, shipped_over: str) -> DataFrame:
     po = ops.lookup(po, t["po_types"], E.as_key(po, "po_type_id"), E.as_key(t["po_types"], "list_id"),
                     how="inner", where=c("list_item_name") != "Non-Inventory",
                     small=t.is_small("po_types"))
+    # The window-filtered lines are the selective side: join them to the POs
+    # first (AQE can broadcast them, leaving the PO table unshuffled), so only
+    # POs with open lines meet the vendor lookup below.
+    po = po.withColumn("__pk", E.as_key(po, "transaction_id"))
+    df = po.join(lines, po["__pk"] == lines["__lk"], "inner").drop("__pk", "__lk")
     # Vendor (entity) whose EDI-856 flag reads 'Yes' (null-rejecting on both).
     ent = t["entity"]
     edi_yes = ops.lookup(ent, t["edi_document_type_status"], E.as_key(ent, "edi_856_id"),
                          E.as_key(t["edi_document_type_status"], "list_id"), how="inner",
                          where=c("list_item_name") == "Yes",
                          small=t.is_small("edi_document_type_status"))
-    po = ops.lookup(po, edi_yes, E.as_key(po, "entity_id"), E.as_key(ent, "entity_id"),
-                    {"vendor": "name"}, how="inner")
-    po = po.withColumn("__pk", E.as_key(po, "transaction_id"))
-    return po.join(lines, po["__pk"] == lines["__lk"], "inner").drop("__pk", "__lk")
+    return ops.lookup(df, edi_yes, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"),
+                      {"vendor": "name"}, how="inner")
 
 
 def asn_details(t, as_of: datetime) -> DataFrame:
