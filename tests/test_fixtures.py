@@ -302,3 +302,95 @@ def test_text_keys_give_same_result(tables, spark):
     dim = spark.createDataFrame([(42, "x")], "id long, v string")
     out = ops.lookup(df, dim, E.as_key(df, "k"), E.as_key(dim, "id"), {"v": "v"}).orderBy(F.col("k")).collect()
     assert [(r.k, r.v) for r in out] == [("42", "x"), ("7", None)]
+
+
+def _asn_tables(tables, lines, pos=None, **extra):
+    line = dict(transaction_id=1, item_id=3, asn_record="A", item_count=10.0, asn_quantity_shipped=12.0,
+                quantity_received_in_shipment=4.0, asn_shipment_date=datetime(2024, 3, 5))
+    return tables(
+        transactions=pos or [dict(PO, merchandise_division_id=1)],
+        transaction_lines=[dict(line, **x) for x in lines],
+        po_types=[dict(list_id=1, list_item_name="Replenishment"), dict(list_id=2, list_item_name="Non-Inventory")],
+        entity=[dict(entity_id=7, name="V", edi_856_id=1), dict(entity_id=8, name="W", edi_856_id=2)],
+        edi_document_type_status=[dict(list_id=1, list_item_name="Yes"), dict(list_id=2, list_item_name="No")],
+        **extra,
+    )
+
+
+def test_j01_drops_c6_rows(tables):
+    # asn_record NULL; PO type 'Non-Inventory'; PO type NULL; EDI-856 'No'.
+    pos = [dict(PO, transaction_id=i, tranid=f"P{i}") for i in range(1, 5)]
+    pos[1]["po_type_id"] = 2
+    pos[2]["po_type_id"] = 99
+    pos[3]["entity_id"] = 8
+    t = _asn_tables(tables, [dict(transaction_id=1, transaction_line_id=1, asn_record=None)] +
+                    [dict(transaction_id=i, transaction_line_id=1) for i in (2, 3, 4)], pos=pos)
+    assert asn.asn_details(t, AS_OF).count() == 0
+
+
+def test_j01_vs_j02_shipped_over_received_not_ordered(tables):
+    # Shipped 10 > received 4 but not > ordered 10: in J01, not in J02.
+    t = _asn_tables(tables, [dict(transaction_line_id=1, asn_quantity_shipped=10.0)],
+                    merchandise_division=[dict(merchandise_division_id=1, merchandise_division_name="D",
+                                               assigned_to_id=3)],
+                    employees=[dict(employee_id=3, full_name="A")])
+    assert asn.asn_details(t, AS_OF).count() == 1
+    assert asn.asn_summary(t, AS_OF).count() == 0
+
+
+def test_j02_division_counts_over_all_assignees_and_null_division(tables):
+    # Two assignees under one division name repeat the division-wide counts; NULL division is its own group.
+    pos = [dict(PO, transaction_id=1, tranid="P1", merchandise_division_id=1),
+           dict(PO, transaction_id=2, tranid="P2", merchandise_division_id=2, entity_id=9),
+           dict(PO, transaction_id=3, tranid="P3", merchandise_division_id=3)]
+    t = tables(
+        transactions=pos,
+        transaction_lines=[dict(transaction_id=i, transaction_line_id=j, asn_record="A", item_count=1.0,
+                                asn_quantity_shipped=5.0, asn_shipment_date=datetime(2024, 3, 5))
+                           for i in (1, 2, 3) for j in (1, 2)],
+        po_types=[dict(list_id=1, list_item_name="Replenishment")],
+        entity=[dict(entity_id=7, name="V", edi_856_id=1), dict(entity_id=9, name="W", edi_856_id=1)],
+        edi_document_type_status=[dict(list_id=1, list_item_name="Yes")],
+        merchandise_division=[dict(merchandise_division_id=1, merchandise_division_name="D", assigned_to_id=3),
+                              dict(merchandise_division_id=2, merchandise_division_name="D", assigned_to_id=4),
+                              dict(merchandise_division_id=3, merchandise_division_name=None, assigned_to_id=3)],
+        employees=[dict(employee_id=3, full_name="A"), dict(employee_id=4, full_name="B")],
+    )
+    out = {(r.merchandise_division, r.assigned_to): r for r in asn.asn_summary(t, AS_OF).collect()}
+    assert sorted(out, key=str) == sorted([("D", "A"), ("D", "B"), (None, "A")], key=str)
+    for k in [("D", "A"), ("D", "B")]:
+        assert (out[k].count_orders, out[k].count_vendors, out[k].count_problems_lines) == (2, 2, 2)
+    assert (out[(None, "A")].count_orders, out[(None, "A")].count_problems_lines) == (1, 2)
+
+
+def test_j04_two_addresses_no_type_null_first_name_and_j11_filters(tables):
+    # 2 types x 2 different addresses -> 2 rows of 2 categories; no type -> ['']; C14: NULL first name;
+    # Inactive, deleted or company-less contacts are in J04 but not J11.
+    t = tables(
+        contacts=[dict(contact_id=1, company_id=2, isinactive="No", firstname="Ann", lastname="Lee"),
+                  dict(contact_id=2, company_id=2, isinactive="No", firstname=None, lastname="Kim"),
+                  dict(contact_id=3, company_id=2, isinactive="Yes"),
+                  dict(contact_id=4, company_id=2, isinactive="No", _fivetran_deleted=True),
+                  dict(contact_id=5, company_id=None, isinactive="No")],
+        address_book=[dict(entity_id=1, address="A"), dict(entity_id=1, address="B")],
+        contact_types=[dict(contact_id=1, name="x"), dict(contact_id=1, name="y")],
+    )
+    rows = asn.contact_details(t).collect()
+    one = sorted((r.address1, r.category) for r in rows if r.contact_id == 1)
+    assert one == [("A", ["x", "y"]), ("B", ["x", "y"])]
+    two = [r for r in rows if r.contact_id == 2][0]
+    assert two.category == [""] and two.name is None and rows[0].name in ("Ann Lee", None)
+    assert sorted({r.contact_id for r in rows}) == [1, 2, 3, 4, 5]
+    assert sorted({r.contact_id for r in compliance.contact_details_stage(t).collect()}) == [1, 2]
+
+
+def test_j07_empty_price_text_raises(tables, spark):
+    # C30: '' cannot be read as a number; ANSI mode raises, as the warehouse does.
+    import pytest
+    base = dict(PO, sales_rep_id=3, ship_date=datetime(2024, 3, 1))
+    t = tables(transactions=[base],
+               transaction_lines=[dict(transaction_id=1, transaction_line_id=1, item_count=1.0,
+                                       quantity_received_in_shipment=1.0, item_unit_price="")],
+               employees=[dict(employee_id=3, full_name="B")], entity=[dict(entity_id=7, name="V")])
+    with pytest.raises(Exception):
+        compliance.purchase_orders_all(t, AS_OF).collect()
