@@ -221,15 +221,16 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
     # Receipts (A8, X13). The reference sums receipts by 4 keys and left-joins
     # them on 3, so a line meets one row per record source (or one NULL row).
     # Summed over those rows, (qty - recv) gives n * qty - sum(recv). Lines and
-    # receipts are therefore hash-partitioned by PO number, united, and a
-    # window over (PO, SKU, line) counts and sums the receipt rows next to
-    # each line: no pairwise join, and the partitioning then serves the
-    # line-group step and the per-PO nest as well. Receipt rows with a NULL
-    # key never match a line and are dropped first.
+    # receipts are therefore hash-partitioned on the 3 line keys (PO, SKU,
+    # line), united, and a window over those keys counts and sums the receipt
+    # rows next to each line: no pairwise join, and the same partitioning
+    # serves the 53-key line-group step. A PO with very many lines is spread
+    # over tasks by SKU and line here; only the final nest holds it whole.
+    # Receipt rows with a NULL key never match a line and are dropped first.
     rec = (t["sb_receipts"]
            .where(c("po_number").isNotNull() & c("received_sku").isNotNull()
                   & c("po_purchase_order_item_id").isNotNull())
-           .repartition("po_number"))
+           .repartition("po_number", "received_sku", "po_purchase_order_item_id"))
     rec = ops.preaggregate(rec, ["po_number", "received_sku", "RECORD_SOURCE", "po_purchase_order_item_id"],
                            {"__recv": F.sum("received_quantity")})
     rec = rec.select("po_number", c("received_sku").alias("item_extid"),
@@ -237,7 +238,8 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
                      F.lit(True).alias("__is_receipt"))
     # No fixed partition count: both sides use spark.sql.shuffle.partitions, and
     # AQE coalesces the two shuffles of this stage alike.
-    lines_p = df.repartition("po_number").withColumn("__is_receipt", F.lit(False))
+    lines_p = (df.repartition("po_number", "item_extid", "transaction_line_id")
+               .withColumn("__is_receipt", F.lit(False)))
     both = lines_p.unionByName(rec, allowMissingColumns=True)
     w = Window.partitionBy("po_number", "item_extid", "transaction_line_id")
     is_r = c("__is_receipt")
@@ -251,7 +253,7 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
     qty = F.coalesce(c("item_count"), F.lit(0.0))
     price = F.coalesce(F.replace(c("item_unit_price"), F.lit("%"), F.lit("")), F.lit("0")).cast("double")
     open_rows = F.when(c("__n_r") > 0, c("__n_r") * qty - c("__s_r0")).otherwise(qty)
-    # The line-group step reuses the PO-number partitioning (a subset of its keys).
+    # The line-group step reuses the (PO, SKU, line) partitioning (a subset of its keys).
     g = df.groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
         F.sum(open_rows).alias("on_order_quantity"),
         F.sum(open_rows * price).alias("on_order_cost"),
@@ -348,8 +350,9 @@ def carrier_rows(t) -> DataFrame:
     ent = t["entity"]
     df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"},
                     how="inner", live_only=True)
-    # Partition by PO number once: the dedupe and the per-(PO, vendor) nest share it.
-    return df.select(*CARRIER_KEYS).repartition("tranid").distinct()
+    # Distinct with map-side combine, hashed on all 20 keys, so a PO with very
+    # many shipment rows is deduplicated across tasks before its nest.
+    return df.select(*CARRIER_KEYS).distinct()
 
 
 def carrier_shipments_nested(t, as_of: datetime | None = None) -> DataFrame:
