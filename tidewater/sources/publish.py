@@ -34,8 +34,9 @@ def publish(df: DataFrame, path: str, partition_by: str | None = None, cluster_b
     default partition and reads back as NULL). ``cluster_by`` range-partitions
     the rows on that column and sorts within each file (K3), so Parquet
     min/max statistics let readers skip files. With ``partition_by`` too,
-    rows are first spread by (partition value, cluster range) so one date
-    does not become one task.
+    rows are range-partitioned on (partition value, cluster column): the
+    sampled bounds split a date that holds most rows into several tasks by
+    cluster-key ranges, so one date does not become one task.
     """
     out = df
     if sort_within is not None and cluster_by is None:
