@@ -207,17 +207,22 @@ CONTACT_FIELDS = [
 ]
 
 
-def _contacts_joined(t, contacts: DataFrame, live_address: bool = False) -> DataFrame:
-    """Contacts with address rows, subsidiary, company, supervisor, assistant and types."""
-    ab = t["address_book"]
-    df = ops.lookup(contacts, ab, c("contact_id"), "entity_id", {
-        "ab_ship": "is_default_ship_address", "ab_bill": "is_default_bill_address", "ab_address": "address",
-    })
-    df = ops.lookup(df, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {"sub_name": "name"},
+def _contacts_joined(t, contacts: DataFrame) -> DataFrame:
+    """Contacts with subsidiary, company, supervisor, assistant, address rows and types.
+
+    The one-to-one lookups run first, on the contact rows before any fan-out;
+    the two one-to-many joins on the contact id come last, so the second of
+    them and the GROUP BY that follows (the contact id is one of its keys)
+    reuse one hash partitioning.
+    """
+    df = ops.lookup(contacts, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {"sub_name": "name"},
                     small=t.is_small("subsidiaries"))
     df = ops.lookup(df, t["companies"], c("company_id"), "company_id", {"company": "companyname"})
     df = ops.lookup(df, t["entity"], c("supervisior_id"), "entity_id", {"supervisor": "name"})
     df = ops.lookup(df, t["entity"], c("assistant_id"), "entity_id", {"assistand": "name"})
+    df = ops.lookup(df, t["address_book"], c("contact_id"), "entity_id", {
+        "ab_ship": "is_default_ship_address", "ab_bill": "is_default_bill_address", "ab_address": "address",
+    })
     df = ops.lookup(df, t["contact_types"], c("contact_id"), "contact_id", {"type_name": "name"})
     return df
 
