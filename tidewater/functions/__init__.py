@@ -1 +1 @@
-
+"""Column expressions (``expr``): pure functions from Columns to Columns."""

@@ -1 +1 @@
-
+"""DataFrame operators shared by the builders (``ops``)."""

@@ -1 +1 @@
-
+"""Sources (``catalog``, ``standins``) and sinks (``publish``)."""

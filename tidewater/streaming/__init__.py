@@ -1 +1,6 @@
+"""Streaming: none.
 
+The reference's pipelines are daily batch jobs that replace whole tables;
+they have no streams, watermarks, windows over event time or state. Nothing
+is built here on purpose (see README, "Re-aimed or left out").
+"""
