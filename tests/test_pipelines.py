@@ -27,3 +27,29 @@ def test_pipelines_write_every_table(spark):
     keys = [(r[0], r[1]) for r in rows]
     assert [k[0] for k in keys] == sorted(k[0] for k in keys)
     assert doc.where(F.col("purchase_oder.po_lines").isNull()).where(F.col("expected_arrival_date").isNotNull()).count() == 0
+
+
+def test_document_join_reads_bucketed_stages_without_shuffle(spark):
+    from tidewater.plans import compliance
+    from tidewater.sources.publish import publish_bucketed
+    t = sources(spark, SF)
+    base = scratch_path(spark, "bucketed")
+    tables = {
+        "purchase_orders_all": publish_bucketed(compliance.purchase_orders_all(t, AS_OF), base + "/a",
+                                                "tidewater_test_a", "po_number", 4),
+        "po_lines_nested": publish_bucketed(compliance.po_lines_nested(t, AS_OF), base + "/b",
+                                            "tidewater_test_b", "po_number", 4),
+        "carrier_shipment_chr_nested": publish_bucketed(compliance.carrier_shipments_nested(t), base + "/c",
+                                                        "tidewater_test_c", "carrier_shipping_data", 4),
+    }
+    # With broadcasts off (tiny test tables would be broadcast), the joins
+    # must be sort-merge joins over the bucketed scans with no exchange.
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        doc = pipelines.po_document_from_stage(spark, tables, AS_OF)
+        plan = doc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
+    assert doc.count() == compliance.po_document(t, AS_OF).count()
