@@ -17,11 +17,16 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); set one only if unset."""
+    """The cluster's shared folder (``spark.checkpoint.dir``); set one only if unset.
+
+    The SparkContext's checkpoint folder is pointed at it too (when it has
+    none), so ``DataFrame.checkpoint()`` writes there.
+    """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)
     return d
 
