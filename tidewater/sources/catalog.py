@@ -22,7 +22,6 @@ from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidewater.functions.expr import snapshot_start_value
 from tidewater.sources.standins import BASES, ENUMERATIONS, STANDINS
