@@ -16,6 +16,9 @@ division by integers, interval literals, TIMESTAMP literals, UNION ALL.
 The modulus patterns plant the cases of FIXTURES.md: soft-deleted rows, NULL
 flags and dates, missing lookups, repeated calendar days, two receipt
 sources on one line, vendors with two subsidiaries, duplicate addresses.
+Every fact and bridge table takes every row of its source table; where a
+case needs a row to be missing (a PO without carrier header, a line without
+receipt), the row is kept as an orphan whose key is NULL, which never joins.
 
 Placeholders ``{yday}`` and ``{today}`` are the inventory snapshot days
 (start of yesterday and of today in the snapshot zone), made from ``as_of``.
@@ -185,44 +188,47 @@ FROM lineitem
 
 # ------------------------------------------------------------------ receipts, inventory
 STANDINS["sb_receipts"] = f"""
-SELECT {_tranid('l_orderkey')} AS po_number, {_sku('l_partkey')} AS received_sku,
-       'WMS' AS RECORD_SOURCE, CAST(l_linenumber - 1 AS BIGINT) AS po_purchase_order_item_id,
-       l_quantity / 2 AS received_quantity
-FROM lineitem WHERE l_returnflag = 'R'
+SELECT CASE WHEN l_returnflag = 'R' THEN {_tranid('l_orderkey')} END AS po_number,
+       {_sku('l_partkey')} AS received_sku, 'WMS' AS RECORD_SOURCE,
+       CAST(l_linenumber - 1 AS BIGINT) AS po_purchase_order_item_id, l_quantity / 2 AS received_quantity
+FROM lineitem
 UNION ALL
-SELECT {_tranid('l_orderkey')}, {_sku('l_partkey')}, 'ERP', CAST(l_linenumber - 1 AS BIGINT),
-       l_quantity / 4
-FROM lineitem WHERE l_returnflag = 'R' AND l_linenumber % 2 = 0
+SELECT CASE WHEN l_returnflag = 'R' AND l_linenumber % 2 = 0 THEN {_tranid('l_orderkey')} END,
+       {_sku('l_partkey')}, 'ERP', CAST(l_linenumber - 1 AS BIGINT), l_quantity / 4
+FROM lineitem
 UNION ALL
-SELECT {_tranid('l_orderkey')}, {_sku('l_partkey')}, 'WMS', CAST(l_linenumber - 1 AS BIGINT),
-       CAST(1 AS DOUBLE)
-FROM lineitem WHERE l_returnflag = 'A' AND l_linenumber = 2
+SELECT CASE WHEN l_returnflag = 'A' AND l_linenumber = 2 THEN {_tranid('l_orderkey')} END,
+       {_sku('l_partkey')}, 'WMS', CAST(l_linenumber - 1 AS BIGINT), CAST(1 AS DOUBLE)
+FROM lineitem
 """
 
 STANDINS["sb_inventory"] = f"""
-SELECT {_sku('p_partkey')} AS sku, TIMESTAMP '{{yday}}' AS snapshot_day FROM part WHERE p_size % 3 = 0
-UNION ALL
-SELECT {_sku('p_partkey')}, TIMESTAMP '{{yday}}' FROM part WHERE p_size % 6 = 0
+SELECT {_sku('p_partkey')} AS sku,
+       CASE p_size % 3 WHEN 0 THEN TIMESTAMP '{{yday}}' WHEN 1 THEN TIMESTAMP '{{today}}'
+            ELSE TIMESTAMP '{{yday}}' - INTERVAL 7 DAY END AS snapshot_day
+FROM part
 UNION ALL
-SELECT {_sku('p_partkey')}, TIMESTAMP '{{today}}' FROM part WHERE p_size % 3 = 1
+SELECT {_sku('p_partkey')},
+       CASE WHEN p_size % 6 = 0 THEN TIMESTAMP '{{yday}}' ELSE TIMESTAMP '{{today}}' END
+FROM part
 """
 
 # ------------------------------------------------------------------ carrier
 STANDINS["carrier_shipping_data"] = f"""
 SELECT
   o_orderkey AS carrier_shipping_data_id,
-  {_tranid('o_orderkey')} AS carrier_shipping_data_name,
+  CASE WHEN o_orderkey % 3 = 2 THEN NULL ELSE {_tranid('o_orderkey')} END AS carrier_shipping_data_name,
   o_orderdate + INTERVAL 36 HOUR AS date_created,
   o_orderdate + INTERVAL 60 HOUR AS last_modified_date,
   CASE o_orderkey % 10 WHEN 7 THEN 'T' WHEN 8 THEN NULL ELSE 'F' END AS is_inactive,
   CASE o_orderkey % 5 WHEN 0 THEN 'CREATED' WHEN 1 THEN NULL WHEN 2 THEN 'IN TRANSIT'
        ELSE 'DELIVERED' END AS po_shipping_status
-FROM orders WHERE o_orderkey % 3 <> 2
+FROM orders
 """
 
 STANDINS["carrier_shipments"] = """
 SELECT
-  l_orderkey AS carrier_shipping_data_id,
+  CASE WHEN l_linenumber % 2 = 0 THEN NULL ELSE l_orderkey END AS carrier_shipping_data_id,
   'SH-' || CAST(l_orderkey AS STRING) || '-' || CAST(l_linenumber AS STRING) AS shipment_id,
   CASE l_linenumber WHEN 1 THEN 'Delivered' WHEN 3 THEN 'Pending' WHEN 5 THEN NULL
        ELSE 'In Transit' END AS status,
@@ -239,7 +245,7 @@ SELECT
   l_shipdate + INTERVAL 2 DAY AS last_updated,
   l_shipdate + INTERVAL 3 DAY AS original_delivery_eta,
   l_shipdate - INTERVAL 1 DAY AS pick_up_date
-FROM lineitem WHERE l_linenumber % 2 = 1
+FROM lineitem
 """
 
 # ------------------------------------------------------------------ parties
@@ -306,35 +312,39 @@ SELECT s_suppkey AS company_id, s_name AS companyname FROM supplier
 """
 
 STANDINS["vendor_subsidiary_map"] = """
-SELECT s_suppkey AS vendor_id, CAST(s_nationkey % 5 AS BIGINT) AS subsidiary_id,
+SELECT CASE WHEN s_suppkey % 7 = 6 THEN NULL ELSE s_suppkey END AS vendor_id,
+       CAST(s_nationkey % 5 AS BIGINT) AS subsidiary_id,
        -s_acctbal AS balance, s_acctbal / 2 AS balance_base, -s_acctbal / 3 AS unbilled_orders,
        s_acctbal / 4 AS unbilled_orders_base, s_acctbal * 2 AS credit_limit,
        (s_suppkey % 11 = 5) AS _fivetran_deleted
-FROM supplier WHERE s_suppkey % 7 <> 6
+FROM supplier
 UNION ALL
-SELECT s_suppkey, CAST((s_nationkey + 1) % 5 AS BIGINT), s_acctbal / 5, s_acctbal / 6,
-       s_acctbal / 7, -s_acctbal / 8, s_acctbal, FALSE
-FROM supplier WHERE s_suppkey % 4 = 0
+SELECT CASE WHEN s_suppkey % 4 = 0 THEN s_suppkey END, CAST((s_nationkey + 1) % 5 AS BIGINT), s_acctbal / 5,
+       s_acctbal / 6, s_acctbal / 7, -s_acctbal / 8, s_acctbal, FALSE
+FROM supplier
 """
 
 STANDINS["address_book"] = f"""
-SELECT s_suppkey AS entity_id, 'HQ' AS name, CAST(s_suppkey AS STRING) || ' Main St' AS address,
-       'T' AS is_default_bill_address, 'T' AS is_default_ship_address, 'F' AS is_inactive,
-       (s_suppkey % 13 = 4) AS _fivetran_deleted
-FROM supplier WHERE s_suppkey % 6 <> 5
+SELECT CASE WHEN s_suppkey % 6 = 5 THEN NULL ELSE s_suppkey END AS entity_id, 'HQ' AS name,
+       CAST(s_suppkey AS STRING) || ' Main St' AS address, 'T' AS is_default_bill_address,
+       'T' AS is_default_ship_address, 'F' AS is_inactive, (s_suppkey % 13 = 4) AS _fivetran_deleted
+FROM supplier
 UNION ALL
-SELECT s_suppkey, 'Warehouse', CAST(s_suppkey AS STRING) || ' Dock Rd', 'F', 'T',
-       CASE WHEN s_suppkey % 2 = 0 THEN 'T' ELSE 'F' END, FALSE
-FROM supplier WHERE s_suppkey % 3 = 0
+SELECT CASE WHEN s_suppkey % 3 = 0 THEN s_suppkey END, 'Warehouse', CAST(s_suppkey AS STRING) || ' Dock Rd',
+       'F', 'T', CASE WHEN s_suppkey % 2 = 0 THEN 'T' ELSE 'F' END, FALSE
+FROM supplier
 UNION ALL
-SELECT c_custkey + {CONTACT_BASE}, 'Home', CAST(c_custkey AS STRING) || ' Elm St', 'T', 'F', 'F', FALSE
-FROM customer WHERE c_custkey % 5 <> 4
+SELECT CASE WHEN c_custkey % 5 = 4 THEN NULL ELSE c_custkey + {CONTACT_BASE} END, 'Home',
+       CAST(c_custkey AS STRING) || ' Elm St', 'T', 'F', 'F', FALSE
+FROM customer
 UNION ALL
-SELECT c_custkey + {CONTACT_BASE}, 'Office', CAST(c_custkey AS STRING) || ' Oak Ave', 'F', 'T', 'F', FALSE
-FROM customer WHERE c_custkey % 5 = 0
+SELECT CASE WHEN c_custkey % 5 = 0 THEN c_custkey + {CONTACT_BASE} END, 'Office',
+       CAST(c_custkey AS STRING) || ' Oak Ave', 'F', 'T', 'F', FALSE
+FROM customer
 UNION ALL
-SELECT c_custkey + {CONTACT_BASE}, 'Home', CAST(c_custkey AS STRING) || ' Elm St', 'T', 'F', 'F', FALSE
-FROM customer WHERE c_custkey % 7 = 0 AND c_custkey % 5 <> 4
+SELECT CASE WHEN c_custkey % 7 = 0 AND c_custkey % 5 <> 4 THEN c_custkey + {CONTACT_BASE} END, 'Home',
+       CAST(c_custkey AS STRING) || ' Elm St', 'T', 'F', 'F', FALSE
+FROM customer
 """
 
 STANDINS["contacts"] = f"""
@@ -370,10 +380,11 @@ FROM customer
 """
 
 STANDINS["contact_types"] = f"""
-SELECT c_custkey + {CONTACT_BASE} AS contact_id, 'Primary' AS name, (c_custkey % 10 = 3) AS _fivetran_deleted
-FROM customer WHERE c_custkey % 3 <> 2
+SELECT CASE WHEN c_custkey % 3 = 2 THEN NULL ELSE c_custkey + {CONTACT_BASE} END AS contact_id, 'Primary' AS name,
+       (c_custkey % 10 = 3) AS _fivetran_deleted
+FROM customer
 UNION ALL
-SELECT c_custkey + {CONTACT_BASE}, c_mktsegment, FALSE FROM customer WHERE c_custkey % 4 = 0
+SELECT CASE WHEN c_custkey % 4 = 0 THEN c_custkey + {CONTACT_BASE} END, c_mktsegment, FALSE FROM customer
 """
 
 STANDINS["message"] = """
@@ -558,7 +569,7 @@ SELECT
   'G' AS weight_qualifier,
   'LB' AS weight_uom,
   (o_orderkey % 43 = 11) AS _fivetran_deleted
-FROM orders WHERE o_orderkey % 2 = 0
+FROM orders
 """
 
 STANDINS["edi_856_asn_line"] = f"""
