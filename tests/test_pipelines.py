@@ -53,3 +53,25 @@ def test_document_join_reads_bucketed_stages_without_shuffle(spark):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
     assert plan.count("SortMergeJoin") == 2 and "Exchange" not in plan
     assert doc.count() == compliance.po_document(t, AS_OF).count()
+
+
+def test_vendor_document_reads_bucketed_stages_without_shuffle(spark):
+    from tidewater.plans import compliance
+    from tidewater.sources.publish import publish_bucketed
+    t = sources(spark, SF)
+    base = scratch_path(spark, "bucketed-vendor")
+    tables = {
+        "vendor_contacts_stage": publish_bucketed(compliance.vendor_contacts_stage(t), base + "/v",
+                                                  "tidewater_test_v", "internal_vendor_id", 4),
+        "contact_details_stage": publish_bucketed(compliance.contact_details_stage(t), base + "/c",
+                                                  "tidewater_test_cd", "company_id", 4, sort_by="company_name"),
+    }
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        doc = pipelines.vendor_document_from_stage(spark, tables)
+        plan = doc._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
+    assert doc.count() == compliance.vendor_document(t).count()

@@ -59,7 +59,8 @@ def publish(df: DataFrame, path: str, partition_by: str | None = None, cluster_b
     return path
 
 
-def publish_bucketed(df: DataFrame, path: str, table: str, bucket_by: str, buckets: int | None = None) -> str:
+def publish_bucketed(df: DataFrame, path: str, table: str, bucket_by: str, buckets: int | None = None,
+                     sort_by: str | None = None) -> str:
     """Write ``df`` as an external table bucketed and sorted on ``bucket_by``.
 
     Tables bucketed alike on their join key are read back co-partitioned, so
@@ -67,11 +68,12 @@ def publish_bucketed(df: DataFrame, path: str, table: str, bucket_by: str, bucke
     staged tables on the PO number). Rows are hash-partitioned into the
     buckets first, so each task writes one file per bucket. The files go to
     ``path`` (the shared folder); only the table's name and bucket spec live
-    in the session catalog.
+    in the session catalog. ``sort_by`` orders rows within each bucket file
+    (default: the bucket column).
     """
     n = buckets or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     (df.repartition(n, bucket_by).write.mode("overwrite").format("parquet").option("path", path)
-       .bucketBy(n, bucket_by).sortBy(bucket_by).saveAsTable(table))
+       .bucketBy(n, bucket_by).sortBy(sort_by or bucket_by).saveAsTable(table))
     return table
 
 
