@@ -1,7 +1,8 @@
 """Run a pipeline over stored ERP tables.
 
-    spark-submit -m tidewater.run --tables /data/erp --out /data/marts --pipeline B \
+    python -m tidewater.run --tables /data/erp --out /data/marts --pipeline B \
         --as-of 2024-03-15T12:00:00Z
+    spark-submit --py-files tidewater.zip tidewater/run.py ...   (same, on a cluster)
 
 ``--tables`` holds one Parquet folder per ERP table name (``transactions``,
 ``transaction_lines``, ...). The run time is pinned by ``--as-of`` (default:
