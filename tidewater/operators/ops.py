@@ -31,6 +31,7 @@ def lookup(
     live_only: bool = False,
     where: Column | None = None,
     small: bool = False,
+    reduce_dim: bool = False,
 ) -> DataFrame:
     """Join ``dim`` to ``df`` on equal keys and bring ``fields`` along.
 
@@ -40,6 +41,10 @@ def lookup(
     ``_fivetran_deleted = False`` (F9; use it with ``how="inner"``), ``where``
     filters the dimension first. ``small`` puts a broadcast hint on the
     reduced dimension; callers pass it only for tables of checked size.
+    ``reduce_dim`` first keeps only the dimension rows whose key occurs in
+    ``df`` (a semi join on ``df``'s distinct keys, which AQE broadcasts when
+    they are few): for a selective ``df`` against a large master, only the
+    needed master rows are shuffled, not the whole table. Single-key only.
     """
     left_keys = [left_key] if isinstance(left_key, Column) else list(left_key)
     right_keys = [right_key] if isinstance(right_key, (str, Column)) else list(right_key)
@@ -50,6 +55,10 @@ def lookup(
     cols = [(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(right_keys, key_names)]
     cols += [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in (fields or {}).items()]
     d = d.select(*cols)
+    if reduce_dim and len(key_names) == 1:
+        kk = _tmp("k")
+        keys = df.select(left_keys[0].alias(kk)).where(F.col(kk).isNotNull()).distinct()
+        d = d.join(keys, d[key_names[0]] == keys[kk], "left_semi")
     if small:
         d = F.broadcast(d)
     cond = None

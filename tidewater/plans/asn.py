@@ -81,13 +81,15 @@ def asn_details(t, as_of: datetime) -> DataFrame:
     df = ops.lookup(df, t["brand"], E.as_key(df, "brand_id"), E.as_key(t["brand"], "brand_id"),
                     {"brand": "brand_name"}, small=t.is_small("brand"))
     emp = t["employees"]
+    # The in-window lines are few; the masters below are reduced to the keys
+    # they use before the left joins (see ops.lookup(reduce_dim=...)).
     df = ops.lookup(df, emp, E.as_key(df, "sales_rep_id"), E.as_key(emp, "employee_id"),
-                    {"buyer": "full_name"})
+                    {"buyer": "full_name"}, reduce_dim=True)
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        {"units": "name"}, small=t.is_small("uom"))
     df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"),
-                    {"sku": "item_extid", "upc": "upc_code", "units": "units"})
+                    {"sku": "item_extid", "upc": "upc_code", "units": "units"}, reduce_dim=True)
     return df.select(
         c("vendor"), c("brand"), c("trandate").alias("po_date"), c("ship_date"), c("cancel_date"),
         c("tranid").alias("po_number"), c("merchandise_division"), c("po_type"), c("season_code"),
@@ -127,13 +129,14 @@ def asn_summary(t, as_of: datetime) -> DataFrame:
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        small=t.is_small("uom"))
-    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"))
+    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"), reduce_dim=True)
     merch = t["merchandise_division"]
     df = ops.lookup(df, merch, E.as_key(df, "merchandise_division_id"),
                     E.as_key(merch, "merchandise_division_id"),
                     {"merchandise_division": "merchandise_division_name", "assigned_to_id": "assigned_to_id"},
                     small=t.is_small("merchandise_division"))
-    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"})
+    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"},
+                    reduce_dim=True)
     fine = (df.groupBy("merchandise_division", "assigned_to_id", "assigned_to",
                        c("tranid").alias("po_number"), "vendor")
             .agg(F.count(F.lit(1)).alias("n")))
@@ -183,7 +186,8 @@ def carrier_shipment_info(t, as_of: datetime) -> DataFrame:
                        "invoice_number", "invoiced"]},
     }, how="inner")
     ent = t["entity"]
-    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"})
+    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"},
+                    reduce_dim=True)
     return df.select(
         c("tranid").alias("name"), c("vendor"),
         F.concat(F.lit("Purchase Order #"), F.lit(" "), c("tranid")).alias("po_number"),
