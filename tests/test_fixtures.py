@@ -394,3 +394,18 @@ def test_j07_empty_price_text_raises(tables, spark):
                employees=[dict(employee_id=3, full_name="B")], entity=[dict(entity_id=7, name="V")])
     with pytest.raises(Exception):
         compliance.purchase_orders_all(t, AS_OF).collect()
+
+
+def test_skewed_vendor_messages_kept_whole(tables):
+    # SURVEY §4 risk: one vendor holding most messages. The array is built whole
+    # (no cap, no sample) in J06 and J10.
+    n = 20000
+    msgs = [dict(company_id=5, author_id=9, recipient_id=9, to_0="x", subject=f"s{i}") for i in range(n)]
+    msgs.append(dict(company_id=6, author_id=9, recipient_id=9, subject="other"))
+    vend = dict(vendor_id=5, name="V5", companyname="Co", created_by_ven_id=9)
+    t = tables(vendors=[vend, dict(vend, vendor_id=6, name="V6")], message=msgs,
+               employees=[dict(employee_id=9, full_name="E9")], entity=[dict(entity_id=9, full_name="E9")])
+    j06 = {r.internal_vendor_id: len(r.communications_tab) for r in asn.vendor_contacts(t).collect()}
+    assert j06 == {5: n, 6: 1}
+    j10 = {r.internal_vendor_id: len(r.communications_tab) for r in compliance.vendor_contacts_stage(t).collect()}
+    assert j10 == {5: n, 6: 1}
