@@ -4,7 +4,7 @@ outputs flattened to scalar columns so they can be checked against SQL.
 Every query reads the whole stand-in tables of ``sf_dir`` (no sampling, no
 id subsets). ``AS_OF`` pins the run time inside the data's date range.
 Values are normalised the same way on both sides (see ``normalise`` and
-``oracle.wrap``): timestamps and dates as text, doubles rounded to 4
+``oracle.sql``): timestamps and dates as text, doubles rounded to 4
 places, integers as BIGINT.
 """
 
