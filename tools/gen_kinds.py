@@ -1,6 +1,6 @@
 """Write tidewater/plans/kinds.py: the output columns and value kinds of every
 registered query, read from the Spark plans (no data is read: schemas only).
-The oracle SQL is wrapped with the same conversions (``oracle.wrap``)."""
+The oracle SQL is wrapped with the same conversions (``oracle.sql``)."""
 
 import pprint
 import sys
