@@ -2,8 +2,8 @@
 lay rows out by a cluster column (K3), stage then final folders (K5).
 
 Output goes to a folder under a shared file system: the caller's path, or a
-folder under ``spark.checkpoint.dir`` as the cluster sets it. A folder is
-only invented when the session has none (local tests).
+folder under ``spark.checkpoint.dir`` as the cluster sets it. Only a local
+master may go without that setting; anywhere else its absence is an error.
 """
 
 from __future__ import annotations
@@ -17,13 +17,19 @@ from pyspark.sql import functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (``spark.checkpoint.dir``); set one only if unset.
+    """The cluster's shared folder (``spark.checkpoint.dir``).
+
+    Where it is unset, a local master gets a temporary folder; on a cluster each
+    executor would write to its own disk, so that is refused.
 
     The SparkContext's checkpoint folder is pointed at it too (when it has
     none), so ``DataFrame.checkpoint()`` writes there.
     """
     d = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not d:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         d = tempfile.mkdtemp(prefix="tidewater-ckpt-")
         spark.conf.set("spark.checkpoint.dir", d)
     if not spark.sparkContext.getCheckpointDir():
