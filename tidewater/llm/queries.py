@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, licenses, token_counts, token_files
+from tidewater.llm import decontaminate, licenses, ngram_join, token_counts, token_files
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -33,6 +33,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -43,6 +47,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op8_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op5_ngram_jaccard, op8_decontamination, op10_token_counts)}
 
 SQL: dict[str, str] = {}
