@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, licenses, ngram_join, token_counts, token_files
+from tidewater.llm import decontaminate, embedding_dedup, licenses, ngram_join, token_counts, token_files
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -23,6 +23,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     manifest = token_files.write_ids(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
     return token_files.read_ids(manifest)
@@ -47,6 +51,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_license_scan, op5_ngram_jaccard, op8_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op5_ngram_jaccard, op8_decontamination, op10_token_counts)}
 
 SQL: dict[str, str] = {}
