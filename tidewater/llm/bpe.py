@@ -7,6 +7,10 @@ text. White space at a cut stays with the piece that it begins, and a special
 token's string holds no white space, so it is never cut. Each distinct chunk is
 encoded once by the library (a bounded memo keeps chunks between batches), and
 texts of any length are handled as slices of bounded size.
+
+The pretokeniser also ends a run of letters before a punctuation mark, so a text
+may be cut between an ASCII letter and a mark, unless an added token holds the
+mark: a word is then the same chunk with and without a comma after it.
 """
 
 from __future__ import annotations
@@ -19,17 +23,20 @@ import pyarrow as pa
 from tidewater.llm.common import slices, utf8
 
 #: Bytes of text that are worked on at once, and distinct chunks that are kept.
-SLICE_BYTES, MEMO_CHUNKS = 4 << 20, 400_000
+SLICE_BYTES, MEMO_CHUNKS = 4 << 20, 700_000
 #: Encode at most so many bytes of chunks in one call of the library.
 CALL_BYTES = 1 << 20
+#: Marks that a word may be cut off from (no apostrophe: it may begin a suffix).
+MARKS = ".,;:!?*%$&#"
 
 
-def safe_cuts(data: np.ndarray) -> np.ndarray:
+def safe_cuts(data: np.ndarray, marks: str = "") -> np.ndarray:
     """Positions of UTF-8 ``data`` where it may be cut.
 
     Cut before a blank or line feed when the character before is plainly no
     white space: visible ASCII, or a two-byte character with a lead of 0xC3 or
-    more (Unicode's two-byte white spaces have the lead 0xC2).
+    more (Unicode's two-byte white spaces have the lead 0xC2). Cut before one of
+    ``marks`` when the character before is an ASCII letter.
     """
     if len(data) < 2:
         return np.zeros(0, np.int64)
@@ -37,7 +44,13 @@ def safe_cuts(data: np.ndarray) -> np.ndarray:
     before = data[:-1]
     solid = (before > 0x20) & (before < 0x7F)
     solid[1:] |= (before[1:] >= 0x80) & (data[:-2] >= 0xC3) & (data[:-2] <= 0xDF)
-    return np.flatnonzero(blank & solid) + 1
+    cut = blank & solid
+    if marks:
+        kind = np.zeros(256, np.uint8)
+        kind[np.frombuffer(marks.encode(), np.uint8)] = 1
+        kind[0x41:0x5B] = kind[0x61:0x7B] = 2
+        cut |= (kind[data[1:]] == 1) & (kind[before] == 2)
+    return np.flatnonzero(cut) + 1
 
 
 class ChunkEncoder:
@@ -45,6 +58,8 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        added = "".join(x.content for x in self.tokenizer.get_added_tokens_decoder().values())
+        self.marks = "".join(x for x in MARKS if x not in added)
         self.clear()
 
     def clear(self) -> None:
@@ -73,7 +88,7 @@ class ChunkEncoder:
     def _numbers(self, data: np.ndarray, offsets: np.ndarray, with_ids: bool) -> tuple[np.ndarray, np.ndarray]:
         """The memo's number of each chunk of a slice, and each row's first chunk."""
         is_cut = np.zeros(len(data) + 1, bool)
-        is_cut[safe_cuts(data)] = True
+        is_cut[safe_cuts(data, self.marks)] = True
         is_cut[offsets] = True
         cuts = np.flatnonzero(is_cut)
         chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data)))
@@ -81,12 +96,12 @@ class ChunkEncoder:
         distinct = coded.dictionary.to_pylist()
         if len(self.place) + len(distinct) > MEMO_CHUNKS:
             self.clear()
-        missing = [x for x in distinct if x not in self.place]
+        place = list(map(self.place.get, distinct))
+        missing = [x for x, k in zip(distinct, place) if k is None]
         if missing:
             self._add(missing, with_ids)
-        place = self.place
-        numbers = np.fromiter((place[x] for x in distinct), np.int64, len(distinct))
-        return numbers[coded.indices.to_numpy()] if distinct else np.zeros(0, np.int64), np.searchsorted(cuts, offsets)
+            place = list(map(self.place.__getitem__, distinct))
+        return np.array(place, np.int64)[coded.indices.to_numpy()], np.searchsorted(cuts, offsets)
 
     def _slices(self, column: pa.Array):
         """Slices of whole rows; a row beyond the slice size is cut into pieces, of
@@ -97,7 +112,7 @@ class ChunkEncoder:
             if b - a > 1 or len(part) <= SLICE_BYTES:
                 yield a, b, part, offsets[a : b + 1] - offsets[a], True
                 continue
-            cuts = safe_cuts(part)
+            cuts = safe_cuts(part, self.marks)
             while low < len(part):
                 k = int(np.searchsorted(cuts, low + SLICE_BYTES, "right"))
                 k -= k > 0 and cuts[k - 1] > low  # the last cut in reach, else the first beyond
