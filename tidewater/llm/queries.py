@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, embedding_dedup, licenses, ngram_join, token_counts, token_files
+from tidewater.llm import decontaminate, embedding_dedup, lattice, licenses, ngram_join, token_counts, token_files
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -47,10 +47,17 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"), "contaminated")
 
 
+def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encode every text, decode the pieces again and compare."""
+    model = tokenizer_path(PIECES)
+    coded = lattice.decode(lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    return coded.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op5_ngram_jaccard, op8_decontamination, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op5_ngram_jaccard, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
 
 SQL: dict[str, str] = {}
