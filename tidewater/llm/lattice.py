@@ -301,7 +301,7 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
     """``docs`` with a column ``into`` (array of int): a segmentation of the text
     drawn by the row's key. All other columns pass through unchanged."""
     prepare(docs.sparkSession)
-    text = docs.columns.index(text_column)
+    text, names = docs.columns.index(text_column), [*docs.columns, into]
     keyed = docs.withColumn("__key", F.coalesce(F.xxhash64(key_column), F.lit(0)))
 
     def run(batches):
@@ -310,7 +310,7 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
             keys = row_keys(batch.column(batch.num_columns - 1).to_numpy(), seed)
             tokens, counts = built.encode(batch.column(text).cast(pa.large_string()), keys)
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(tokens))], [*docs.columns, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(tokens))], names)
 
     return keyed.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, ArrayType(IntegerType()))]))
 
@@ -318,7 +318,7 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
 def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str = "decoded") -> DataFrame:
     """``rows`` with a column ``into``: the text that the pieces spell."""
     prepare(rows.sparkSession)
-    at = rows.columns.index(pieces_column)
+    at, names = rows.columns.index(pieces_column), [*rows.columns, into]
 
     def run(batches):
         surface = surfaces(model)
@@ -326,6 +326,6 @@ def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str
             lists = batch.column(at)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
             texts = [b"".join([surface[i] for i in flat[a:b].tolist()])[1:].decode(errors="replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], [*rows.columns, into])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())]))
