@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, embedding_dedup, lattice, licenses, ngram_join, token_counts, token_files, url_rules
+from tidewater.llm import decontaminate, embedding_dedup, lattice, licenses, ngram_join, pii, token_counts, token_files, url_rules
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -37,6 +37,15 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumns({c: F.array_join(c, ",") for c in ("base_labels", "labels")})
 
 
+#: Key of the registered query and the pipeline; a real run brings its own.
+PII_KEY = "tidewater-example-key"
+
+
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, PII_KEY, count_as="n_replaced")
+
+
 def op5_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_classes(table(spark, sf_dir, "documents")).select("doc_id", "class_id", "n_links", "kept")
 
@@ -62,6 +71,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op5_ngram_jaccard, op6_url_rules, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
 
 SQL: dict[str, str] = {}
