@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import decontaminate, embedding_dedup, lattice, licenses, ngram_join, pii, token_counts, token_files, url_rules
+from tidewater.llm import decontaminate, embedding_dedup, kn_quality, lattice, licenses, ngram_join, pii, token_counts, token_files, url_rules
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -54,6 +54,11 @@ def op6_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"))
 
 
+def op7_kn_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = kn_quality.judge(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return judged.select("doc_id", "lang", "__judged.*")
+
+
 def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -71,6 +76,6 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op7_kn_quality, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
 
 SQL: dict[str, str] = {}
