@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 
 from tidewater.llm.common import SubstringHash, discard, mix64, prepare, slices, stage, word_texts
 from tidewater.llm.components import connected_components
+from tidewater.llm.sorted_files import open_sorted, write_sorted
 
 SIZE, THRESHOLD = 5, 0.8
 TREES, MAX_DEPTH, TARGET = 32, 10, 0.9999
@@ -124,12 +125,16 @@ def signatures(rows: DataFrame, size: int, trees: int, depth: int) -> DataFrame:
     return rows.mapInArrow(sign, f"id {kind}, tie long, digest long, n_shingles long, nodes array<long>")
 
 
-def shingle_sets(rows: DataFrame, size: int) -> DataFrame:
-    """digest and the sorted set of shingle hashes of every row that has words."""
+def shingle_sets(rows: DataFrame, wanted: tuple, size: int) -> DataFrame:
+    """digest and the sorted set of shingle hashes of the rows (key, text) whose
+    key is in the sorted table ``wanted``."""
 
     def sets(batches):
+        known = open_sorted(*wanted)
         for batch in batches:
-            for _, hashes, starts in shingle_runs(batch.column(2), size):
+            there, _ = known.find(batch.column(0).to_numpy().view(np.uint64))
+            batch = batch.filter(pa.array(there))
+            for _, hashes, starts in shingle_runs(batch.column(1), size):
                 own = [np.unique(hashes[a:b]) for a, b in zip(starts.tolist(), [*starts[1:].tolist(), len(hashes)])]
                 ends = np.concatenate([[0], np.cumsum([len(x) for x in own])]).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
@@ -243,9 +248,9 @@ def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESH
     candidates = connected_components(placed.join(shared, "node").select(F.col("digest").alias("a"), F.col("head").alias("b")))
     members = stage(candidates.withColumnRenamed("node", "digest").join(classes.drop("nodes"), "digest"), "members")
 
-    wanted = members.select(F.col("rep.id").alias("rep_id"), F.col("rep.tie").alias("rep_tie"))
-    texts = rows.join(wanted, F.col("id").eqNullSafe(F.col("rep_id")) & (F.col("tie") == F.col("rep_tie")), "left_semi").dropDuplicates(["id", "tie"])
-    sets = stage(shingle_sets(texts, size), "sets")
+    # The sets of these classes' first rows; the texts stay where they are.
+    wanted = write_sorted(members.select(F.xxhash64("rep.id", "rep.tie").alias("key")))
+    sets = shingle_sets(rows.select(F.xxhash64("id", "tie").alias("key"), "text"), wanted, size).dropDuplicates(["digest"])
 
     def verify(tile: pa.Table) -> pa.Table:
         digests = tile["digest"].to_numpy()

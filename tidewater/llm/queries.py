@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewater.llm import decontaminate, embedding_dedup, kn_quality, lattice, licenses, ngram_join, pii, token_counts, token_files, url_rules
+from tidewater.llm.sql import SQL as SQL  # for __spark_entry__.py
 
 #: The tokenizer files are installed with the public package; only their path is used.
 BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -77,5 +78,3 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op7_kn_quality, op8_decontamination, op9_sampled_pieces, op10_token_counts)}
-
-SQL: dict[str, str] = {}

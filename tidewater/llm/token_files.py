@@ -28,34 +28,24 @@ import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyarrow import fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidewater.llm.common import prepare, stage, stage_dir
+from tidewater.llm.sorted_files import place, uri, whole
 
 END_ID = 2
 NULL_ID = np.iinfo(np.int64).min
 MANIFEST = pa.schema([("shard", pa.int32()), ("name", pa.string()), ("width", pa.int32()), ("n_docs", pa.int64()), ("n_ids", pa.int64())])
 
 
-def _place(uri: str):
-    """File system and path of a folder named as Spark names it."""
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
-
-
-def _uri(path: str) -> str:
-    """``file:/x`` (as Hadoop prints it) as ``file:///x``."""
-    return f"file://{path[5:]}" if path.startswith("file:/") and not path.startswith("file://") else path
-
-
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder: str | None = None, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """Encode every whole text, write the files, and return the manifest: one row
     per shard in file order (shard, name, width, n_docs, n_ids, base, folder)."""
     spark = docs.sparkSession
     prepare(spark)
-    folder = _uri(folder or stage_dir(spark, "token-ids"))
+    folder = uri(folder or stage_dir(spark, "token-ids"))
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).cast("string").alias("text"))
     hashed = rows.withColumn("tie", F.xxhash64("text"))
     ordered = hashed.repartitionByRange("id", "tie").sortWithinPartitions("id", "tie").select("id", "text")
@@ -70,7 +60,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder: str
             if not batch.num_rows:
                 continue
             if out is None:
-                store, path = _place(folder)
+                store, path = place(folder)
                 store.create_dir(path, recursive=True)
                 out = store.open_output_stream(f"{path}/{name}.bin")
             counts = np.zeros(batch.num_rows, np.int64)
@@ -95,16 +85,6 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int = END_ID, folder: str
     return shards.select("*", F.coalesce(F.sum("n_ids").over(before), F.lit(0)).alias("base"), F.lit(folder).alias("folder"))
 
 
-def _whole(store, path: str, kind: str) -> np.ndarray:
-    """A flat file, memory-mapped where the store is a mounted folder."""
-    if not store.get_file_info(path).size:
-        return np.zeros(0, kind)
-    if isinstance(store, fs.LocalFileSystem):
-        return np.memmap(path, kind, "r")
-    with store.open_input_file(path) as file:
-        return np.frombuffer(file.read_buffer(), kind)
-
-
 def read_ids(manifest: DataFrame, id_column: str = "doc_id") -> DataFrame:
     """Read the files back: per document its id, start (ids of all documents
     before it), n_tokens and ids_crc32 (of the ids as unsigned 32-bit integers)."""
@@ -114,9 +94,9 @@ def read_ids(manifest: DataFrame, id_column: str = "doc_id") -> DataFrame:
     def read(batches):
         for batch in batches:
             for row in batch.to_pylist():
-                store, path = _place(row["folder"])
+                store, path = place(row["folder"])
                 n, stem = row["n_docs"], f"{path}/{row['name']}"
-                index, flat = _whole(store, f"{stem}.idx", "<i8"), _whole(store, f"{stem}.bin", f"<u{row['width']}")
+                index, flat = whole(store, f"{stem}.idx", "<i8"), whole(store, f"{stem}.bin", f"<u{row['width']}")
                 ids, offsets = np.array(index[:n]), np.array(index[n:])
                 if offsets[-1] != len(flat):
                     raise ValueError(f"{stem}: {len(flat)} ids, its index says {offsets[-1]}")
