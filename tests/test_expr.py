@@ -1,9 +1,15 @@
+import os
+import subprocess
+import sys
 from datetime import date, datetime
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewater.functions import expr as E
 
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
 
 def one(spark, col, data=None, schema=None):
     df = spark.createDataFrame(data or [(1,)], schema or "x int")
@@ -70,3 +76,17 @@ def test_status_dated(spark):
     data = [("Pending Receipt", datetime(2024, 1, 2)), ("Closed", datetime(2024, 1, 2))]
     out = one(spark, E.fmt_day(E.status_dated(F.col("s"), F.col("d"))), data, "s string, d timestamp")
     assert out == ["01-02-2024", "01-01-1900"]
+
+
+@pytest.mark.parametrize("zone", ["America/Denver", "Asia/Kolkata", "UTC"])
+def test_recent_bound_does_not_depend_on_the_drivers_zone(zone):
+    # F7/E28 in a Python process of another zone (the session's zone is UTC).
+    code = (
+        "from datetime import datetime\n"
+        "from tidewater.session import local_session\n"
+        "from tidewater.functions import expr as E\n"
+        "spark = local_session(1)\n"
+        "row = spark.range(1).select(E.recent_since(datetime(2024, 3, 15, 12)).cast('string')).first()\n"
+        "print('BOUND', row[0])\n")
+    done = subprocess.run([sys.executable, "-c", code], env=os.environ | {"TZ": zone, "PYTHONPATH": ROOT}, capture_output=True, text=True, timeout=120)
+    assert "BOUND 2024-02-14 12:00:00" in done.stdout, done.stderr[-500:]

@@ -151,6 +151,34 @@ def test_j09_keeps_pending_and_empty_headers_drops_no_location(tables):
     assert empty[0].inactive == "No" and empty[0].tracking.po_shipping_status == "CREATED"
 
 
+def test_j07_groups_on_the_formatted_day_and_the_decoded_flag(tables):
+    # NULL and 'X' both read ''; 08:00 and 17:00 are one day. Two
+    # transactions of one PO number, with lines of 5 and 7 units, are one row.
+    base = dict(PO, sales_rep_id=3, ship_date=datetime(2024, 3, 1))
+    common = dict(
+        transaction_lines=[dict(transaction_id=1, transaction_line_id=1, item_count=5.0),
+                           dict(transaction_id=2, transaction_line_id=1, item_count=7.0)],
+        employees=[dict(employee_id=3, full_name="B")], entity=[dict(entity_id=7, name="V")])
+    for first, second in [
+        (dict(is_finalized=None), dict(is_finalized="X")),
+        (dict(fixed_payment_date=datetime(2024, 4, 1, 8)), dict(fixed_payment_date=datetime(2024, 4, 1, 17))),
+    ]:
+        t = tables(transactions=[dict(base, **first), dict(base, transaction_id=2, **second)], **common)
+        rows = compliance.purchase_orders_all(t, AS_OF).collect()
+        assert [(r.line_count, r.total_quantity) for r in rows] == [(2, 12.0)]
+
+
+def test_j05_row_under_two_currencies_meets_a_vendor_once(tables):
+    # Two transactions give the same 27 PO columns under currencies 1 and 2, and
+    # two vendors the same 9 columns under 1 and 2: one pair of rows.
+    po = dict(PO, n_850_last_execution_timestamp=datetime(2024, 3, 1))
+    t = tables(transactions=[dict(po, currency_id=1), dict(po, transaction_id=2, currency_id=2), dict(po, transaction_id=3)],
+               vendors=[dict(vendor_id=1, currency_id=1, edi="T"), dict(vendor_id=2, currency_id=2, edi="T"),
+                        dict(vendor_id=3, currency_id=2, edi="T", edi_capable="T"), dict(vendor_id=4, edi="T")])
+    rows = asn.edi_po_vendor_fields(t, AS_OF).collect()
+    assert sorted(r.edi_capable for r in rows) == ["No", "Yes"]
+
+
 def test_j05_currency_fanout_deduped(tables):
     # 2 EDI vendors + 1 non-EDI vendor on one currency, a PO with 3 lines -> 6 rows before dedupe.
     t = tables(

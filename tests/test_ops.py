@@ -12,14 +12,6 @@ def test_nest_keeps_one_null_element_for_unmatched_left_join(spark):
     assert len(out[2]) == 1 and out[2][0].v is None
 
 
-def test_presence_flag_never_fans_out(spark):
-    # A SKU twice in the snapshot gives one row, flag true; absent -> false.
-    items = spark.createDataFrame([("s1",), ("s2",)], "sku string")
-    snap = spark.createDataFrame([("s1",), ("s1",)], "sku string")
-    out = ops.presence_flag(items, snap, F.col("sku"), "sku", "flag").orderBy("sku").collect()
-    assert [(r.sku, r.flag) for r in out] == [("s1", True), ("s2", False)]
-
-
 def test_distinct_count_by_keeps_null_group(spark):
     df = spark.createDataFrame([("d1", "p1"), ("d1", "p1"), ("d1", "p2"), (None, "p3")], "d string, p string")
     out = {r.d: r.n for r in ops.distinct_count_by(df, "d", {"n": "p"}).collect()}

@@ -43,12 +43,41 @@ def test_j07_preaggregates_lines_and_ends_in_one_exchange(t, no_auto_broadcast):
     assert len(exchanges(top)) == 1 and "hashpartitioning(tranid" in "\n".join(top)
 
 
-def test_j08_union_window_without_exchange_between(t, no_auto_broadcast):
-    lines = tree(compliance.po_lines_nested(t, AS_OF))
-    i = next(i for i, x in enumerate(lines) if "Window [" in x)
-    j = next(i for i, x in enumerate(lines) if x.strip().startswith(("+- Union", "Union")) and i > 0)
-    between = lines[i:j]
-    assert not exchanges(between)
+def test_j08_folds_receipts_before_they_meet_the_lines(t, no_auto_broadcast):
+    text = "\n".join(tree(compliance.po_lines_nested(t, AS_OF)))
+    assert not re.search(r"^\W*(\(\d+\) )?Window \[", text, re.M)
+    # map-side sums of the raw receipts, by their four keys
+    assert re.search(r"HashAggregate\(keys=\[po_number#\d+, received_sku#\d+, po_purchase_order_item_id#\d+L?, RECORD_SOURCE.*partial_sum", text)
+
+
+def test_j05_pairs_are_distinct_without_a_shuffle_above_the_join(t, no_auto_broadcast):
+    lines = tree(asn.edi_po_vendor_fields(t, AS_OF))
+    top = lines[: next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)]
+    assert not exchanges(top) and not any("Aggregate" in x for x in top)
+
+
+@pytest.fixture
+def planned_once(spark):
+    """Without adaptive execution the plan shows which shuffles are reused."""
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    yield
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+@pytest.mark.parametrize("build, names", [
+    (asn.asn_details, ("orders", "lineitem")), (asn.asn_summary, ("orders", "lineitem"))])
+def test_j01_j02_read_the_large_tables_once(t, no_auto_broadcast, planned_once, build, names):
+    # transactions are made from orders, lines from lineitem; no other source of these two reads them
+    text = "\n".join(tree(build(t, AS_OF)))
+    for name in names:
+        assert len(re.findall(rf"FileScan parquet .*{name}\.parquet", text)) == 1
+
+
+def test_j03_reads_each_carrier_table_once(t, no_auto_broadcast):
+    # transactions, carrier headers: one scan of orders each; shipments: one of lineitem
+    text = "\n".join(tree(asn.carrier_shipment_info(t, AS_OF)))
+    assert len(re.findall(r"FileScan parquet .*orders\.parquet", text)) == 2
+    assert len(re.findall(r"FileScan parquet .*lineitem\.parquet", text)) == 1
 
 
 def test_j05_filters_lines_by_recent_pos_before_the_left_join(t):

@@ -125,8 +125,9 @@ def yes_no_window(as_of: datetime, window_end: Column) -> Column:
 
 
 def recent_since(as_of: datetime) -> Column:
-    """Lower bound of the 30-day look-back, kept as a TIMESTAMP."""
-    return F.lit(naive_utc(as_of) - timedelta(days=RECENT_DAYS)).cast("timestamp")
+    """Lower bound of the 30-day look-back, a TIMESTAMP literal. The value
+    carries its zone, so the driver's own time zone plays no part."""
+    return F.lit(_utc(as_of) - timedelta(days=RECENT_DAYS))
 
 
 def days_past_due(as_of: datetime, due: Column) -> Column:

@@ -31,7 +31,6 @@ def lookup(
     live_only: bool = False,
     where: Column | None = None,
     small: bool = False,
-    reduce_dim: bool = False,
 ) -> DataFrame:
     """Join ``dim`` to ``df`` on equal keys and bring ``fields`` along.
 
@@ -40,11 +39,7 @@ def lookup(
     (X5) without ambiguous columns. ``live_only`` keeps only rows with
     ``_fivetran_deleted = False`` (F9; use it with ``how="inner"``), ``where``
     filters the dimension first. ``small`` puts a broadcast hint on the
-    reduced dimension; callers pass it only for tables of checked size.
-    ``reduce_dim`` first keeps only the dimension rows whose key occurs in
-    ``df`` (a semi join on ``df``'s distinct keys, which AQE broadcasts when
-    they are few): for a selective ``df`` against a large master, only the
-    needed master rows are shuffled, not the whole table. Single-key only.
+    dimension; callers pass it only for code lists, bounded by their definition.
     """
     left_keys = [left_key] if isinstance(left_key, Column) else list(left_key)
     right_keys = [right_key] if isinstance(right_key, (str, Column)) else list(right_key)
@@ -55,10 +50,6 @@ def lookup(
     cols = [(F.col(k) if isinstance(k, str) else k).alias(n) for k, n in zip(right_keys, key_names)]
     cols += [(F.col(v) if isinstance(v, str) else v).alias(k) for k, v in (fields or {}).items()]
     d = d.select(*cols)
-    if reduce_dim and len(key_names) == 1:
-        kk = _tmp("k")
-        keys = df.select(left_keys[0].alias(kk)).where(F.col(kk).isNotNull()).distinct()
-        d = d.join(keys, d[key_names[0]] == keys[kk], "left_semi")
     if small:
         d = F.broadcast(d)
     cond = None
@@ -85,16 +76,6 @@ def keys_present(df: DataFrame, keys: DataFrame, left_key: Column, key: str) ->
     return df.join(d, left_key == d[k], "left_semi")
 
 
-def presence_flag(df: DataFrame, keys: DataFrame, left_key: Column, key: str, out: str) -> DataFrame:
-    """BOOLEAN column ``out``, true when ``left_key`` is among ``keys[key]``.
-
-    The key set is made distinct before the left join, so it never fans out.
-    """
-    k = _tmp("k")
-    d = keys.select(F.col(key).alias(k)).distinct()
-    return df.join(d, left_key == d[k], "left").withColumn(out, d[k].isNotNull()).drop(k)
-
-
 def preaggregate(df: DataFrame, keys: Sequence[str], measures: Mapping[str, Column]) -> DataFrame:
     """Group by ``keys`` and compute ``measures`` (partial aggregation map-side)."""
     return df.groupBy(*keys).agg(*[m.alias(n) for n, m in measures.items()])
@@ -116,35 +97,25 @@ def nest(
     nest and a later join on that column share one shuffle; a partial
     ``collect_list`` would not shrink the data anyway.
     """
-    arr = F.array_sort(F.collect_list(F.struct(*fields))).alias(out)
+    arr = F.sort_array(F.collect_list(F.struct(*fields))).alias(out)
     if partition_by is not None:
         df = df.repartition(partition_by)
     return df.groupBy(*keys).agg(arr, *extra)
 
 
-def distinct_count_by(df: DataFrame, part: str, counts: Mapping[str, str]) -> DataFrame:
+def distinct_count_by(df: DataFrame, part: str, counts: Mapping[str, str], *more: Column) -> DataFrame:
     """``count(distinct x) over (partition by part)`` as a grouped table.
 
     Returns one row per ``part`` value (NULL is a group) with one count per
-    entry of ``counts`` (output name -> column). Join it back with
-    ``eqNullSafe``. Spark plans each distinct count as a two-level aggregate
+    entry of ``counts`` (output name -> column) and ``more`` aggregates. Join it
+    back with ``eqNullSafe``. Spark plans each distinct count as a two-level aggregate
     (first by (part, x), then by part), so a hot ``part`` value is spread
     over tasks before its final, tiny merge.
     """
-    return df.groupBy(part).agg(*[F.count_distinct(F.col(x)).alias(n) for n, x in counts.items()])
+    return df.groupBy(part).agg(*[F.count_distinct(F.col(x)).alias(n) for n, x in counts.items()], *more)
 
 
 def repeat_rows(df: DataFrame, times: Column) -> DataFrame:
     """Each row ``times`` times (at least once), as a left join would give."""
     t = _tmp("r")
     return df.withColumn(t, F.explode(F.array_repeat(F.lit(True), F.greatest(times.cast("int"), F.lit(1))))).drop(t)
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int) -> tuple[DataFrame, bool]:
-    """Broadcast hint for ``df`` only if a run-time count shows it is small.
-
-    The check is ``limit(max_rows + 1).count()``, which stops reading once the
-    bound is passed. Returns the (maybe hinted) DataFrame and the decision.
-    """
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    return (F.broadcast(df) if ok else df), ok

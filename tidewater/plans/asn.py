@@ -81,15 +81,13 @@ def asn_details(t, as_of: datetime) -> DataFrame:
     df = ops.lookup(df, t["brand"], E.as_key(df, "brand_id"), E.as_key(t["brand"], "brand_id"),
                     {"brand": "brand_name"}, small=t.is_small("brand"))
     emp = t["employees"]
-    # The in-window lines are few; the masters below are reduced to the keys
-    # they use before the left joins (see ops.lookup(reduce_dim=...)).
     df = ops.lookup(df, emp, E.as_key(df, "sales_rep_id"), E.as_key(emp, "employee_id"),
-                    {"buyer": "full_name"}, reduce_dim=True)
+                    {"buyer": "full_name"})
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        {"units": "name"}, small=t.is_small("uom"))
     df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"),
-                    {"sku": "item_extid", "upc": "upc_code", "units": "units"}, reduce_dim=True)
+                    {"sku": "item_extid", "upc": "upc_code", "units": "units"})
     return df.select(
         c("vendor"), c("brand"), c("trandate").alias("po_date"), c("ship_date"), c("cancel_date"),
         c("tranid").alias("po_number"), c("merchandise_division"), c("po_type"), c("season_code"),
@@ -129,24 +127,23 @@ def asn_summary(t, as_of: datetime) -> DataFrame:
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        small=t.is_small("uom"))
-    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"), reduce_dim=True)
+    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"))
     merch = t["merchandise_division"]
     df = ops.lookup(df, merch, E.as_key(df, "merchandise_division_id"),
                     E.as_key(merch, "merchandise_division_id"),
                     {"merchandise_division": "merchandise_division_name", "assigned_to_id": "assigned_to_id"},
                     small=t.is_small("merchandise_division"))
-    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"},
-                    reduce_dim=True)
+    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"})
     fine = (df.groupBy("merchandise_division", "assigned_to_id", "assigned_to",
                        c("tranid").alias("po_number"), "vendor")
             .agg(F.count(F.lit(1)).alias("n")))
     per_assignee = fine.groupBy("merchandise_division", "assigned_to_id", "assigned_to").agg(
         F.sum("n").alias("count_problems_lines"))
+    # ``n`` is summed here too, so that both roll-ups read the same aggregate
+    # and its shuffle is planned once (exchange reuse).
     per_division = ops.distinct_count_by(
-        fine, "merchandise_division", {"count_vendors": "vendor", "count_orders": "po_number"}
-    ).withColumnRenamed("merchandise_division", "__div")
-    if t.is_small("merchandise_division"):
-        per_division = F.broadcast(per_division)
+        fine, "merchandise_division", {"count_vendors": "vendor", "count_orders": "po_number"}, F.sum("n").alias("__n")
+    ).withColumnRenamed("merchandise_division", "__div").where("__n > 0")
     out = per_assignee.join(per_division, per_assignee["merchandise_division"].eqNullSafe(per_division["__div"]))
     return out.select(
         "merchandise_division",
@@ -186,8 +183,7 @@ def carrier_shipment_info(t, as_of: datetime) -> DataFrame:
                        "invoice_number", "invoiced"]},
     }, how="inner")
     ent = t["entity"]
-    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"},
-                    reduce_dim=True)
+    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"})
     return df.select(
         c("tranid").alias("name"), c("vendor"),
         F.concat(F.lit("Purchase Order #"), F.lit(" "), c("tranid")).alias("po_number"),
@@ -250,7 +246,7 @@ def contact_details(t, as_of: datetime | None = None) -> DataFrame:
         c("ab_address").alias("address1"), c("isinactive"),
     ]
     out = df.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
+        F.sort_array(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
     return out.select(*CONTACT_FIELDS)
 
 
@@ -261,12 +257,11 @@ EDI_ROLES = [("edi_810", "edi_810_id"), ("edi_846", "edi_846_id"), ("edi_850", "
 def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
     """Distinct EDI fields of recent POs x EDI vendors of the same currency (36 columns).
 
-    The vendor join is on currency alone (G1), a many-to-many fan-out. Since
-    the result is deduplicated, each side is reduced to the distinct values
-    it contributes before the join (PO side: 27 columns + currency; vendor
-    side: 9 columns + currency). The vendor side is broadcast only after a
-    run-time count proves it small; otherwise the join is left to AQE, whose
-    skew handling splits the few, huge currency partitions.
+    The vendor join is on currency alone (G1), a many-to-many fan-out under a
+    dedupe. Each side is reduced to its distinct rows with the set of their
+    currencies; a pair of rows is joined on the least currency that both sets
+    hold, so pairs are distinct by construction and nothing is shuffled or
+    deduplicated above the join. AQE splits a currency that holds most rows.
     """
     po = (t["transactions"].where(c("transaction_type") == PURCHASE_ORDER)
           .where(c("n_850_last_execution_timestamp") >= E.recent_since(as_of)))
@@ -314,7 +309,7 @@ def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
         c("n_2nd_acknowledgment_scheduled").alias("n_2nd_acknowledgment_scheduled_date"),
         c("n_2nd_acknowledgment_schedul_0").alias("n_2nd_acknowledgment_scheduled_quantity"),
         c("asn_record"), c("asn_quantity_shipped"), c("asn_shipment_date"), c("asn_estimated_delivery_date"),
-    ).distinct()
+    )
     vend = t["vendors"].where(c("edi") == "T")
     edi = t["edi_document_type_status"]
     for out, fk in EDI_ROLES:
@@ -325,10 +320,17 @@ def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
         *[c(o) for o, _ in EDI_ROLES[:4]],
         E.fmt_day(c("edi_855_activation_date")).alias("edi_855_activation_date"),
         c("edi_856"), c("edi_860"), E.t_yes_no(c("edi_capable")).alias("edi_capable"),
-    ).distinct()
-    vend_side, _ = ops.bounded_broadcast(vend_side, t.max_broadcast_rows)
-    out = po_side.join(vend_side, po_side["__cur"] == vend_side["__vcur"], "inner")
-    return out.drop("__cur", "__vcur").distinct()
+    )
+    left, right = _with_currencies(po_side, "__cur", "__pset"), _with_currencies(vend_side, "__vcur", "__vset")
+    pair = (c("__cur") == c("__vcur")) & (c("__cur") == F.array_min(F.array_intersect("__pset", "__vset")))
+    return left.join(right, pair, "inner").drop("__cur", "__vcur", "__pset", "__vset")
+
+
+def _with_currencies(side: DataFrame, currency: str, out: str) -> DataFrame:
+    """Distinct rows of one side with the set of their currencies, one row per currency."""
+    values = [x for x in side.columns if x != currency]
+    rows = side.where(c(currency).isNotNull()).groupBy(*values).agg(F.collect_set(currency).alias(out))
+    return rows.withColumn(currency, F.explode(out))
 
 
 # ----------------------------------------------------------------------- J06

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import expr as E
@@ -28,10 +28,10 @@ def _live_pos(t) -> DataFrame:
 
 # ----------------------------------------------------------------------- J07
 
-PO_KEYS = [  # raw PO columns among the GROUP BY keys of the reference
+PO_KEYS = [  # PO columns among the GROUP BY keys; the two po_ names are output labels (A13)
     "tranid", "po_batch_name", "transaction_extid", "external_id", "memo", "status", "cancel_date",
     "trandate", "ship_date", "original_cancel_date", "days_to_edit", "due_date", "down_payment",
-    "fixed_payment_date", "is_finalized", "entity_id", "n_860_last_execution_timestamp",
+    "po_fixed_payment_date", "po_is_finalized", "entity_id", "n_860_last_execution_timestamp",
     "n_850_last_execution_timestamp", "discount_amount", "reserved_amount", "shipping_amount",
     "amount_change", "amount_unbilled", "total__amount", "total_amount_billed", "total_principal",
     "total_qv_", "total_approved", "refunded_amount", "first_transmission", "transmitted_po",
@@ -115,6 +115,9 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
     df = ops.lookup(df, t["departments"], c("department_id"), "department_id", {"cost_center": "full_name"},
                     small=t.is_small("departments"))
 
+    # The group keys are the formatted payment day and the decoded flag.
+    df = df.withColumns({"po_fixed_payment_date": E.fmt_day(c("fixed_payment_date")),
+                         "po_is_finalized": E.true_false_blank(c("is_finalized"))})
     # One shuffle on the PO number serves both the wide GROUP BY and the
     # DISTINCT (the number is among the keys of each); the rows here are
     # already at (PO, department) grain, so no map-side combine is lost.
@@ -130,8 +133,7 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
         E.fmt_day(E.status_dated(c("status"), c("original_cancel_date")).cast("date")).alias("po_original_cancel_date"),
         c("due_date").alias("po_due_date"), F.lit("-1").alias("po_email_sent"),
         E.true_false_blank(c("first_transmission")).alias("po_first_transmission"),
-        E.fmt_day(c("fixed_payment_date")).alias("po_fixed_payment_date"),
-        E.true_false_blank(c("is_finalized")).alias("po_is_finalized"), F.lit("NS").alias("record_source_system"),
+        c("po_fixed_payment_date"), c("po_is_finalized"), F.lit("NS").alias("record_source_system"),
         E.fmt_day(c("__edit_ts")).alias("po_edit_date"), c("po_edit_fiscal_week_number"), c("days_to_edit"),
         c("po_allocation_channel"), c("entity_id").alias("vendor_id"), E.fmt_day(c("trandate")).alias("po_date"),
         c("merchandise_division"), c("season_code"), c("season_year"),
@@ -220,40 +222,22 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
                     small=t.is_small("product_group"))
     # Receipts (A8, X13). The reference sums receipts by 4 keys and left-joins
     # them on 3, so a line meets one row per record source (or one NULL row).
-    # Summed over those rows, (qty - recv) gives n * qty - sum(recv). Lines and
-    # receipts are therefore hash-partitioned on the 3 line keys (PO, SKU,
-    # line), united, and a window over those keys counts and sums the receipt
-    # rows next to each line: no pairwise join, and the same partitioning
-    # serves the 53-key line-group step. A PO with very many lines is spread
-    # over tasks by SKU and line here; only the final nest holds it whole.
-    # Receipt rows with a NULL key never match a line and are dropped first.
-    rec = (t["sb_receipts"]
-           .where(c("po_number").isNotNull() & c("received_sku").isNotNull()
-                  & c("po_purchase_order_item_id").isNotNull())
-           .repartition("po_number", "received_sku", "po_purchase_order_item_id"))
-    rec = ops.preaggregate(rec, ["po_number", "received_sku", "RECORD_SOURCE", "po_purchase_order_item_id"],
-                           {"__recv": F.sum("received_quantity")})
-    rec = rec.select("po_number", c("received_sku").alias("item_extid"),
-                     c("po_purchase_order_item_id").alias("transaction_line_id"), "__recv",
-                     F.lit(True).alias("__is_receipt"))
-    # No fixed partition count: both sides use spark.sql.shuffle.partitions, and
-    # AQE coalesces the two shuffles of this stage alike.
-    lines_p = (df.repartition("po_number", "item_extid", "transaction_line_id")
-               .withColumn("__is_receipt", F.lit(False)))
-    both = lines_p.unionByName(rec, allowMissingColumns=True)
-    w = Window.partitionBy("po_number", "item_extid", "transaction_line_id")
-    is_r = c("__is_receipt")
-    df = both.select(
-        "*",
-        F.sum(F.when(is_r, 1).otherwise(0)).over(w).alias("__n_r"),
-        F.sum(F.when(is_r, F.coalesce(c("__recv"), F.lit(0.0)))).over(w).alias("__s_r0"),
-        F.sum(F.when(is_r, c("__recv"))).over(w).alias("__s_rn"),
-    ).where(~is_r)
+    # Over those rows, (qty - recv) sums to n * qty - sum(recv). So the receipts
+    # are summed by 4 keys (with map-side combine) and folded to one row per 3
+    # keys before they meet the lines: a left join that never fans out.
+    # Receipt rows with a NULL key match no line and are dropped first.
+    key = ["po_number", "received_sku", "po_purchase_order_item_id"]
+    rec = t["sb_receipts"].where(c(key[0]).isNotNull() & c(key[1]).isNotNull() & c(key[2]).isNotNull())
+    rec = ops.preaggregate(rec, [*key, "RECORD_SOURCE"], {"__recv": F.sum("received_quantity")})
+    rec = ops.preaggregate(rec, key, {
+        "__n_r": F.count(F.lit(1)), "__s_r0": F.sum(F.coalesce(c("__recv"), F.lit(0.0))), "__s_rn": F.sum("__recv")})
+    df = ops.lookup(df, rec, [c("po_number"), c("item_extid"), c("transaction_line_id")], key,
+                    {x: x for x in ("__n_r", "__s_r0", "__s_rn")})
 
     qty = F.coalesce(c("item_count"), F.lit(0.0))
     price = F.coalesce(F.replace(c("item_unit_price"), F.lit("%"), F.lit("")), F.lit("0")).cast("double")
     open_rows = F.when(c("__n_r") > 0, c("__n_r") * qty - c("__s_r0")).otherwise(qty)
-    # The line-group step reuses the (PO, SKU, line) partitioning (a subset of its keys).
+    # The line-group step reuses the (PO, SKU, line) partitioning of the join (a subset of its keys).
     g = df.groupBy("po_number", *DIM_LINE_KEYS, *RAW_LINE_KEYS).agg(
         F.sum(open_rows).alias("on_order_quantity"),
         F.sum(open_rows * price).alias("on_order_cost"),
@@ -490,7 +474,7 @@ def contact_details_stage(t, as_of: datetime | None = None) -> DataFrame:
         c("last_sales_activity"), c("supervisor"), c("supervisorphone"), c("assistand"), c("assistantphone"),
         c("ab_ship"), c("ab_bill"), c("ab_address"), c("isinactive"),
     ]
-    g = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
+    g = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
     return g.select(
         c("contact_id"), c("full_name"), c("name").alias("contact"), c("salutation").alias("salutation_MR_MS"),
         F.concat(c("firstname"), F.lit(" "), c("lastname")).alias("name"), c("company_id"),

@@ -157,6 +157,7 @@ KINDS = {'carrier_nested_flat': [('carrier_shipping_data', 's'), ('po_number', '
  'po_lines_nested_flat': [('po_number', 's'), ('n_lines', 'i'), ('total_on_order_quantity', 'd'),
                           ('total_on_order_cost', 'd'), ('expected_arrival_date', 'D'),
                           ('total_amount_lines', 'd')],
+ 'publish_round_trip': [('po_number', 's'), ('expected_arrival_date', 'D'), ('n_lines', 'i')],
  'recent_rows': [('carrier_shipping_data_id', 'i'), ('carrier_shipping_data_name', 's'),
                  ('date_created', 't'), ('is_inactive', 's')],
  'role_lookups': [('vendor_id', 'i'), ('edi_810', 's'), ('edi_846', 's'), ('edi_850', 's'), ('edi_855', 's'),

@@ -242,7 +242,7 @@ def q_zone_yesterday(spark, sf_dir):
 
 def q_publish_round_trip(spark, sf_dir):
     """K1-K3: the PO document written partitioned by arrival date and clustered
-    by PO number under the shared folder, then read back (rows only)."""
+    by PO number under the shared folder, then read back."""
     from tidewater.sources.publish import publish, scratch_path
     df = compliance.po_document(sources(spark, sf_dir), AS_OF)
     path = publish(df, scratch_path(spark, "po_document"), partition_by="expected_arrival_date",

@@ -5,7 +5,8 @@
     spark-submit --py-files tidewater.zip tidewater/run.py ...   (same, on a cluster)
 
 ``--tables`` holds one Parquet folder per ERP table name (``transactions``,
-``transaction_lines``, ...). The run time is pinned by ``--as-of`` (default:
+``transaction_lines``, ...); ``--catalog db`` (or ``catalog.db``) reads catalog
+tables of those names instead. The run time is pinned by ``--as-of`` (default:
 now, read once), so a rerun of the same day gives the same tables.
 """
 
@@ -19,13 +20,14 @@ from pyspark.sql import SparkSession
 
 from tidewater.plans.pipelines import run_pipeline_a, run_pipeline_b
 from tidewater.session import configure
-from tidewater.sources.catalog import Sources
-from tidewater.sources.standins import STANDINS
+from tidewater.sources.catalog import ERP_TABLES, Sources
 
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description=__doc__)
-    ap.add_argument("--tables", required=True, help="folder with one Parquet folder per ERP table")
+    where = ap.add_mutually_exclusive_group(required=True)
+    where.add_argument("--tables", help="folder with one Parquet folder per ERP table")
+    where.add_argument("--catalog", help="database (or catalog.database) with one table per ERP table")
     ap.add_argument("--out", required=True, help="output base (stage/ and final/ are made below it)")
     ap.add_argument("--pipeline", choices=["A", "B", "both"], default="both")
     ap.add_argument("--as-of", default=None, help="ISO time in UTC; default: now")
@@ -33,8 +35,10 @@ def main(argv=None) -> None:
     as_of = (datetime.fromisoformat(args.as_of.replace("Z", "+00:00")) if args.as_of
              else datetime.now(timezone.utc))
     spark = configure(SparkSession.builder.appName("tidewater").getOrCreate())
-    paths = {n: os.path.join(args.tables, n) for n in STANDINS}
-    t = Sources.from_parquet(spark, paths)
+    if args.catalog:
+        t = Sources.from_catalog(spark, args.catalog)
+    else:
+        t = Sources.from_parquet(spark, {n: os.path.join(args.tables, n) for n in ERP_TABLES})
     if args.pipeline in ("A", "both"):
         for name, path in run_pipeline_a(spark, t, as_of, args.out).items():
             print(name, path)

@@ -6,13 +6,10 @@ on. A ``Sources`` is made either from real tables (``from_tables`` /
 for the driver's test data, from the stand-ins of ``standins.py``
 (``from_testdata``).
 
-Broadcast policy. Only code lists and small dimensions (``ENUMERATIONS``) are
-ever hinted for broadcast, and only after a run-time check that the table is
-no larger than ``max_broadcast_rows`` (a ``limit(n + 1).count()`` job that
-stops early). A table that fails the check is joined without a hint, which
-leaves the choice to Catalyst's size estimate and AQE (sort-merge join with
-skew splitting beyond the threshold). Masters and facts that grow with the
-data (vendors, entity, items, employees, lines) are never hinted.
+Broadcast policy. Only code lists (``CODE_LISTS``: enumerations that people
+maintain, bounded by their definition) carry a broadcast hint. Every other join
+is left to Catalyst's size estimate and AQE; no plan depends on a counted size
+and no Spark job runs while a plan is built.
 """
 
 from __future__ import annotations
@@ -24,26 +21,41 @@ from datetime import datetime, timedelta
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewater.functions.expr import snapshot_start_value
-from tidewater.sources.standins import BASES, ENUMERATIONS, STANDINS
+from tidewater.sources.standins import BASES, STANDINS
 
 BASE_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
     "documents", "embeddings", "pages", "benchmark", "labels", "conversations",
 )
 
-DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+#: The ERP tables that the builders read.
+ERP_TABLES = (
+    "transactions", "transaction_lines", "sb_receipts", "sb_inventory", "carrier_shipping_data",
+    "carrier_shipments", "entity", "employees", "vendors", "companies", "vendor_subsidiary_map",
+    "address_book", "contacts", "contact_types", "message", "items_cv", "uom", "brand", "product_group",
+    "merchandise_division", "locations", "departments", "subsidiaries", "currencies", "payment_terms",
+    "vendor_types", "dim_dates", "season", "year1", "po_types", "edi_document_type_status",
+    "acknowledgment_item_statuses", "acknowledgment_types", "integrationstatuses",
+    "ready_for_860_transmit", "purchase_order_change_status", "allocation_channel", "po_category",
+    "finance_status", "operations_status", "edi_856_asn", "edi_856_asn_line",
+)
+
+#: Enumerations: one row per value of a list field that people maintain.
+CODE_LISTS = frozenset({
+    "season", "year1", "po_types", "edi_document_type_status", "acknowledgment_item_statuses",
+    "acknowledgment_types", "integrationstatuses", "ready_for_860_transmit",
+    "purchase_order_change_status", "allocation_channel", "po_category", "finance_status",
+    "operations_status", "uom", "currencies", "payment_terms", "vendor_types",
+})
 
 
 class Sources(Mapping):
     """Lazy mapping of ERP source names to DataFrames."""
 
-    def __init__(self, spark: SparkSession, factories: Mapping[str, object],
-                 max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS):
+    def __init__(self, spark: SparkSession, factories: Mapping[str, object]):
         self.spark = spark
         self._factories = dict(factories)
         self._frames: dict[str, DataFrame] = {}
-        self._bounded: dict[str, bool] = {}
-        self.max_broadcast_rows = max_broadcast_rows
 
     # Mapping protocol
     def __getitem__(self, name: str) -> DataFrame:
@@ -58,29 +70,28 @@ class Sources(Mapping):
     def __len__(self) -> int:
         return len(self._factories)
 
-    # Broadcast with a checked bound
     def is_small(self, name: str) -> bool:
-        """True when ``name`` is a code list whose size passed the run-time bound."""
-        if name not in ENUMERATIONS:
-            return False
-        if name not in self._bounded:
-            n = self.max_broadcast_rows
-            self._bounded[name] = self[name].limit(n + 1).count() <= n
-        return self._bounded[name]
+        """True when ``name`` is a code list, bounded by its definition."""
+        return name in CODE_LISTS
 
     # Constructors
     @classmethod
-    def from_tables(cls, spark: SparkSession, frames: Mapping[str, DataFrame], **kw) -> "Sources":
-        return cls(spark, frames, **kw)
+    def from_tables(cls, spark: SparkSession, frames: Mapping[str, DataFrame]) -> "Sources":
+        return cls(spark, frames)
 
     @classmethod
-    def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str], **kw) -> "Sources":
+    def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> "Sources":
         """One Parquet path (or folder) per ERP table name."""
-        return cls(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()}, **kw)
+        return cls(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
+
+    @classmethod
+    def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = ERP_TABLES) -> "Sources":
+        """Catalog tables ``database.name`` (S1) or ``catalog.database.name``."""
+        return cls(spark, {n: (lambda n=n: spark.table(f"{database}.{n}")) for n in names})
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: datetime,
-                      names: Iterable[str] | None = None, **kw) -> "Sources":
+                      names: Iterable[str] | None = None) -> "Sources":
         """ERP stand-ins derived from the driver's tables under ``sf_dir``."""
         bases: dict[str, DataFrame] = {}
 
@@ -96,7 +107,7 @@ class Sources(Mapping):
             return make
 
         wanted = STANDINS.keys() if names is None else names
-        return cls(spark, {n: factory(n) for n in wanted}, **kw)
+        return cls(spark, {n: factory(n) for n in wanted})
 
 
 def materialize(t: "Sources", base: str, names: Iterable[str] | None = None) -> "Sources":
@@ -108,7 +119,7 @@ def materialize(t: "Sources", base: str, names: Iterable[str] | None = None) ->
         path = f"{base.rstrip('/')}/{name}"
         t[name].write.mode("overwrite").parquet(path)
         paths[name] = path
-    return Sources.from_parquet(t.spark, paths, max_broadcast_rows=t.max_broadcast_rows)
+    return Sources.from_parquet(t.spark, paths)
 
 
 def standin_sql(name: str, as_of: datetime, placeholders: bool = False) -> tuple[str, tuple[str, ...]]:
