@@ -85,12 +85,41 @@ def test_j05_filters_lines_by_recent_pos_before_the_left_join(t):
     assert "LeftSemi" in text
 
 
-def test_j06_nests_share_the_join_partitioning(t, no_auto_broadcast):
-    # Each array tab is grouped by (name, vendor id) but shuffled on the vendor
-    # id alone, the key of the join back: no exchange on (name, vendor id).
-    text = "\n".join(exchanges(tree(asn.vendor_contacts(t))))
-    assert "hashpartitioning(vendor_id" in text
-    assert not re.search(r"hashpartitioning\(name#\d+, vendor_id", text)
+@pytest.mark.parametrize("build", [asn.vendor_contacts, compliance.vendor_contacts_stage])
+def test_vendor_documents_read_vendors_once_and_keep_children_left(t, no_auto_broadcast, planned_once, build):
+    text = "\n".join(tree(build(t)))
+    # the vendor table is the one made from supplier that reads s_name; messages come from events
+    assert len(re.findall(r"FileScan parquet .*events\.parquet", text)) == 1
+    assert len(re.findall(r"FileScan parquet \[[^\]]*s_name", text)) == 1
+    # a child tab reaches the vendors nested, one row a vendor: no join above has the child rows
+    assert text.index("communications_tab") < text.index("FileScan parquet")
+
+
+def test_hot_vendor_is_split_in_the_message_joins(spark):
+    # One vendor holds nearly all messages; adaptive execution splits the hot
+    # author of the left join, whose big side is the message table.
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "64k")
+    spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    try:
+        n = 60_000
+        pad = "concat('m', sha2(cast(id as string), 512))"
+        ids = spark.range(0, n, 1, 8)
+        message = ids.selectExpr(f"5L company_id", "if(id % 50 = 0, id, 9L) author_id", "id % 100 recipient_id", "cast(null as timestamp) date_0", "'s' subject",
+                                 "'to' to_0", "'from' from_0", "1L message_type_id", f"{pad} message", "false _fivetran_deleted")
+        people = spark.range(n).selectExpr("id employee_id", "concat('E', id) full_name", "false _fivetran_deleted")
+        out = asn._communications_tab({"message": message, "employees": people}, live_rows=False)
+        assert out.selectExpr("size(communications_tab) n").collect()[0].n == n
+        out.write.format("noop").mode("overwrite").save()
+        df = asn._communications_tab({"message": message, "employees": people}, live_rows=False)
+        df.collect()
+        assert "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)
 
 
 def test_j02_distinct_counts_are_two_level(t):

@@ -87,19 +87,13 @@ def nest(
     fields: Sequence[Column],
     out: str,
     extra: Sequence[Column] = (),
-    partition_by: str | None = None,
 ) -> DataFrame:
     """One row per ``keys`` with ``out`` = array of struct(``fields``).
 
     The array is sorted (struct order: first field first), so runs repeat;
     the reference leaves the order undefined. ``extra`` are more aggregates.
-    ``partition_by`` (one of the keys) hash-partitions the rows first, so the
-    nest and a later join on that column share one shuffle; a partial
-    ``collect_list`` would not shrink the data anyway.
     """
     arr = F.sort_array(F.collect_list(F.struct(*fields))).alias(out)
-    if partition_by is not None:
-        df = df.repartition(partition_by)
     return df.groupBy(*keys).agg(arr, *extra)
 
 

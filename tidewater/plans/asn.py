@@ -333,140 +333,136 @@ def _with_currencies(side: DataFrame, currency: str, out: str) -> DataFrame:
     return rows.withColumn(currency, F.explode(out))
 
 
-# ----------------------------------------------------------------------- J06
+# ------------------------------------------------------------------- J06 and J10
 
-def _vendors_named(t) -> DataFrame:
-    return t["vendors"].where(c("companyname").isNotNull())
+def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
+    """One row per vendor x subsidiary-map row, with 7 tabs (25 columns).
+
+    A vendor without children gets a one-element array of NULL fields (an
+    unmatched left join inside ARRAY_AGG). ``financials`` is not aggregated, so
+    the grain is vendor x map row (G3).
+    """
+    return vendor_documents(t, live_rows=False)
 
 
-def vendor_general(t, vend: DataFrame, extra: list[str] = ()) -> DataFrame:
-    df = ops.lookup(vend, t["vendor_types"], c("vendor_type_id"), "vendor_type_id",
-                    {"vendor_category": "name"}, small=t.is_small("vendor_types"))
-    df = ops.lookup(df, t["payment_terms"], c("payment_terms_id"), "payment_terms_id",
-                    {"terms": "name"}, small=t.is_small("payment_terms"))
-    return df, [
+def vendor_documents(t, live_rows: bool) -> DataFrame:
+    """The vendor documents of J06, or with live rows only those of J10.
+
+    The vendor table is read once and widened by its one-to-one lookups. Each
+    child table is the left side of its own lookups and is nested on the vendor
+    id by itself; vendors then meet one row per child tab. So a vendor that
+    holds most children is spread over tasks until the nest, which has to hold
+    its array. Vendor ids are unique.
+
+    J10's filters on joined tables null-reject: a tab is NULL where its lookups
+    or children have no live row (``ok`` flags), where J06 has NULL fields.
+    """
+    how = "inner" if live_rows else "left"
+    v = t["vendors"].where(c("companyname").isNotNull())
+    v = v.where(E.live()) if live_rows else v
+    emp = t["employees"]
+    v = ops.lookup(v, emp, E.as_key(v, "created_by_ven_id"), E.as_key(emp, "employee_id"), {"t_creator": "full_name"},
+                   how=how, live_only=live_rows)
+    one = {"live_only": live_rows}
+    ok = F.lit(True)
+    for dim, fk, key, fields in [
+        ("vendor_types", c("vendor_type_id"), "vendor_type_id", {"vendor_category": "name"}),
+        ("payment_terms", c("payment_terms_id"), "payment_terms_id", {"terms": "name"}),
+        *[("edi_document_type_status", c(fk), "list_id", {f"t_{out}": "list_item_name"}) for out, fk in EDI_ROLES],
+    ]:
+        v = ops.lookup(v, t[dim], fk, key, fields, small=t.is_small(dim))
+    v = ops.lookup(v, t["currencies"], c("currency_id"), "currency_id", {"currency": "name", "ok_currency": ok},
+                   small=t.is_small("currencies"), **one)
+    v = ops.lookup(v, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {
+        "s_name": "name", "s_inactive": "isinactive", "s_tax": "state_tax_number", "ok_subsidiary": ok}, **one)
+    for dim in ("finance_status", "operations_status"):
+        v = ops.lookup(v, t[dim], E.as_key(v, f"{dim}_ven_id"), E.as_key(t[dim], "list_id"),
+                       {f"t_{dim}": "list_item_name", f"ok_{dim}": ok}, small=t.is_small(dim), **one)
+    if live_rows:
+        v = ops.lookup(v, emp, c("accounting_clerk_id"), "employee_id", {"t_clerk_email": "email", "t_clerk": "full_name"})
+
+    maps = t["vendor_subsidiary_map"]
+    maps = maps.where(E.live()) if live_rows else maps
+    children = [_address_tab(t, live_rows), _relationships_tab(t, live_rows), _communications_tab(t, live_rows),
+                ops.nest(maps, [c("vendor_id").alias("__vendor")], [c(x) for x in MAP_FIELDS], "map_tab")]
+    for child in children:
+        tab = child.columns[-1]
+        v = v.join(child, v["vendor_id"] == child["__vendor"], "left").drop("__vendor")
+        if not live_rows:
+            v = v.withColumn(tab, F.coalesce(tab, F.array(_null_struct(child.schema[tab].dataType.elementType))))
+
+    # Financials: one document per map row (J10: of vendors with a live currency).
+    v = v.withColumn("f", F.explode_outer(F.when(c("ok_currency"), c("map_tab")) if live_rows else c("map_tab")))
+    abs_of = lambda x: F.abs(x)
+    clerk = [c("accounting_clerk_id"), c("t_clerk_email").alias("accounting_clerk_email"),
+             c("t_clerk").alias("accounting_clerk_name")] if live_rows else []
+    financials = F.struct(abs_of(c("f.balance")).alias("balance"), abs_of(c("f.unbilled_orders")).alias("unbilled_orders"), c("currency"), *clerk)
+    flag, day, second = ((E.true_false_blank, E.fmt_day, E.fmt_ts) if live_rows else (lambda x: x,) * 3)
+    purchasing = F.struct(
+        flag(c("edi")).alias("edi"), day(c("edi_855_activation_date")).alias("edi_855_activation_date"),
+        *[c(f"t_{x}").alias(x) for x in ("edi_850", "edi_860", "edi_855", "edi_856", "edi_810", "edi_846")],
+        c("edi_capable"), c("creditlimit"), day(c("vendor_credit_limit_date")).alias("vendor_credit_limit_date"), c("currency"))
+    approvals = F.array(F.struct(
+        second(c("date_created")).alias("date_created"), c("t_creator").alias("created_by"),
+        c("t_finance_status").alias("finance_status"), c("t_operations_status").alias("operations_status")))
+    # ``ven_sub`` is joined on the primary subsidiary's id, so it repeats it.
+    subsidiaries = F.sort_array(F.transform("map_tab", lambda m: F.struct(
+        c("s_name").alias("primary_subsidiary"), c("s_name").alias("subsidiary"),
+        E.flag(m["subsidiary_id"] == c("subsidiary")).alias("primary"), c("s_inactive").alias("isinactive"),
+        abs_of(m["balance"]).alias("balance"), abs_of(m["balance_base"]).alias("balance_base"),
+        abs_of(m["unbilled_orders"]).alias("unbilled_orders"), abs_of(m["unbilled_orders_base"]).alias("unbilled_orders_base"),
+        m["credit_limit"].alias("credit_limit"), m["subsidiary_id"].alias("subsidiary_id"), c("currency").alias("currency"),
+        c("s_tax").alias("tax_code"))))
+    if live_rows:
+        financials = F.when(c("ok_currency") & c("f").isNotNull(), financials)
+        purchasing = F.when(c("ok_currency"), purchasing)
+        approvals = F.when(c("ok_finance_status") & c("ok_operations_status"), approvals)
+        subsidiaries = F.when(c("ok_currency") & c("ok_subsidiary"), subsidiaries)
+    externalid, inactive = ([c("custom_vendor_externalid")], [c("isinactive")]) if live_rows else ([], [])
+    return v.select(
         c("name"), c("companyname"), E.active_status(c("isinactive")).alias("status"),
-        c("name").alias("vendor_id"), c("vendor_id").alias("internal_vendor_id"),
+        c("name").alias("vendor_id"), c("vendor_id").alias("internal_vendor_id"), *externalid,
         E.company_type(c("is_person")).alias("type"), c("vendor_category"), c("terms"), c("incoterm"),
         c("comments"), c("email"), c("email_address_for_payment_not"), c("accounting_email"), c("phone"),
-        c("altphone"), c("fax"), c("url").alias("web_address"), c("billaddress").alias("address"),
-    ]
+        c("altphone"), c("fax"), c("url").alias("web_address"), c("billaddress").alias("address"), *inactive,
+        c("address_tab"), purchasing.alias("purchasing_tab"), financials.alias("financials_tab"), c("relationships_tab"),
+        c("communications_tab"), approvals.alias("approvals_tab"), subsidiaries.alias("subsidiaries_tab"),
+    )
 
 
-def vendor_contacts(t, as_of: datetime | None = None) -> DataFrame:
-    """One row per vendor x subsidiary-map row, with 7 tabs (25 columns).
+MAP_FIELDS = ["subsidiary_id", "balance", "balance_base", "unbilled_orders", "unbilled_orders_base", "credit_limit"]
 
-    The 7 tabs are built from the vendor table each (the reference's CTEs);
-    the array tabs are grouped by (name, vendor id) and all are joined back
-    on the vendor id. A vendor without children gets a one-element array of
-    NULL fields (unmatched left join inside ARRAY_AGG). ``financials`` is not
-    aggregated, so the grain is vendor x map row (G3).
-    """
-    vend = _vendors_named(t)
-    df, cols = vendor_general(t, vend)
-    general = df.select(*cols)
-
-    ab = t["address_book"]
-    address = ops.nest(
-        ops.lookup(vend, ab, c("vendor_id"), "entity_id", {
-            "a_bill": "is_default_bill_address", "a_ship": "is_default_ship_address", "a_label": "name",
-            "a_address": "address", "a_inactive": "is_inactive"}),
-        ["name", "vendor_id"],
-        [c("a_bill").alias("is_default_bill_address"), c("a_ship").alias("is_default_ship_address"),
-         c("a_label").alias("label"), c("a_address").alias("address"), c("a_inactive").alias("is_inactive")],
-        "address_tab", partition_by="vendor_id")
-
-    cur = t["currencies"]
-    p = ops.lookup(vend, t["vendor_types"], c("vendor_type_id"), "vendor_type_id",
-                   small=t.is_small("vendor_types"))
-    p = ops.lookup(p, cur, c("currency_id"), "currency_id", {"currency": "name"}, small=t.is_small("currencies"))
-    for out, fk in EDI_ROLES:
-        p = ops.lookup(p, t["edi_document_type_status"], c(fk), "list_id", {out: "list_item_name"},
-                       small=t.is_small("edi_document_type_status"))
-    purchasing = p.select("name", "vendor_id", F.struct(
-        "edi", "edi_855_activation_date", "edi_850", "edi_860", "edi_855", "edi_856", "edi_810",
-        "edi_846", "edi_capable", "creditlimit", "vendor_credit_limit_date", "currency",
-    ).alias("purchasing_tab"))
-
-    vsm = t["vendor_subsidiary_map"]
-    f = ops.lookup(vend, cur, c("currency_id"), "currency_id", {"currency": "name"}, small=t.is_small("currencies"))
-    f = ops.lookup(f, vsm, c("vendor_id"), "vendor_id", {"m_balance": "balance", "m_unbilled": "unbilled_orders"})
-    financials = f.select("name", "vendor_id", F.struct(
-        F.abs(c("m_balance")).alias("balance"), F.abs(c("m_unbilled")).alias("unbilled_orders"), c("currency"),
-    ).alias("financials_tab"))
-
-    r = ops.lookup(vend, t["contacts"], c("vendor_id"), "company_id", {
-        "k_name": "name", "k_title": "title", "k_email": "email", "k_phone": "phone", "k_id": "contact_id"})
-    r = ops.lookup(r, t["contact_types"], c("k_id"), "contact_id", {"k_type": "name"})
-    relationships = ops.nest(r, ["name", "vendor_id"], [
-        c("k_name").alias("contact_name"), c("k_type").alias("category"), c("k_title").alias("job_title"),
-        c("k_email").alias("email"), c("k_phone").alias("phone"), c("k_id").alias("contact_id")],
-        "relationships_tab", partition_by="vendor_id")
-
-    m = ops.lookup(vend, t["message"], c("vendor_id"), "company_id", {
-        "m_date": "date_0", "m_author_id": "author_id", "m_recipient_id": "recipient_id", "m_subject": "subject",
-        "m_to": "to_0", "m_from": "from_0", "m_type": "message_type_id", "m_message": "message"})
-    m = ops.lookup(m, t["employees"], c("m_author_id"), "employee_id", {"m_author": "full_name"})
-    m = ops.lookup(m, t["employees"], c("m_recipient_id"), "employee_id", {"m_recipient": "full_name"})
-    communications = ops.nest(m, ["name", "vendor_id"], [
-        c("m_date").alias("date"), c("m_author_id").alias("author_id"), c("m_author").alias("author"),
-        c("m_recipient_id").alias("recipient_id"),
-        F.coalesce(c("m_recipient"), c("m_to")).alias("primary_recipient"), c("m_subject").alias("subject"),
-        c("m_to").alias("to_0"), c("m_from").alias("from_0"), c("m_type").alias("message_type_id"),
-        c("m_message").alias("message")], "communications_tab", partition_by="vendor_id")
-
-    allv = t["vendors"]  # approvals: no companyname filter in the reference
-    a = ops.lookup(allv, t["employees"], E.as_key(allv, "created_by_ven_id"),
-                   E.as_key(t["employees"], "employee_id"), {"created_by": "full_name"})
-    a = ops.lookup(a, t["finance_status"], E.as_key(allv, "finance_status_ven_id"),
-                   E.as_key(t["finance_status"], "list_id"), {"finance_status": "list_item_name"},
-                   small=t.is_small("finance_status"))
-    a = ops.lookup(a, t["operations_status"], E.as_key(allv, "operations_status_ven_id"),
-                   E.as_key(t["operations_status"], "list_id"), {"operations_status": "list_item_name"},
-                   small=t.is_small("operations_status"))
-    approvals = ops.nest(a, ["name", "vendor_id"], [
-        c("date_created"), c("created_by"), c("finance_status"), c("operations_status")], "approvals_tab",
-        partition_by="vendor_id")
-
-    subsidiaries = vendor_subsidiaries_tab(t, vend, live_rows=False)
-
-    return assemble(general, "internal_vendor_id",
-                    [address, purchasing, financials, relationships, communications, approvals, subsidiaries])
-
-
-def vendor_subsidiaries_tab(t, vend: DataFrame, live_rows: bool) -> DataFrame:
-    """Subsidiaries tab (J06/J10). ``ven_sub`` is joined on the primary
-    subsidiary's id, so it repeats ``sub`` (G4); one lookup feeds both."""
+
+def _null_struct(fields) -> F.Column:
+    return F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields])
+
+
+def _address_tab(t, live_rows: bool) -> DataFrame:
+    rows = t["address_book"].where(E.live()) if live_rows else t["address_book"]
+    return ops.nest(rows, [c("entity_id").alias("__vendor")], [
+        c("is_default_bill_address"), c("is_default_ship_address"), c("name").alias("label"), c("address"),
+        c("is_inactive")], "address_tab")
+
+
+def _relationships_tab(t, live_rows: bool) -> DataFrame:
+    rows = t["contacts"].where(E.live()) if live_rows else t["contacts"]
+    rows = ops.lookup(rows, t["contact_types"], c("contact_id"), "contact_id", {"t_type": "name"},
+                      how="inner" if live_rows else "left", live_only=live_rows)
+    return ops.nest(rows, [c("company_id").alias("__vendor")], [
+        c("name").alias("contact_name"), c("t_type").alias("category"), c("title").alias("job_title"), c("email"),
+        c("phone"), c("contact_id")], "relationships_tab")
+
+
+def _communications_tab(t, live_rows: bool) -> DataFrame:
+    """Authors are employees in J06 and parties in J10; recipients are employees."""
+    rows = t["message"].where(E.live()) if live_rows else t["message"]
+    people, key = (t["entity"], "entity_id") if live_rows else (t["employees"], "employee_id")
     how = "inner" if live_rows else "left"
-    s = ops.lookup(vend, t["currencies"], c("currency_id"), "currency_id", {"currency": "name"},
-                   how=how, live_only=live_rows, small=t.is_small("currencies"))
-    s = ops.lookup(s, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {
-        "sub_name": "name", "sub_id": "subsidiary_id"}, how=how, live_only=live_rows,
-        small=t.is_small("subsidiaries"))
-    s = ops.lookup(s, t["vendor_subsidiary_map"], c("vendor_id"), "vendor_id", {
-        "m_sub": "subsidiary_id", "m_balance": "balance", "m_balance_base": "balance_base",
-        "m_unbilled": "unbilled_orders", "m_unbilled_base": "unbilled_orders_base",
-        "m_credit": "credit_limit"}, how=how, live_only=live_rows)
-    s = ops.lookup(s, t["subsidiaries"], c("sub_id"), "subsidiary_id", {
-        "vs_name": "name", "vs_inactive": "isinactive", "vs_tax": "state_tax_number"},
-        how=how, live_only=live_rows, small=t.is_small("subsidiaries"))
-    keys = ["vendor_id"] if live_rows else ["name", "vendor_id"]
-    return ops.nest(s, keys, [
-        c("sub_name").alias("primary_subsidiary"), c("vs_name").alias("subsidiary"),
-        E.flag(c("m_sub") == c("subsidiary")).alias("primary"), c("vs_inactive").alias("isinactive"),
-        F.abs(c("m_balance")).alias("balance"), F.abs(c("m_balance_base")).alias("balance_base"),
-        F.abs(c("m_unbilled")).alias("unbilled_orders"), F.abs(c("m_unbilled_base")).alias("unbilled_orders_base"),
-        c("m_credit").alias("credit_limit"), c("m_sub").alias("subsidiary_id"), c("currency"),
-        c("vs_tax").alias("tax_code")], "subsidiaries_tab", partition_by="vendor_id")
-
-
-def assemble(parent: DataFrame, parent_key: str, children: list[DataFrame]) -> DataFrame:
-    """Left-join each child (keyed by ``vendor_id``) to the parent, keeping
-    only the child's tab column. Children are at (name, vendor id) or vendor id
-    grain; a child with two rows for one vendor id fans out, as in the reference."""
-    out = parent
-    for child in children:
-        tab = [x for x in child.columns if x not in ("name", "vendor_id")][0]
-        ch = child.select(c("vendor_id").alias("__ck"), c(tab))
-        out = out.join(ch, out[parent_key] == ch["__ck"], "left").drop("__ck")
-    return out
+    rows = ops.lookup(rows, people, c("author_id"), key, {"t_author": "full_name"}, how=how, live_only=live_rows)
+    rows = ops.lookup(rows, t["employees"], c("recipient_id"), "employee_id", {"t_recipient": "full_name"}, how=how,
+                      live_only=live_rows)
+    body = [] if live_rows else [c("message")]
+    return ops.nest(rows, [c("company_id").alias("__vendor")], [
+        c("date_0").alias("date"), c("author_id"), c("t_author").alias("author"), c("recipient_id"),
+        F.coalesce(c("t_recipient"), c("to_0")).alias("primary_recipient"), c("subject"), c("to_0"), c("from_0"),
+        c("message_type_id"), *body], "communications_tab")

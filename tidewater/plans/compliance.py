@@ -369,90 +369,9 @@ def vendor_contacts_stage(t, as_of: datetime | None = None) -> DataFrame:
 
     The filters on the children null-reject, so a vendor without (live)
     children gets a NULL tab here, where J06 gives a one-element array of
-    NULL fields. The array tabs are grouped by vendor id alone, the key of
-    the final joins.
+    NULL fields.
     """
-    vend = t["vendors"].where(c("companyname").isNotNull()).where(live())
-    emp = t["employees"]
-    gen = ops.lookup(vend, emp, E.as_key(vend, "created_by_ven_id"), E.as_key(emp, "employee_id"),
-                     how="inner", live_only=True)
-    gen, cols = asn.vendor_general(t, gen)
-    cols = cols[:5] + [c("custom_vendor_externalid")] + cols[5:] + [c("isinactive")]
-    general = gen.select(*cols)
-
-    address = ops.nest(
-        ops.lookup(vend, t["address_book"], c("vendor_id"), "entity_id", {
-            "a_bill": "is_default_bill_address", "a_ship": "is_default_ship_address", "a_label": "name",
-            "a_address": "address", "a_inactive": "is_inactive"}, how="inner", live_only=True),
-        ["vendor_id"],
-        [c("a_bill").alias("is_default_bill_address"), c("a_ship").alias("is_default_ship_address"),
-         c("a_label").alias("label"), c("a_address").alias("address"), c("a_inactive").alias("is_inactive")],
-        "address_tab")
-
-    p = ops.lookup(vend, t["vendor_types"], c("vendor_type_id"), "vendor_type_id", small=t.is_small("vendor_types"))
-    p = ops.lookup(p, t["currencies"], c("currency_id"), "currency_id", {"currency": "name"}, how="inner",
-                   live_only=True, small=t.is_small("currencies"))
-    for out, fk in asn.EDI_ROLES:
-        p = ops.lookup(p, t["edi_document_type_status"], c(fk), "list_id", {out: "list_item_name"},
-                       small=t.is_small("edi_document_type_status"))
-    purchasing = p.select("name", "vendor_id", F.struct(
-        E.true_false_blank(c("edi")).alias("edi"),
-        E.fmt_day(c("edi_855_activation_date")).alias("edi_855_activation_date"),
-        "edi_850", "edi_860", "edi_855", "edi_856", "edi_810", "edi_846", "edi_capable", "creditlimit",
-        E.fmt_day(c("vendor_credit_limit_date")).alias("vendor_credit_limit_date"), "currency",
-    ).alias("purchasing_tab"))
-
-    f = ops.lookup(vend, t["currencies"], c("currency_id"), "currency_id", {"currency": "name"}, how="inner",
-                   live_only=True, small=t.is_small("currencies"))
-    f = ops.lookup(f, t["vendor_subsidiary_map"], c("vendor_id"), "vendor_id",
-                   {"m_balance": "balance", "m_unbilled": "unbilled_orders"}, how="inner", live_only=True)
-    f = ops.lookup(f, emp, c("accounting_clerk_id"), "employee_id",
-                   {"clerk_email": "email", "clerk_name": "full_name"})
-    financials = f.select("name", "vendor_id", F.struct(
-        F.abs(c("m_balance")).alias("balance"), F.abs(c("m_unbilled")).alias("unbilled_orders"), c("currency"),
-        c("accounting_clerk_id"), c("clerk_email").alias("accounting_clerk_email"),
-        c("clerk_name").alias("accounting_clerk_name"),
-    ).alias("financials_tab"))
-
-    r = ops.lookup(vend, t["contacts"], c("vendor_id"), "company_id", {
-        "k_name": "name", "k_title": "title", "k_email": "email", "k_phone": "phone", "k_id": "contact_id"},
-        how="inner", live_only=True)
-    r = ops.lookup(r, t["contact_types"], c("k_id"), "contact_id", {"k_type": "name"}, how="inner", live_only=True)
-    relationships = ops.nest(r, ["vendor_id"], [
-        c("k_name").alias("contact_name"), c("k_type").alias("category"), c("k_title").alias("job_title"),
-        c("k_email").alias("email"), c("k_phone").alias("phone"), c("k_id").alias("contact_id")],
-        "relationships_tab")
-
-    m = ops.lookup(vend, t["message"], c("vendor_id"), "company_id", {
-        "m_date": "date_0", "m_author_id": "author_id", "m_recipient_id": "recipient_id", "m_subject": "subject",
-        "m_to": "to_0", "m_from": "from_0", "m_type": "message_type_id"}, how="inner", live_only=True)
-    m = ops.lookup(m, t["entity"], c("m_author_id"), "entity_id", {"m_author": "full_name"}, how="inner",
-                   live_only=True)
-    m = ops.lookup(m, emp, c("m_recipient_id"), "employee_id", {"m_recipient": "full_name"}, how="inner",
-                   live_only=True)
-    communications = ops.nest(m, ["vendor_id"], [
-        c("m_date").alias("date"), c("m_author_id").alias("author_id"), c("m_author").alias("author"),
-        c("m_recipient_id").alias("recipient_id"),
-        F.coalesce(c("m_recipient"), c("m_to")).alias("primary_recipient"), c("m_subject").alias("subject"),
-        c("m_to").alias("to_0"), c("m_from").alias("from_0"), c("m_type").alias("message_type_id")],
-        "communications_tab")
-
-    a = ops.lookup(vend, emp, E.as_key(vend, "created_by_ven_id"), E.as_key(emp, "employee_id"),
-                   {"created_by": "full_name"})
-    fs, os_ = t["finance_status"], t["operations_status"]
-    a = ops.lookup(a, fs, E.as_key(vend, "finance_status_ven_id"), E.as_key(fs, "list_id"),
-                   {"finance_status": "list_item_name"}, how="inner", live_only=True,
-                   small=t.is_small("finance_status"))
-    a = ops.lookup(a, os_, E.as_key(vend, "operations_status_ven_id"), E.as_key(os_, "list_id"),
-                   {"operations_status": "list_item_name"}, how="inner", live_only=True,
-                   small=t.is_small("operations_status"))
-    approvals = ops.nest(a, ["vendor_id"], [
-        E.fmt_ts(c("date_created")).alias("date_created"), c("created_by"), c("finance_status"),
-        c("operations_status")], "approvals_tab")
-
-    subsidiaries = asn.vendor_subsidiaries_tab(t, vend, live_rows=True)
-    return asn.assemble(general, "internal_vendor_id",
-                        [address, purchasing, financials, relationships, communications, approvals, subsidiaries])
+    return asn.vendor_documents(t, live_rows=True)
 
 
 # ----------------------------------------------------------------------- J11
