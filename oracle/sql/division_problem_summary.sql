@@ -1,31 +1,23 @@
--- J02: problem lines per division and assignee, with division-wide distinct counts.
-WITH d AS (
-  SELECT ent.name AS vendor, po.tranid AS po_number, m2.merchandise_division_name AS merchandise_division,
-         asg.full_name AS assigned_to, m2.assigned_to_id
-  FROM transactions po
-  LEFT JOIN transaction_lines ln ON po.transaction_id = ln.transaction_id
-  LEFT JOIN season se ON po.season_code_id = se.list_id
-  LEFT JOIN year1 yr ON po.season_year_id = yr.list_id
-  LEFT JOIN po_types ty ON po.po_type_id = ty.list_id
-  LEFT JOIN entity ent ON po.entity_id = ent.entity_id
-  LEFT JOIN brand br ON br.brand_id = ln.brand_id
-  LEFT JOIN merchandise_division m2 ON m2.merchandise_division_id = po.merchandise_division_id
-  LEFT JOIN items_cv it ON ln.item_id = it.item_id
-  LEFT JOIN uom u ON it.uom_id = u.uom_id
-  LEFT JOIN employees asg ON asg.employee_id = m2.assigned_to_id
-  LEFT JOIN edi_document_type_status edi ON ent.edi_856_id = edi.list_id
-  LEFT JOIN po_types pt2 ON po.po_type_id = pt2.list_id
-  WHERE po.transaction_type = 'Purchase Order' AND ln.transaction_line_id > 0
-    AND pt2.list_item_name <> 'Non-Inventory' AND ln.asn_quantity_shipped > ln.item_count
-    AND ln.asn_record IS NOT NULL AND edi.list_item_name = 'Yes'
-    AND DATE '2001-03-15' <= (CASE WHEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 IS NOT NULL THEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 ELSE CAST(ln.asn_shipment_date AS DATE) + 14 END)
-), w AS (
-  SELECT merchandise_division, assigned_to_id, assigned_to,
-         count(DISTINCT po_number) OVER (PARTITION BY merchandise_division) AS count_orders,
-         count(DISTINCT vendor) OVER (PARTITION BY merchandise_division) AS count_vendors
-  FROM d
+-- J02: count the lines shipped beyond the ordered quantity per order, give each
+-- order its division, then two groupings of those orders.
+WITH excess AS (
+  SELECT transaction_id, count(*) AS n FROM transaction_lines
+  WHERE transaction_line_id > 0 AND asn_record IS NOT NULL AND asn_quantity_shipped > item_count
+    AND coalesce(CAST(asn_estimated_delivery_date AS DATE), CAST(asn_shipment_date AS DATE)) + 14 >= DATE '2001-03-15'
+  GROUP BY transaction_id
+), placed AS (
+  SELECT n, tranid, merchandise_division_name AS division, assigned_to_id AS assignee,
+         (SELECT name FROM entity WHERE entity.entity_id = o.entity_id) AS vendor
+  FROM excess JOIN transactions AS o USING (transaction_id)
+  LEFT JOIN merchandise_division USING (merchandise_division_id)
+  WHERE transaction_type = 'Purchase Order'
+    AND EXISTS (SELECT 1 FROM po_types WHERE list_id = o.po_type_id AND list_item_name <> 'Non-Inventory')
+    AND EXISTS (SELECT 1 FROM entity AS p, edi_document_type_status AS s
+                WHERE p.entity_id = o.entity_id AND s.list_id = p.edi_856_id AND s.list_item_name = 'Yes')
+), whole AS (
+  SELECT division, count(DISTINCT vendor) AS vendors, count(DISTINCT tranid) AS orders FROM placed GROUP BY division
 )
-SELECT merchandise_division, max(count_vendors) AS count_vendors, max(count_orders) AS count_orders,
-       assigned_to, count(*) AS count_problems_lines
-FROM w
-GROUP BY merchandise_division, assigned_to_id, assigned_to
+SELECT placed.division AS merchandise_division, any_value(vendors) AS count_vendors, any_value(orders) AS count_orders,
+       (SELECT full_name FROM employees WHERE employee_id = assignee) AS assigned_to, sum(n) AS count_problems_lines
+FROM placed JOIN whole ON placed.division IS NOT DISTINCT FROM whole.division
+GROUP BY placed.division, assignee

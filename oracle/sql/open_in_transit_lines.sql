@@ -1,34 +1,36 @@
--- J01: open in-transit PO lines of EDI vendors.
+-- J01: start from the shipped lines whose window is open, keep those of EDI
+-- partners' orders, and read every label by its key.
+WITH shipped AS (
+  SELECT *, coalesce(CAST(asn_estimated_delivery_date AS DATE), CAST(asn_shipment_date AS DATE)) + 14 AS until
+  FROM transaction_lines
+  WHERE asn_record IS NOT NULL AND transaction_line_id > 0 AND asn_quantity_shipped > quantity_received_in_shipment
+), partner AS (
+  SELECT entity_id, name FROM entity
+  WHERE edi_856_id IN (SELECT list_id FROM edi_document_type_status WHERE list_item_name = 'Yes')
+), stocked AS (
+  SELECT * FROM transactions
+  WHERE transaction_type = 'Purchase Order'
+    AND po_type_id IN (SELECT list_id FROM po_types WHERE list_item_name <> 'Non-Inventory')
+)
 SELECT
-  ent.name AS vendor, br.brand_name AS brand, po.trandate AS po_date, po.ship_date, po.cancel_date,
-  po.tranid AS po_number, md.merchandise_division_name AS merchandise_division, ty.list_item_name AS po_type,
-  se.list_item_name AS season_code, yr.list_item_name AS season_year, em.full_name AS buyer,
-  ln.transaction_line_id AS line_id, it.item_extid AS sku, ln.vendor_sku, it.upc_code AS upc, ln.memo,
-  ln.expected_arrival_eta_line, ln.item_count AS quantity_in_transaction_unit, ln.original_transmitted_qty,
-  ln.quantity_received_in_shipment AS quantity_fulfilled_received, ln.number_billed AS quantity_billed,
-  ln.asn_quantity_shipped - ln.quantity_received_in_shipment AS qty_in_transit, u.name AS units,
-  ln.item_unit_price AS rate, ln.discount_amount, ln.purchase_price, ln.amount, ln.asn_record,
-  ln.asn_quantity_shipped, ln.asn_shipment_date, ln.asn_estimated_delivery_date,
-  po.n_860_last_execution_timestamp AS n_860_sent, po.status,
-  CASE WHEN DATE '2001-03-15' <= (CASE WHEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 IS NOT NULL THEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 ELSE CAST(ln.asn_shipment_date AS DATE) + 14 END) THEN 'Yes' ELSE 'No' END AS in_transit_window,
-  CASE WHEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 IS NOT NULL THEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 ELSE CAST(ln.asn_shipment_date AS DATE) + 14 END AS transit_window_end
-FROM transactions po
-LEFT JOIN transaction_lines ln ON po.transaction_id = ln.transaction_id
-LEFT JOIN season se ON po.season_code_id = se.list_id
-LEFT JOIN year1 yr ON po.season_year_id = yr.list_id
-LEFT JOIN po_types ty ON po.po_type_id = ty.list_id
-LEFT JOIN entity ent ON po.entity_id = ent.entity_id
-LEFT JOIN brand br ON br.brand_id = ln.brand_id
-LEFT JOIN merchandise_division md ON md.merchandise_division_id = po.merchandise_division_id
-LEFT JOIN employees em ON po.sales_rep_id = em.employee_id
-LEFT JOIN items_cv it ON ln.item_id = it.item_id
-LEFT JOIN uom u ON it.uom_id = u.uom_id
-LEFT JOIN edi_document_type_status edi ON ent.edi_856_id = edi.list_id
-LEFT JOIN po_types pt2 ON po.po_type_id = pt2.list_id
-WHERE po.transaction_type = 'Purchase Order'
-  AND ln.transaction_line_id > 0
-  AND pt2.list_item_name <> 'Non-Inventory'
-  AND ln.asn_quantity_shipped > ln.quantity_received_in_shipment
-  AND ln.asn_record IS NOT NULL
-  AND edi.list_item_name = 'Yes'
-  AND DATE '2001-03-15' <= (CASE WHEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 IS NOT NULL THEN CAST(ln.asn_estimated_delivery_date AS DATE) + 14 ELSE CAST(ln.asn_shipment_date AS DATE) + 14 END)
+  partner.name AS vendor,
+  (SELECT brand_name FROM brand WHERE brand.brand_id = shipped.brand_id) AS brand,
+  stocked.trandate AS po_date, stocked.ship_date, stocked.cancel_date, stocked.tranid AS po_number,
+  (SELECT merchandise_division_name FROM merchandise_division AS d WHERE d.merchandise_division_id = stocked.merchandise_division_id) AS merchandise_division,
+  (SELECT list_item_name FROM po_types WHERE list_id = stocked.po_type_id) AS po_type,
+  (SELECT list_item_name FROM season WHERE list_id = stocked.season_code_id) AS season_code,
+  (SELECT list_item_name FROM year1 WHERE list_id = stocked.season_year_id) AS season_year,
+  (SELECT full_name FROM employees WHERE employee_id = stocked.sales_rep_id) AS buyer,
+  shipped.transaction_line_id AS line_id, items_cv.item_extid AS sku, shipped.vendor_sku, items_cv.upc_code AS upc, shipped.memo,
+  shipped.expected_arrival_eta_line, shipped.item_count AS quantity_in_transaction_unit, shipped.original_transmitted_qty,
+  shipped.quantity_received_in_shipment AS quantity_fulfilled_received, shipped.number_billed AS quantity_billed,
+  shipped.asn_quantity_shipped - shipped.quantity_received_in_shipment AS qty_in_transit,
+  (SELECT name FROM uom WHERE uom.uom_id = items_cv.uom_id) AS units, shipped.item_unit_price AS rate, shipped.discount_amount,
+  shipped.purchase_price, shipped.amount, shipped.asn_record, shipped.asn_quantity_shipped, shipped.asn_shipment_date,
+  shipped.asn_estimated_delivery_date, stocked.n_860_last_execution_timestamp AS n_860_sent, stocked.status,
+  'Yes' AS in_transit_window, shipped.until AS transit_window_end
+FROM shipped
+JOIN stocked USING (transaction_id)
+JOIN partner ON partner.entity_id = stocked.entity_id
+LEFT JOIN items_cv ON items_cv.item_id = shipped.item_id
+WHERE shipped.until >= DATE '2001-03-15'

@@ -1,87 +1,31 @@
--- J06: vendor document, tabs flattened to sizes and sorted text lists.
-WITH v AS (SELECT * FROM vendors WHERE companyname IS NOT NULL),
-general AS (
-  SELECT v.name, v.companyname, CASE WHEN v.isinactive = 'No' THEN 'Active' ELSE 'Inactive' END AS status,
-         v.name AS vendor_id, v.vendor_id AS internal_vendor_id,
-         CASE WHEN v.is_person = 'No' THEN 'Company' ELSE 'Individual' END AS type, vt.name AS vendor_category,
-         pt.name AS terms, v.incoterm, v.comments, v.email, v.email_address_for_payment_not, v.accounting_email,
-         v.phone, v.altphone, v.fax, v.url AS web_address, v.billaddress AS address
-  FROM v LEFT JOIN vendor_types vt ON v.vendor_type_id = vt.vendor_type_id
-         LEFT JOIN payment_terms pt ON v.payment_terms_id = pt.payment_terms_id
-         LEFT JOIN employees e ON v.created_by_ven_id = e.employee_id
+-- J06: the vendor documents, tabs as sizes and sorted texts of their elements.
+WITH code AS (SELECT map(list(list_id), list(list_item_name)) AS m FROM edi_document_type_status),
+money AS (
+  SELECT v.vendor_id, abs(m.balance) AS balance, abs(m.unbilled_orders) AS unbilled, u.name AS currency,
+         (SELECT full_name FROM employees WHERE employee_id = v.accounting_clerk_id) AS clerk
+  FROM vendors AS v LEFT JOIN currencies AS u ON u.currency_id = v.currency_id
+  LEFT JOIN vendor_subsidiary_map AS m ON m.vendor_id = v.vendor_id
 ),
-address AS (
-  SELECT v.vendor_id, count(*) AS n_address,
-         string_agg(concat_ws(':', ab.name, ab.address, ab.is_inactive), '|'
-                    ORDER BY concat_ws(':', ab.name, ab.address, ab.is_inactive)) AS address_labels
-  FROM v LEFT JOIN address_book ab ON v.vendor_id = ab.entity_id GROUP BY v.name, v.vendor_id
-),
-purchasing AS (
-  SELECT v.vendor_id, v.edi AS pur_edi, v.edi_855_activation_date AS pur_edi_855_activation_date,
-         e850.list_item_name AS pur_edi_850, e860.list_item_name AS pur_edi_860, e855.list_item_name AS pur_edi_855,
-         e856.list_item_name AS pur_edi_856, e810.list_item_name AS pur_edi_810, e846.list_item_name AS pur_edi_846,
-         v.edi_capable AS pur_edi_capable, v.creditlimit AS pur_creditlimit,
-         v.vendor_credit_limit_date AS pur_vendor_credit_limit_date, cu.name AS pur_currency
-  FROM v LEFT JOIN vendor_types vt ON v.vendor_type_id = vt.vendor_type_id
-         LEFT JOIN currencies cu ON v.currency_id = cu.currency_id
-         LEFT JOIN edi_document_type_status e850 ON e850.list_id = v.edi_850_id
-         LEFT JOIN edi_document_type_status e860 ON e860.list_id = v.edi_860_id
-         LEFT JOIN edi_document_type_status e855 ON e855.list_id = v.edi_855_id
-         LEFT JOIN edi_document_type_status e856 ON e856.list_id = v.edi_856_id
-         LEFT JOIN edi_document_type_status e810 ON e810.list_id = v.edi_810_id
-         LEFT JOIN edi_document_type_status e846 ON e846.list_id = v.edi_846_id
-),
-financials AS (
-  SELECT v.vendor_id, abs(vs.balance) AS fin_balance, abs(vs.unbilled_orders) AS fin_unbilled_orders,
-         cu.name AS fin_currency
-  FROM v LEFT JOIN currencies cu ON v.currency_id = cu.currency_id
-         LEFT JOIN vendor_subsidiary_map vs ON vs.vendor_id = v.vendor_id
-),
-relationships AS (
-  SELECT v.vendor_id, count(*) AS n_relationships,
-         string_agg(coalesce(CAST(k.contact_id AS VARCHAR), '∅'), '|' ORDER BY coalesce(CAST(k.contact_id AS VARCHAR), '∅')) AS relationship_ids,
-         string_agg(coalesce(ty.name, '∅'), '|' ORDER BY coalesce(ty.name, '∅')) AS relationship_categories
-  FROM v LEFT JOIN contacts k ON k.company_id = v.vendor_id LEFT JOIN contact_types ty ON k.contact_id = ty.contact_id
-  GROUP BY v.name, v.vendor_id
-),
-communications AS (
-  SELECT v.vendor_id, count(*) AS n_communications,
-         string_agg(coalesce(coalesce(re.full_name, m.to_0), '∅'), '|' ORDER BY coalesce(coalesce(re.full_name, m.to_0), '∅')) AS recipients
-  FROM v LEFT JOIN message m ON m.company_id = v.vendor_id
-         LEFT JOIN employees au ON m.author_id = au.employee_id
-         LEFT JOIN employees re ON m.recipient_id = re.employee_id
-  GROUP BY v.name, v.vendor_id
-),
-approvals AS (
-  SELECT a.vendor_id, count(*) AS n_approvals,
-         string_agg(concat_ws(':', e.full_name, fs.list_item_name, os.list_item_name), '|'
-                    ORDER BY concat_ws(':', e.full_name, fs.list_item_name, os.list_item_name)) AS approvals
-  FROM vendors a LEFT JOIN employees e ON a.created_by_ven_id = e.employee_id
-       LEFT JOIN finance_status fs ON a.finance_status_ven_id = fs.list_id
-       LEFT JOIN operations_status os ON a.operations_status_ven_id = os.list_id
-  GROUP BY a.name, a.vendor_id
-),
-subs AS (
-  SELECT v.vendor_id, count(*) AS n_subsidiaries,
-         string_agg(concat_ws(':', vsub.name, CAST(CASE WHEN vs.subsidiary_id = v.subsidiary THEN true ELSE false END AS VARCHAR), CAST(vs.subsidiary_id AS VARCHAR)), '|'
-                    ORDER BY concat_ws(':', vsub.name, CAST(CASE WHEN vs.subsidiary_id = v.subsidiary THEN true ELSE false END AS VARCHAR), CAST(vs.subsidiary_id AS VARCHAR))) AS subsidiaries
-  FROM v LEFT JOIN currencies cu ON v.currency_id = cu.currency_id
-         LEFT JOIN subsidiaries sub ON v.subsidiary = sub.subsidiary_id
-         LEFT JOIN vendor_subsidiary_map vs ON vs.vendor_id = v.vendor_id
-         LEFT JOIN subsidiaries vsub ON vsub.subsidiary_id = sub.subsidiary_id
-  GROUP BY v.name, v.vendor_id
-)
-SELECT g.*, a.n_address, a.address_labels,
-       p.pur_edi, p.pur_edi_855_activation_date, p.pur_edi_850, p.pur_edi_860, p.pur_edi_855, p.pur_edi_856,
-       p.pur_edi_810, p.pur_edi_846, p.pur_edi_capable, p.pur_creditlimit, p.pur_vendor_credit_limit_date,
-       p.pur_currency, f.fin_balance, f.fin_unbilled_orders, f.fin_currency,
-       r.n_relationships, r.relationship_ids, r.relationship_categories, c.n_communications, c.recipients,
-       ap.n_approvals, ap.approvals, s.n_subsidiaries, s.subsidiaries
-FROM general g
-LEFT JOIN address a ON g.internal_vendor_id = a.vendor_id
-LEFT JOIN purchasing p ON g.internal_vendor_id = p.vendor_id
-LEFT JOIN financials f ON g.internal_vendor_id = f.vendor_id
-LEFT JOIN relationships r ON g.internal_vendor_id = r.vendor_id
-LEFT JOIN communications c ON g.internal_vendor_id = c.vendor_id
-LEFT JOIN approvals ap ON g.internal_vendor_id = ap.vendor_id
-LEFT JOIN subs s ON g.internal_vendor_id = s.vendor_id
+address AS (SELECT internal_vendor_id, count(*) AS n_address, string_agg(concat_ws(':', label, address, is_inactive), '|' ORDER BY concat_ws(':', label, address, is_inactive)) AS address_labels FROM ({{q:vendor_addresses}}) AS x GROUP BY internal_vendor_id),
+relation AS (SELECT internal_vendor_id, count(*) AS n_relationships, string_agg(coalesce(CAST(contact_id AS VARCHAR), '∅'), '|' ORDER BY coalesce(CAST(contact_id AS VARCHAR), '∅')) AS relationship_ids, string_agg(coalesce(category, '∅'), '|' ORDER BY coalesce(category, '∅')) AS relationship_categories FROM ({{q:vendor_relationships}}) AS x GROUP BY internal_vendor_id),
+communication AS (SELECT internal_vendor_id, count(*) AS n_communications, string_agg(coalesce(primary_recipient, '∅'), '|' ORDER BY coalesce(primary_recipient, '∅')) AS recipients FROM ({{q:vendor_communications}}) AS x GROUP BY internal_vendor_id),
+approval AS (SELECT internal_vendor_id, count(*) AS n_approvals, string_agg(concat_ws(':', created_by, finance_status, operations_status), '|' ORDER BY concat_ws(':', created_by, finance_status, operations_status)) AS approvals FROM ({{q:vendor_approvals}}) AS x GROUP BY internal_vendor_id),
+subsidiary AS (SELECT internal_vendor_id, count(*) AS n_subsidiaries, string_agg(concat_ws(':', subsidiary, CAST("primary" AS VARCHAR), CAST(subsidiary_id AS VARCHAR)), '|' ORDER BY concat_ws(':', subsidiary, CAST("primary" AS VARCHAR), CAST(subsidiary_id AS VARCHAR))) AS subsidiaries FROM ({{q:vendor_subsidiaries}}) AS x GROUP BY internal_vendor_id)
+SELECT
+  v.name, v.companyname, if(v.isinactive = 'No', 'Active', 'Inactive') AS status, v.name AS vendor_id, v.vendor_id AS internal_vendor_id, 
+  if(v.is_person = 'No', 'Company', 'Individual') AS type, (SELECT name FROM vendor_types AS y WHERE y.vendor_type_id = v.vendor_type_id) AS vendor_category,
+  (SELECT name FROM payment_terms AS y WHERE y.payment_terms_id = v.payment_terms_id) AS terms, v.incoterm, v.comments, v.email,
+  v.email_address_for_payment_not, v.accounting_email, v.phone, v.altphone, v.fax, v.url AS web_address, v.billaddress AS address,
+  n_address, address_labels, v.edi AS pur_edi, v.edi_855_activation_date AS pur_edi_855_activation_date, code.m[v.edi_850_id] AS pur_edi_850, code.m[v.edi_860_id] AS pur_edi_860, code.m[v.edi_855_id] AS pur_edi_855, code.m[v.edi_856_id] AS pur_edi_856, code.m[v.edi_810_id] AS pur_edi_810, code.m[v.edi_846_id] AS pur_edi_846,
+  v.edi_capable AS pur_edi_capable, v.creditlimit AS pur_creditlimit, v.vendor_credit_limit_date AS pur_vendor_credit_limit_date, u.name AS pur_currency,
+  f.balance AS fin_balance, f.unbilled AS fin_unbilled_orders, f.currency AS fin_currency,
+  n_relationships, relationship_ids, relationship_categories, n_communications, recipients, n_approvals, approvals, n_subsidiaries, subsidiaries
+FROM vendors AS v CROSS JOIN code
+LEFT JOIN currencies AS u ON u.currency_id = v.currency_id
+LEFT JOIN money AS f ON f.vendor_id = v.vendor_id
+LEFT JOIN address ON address.internal_vendor_id = v.vendor_id
+LEFT JOIN relation ON relation.internal_vendor_id = v.vendor_id
+LEFT JOIN communication ON communication.internal_vendor_id = v.vendor_id
+LEFT JOIN approval ON approval.internal_vendor_id = v.vendor_id
+LEFT JOIN subsidiary ON subsidiary.internal_vendor_id = v.vendor_id
+WHERE companyname IS NOT NULL

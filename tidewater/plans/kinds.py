@@ -196,3 +196,48 @@ KINDS = {'carrier_nested_flat': [('carrier_shipping_data', 's'), ('po_number', '
                       ('n_communications', 'i'), ('recipients', 's'), ('n_approvals', 'i'),
                       ('approvals', 's'), ('n_subsidiaries', 'i'), ('subsidiaries', 's')],
  'zone_yesterday': [('sku', 's'), ('n_rows', 'i')]}
+
+
+def _columns(text: str) -> list[tuple[str, str]]:
+    return [tuple(x.rsplit(":", 1)) for x in text.split()]
+
+
+# Declared by hand: the elements of the nested outputs, field by field.
+_VENDOR = "name:s internal_vendor_id:i "
+_ADDRESS = _VENDOR + "is_default_bill_address:s is_default_ship_address:s label:s address:s is_inactive:s"
+_RELATIONSHIP = _VENDOR + "contact_name:s category:s job_title:s email:s phone:s contact_id:i"
+_COMMUNICATION = _VENDOR + "date:t author_id:i author:s recipient_id:i primary_recipient:s subject:s to_0:s from_0:s message_type_id:i"
+_APPROVAL = _VENDOR + "date_created:{} created_by:s finance_status:s operations_status:s"
+_SUBSIDIARY = _VENDOR + ("primary_subsidiary:s subsidiary:s primary:b isinactive:s balance:d balance_base:d unbilled_orders:d "
+                         "unbilled_orders_base:d credit_limit:d subsidiary_id:i currency:s tax_code:s")
+_SHIPMENT = ("po_number:s shipment_id:s pallet_count:d declared_value:d shipping_cost:d inactive:s tracking_number:s carrier_tracking_link_url:s "
+             "location:s po_shipping_status:s status:s invoice_number:s invoiced:s date_created:s last_modified:s last_updated:s "
+             "delivery_date:s original_delivery_eta:s pick_up_date:s")
+_CONTACT = ("internal_vendor_id:i contact_id:i full_name:s contact:s salutation_MR_MS:s contact_name:s company_id:i company_name:s job_title:s "
+            "comments:s private:s category:s email:s altemail:s mainphone:s officephone:s mobilephone:s homephone:s fax:s address:s "
+            "subsidiary_id:i subsidiary:s last_sales_activity:t supervisor:s supervisorphone:s assistand:s assistantphone:s "
+            "is_default_ship_address:s is_default_bill_address:s address_tab:s isinactive:s")
+_DOCUMENT = (
+    "expected_arrival_date:D po_number:s po_title:s po_type:s transaction_extid:s external_id:s memo:s buyer_name:s po_status:s po_terms:s "
+    "down_payment:d po_email_sent:s po_is_finalized:s po_allocation_channel:s merchandise_division:s location_code:s integration_status:s "
+    "po_first_transmission:s ready_for_860_transmit:s record_source_system:s po_category:s location:s po_batch_name:s "
+    "purchase_order_change_status:s reason_for_purchase:s competing_bids:s cost_center:s transmitted_po:s sent_to_chr:s po_created_date:s "
+    "po_date:s po_cancel_date:s po_ship_date:s po_original_ship_date:s po_original_cancel_date:s po_due_date:t po_fixed_payment_date:s "
+    "po_edit_date:s days_to_edit:d po_edit_fiscal_week_number:i n_860_last_execution_timestamp:s n_850_last_execution_timestamp:s "
+    "days_past_due:i transaction_purpose:s po_vendor_id:i po_vendor:s season_code:s season_year:s acknowledgment_date:s "
+    "acknowledgment_terms:s acknowledgment_scheduled_date:s acknowledgment_memo:s acknowledgment_type:s line_count:i total_quantity:d "
+    "remaining_open_quantity:d received_amount:d discount_amount:d reserved_amount:d shipping_amount:d amount_change:d amount_unbilled:d "
+    "refunded_amount:d total_on_order_cost:d total_on_order_quantity:d ni_submitted_total:d total_amount_lines:d total_amount_billed:d "
+    "total_principal:d total_qv_:d total_approved:d carrier_shipping_data:s created_date:t")
+_REACH = (
+    "name:s companyname:s vendor_id:s internal_vendor_id:i type:s vendor_category:s terms:s incoterm:s comments:s email:s "
+    "email_address_for_payment_not:s accounting_email:s phone:s altphone:s fax:s web_address:s address:s pur_edi:s "
+    "pur_edi_855_activation_date:s pur_edi_850:s pur_edi_860:s pur_edi_855:s pur_edi_856:s pur_edi_810:s pur_edi_846:s pur_edi_capable:s "
+    "pur_creditlimit:d pur_vendor_credit_limit_date:s pur_currency:s fin_balance:d fin_unbilled_orders:d fin_currency:s fin_clerk_name:s")
+KINDS |= {name: _columns(text) for name, text in {
+    "vendor_addresses": _ADDRESS, "vendor_addresses_live": _ADDRESS, "vendor_relationships": _RELATIONSHIP, "vendor_relationships_live": _RELATIONSHIP,
+    "vendor_communications": _COMMUNICATION + " message:s", "vendor_communications_live": _COMMUNICATION,
+    "vendor_approvals": _APPROVAL.format("t"), "vendor_approvals_live": _APPROVAL.format("s"),
+    "vendor_subsidiaries": _SUBSIDIARY, "vendor_subsidiaries_live": _SUBSIDIARY, "po_document_shipments": _SHIPMENT,
+    "vendor_document_contacts": _CONTACT, "po_document_fields": _DOCUMENT, "vendor_document_addresses": _REACH,
+}.items()} | {"po_document_lines": KINDS["po_line_measures"]}

@@ -225,6 +225,61 @@ def q_vendor_document_flat(spark, sf_dir):
     )
 
 
+def _tab_rows(df: DataFrame, tab: str, outer: bool) -> DataFrame:
+    """One row per element of a vendor tab, all its fields; documents that repeat
+    a vendor (one per map row) hold the same tab, which counts once."""
+    tabs = df.groupBy("name", "internal_vendor_id").agg(F.first(tab).alias("tab"))
+    rows = tabs.select("name", "internal_vendor_id", (F.explode_outer if outer else F.explode)("tab").alias("e"))
+    return rows.select("name", "internal_vendor_id", "e.*")
+
+
+TABS = {"vendor_addresses": "address_tab", "vendor_relationships": "relationships_tab", "vendor_communications": "communications_tab",
+        "vendor_approvals": "approvals_tab", "vendor_subsidiaries": "subsidiaries_tab"}
+
+
+def _tab_query(tab: str, stage: bool):
+    def query(spark, sf_dir):
+        t = sources(spark, sf_dir)
+        return _tab_rows(compliance.vendor_contacts_stage(t), tab, False) if stage else _tab_rows(asn.vendor_contacts(t), tab, True)
+    return query
+
+
+def q_po_document_fields(spark, sf_dir):
+    """Every flat field of the document."""
+    df = compliance.po_document(sources(spark, sf_dir), AS_OF)
+    flat = [x.name for x in df.schema["purchase_oder"].dataType if not isinstance(x.dataType, (T.StructType, T.ArrayType))]
+    return df.select("expected_arrival_date", "po_number", *[c(f"purchase_oder.{x}").alias(x) for x in flat],
+                     "purchase_oder.po_dates.*", "purchase_oder.po_vendor.*", "purchase_oder.po_season.*", "purchase_oder.acknowledgment.*",
+                     "purchase_oder.po_amounts.*", "totals.*", "carrier_shipment_chr.carrier_shipping_data", "created_date")
+
+
+def q_po_document_lines(spark, sf_dir):
+    df = compliance.po_document(sources(spark, sf_dir), AS_OF)
+    return df.select("po_number", F.explode("purchase_oder.po_lines").alias("l")).select("po_number", "l.*")
+
+
+def q_po_document_shipments(spark, sf_dir):
+    df = compliance.po_document(sources(spark, sf_dir), AS_OF)
+    rows = df.select("po_number", F.explode("carrier_shipment_chr.shipment_details").alias("s"))
+    return rows.select("po_number", "s.shipment_id", "s.pallet_count", "s.declared_value", "s.shipping_cost", "s.inactive",
+                       "s.tracking.*", "s.invoice.*", "s.shipment_dates.*")
+
+
+def q_vendor_document_contacts(spark, sf_dir):
+    df = compliance.vendor_document(sources(spark, sf_dir))
+    rows = df.select("internal_vendor_id", F.explode("contacts").alias("k")).select("internal_vendor_id", "k.*")
+    return rows.withColumn("category", F.array_join("category", "|"))
+
+
+def q_vendor_document_addresses(spark, sf_dir):
+    df = compliance.vendor_document(sources(spark, sf_dir))
+    purchasing = [x.name for x in df.schema["purchasing_tab"].dataType]
+    return df.select("name", "companyname", "vendor_id", "internal_vendor_id", "type", "vendor_category", "terms", "incoterm", "comments", "email_phone_address.*",
+                     *[c(f"purchasing_tab.{x}").alias(f"pur_{x}") for x in purchasing],
+                     c("financials_tab.balance").alias("fin_balance"), c("financials_tab.unbilled_orders").alias("fin_unbilled_orders"),
+                     c("financials_tab.currency").alias("fin_currency"), c("financials_tab.accounting_clerk_name").alias("fin_clerk_name"))
+
+
 def q_text_price_clean(spark, sf_dir):
     """Line price text as a number and as a cleaned rate text."""
     t = sources(spark, sf_dir)
@@ -273,6 +328,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_price_clean": q_text_price_clean,
     "zone_yesterday": q_zone_yesterday,
     "publish_round_trip": q_publish_round_trip,
+    **{name: _tab_query(tab, False) for name, tab in TABS.items()},
+    **{f"{name}_live": _tab_query(tab, True) for name, tab in TABS.items()},
+    "po_document_fields": q_po_document_fields,
+    "po_document_lines": q_po_document_lines,
+    "po_document_shipments": q_po_document_shipments,
+    "vendor_document_contacts": q_vendor_document_contacts,
+    "vendor_document_addresses": q_vendor_document_addresses,
 }
 
 
