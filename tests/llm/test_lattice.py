@@ -25,7 +25,7 @@ def plain(pieces, text, key):
     """Segmentation by per-character lists, with the same draws."""
     out, chunk = [], 0
     data = np.frombuffer(b" " + text.encode(), np.uint8)
-    cuts = S.chunk_cuts(data, np.array([0, len(data)]))
+    cuts = S.chunk_cuts(data, np.array([0, len(data)]), pieces.marks)
     for a, b in zip(cuts[:-1], cuts[1:]):
         chars = [S.ESCAPE if c == " " else "" if c == S.ESCAPE else c for c in data[a:b].tobytes().decode()]
         n = len(chars)
@@ -43,11 +43,11 @@ def plain(pieces, text, key):
             total[j] = top + math.log(sum(math.exp(total[i] + w - top) for i, _, w in edges[j]))
         at, step, path = n, 0, []
         while at:
-            u = float(S.draws(np.array([key], np.uint64), np.array([chunk]), step)[0])
+            u = int(S.draws(np.array([key], np.uint64), np.array([chunk]), step)[0])
             run = 0.0
             for i, tokens, w in edges[at]:
                 run += math.exp(total[i] + w - total[at])
-                if u < run or (i, tokens, w) == edges[at][-1]:
+                if u < math.floor(run * 2**S.DRAW_BITS) or (i, tokens, w) == edges[at][-1]:
                     break
             path = tokens + path
             at, step = i, step + 1
@@ -71,7 +71,7 @@ def test_against_a_plain_sampler(model, monkeypatch, slice_bytes):
 
 
 def test_memo_is_bounded(model, monkeypatch):
-    monkeypatch.setattr(S, "MEMO_NODES", 200)
+    monkeypatch.setattr(S, "MEMO_NODES", 50)
     built, keys = S.Lattices(model, 0.3), S.row_keys(np.arange(30), 7)
     texts = [f"word{i} and x{i * 7}" for i in range(30)]
     assert [encode(built, [t], keys[i : i + 1])[0] for i, t in enumerate(texts)] == [plain(built.pieces, t, k) for t, k in zip(texts, keys)]
@@ -112,6 +112,8 @@ def test_frames(spark, model):
     assert coded.columns == [*docs.columns, "pieces", "decoded"]
     out = coded.collect()
     assert all(r.decoded == (r.text or "") for r in out) and len(out) == len(rows)
+    both = S.encode(docs, model, alpha=0.1, decoded="decoded")
+    assert both.columns == coded.columns and sorted(map(str, both.collect())) == sorted(map(str, out))
     again = S.encode(docs.repartition(5), model, alpha=0.1).collect()
     assert {(r.doc_id, r.text, tuple(r.pieces)) for r in again} == {(r.doc_id, r.text, tuple(r.pieces)) for r in out}
     assert len({tuple(r.pieces) for r in out if r.doc_id == 6}) == 1

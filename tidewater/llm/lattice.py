@@ -46,17 +46,19 @@ ESCAPE = "▁"
 #: What a text's own escape sign becomes inside the lattice: no piece spells it.
 FOREIGN = 0x110000
 ALPHA, SEED, RANK_OFFSET = 1.0, 20_240, 10
-SLICE_BYTES, MEMO_NODES = 2 << 20, 1 << 21
-#: A draw has so many bits: node number + draw stays exact in double precision.
+SLICE_BYTES, MEMO_NODES = 1 << 20, 3_000_000
+#: Draws and the bounds that they are held against are integers of so many bits.
 DRAW_BITS = 30
+#: Marks that a word may be cut off from, where no piece joins a letter to them.
+MARKS = ".,;:!?*%$&#|"
 
 
 def draws(keys: np.ndarray, chunk: np.ndarray, step: int) -> np.ndarray:
-    """Uniform draws from [0, 1) of the given rows' keys, chunk numbers and step."""
+    """Uniform draws of ``DRAW_BITS`` bits of the given rows' keys, chunk numbers and step."""
     with np.errstate(over="ignore"):
         x = mix64(keys + chunk.astype(np.uint64) * np.uint64(GOLDEN))
         x = mix64(x + np.uint64(step * GOLDEN % 2**64))
-    return (x >> np.uint64(64 - DRAW_BITS)).astype(np.float64) / 2**DRAW_BITS
+    return (x >> np.uint64(64 - DRAW_BITS)).astype(np.uint32)
 
 
 def row_keys(ids: np.ndarray, seed: int) -> np.ndarray:
@@ -92,23 +94,43 @@ class Pieces:
             self.log_weight[i] = -alpha * np.log(r + RANK_OFFSET)
         self.spelled = spelled
         self.longest = max(map(len, spelled))
-        by_length: dict[int, list] = {}
-        for piece, i in spelled.items():
-            by_length.setdefault(len(piece), []).append((piece, i))
+        letters = set("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz")
+        joined = {b for p in spelled for a, b in zip(p, p[1:]) if a in letters}
+        self.marks = "".join(x for x in MARKS if x not in joined)
+        # By length, the hashes of what begins a piece, and the piece that it is (else -1).
+        begins: dict[int, dict] = {}
+        for piece in spelled:
+            for n in range(1, len(piece) + 1):
+                begins.setdefault(n, {}).setdefault(piece[:n], spelled.get(piece[:n], -1))
         self.tables = {}
-        for length, rows in by_length.items():
-            codes = np.array([[ord(c) for c in p] for p, _ in rows], np.uint32)
-            flat = SubstringHash(codes.ravel())
-            at = np.arange(len(rows)) * length
-            hashes, ids = flat(at, at + length), np.array([i for _, i in rows])
+        for n, rows in begins.items():
+            codes = np.array([[ord(c) for c in p] for p in rows], np.uint32)
+            flat, at = SubstringHash(codes.ravel()), np.arange(len(rows)) * n
+            hashes, ids = flat(at, at + n), np.array(list(rows.values()))
             order = np.argsort(hashes)
-            self.tables[length] = hashes[order], ids[order]
+            self.tables[n] = hashes[order], ids[order]
 
-    def at(self, hashes: np.ndarray, length: int) -> np.ndarray:
-        """Piece ids of hashed spellings of one length; -1 where none."""
+    def at(self, hashes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """Of hashed spellings of one length: whether they begin a piece, and the piece that they are (else -1)."""
         known, ids = self.tables[length]
         k = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-        return np.where(known[k] == hashes, ids[k], -1)
+        begins = known[k] == hashes
+        return begins, np.where(begins, ids[k], -1)
+
+
+class Column:
+    """An array that grows at its end."""
+
+    def __init__(self, kind):
+        self.array, self.n = np.zeros(1024, kind), 0
+
+    def append(self, values: np.ndarray) -> None:
+        if self.n + len(values) > len(self.array):
+            grown = np.zeros(max(2 * len(self.array), self.n + len(values)), self.array.dtype)
+            grown[: self.n] = self.array[: self.n]
+            self.array = grown
+        self.array[self.n : self.n + len(values)] = values
+        self.n += len(values)
 
 
 class Lattices:
@@ -120,11 +142,12 @@ class Lattices:
 
     def clear(self) -> None:
         self.place: dict[str, int] = {}
-        self.first, self.last = np.zeros(0, np.int64), np.zeros(0, np.int64)  # nodes of a chunk
-        self.shares = np.zeros(0)  # node + cumulated share of each edge, ascending
-        self.origin = np.zeros(0, np.int64)  # node that an edge comes from
-        self.token_at, self.token_n = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self.tokens = np.zeros(0, np.int32)
+        self.first, self.last = Column(np.int32), Column(np.int32)  # nodes of a chunk
+        self.begin = Column(np.int32)  # first edge into a node
+        self.bound = Column(np.uint32)  # cumulated share of an edge among those into its node
+        self.origin = Column(np.int32)  # node that an edge comes from
+        self.token_at, self.token_n = Column(np.int32), Column(np.int32)
+        self.tokens = Column(np.int32)
         self.nodes = 0
 
     def add(self, chunks: list[str]) -> None:
@@ -137,21 +160,17 @@ class Lattices:
         chunk = np.repeat(np.arange(len(chunks)), sizes)
         stop = np.repeat(start + sizes, sizes)
         n, hashed = len(codes), SubstringHash(codes)
-        sources, lengths, ids = [], [], []
-        for length in sorted(self.pieces.tables):
-            at = np.flatnonzero(np.arange(n) + length <= stop)
-            if not len(at):
-                break
-            found = self.pieces.at(hashed(at, at + length), length)
-            hit = found >= 0
+        sources, lengths, ids, at = [], [], [], np.arange(n)
+        for length in range(1, self.pieces.longest + 1):
+            at = at[at + length <= stop[at]]
+            begins, found = self.pieces.at(hashed(at, at + length), length)
+            hit = (found >= 0) | (length == 1)  # a character without a piece goes by its bytes
             sources.append(at[hit])
             lengths.append(np.full(int(hit.sum()), length))
             ids.append(found[hit])
-            if length == 1:
-                alone = at[~hit]
-                sources.append(alone)
-                lengths.append(np.ones(len(alone), np.int64))
-                ids.append(np.full(len(alone), -1))
+            at = at[begins]
+            if not len(at):
+                break
         source, length, piece = (np.concatenate(x) for x in (sources, lengths, ids))
         # Nodes of a chunk of m characters are m + 1 numbers in a row.
         origin = source + chunk[source]
@@ -172,14 +191,14 @@ class Lattices:
         tokens[at[piece >= 0]] = piece[piece >= 0]
         for e, x in zip(foreign, spelled):
             tokens[at[e] : at[e] + len(x)] = self.pieces.byte_ids[list(x)]
-        base = len(self.place)
+        base, low = len(self.place), start + np.arange(len(chunks)) + self.nodes
         self.place.update(zip(chunks, range(base, base + len(chunks))))
-        self.first = np.concatenate([self.first, self.nodes + start + np.arange(len(chunks))])
-        self.last = np.concatenate([self.last, self.nodes + start + np.arange(len(chunks)) + sizes])
-        self.origin = np.concatenate([self.origin, origin + self.nodes])
-        self.token_at = np.concatenate([self.token_at, at + len(self.tokens)])
-        self.token_n = np.concatenate([self.token_n, counts])
-        self.tokens = np.concatenate([self.tokens, tokens])
+        self.first.append(low)
+        self.last.append(low + sizes)
+        self.token_at.append(at + self.tokens.n)
+        self.token_n.append(counts)
+        self.tokens.append(tokens)
+        self.origin.append(origin + self.nodes)
         self.nodes += n + len(chunks)
 
     def _filter(self, origin: np.ndarray, target: np.ndarray, weight: np.ndarray, first: np.ndarray, sizes: np.ndarray) -> None:
@@ -205,20 +224,26 @@ class Lattices:
             value[edges] = share / np.repeat(sums, n)
         # Cumulated shares inside each node; the last is one, whatever the rounding.
         run = np.cumsum(value)
-        per_node = end - begin
-        run -= np.repeat(np.where(begin > 0, run[begin - 1], 0), per_node)
+        run -= np.repeat(np.where(begin > 0, run[begin - 1], 0), end - begin)
         run[end - 1] = 1
-        self.shares = np.concatenate([self.shares, self.nodes + target + np.minimum(run, 1)])
+        into = np.zeros(len(total), np.int64)
+        into[nodes] = begin
+        self.begin.append(into + self.bound.n)
+        self.bound.append(np.floor(np.minimum(run, 1) * 2**DRAW_BITS))
 
     def sample(self, numbers: np.ndarray, keys: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Draw a path for each occurrence of a chunk; (tokens, number of tokens of each)."""
-        active, node, walk, step = np.arange(len(numbers)), self.last[numbers], [], 0
+        first, bound = self.first.array[numbers], self.bound.array
+        active, node, walk, step = np.arange(len(numbers)), self.last.array[numbers], [], 0
         while len(active):
-            u = draws(keys[active], which[active], step)
-            edge = np.searchsorted(self.shares, node + u, "right")
+            draw, edge = draws(keys[active], which[active], step), self.begin.array[node]
+            beyond = np.flatnonzero(draw >= bound[edge])
+            while len(beyond):
+                edge[beyond] += 1
+                beyond = beyond[draw[beyond] >= bound[edge[beyond]]]
             walk.append((active, edge))
-            node = self.origin[edge]
-            left = node > self.first[numbers[active]]
+            node = self.origin.array[edge]
+            left = node > first[active]
             active, node, step = active[left], node[left], step + 1
         steps = np.zeros(len(numbers), np.int64)
         for active, _ in walk:
@@ -227,24 +252,24 @@ class Lattices:
         path = np.empty(int(ends[-1]) if len(ends) else 0, np.int64)
         for k, (active, edge) in enumerate(walk):
             path[ends[active] - 1 - k] = edge
-        counts = self.token_n[path]
-        at = np.repeat(self.token_at[path] - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
+        counts = self.token_n.array[path].astype(np.int64)
         per = np.concatenate([np.zeros(1, np.int64), np.cumsum(counts)])
-        return self.tokens[at], per[ends] - per[ends - steps]
+        at = np.repeat(self.token_at.array[path] - per[:-1], counts) + np.arange(per[-1])
+        return self.tokens.array[at], per[ends] - per[ends - steps]
 
     def numbers(self, data: np.ndarray, cuts: np.ndarray) -> np.ndarray:
         """The memo's number of each chunk of ``data``."""
         chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        missing = [x for x in distinct if x not in self.place]
+        if self.nodes + 2 * len(data) > MEMO_NODES and self.place:
+            self.clear()
+        place = list(map(self.place.get, distinct))
+        missing = [x for x, k in zip(distinct, place) if k is None]
         if missing:
-            if self.nodes + sum(map(len, missing)) > MEMO_NODES:
-                self.clear()
-                missing = distinct
             self.add(missing)
-        place = self.place
-        return np.fromiter((place[x] for x in distinct), np.int64, len(distinct))[coded.indices.to_numpy()]
+            place = list(map(self.place.__getitem__, distinct))
+        return np.array(place, np.int64)[coded.indices.to_numpy()]
 
     def encode(self, column: pa.Array, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Token ids of all rows one after another, and each row's number of ids."""
@@ -261,7 +286,7 @@ class Lattices:
             keep[np.cumsum(lengths + 1)[:-1] - 1] = False
             data = np.ascontiguousarray(data[keep])
             ends = np.cumsum(lengths)
-            cuts = chunk_cuts(data, np.concatenate([[0], ends]))
+            cuts = chunk_cuts(data, np.concatenate([[0], ends]), self.pieces.marks)
             row = np.searchsorted(ends, cuts[:-1], "right")
             first = np.searchsorted(cuts, ends - lengths)
             at = 0
@@ -277,13 +302,17 @@ class Lattices:
         return (np.concatenate(out) if out else np.zeros(0, np.int32)), counts
 
 
-def chunk_cuts(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+def chunk_cuts(data: np.ndarray, bounds: np.ndarray, marks: str) -> np.ndarray:
     """Where chunks begin and end: at rows' bounds, before a blank that follows no
-    blank, and on both sides of a line feed (no piece spells one)."""
+    blank, between an ASCII letter and one of ``marks``, and on both sides of a
+    line feed (no piece spells one)."""
     is_cut = np.zeros(len(data) + 1, bool)
     is_cut[bounds] = True
     blank, feed = data == 0x20, data == 0x0A
-    is_cut[1:-1] |= (blank[1:] & ~blank[:-1]) | feed[1:] | feed[:-1]
+    kind = np.zeros(256, np.uint8)
+    kind[np.frombuffer(marks.encode(), np.uint8)] = 1
+    kind[0x41:0x5B] = kind[0x61:0x7B] = 2
+    is_cut[1:-1] |= (blank[1:] & ~blank[:-1]) | feed[1:] | feed[:-1] | ((kind[data[1:]] == 1) & (kind[data[:-1]] == 2))
     return np.flatnonzero(is_cut)
 
 
@@ -297,11 +326,18 @@ def surfaces(path: str) -> list[bytes]:
     return Pieces(path, 1.0).surface
 
 
-def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED, key_column: str = "doc_id", text_column: str = "text", into: str = "pieces") -> DataFrame:
+def spell(surface: list[bytes], ids: np.ndarray, ends: np.ndarray) -> list[str]:
+    """The texts that rows of ids spell (without the blank in front)."""
+    return [b"".join([surface[i] for i in ids[a:b].tolist()])[1:].decode(errors="replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+
+
+def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED, key_column: str = "doc_id", text_column: str = "text", into: str = "pieces",
+           decoded: str | None = None) -> DataFrame:
     """``docs`` with a column ``into`` (array of int): a segmentation of the text
-    drawn by the row's key. All other columns pass through unchanged."""
+    drawn by the row's key. All other columns pass through unchanged. ``decoded``
+    names a column for the text that the pieces spell, decoded in the same pass."""
     prepare(docs.sparkSession)
-    text, names = docs.columns.index(text_column), [*docs.columns, into]
+    text, names = docs.columns.index(text_column), [*docs.columns, into, *([decoded] if decoded else [])]
     keyed = docs.withColumn("__key", F.coalesce(F.xxhash64(key_column), F.lit(0)))
 
     def run(batches):
@@ -310,9 +346,11 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
             keys = row_keys(batch.column(batch.num_columns - 1).to_numpy(), seed)
             tokens, counts = built.encode(batch.column(text).cast(pa.large_string()), keys)
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(tokens))], names)
+            spelled = [pa.array(spell(built.pieces.surface, tokens, ends), pa.string())] if decoded else []
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(tokens)), *spelled], names)
 
-    return keyed.mapInArrow(run, StructType([*docs.schema.fields, StructField(into, ArrayType(IntegerType()))]))
+    more = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
+    return keyed.mapInArrow(run, StructType([*docs.schema.fields, *more]))
 
 
 def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str = "decoded") -> DataFrame:
@@ -325,7 +363,6 @@ def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str
         for batch in batches:
             lists = batch.column(at)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            texts = [b"".join([surface[i] for i in flat[a:b].tolist()])[1:].decode(errors="replace") for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spell(surface, flat, ends), pa.string())], names)
 
     return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())]))

@@ -69,7 +69,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_sampled_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode every text, decode the pieces again and compare."""
     model = tokenizer_path(PIECES)
-    coded = lattice.decode(lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model), model)
+    coded = lattice.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model, decoded="decoded")
     return coded.select("doc_id", "pieces", F.size("pieces").cast("long").alias("n_pieces"), (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("lossless"))
 
 
