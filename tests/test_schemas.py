@@ -5,6 +5,8 @@ import pytest
 from tidewater.plans.queries import AS_OF, sources
 from tidewater.plans.registry import BUILDERS, COLUMNS
 from tidewater.schemas import OUTPUTS
+from tidewater.sources.catalog import ERP_TABLES, Sources
+from tidewater.sources.inputs import INPUTS, checked
 
 SF = "/root/testdata/sf0.001"
 
@@ -28,3 +30,22 @@ def test_nested_field_counts(t):
     assert len(doc.fields) == 33  # 27 scalars, 5 structs, the line array
     contacts = BUILDERS["vendor_contacts_nested"](t, AS_OF).schema["contacts"].dataType.elementType
     assert len(contacts.fields) == 30
+
+
+def test_inputs_are_declared_and_checked(t, spark):
+    assert set(INPUTS) == set(t) == set(ERP_TABLES)
+    for name in t:
+        checked(t[name], name)
+    with pytest.raises(ValueError, match="currency_id is missing"):
+        checked(t["transactions"].drop("currency_id"), "transactions")
+    with pytest.raises(ValueError, match="trandate is string"):
+        checked(t["transactions"].withColumn("trandate", t["transactions"]["trandate"].cast("string")), "transactions")
+
+
+def test_catalog_tables_as_sources(t, spark):
+    t["season"].write.mode("overwrite").saveAsTable("default.season")
+    try:
+        for database in ("default", "spark_catalog.default"):  # S1 and S2
+            assert Sources.from_catalog(spark, database)["season"].count() == t["season"].count()
+    finally:
+        spark.sql("DROP TABLE default.season")

@@ -3,26 +3,26 @@ checked by tests/test_schemas.py): column names, order, types and nested fields.
 
 OUTPUTS = {
     'asn_details': (
-        'struct<vendor:string,brand:string,po_date:timestamp_ntz,ship_date:timestamp_ntz,cancel_date:timestam'
-        'p_ntz,po_number:string,merchandise_division:string,po_type:string,season_code:string,season_year:str'
-        'ing,buyer:string,line_id:bigint,sku:string,vendor_sku:string,upc:string,memo:string,expected_arrival'
-        '_eta_line:timestamp_ntz,quantity_in_transaction_unit:double,original_transmitted_qty:double,quantity'
-        '_fulfilled_received:double,quantity_billed:double,qty_in_transit:double,units:string,rate:string,dis'
-        'count_amount:double,purchase_price:double,amount:double,asn_record:string,asn_quantity_shipped:doubl'
-        'e,asn_shipment_date:timestamp_ntz,asn_estimated_delivery_date:timestamp_ntz,n_860_sent:timestamp_ntz'
-        ',status:string,in_transit_window:string,transit_window_end:date>'
+        'struct<vendor:string,brand:string,po_date:timestamp,ship_date:timestamp,cancel_date:timestamp,po_num'
+        'ber:string,merchandise_division:string,po_type:string,season_code:string,season_year:string,buyer:st'
+        'ring,line_id:bigint,sku:string,vendor_sku:string,upc:string,memo:string,expected_arrival_eta_line:ti'
+        'mestamp,quantity_in_transaction_unit:double,original_transmitted_qty:double,quantity_fulfilled_recei'
+        'ved:double,quantity_billed:double,qty_in_transit:double,units:string,rate:string,discount_amount:dou'
+        'ble,purchase_price:double,amount:double,asn_record:string,asn_quantity_shipped:double,asn_shipment_d'
+        'ate:timestamp,asn_estimated_delivery_date:timestamp,n_860_sent:timestamp,status:string,in_transit_wi'
+        'ndow:string,transit_window_end:date>'
     ),
     'asn_summary': (
         'struct<merchandise_division:string,count_vendors:bigint,count_orders:bigint,assigned_to:string,count'
         '_problems_lines:bigint>'
     ),
     'carrier_shipment_info_chr': (
-        'struct<name:string,vendor:string,po_number:string,po_shipping_status:string,date_created:timestamp_n'
-        'tz,last_modified:timestamp_ntz,inactive:string,carrier_shipping_data:string,last_updated:timestamp_n'
-        'tz,shipment_id:string,status:string,delivery_date:timestamp_ntz,tracking_number:string,carrier_track'
-        'ing_link_url:string,tracking_number_html:string,original_delivery_eta:timestamp_ntz,pick_up_date:tim'
-        'estamp_ntz,location:string,pallet_count:double,declared_value:double,shipping_cost:double,invoice_nu'
-        'mber:string,invoiced:string>'
+        'struct<name:string,vendor:string,po_number:string,po_shipping_status:string,date_created:timestamp,l'
+        'ast_modified:timestamp,inactive:string,carrier_shipping_data:string,last_updated:timestamp,shipment_'
+        'id:string,status:string,delivery_date:timestamp,tracking_number:string,carrier_tracking_link_url:str'
+        'ing,tracking_number_html:string,original_delivery_eta:timestamp,pick_up_date:timestamp,location:stri'
+        'ng,pallet_count:double,declared_value:double,shipping_cost:double,invoice_number:string,invoiced:str'
+        'ing>'
     ),
     'contact_details': (
         'struct<contact_id:bigint,full_name:string,contact:string,salutation_MR_MS:string,name:string,company'
@@ -36,14 +36,13 @@ OUTPUTS = {
         'struct<tranid:string,original_ship_date:date,original_cancel_date:date,Carrier_Shipping_Data:string,'
         'sent_to_chr:string,n_860_last_execution_timestamp:string,location_code:bigint,integration_status_id:'
         'string,ready_for_860_transmit_id:string,n_850_last_execution_timestamp:string,acknowledgment_date:st'
-        'ring,acknowledgment_terms:string,acknowledgment_scheduled_date:timestamp_ntz,acknowledgment_memo:str'
-        'ing,acknowledgment_type_id:string,acknowledgment_item_status:string,acknowledgment_rate:double,ackno'
-        'wledgment_scheduled_date1:timestamp_ntz,acknowledgment_scheduled_quan:double,acknowledgment_memo1:st'
-        'ring,n2nd_Acknowledgment_Item_Status:bigint,n_2nd_acknowledgment_scheduled_date:timestamp_ntz,n_2nd_'
-        'acknowledgment_scheduled_quantity:double,asn_record:string,asn_quantity_shipped:double,asn_shipment_'
-        'date:timestamp_ntz,asn_estimated_delivery_date:timestamp_ntz,edi:string,edi_810:string,edi_846:strin'
-        'g,edi_850:string,edi_855:string,edi_855_activation_date:string,edi_856:string,edi_860:string,edi_cap'
-        'able:string>'
+        'ring,acknowledgment_terms:string,acknowledgment_scheduled_date:timestamp,acknowledgment_memo:string,'
+        'acknowledgment_type_id:string,acknowledgment_item_status:string,acknowledgment_rate:double,acknowled'
+        'gment_scheduled_date1:timestamp,acknowledgment_scheduled_quan:double,acknowledgment_memo1:string,n2n'
+        'd_Acknowledgment_Item_Status:bigint,n_2nd_acknowledgment_scheduled_date:timestamp,n_2nd_acknowledgme'
+        'nt_scheduled_quantity:double,asn_record:string,asn_quantity_shipped:double,asn_shipment_date:timesta'
+        'mp,asn_estimated_delivery_date:timestamp,edi:string,edi_810:string,edi_846:string,edi_850:string,edi'
+        '_855:string,edi_855_activation_date:string,edi_856:string,edi_860:string,edi_capable:string>'
     ),
     'vendor_contacts': (
         'struct<name:string,companyname:string,status:string,vendor_id:string,internal_vendor_id:bigint,type:'
@@ -55,31 +54,31 @@ OUTPUTS = {
         ',edi_846:string,edi_capable:string,creditlimit:double,vendor_credit_limit_date:timestamp,currency:st'
         'ring>,financials_tab:struct<balance:double,unbilled_orders:double,currency:string>,relationships_tab'
         ':array<struct<contact_name:string,category:string,job_title:string,email:string,phone:string,contact'
-        '_id:bigint>>,communications_tab:array<struct<date:timestamp_ntz,author_id:bigint,author:string,recip'
-        'ient_id:bigint,primary_recipient:string,subject:string,to_0:string,from_0:string,message_type_id:big'
-        'int,message:string>>,approvals_tab:array<struct<date_created:timestamp,created_by:string,finance_sta'
-        'tus:string,operations_status:string>>,subsidiaries_tab:array<struct<primary_subsidiary:string,subsid'
-        'iary:string,primary:boolean,isinactive:string,balance:double,balance_base:double,unbilled_orders:dou'
-        'ble,unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,currency:string,tax_code:st'
-        'ring>>>'
+        '_id:bigint>>,communications_tab:array<struct<date:timestamp,author_id:bigint,author:string,recipient'
+        '_id:bigint,primary_recipient:string,subject:string,to_0:string,from_0:string,message_type_id:bigint,'
+        'message:string>>,approvals_tab:array<struct<date_created:timestamp,created_by:string,finance_status:'
+        'string,operations_status:string>>,subsidiaries_tab:array<struct<primary_subsidiary:string,subsidiary'
+        ':string,primary:boolean,isinactive:string,balance:double,balance_base:double,unbilled_orders:double,'
+        'unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,currency:string,tax_code:string'
+        '>>>'
     ),
     'purchase_orders_all': (
         'struct<po_number:string,po_title:string,po_type:string,transaction_extid:string,external_id:string,b'
         'uyer:string,po_status:string,po_vendor:string,po_terms:string,po_cancel_date:string,po_created_date:'
         'string,po_ship_date:string,po_original_ship_date:string,po_original_cancel_date:string,po_due_date:t'
-        'imestamp_ntz,po_email_sent:string,po_first_transmission:string,po_fixed_payment_date:string,po_is_fi'
-        'nalized:string,record_source_system:string,po_edit_date:string,po_edit_fiscal_week_number:bigint,day'
-        's_to_edit:double,po_allocation_channel:string,vendor_id:bigint,po_date:string,merchandise_division:s'
-        'tring,season_code:string,season_year:string,n_860_last_execution_timestamp:string,n_850_last_executi'
-        'on_timestamp:string,discount_amount:double,down_payment:double,reserved_amount:double,shipping_amoun'
-        't:double,amount_change:double,amount_unbilled:double,total__amount:double,total_amount_billed:double'
-        ',total_principal:double,total_qv_:double,total_approved:double,refunded_amount:double,po_category:st'
-        'ring,location:string,memo:string,po_batch_name:string,line_count:bigint,total_quantity:double,remain'
-        'ing_open_quantity:double,days_past_due:int,due_date:timestamp_ntz,received_amount:double,transmitted'
-        '_po:string,cost_center:string,location_code:string,integration_status:string,competing_bids:string,r'
-        'eason_for_purchase:string,purchase_order_change_status:string,ready_for_860_transmit:string,acknowle'
-        'dgment_date:string,acknowledgment_terms:string,acknowledgment_scheduled_date:string,acknowledgment_m'
-        'emo:string,acknowledgment_type:string,transaction_purpose:string,sent_to_chr:string>'
+        'imestamp,po_email_sent:string,po_first_transmission:string,po_fixed_payment_date:string,po_is_finali'
+        'zed:string,record_source_system:string,po_edit_date:string,po_edit_fiscal_week_number:bigint,days_to'
+        '_edit:double,po_allocation_channel:string,vendor_id:bigint,po_date:string,merchandise_division:strin'
+        'g,season_code:string,season_year:string,n_860_last_execution_timestamp:string,n_850_last_execution_t'
+        'imestamp:string,discount_amount:double,down_payment:double,reserved_amount:double,shipping_amount:do'
+        'uble,amount_change:double,amount_unbilled:double,total__amount:double,total_amount_billed:double,tot'
+        'al_principal:double,total_qv_:double,total_approved:double,refunded_amount:double,po_category:string'
+        ',location:string,memo:string,po_batch_name:string,line_count:bigint,total_quantity:double,remaining_'
+        'open_quantity:double,days_past_due:int,due_date:timestamp,received_amount:double,transmitted_po:stri'
+        'ng,cost_center:string,location_code:string,integration_status:string,competing_bids:string,reason_fo'
+        'r_purchase:string,purchase_order_change_status:string,ready_for_860_transmit:string,acknowledgment_d'
+        'ate:string,acknowledgment_terms:string,acknowledgment_scheduled_date:string,acknowledgment_memo:stri'
+        'ng,acknowledgment_type:string,transaction_purpose:string,sent_to_chr:string>'
     ),
     'po_lines_nested': (
         'struct<po_number:string,po_lines:array<struct<item_extid:string,vendor_sku:string,item_description:s'
@@ -87,18 +86,18 @@ OUTPUTS = {
         'inal_transmitted_qty:double,quantity_received_in_shipment:double,number_billed:double,unit_of_measur'
         'e:string,conversion_rate:double,item_unit_price:string,rate:string,purchase_price:double,discount_am'
         'ount:double,amount:double,product_group_name:string,upc_code:string,brand_name:string,options:bigint'
-        ',line_created_date:timestamp_ntz,quantity_available:double,acknowledgment_item_status:string,transac'
-        'tion_line_id:bigint,inventory_owned_flag:boolean,transaction_expected_arrival_date:timestamp,acknowl'
-        'edgment_rate:double,acknowledgment_scheduled_date:string,acknowledgment_scheduled_quantity:double,ac'
-        'knowledgment_memo:string,n_2nd_acknowledgment_item_status:string,n_2nd_acknowledgment_scheduled_date'
-        ':timestamp_ntz,n_2nd_acknowledgment_schedul_quantity:double,asn_record:string,asn_quantity_shipped:d'
-        'ouble,asn_shipment_date:string,asn_estimated_delivery_date:string,demand_amount:double,demand_cogs:d'
-        'ouble,demand_quantity:double,estimated_cost:double,full_price:double,shipping_amount:double,amount_c'
-        'ustom:double,amount_foreign:double,amount_pending:double,original_cogs:double,po__rate:string,quanti'
-        'ty_allocated:double,quantity_custom:double,quantity_difference:double,quantity_on_order:double,rate_'
-        'custom:double,quantity_in_transaction_unit:double,in_transit_window:string,transit_window_end:string'
-        ',qty_in_transit:double,on_order_quantity:double,on_order_cost:double>>,total_on_order_quantity:doubl'
-        'e,total_on_order_cost:double,expected_arrival_date:date,total_amount_lines:double>'
+        ',line_created_date:timestamp,quantity_available:double,acknowledgment_item_status:string,transaction'
+        '_line_id:bigint,inventory_owned_flag:boolean,transaction_expected_arrival_date:timestamp,acknowledgm'
+        'ent_rate:double,acknowledgment_scheduled_date:string,acknowledgment_scheduled_quantity:double,acknow'
+        'ledgment_memo:string,n_2nd_acknowledgment_item_status:string,n_2nd_acknowledgment_scheduled_date:tim'
+        'estamp,n_2nd_acknowledgment_schedul_quantity:double,asn_record:string,asn_quantity_shipped:double,as'
+        'n_shipment_date:string,asn_estimated_delivery_date:string,demand_amount:double,demand_cogs:double,de'
+        'mand_quantity:double,estimated_cost:double,full_price:double,shipping_amount:double,amount_custom:do'
+        'uble,amount_foreign:double,amount_pending:double,original_cogs:double,po__rate:string,quantity_alloc'
+        'ated:double,quantity_custom:double,quantity_difference:double,quantity_on_order:double,rate_custom:d'
+        'ouble,quantity_in_transaction_unit:double,in_transit_window:string,transit_window_end:string,qty_in_'
+        'transit:double,on_order_quantity:double,on_order_cost:double>>,total_on_order_quantity:double,total_'
+        'on_order_cost:double,expected_arrival_date:date,total_amount_lines:double>'
     ),
     'carrier_shipment_chr_nested': (
         'struct<carrier_shipping_data:string,po_number:string,vendor:string,custom_po_number:string,shipment_'
@@ -119,13 +118,13 @@ OUTPUTS = {
         ',vendor_credit_limit_date:string,currency:string>,financials_tab:struct<balance:double,unbilled_orde'
         'rs:double,currency:string,accounting_clerk_id:bigint,accounting_clerk_email:string,accounting_clerk_'
         'name:string>,relationships_tab:array<struct<contact_name:string,category:string,job_title:string,ema'
-        'il:string,phone:string,contact_id:bigint>>,communications_tab:array<struct<date:timestamp_ntz,author'
-        '_id:bigint,author:string,recipient_id:bigint,primary_recipient:string,subject:string,to_0:string,fro'
-        'm_0:string,message_type_id:bigint>>,approvals_tab:array<struct<date_created:string,created_by:string'
-        ',finance_status:string,operations_status:string>>,subsidiaries_tab:array<struct<primary_subsidiary:s'
-        'tring,subsidiary:string,primary:boolean,isinactive:string,balance:double,balance_base:double,unbille'
-        'd_orders:double,unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,currency:string'
-        ',tax_code:string>>>'
+        'il:string,phone:string,contact_id:bigint>>,communications_tab:array<struct<date:timestamp,author_id:'
+        'bigint,author:string,recipient_id:bigint,primary_recipient:string,subject:string,to_0:string,from_0:'
+        'string,message_type_id:bigint>>,approvals_tab:array<struct<date_created:string,created_by:string,fin'
+        'ance_status:string,operations_status:string>>,subsidiaries_tab:array<struct<primary_subsidiary:strin'
+        'g,subsidiary:string,primary:boolean,isinactive:string,balance:double,balance_base:double,unbilled_or'
+        'ders:double,unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,currency:string,tax'
+        '_code:string>>>'
     ),
     'contact_details_stage': (
         'struct<contact_id:bigint,full_name:string,contact:string,salutation_MR_MS:string,name:string,company'
@@ -144,38 +143,38 @@ OUTPUTS = {
         'po_batch_name:string,purchase_order_change_status:string,reason_for_purchase:string,competing_bids:s'
         'tring,cost_center:string,transmitted_po:string,sent_to_chr:string,po_dates:struct<po_created_date:st'
         'ring,po_date:string,po_cancel_date:string,po_ship_date:string,po_original_ship_date:string,po_origin'
-        'al_cancel_date:string,po_due_date:timestamp_ntz,po_fixed_payment_date:string,po_edit_date:string,day'
-        's_to_edit:double,po_edit_fiscal_week_number:bigint,n_860_last_execution_timestamp:string,n_850_last_'
-        'execution_timestamp:string,days_past_due:int,transaction_purpose:string>,po_vendor:struct<po_vendor_'
-        'id:bigint,po_vendor:string>,po_season:struct<season_code:string,season_year:string>,acknowledgment:s'
-        'truct<acknowledgment_date:string,acknowledgment_terms:string,acknowledgment_scheduled_date:string,ac'
-        'knowledgment_memo:string,acknowledgment_type:string>,po_amounts:struct<line_count:bigint,total_quant'
-        'ity:double,remaining_open_quantity:double,received_amount:double,discount_amount:double,reserved_amo'
-        'unt:double,shipping_amount:double,amount_change:double,amount_unbilled:double,refunded_amount:double'
-        '>,po_lines:array<struct<item_extid:string,vendor_sku:string,item_description:string,po_item_descript'
-        'ion:string,expected_arrival_eta_line:date,closed:string,item_count:double,original_transmitted_qty:d'
-        'ouble,quantity_received_in_shipment:double,number_billed:double,unit_of_measure:string,conversion_ra'
-        'te:double,item_unit_price:string,rate:string,purchase_price:double,discount_amount:double,amount:dou'
-        'ble,product_group_name:string,upc_code:string,brand_name:string,options:bigint,line_created_date:tim'
-        'estamp_ntz,quantity_available:double,acknowledgment_item_status:string,transaction_line_id:bigint,in'
-        'ventory_owned_flag:boolean,transaction_expected_arrival_date:timestamp,acknowledgment_rate:double,ac'
-        'knowledgment_scheduled_date:string,acknowledgment_scheduled_quantity:double,acknowledgment_memo:stri'
-        'ng,n_2nd_acknowledgment_item_status:string,n_2nd_acknowledgment_scheduled_date:timestamp_ntz,n_2nd_a'
-        'cknowledgment_schedul_quantity:double,asn_record:string,asn_quantity_shipped:double,asn_shipment_dat'
-        'e:string,asn_estimated_delivery_date:string,demand_amount:double,demand_cogs:double,demand_quantity:'
-        'double,estimated_cost:double,full_price:double,shipping_amount:double,amount_custom:double,amount_fo'
-        'reign:double,amount_pending:double,original_cogs:double,po__rate:string,quantity_allocated:double,qu'
-        'antity_custom:double,quantity_difference:double,quantity_on_order:double,rate_custom:double,quantity'
-        '_in_transaction_unit:double,in_transit_window:string,transit_window_end:string,qty_in_transit:double'
-        ',on_order_quantity:double,on_order_cost:double>>>,totals:struct<total_on_order_cost:double,total_on_'
-        'order_quantity:double,ni_submitted_total:double,total_amount_lines:double,total_amount_billed:double'
-        ',total_principal:double,total_qv_:double,total_approved:double>,carrier_shipment_chr:struct<carrier_'
-        'shipping_data:string,shipment_details:array<struct<shipment_id:string,pallet_count:double,declared_v'
-        'alue:double,shipping_cost:double,inactive:string,tracking:struct<tracking_number:string,carrier_trac'
-        'king_link_url:string,location:string,po_shipping_status:string,status:string>,invoice:struct<invoice'
-        '_number:string,invoiced:string>,shipment_dates:struct<date_created:string,last_modified:string,last_'
-        'updated:string,delivery_date:string,original_delivery_eta:string,pick_up_date:string>>>>,created_dat'
-        'e:timestamp,updated_date:timestamp>'
+        'al_cancel_date:string,po_due_date:timestamp,po_fixed_payment_date:string,po_edit_date:string,days_to'
+        '_edit:double,po_edit_fiscal_week_number:bigint,n_860_last_execution_timestamp:string,n_850_last_exec'
+        'ution_timestamp:string,days_past_due:int,transaction_purpose:string>,po_vendor:struct<po_vendor_id:b'
+        'igint,po_vendor:string>,po_season:struct<season_code:string,season_year:string>,acknowledgment:struc'
+        't<acknowledgment_date:string,acknowledgment_terms:string,acknowledgment_scheduled_date:string,acknow'
+        'ledgment_memo:string,acknowledgment_type:string>,po_amounts:struct<line_count:bigint,total_quantity:'
+        'double,remaining_open_quantity:double,received_amount:double,discount_amount:double,reserved_amount:'
+        'double,shipping_amount:double,amount_change:double,amount_unbilled:double,refunded_amount:double>,po'
+        '_lines:array<struct<item_extid:string,vendor_sku:string,item_description:string,po_item_description:'
+        'string,expected_arrival_eta_line:date,closed:string,item_count:double,original_transmitted_qty:doubl'
+        'e,quantity_received_in_shipment:double,number_billed:double,unit_of_measure:string,conversion_rate:d'
+        'ouble,item_unit_price:string,rate:string,purchase_price:double,discount_amount:double,amount:double,'
+        'product_group_name:string,upc_code:string,brand_name:string,options:bigint,line_created_date:timesta'
+        'mp,quantity_available:double,acknowledgment_item_status:string,transaction_line_id:bigint,inventory_'
+        'owned_flag:boolean,transaction_expected_arrival_date:timestamp,acknowledgment_rate:double,acknowledg'
+        'ment_scheduled_date:string,acknowledgment_scheduled_quantity:double,acknowledgment_memo:string,n_2nd'
+        '_acknowledgment_item_status:string,n_2nd_acknowledgment_scheduled_date:timestamp,n_2nd_acknowledgmen'
+        't_schedul_quantity:double,asn_record:string,asn_quantity_shipped:double,asn_shipment_date:string,asn'
+        '_estimated_delivery_date:string,demand_amount:double,demand_cogs:double,demand_quantity:double,estim'
+        'ated_cost:double,full_price:double,shipping_amount:double,amount_custom:double,amount_foreign:double'
+        ',amount_pending:double,original_cogs:double,po__rate:string,quantity_allocated:double,quantity_custo'
+        'm:double,quantity_difference:double,quantity_on_order:double,rate_custom:double,quantity_in_transact'
+        'ion_unit:double,in_transit_window:string,transit_window_end:string,qty_in_transit:double,on_order_qu'
+        'antity:double,on_order_cost:double>>>,totals:struct<total_on_order_cost:double,total_on_order_quanti'
+        'ty:double,ni_submitted_total:double,total_amount_lines:double,total_amount_billed:double,total_princ'
+        'ipal:double,total_qv_:double,total_approved:double>,carrier_shipment_chr:struct<carrier_shipping_dat'
+        'a:string,shipment_details:array<struct<shipment_id:string,pallet_count:double,declared_value:double,'
+        'shipping_cost:double,inactive:string,tracking:struct<tracking_number:string,carrier_tracking_link_ur'
+        'l:string,location:string,po_shipping_status:string,status:string>,invoice:struct<invoice_number:stri'
+        'ng,invoiced:string>,shipment_dates:struct<date_created:string,last_modified:string,last_updated:stri'
+        'ng,delivery_date:string,original_delivery_eta:string,pick_up_date:string>>>>,created_date:timestamp,'
+        'updated_date:timestamp>'
     ),
     'vendor_edi_856_asn': (
         'struct<edi_856_asn_id:bigint,asn_vendor_id:bigint,bill_of_lading_number:string,carrier_alpha_code:st'
@@ -213,18 +212,18 @@ OUTPUTS = {
         'mit:double,vendor_credit_limit_date:string,currency:string>,financials_tab:struct<balance:double,unb'
         'illed_orders:double,currency:string,accounting_clerk_id:bigint,accounting_clerk_email:string,account'
         'ing_clerk_name:string>,relationships_tab:array<struct<contact_name:string,category:string,job_title:'
-        'string,email:string,phone:string,contact_id:bigint>>,communications_tab:array<struct<date:timestamp_'
-        'ntz,author_id:bigint,author:string,recipient_id:bigint,primary_recipient:string,subject:string,to_0:'
-        'string,from_0:string,message_type_id:bigint>>,approvals_tab:array<struct<date_created:string,created'
-        '_by:string,finance_status:string,operations_status:string>>,subsidiaries_tab:array<struct<primary_su'
-        'bsidiary:string,subsidiary:string,primary:boolean,isinactive:string,balance:double,balance_base:doub'
-        'le,unbilled_orders:double,unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,curre'
-        'ncy:string,tax_code:string>>,contacts:array<struct<contact_id:bigint,full_name:string,contact:string'
-        ',salutation_MR_MS:string,contact_name:string,company_id:bigint,company_name:string,job_title:string,'
-        'comments:string,private:string,category:array<string>,email:string,altemail:string,mainphone:string,'
-        'officephone:string,mobilephone:string,homephone:string,fax:string,address:string,subsidiary_id:bigin'
-        't,subsidiary:string,last_sales_activity:timestamp,supervisor:string,supervisorphone:string,assistand'
-        ':string,assistantphone:string,is_default_ship_address:string,is_default_bill_address:string,address_'
-        'tab:string,isinactive:string>>>'
+        'string,email:string,phone:string,contact_id:bigint>>,communications_tab:array<struct<date:timestamp,'
+        'author_id:bigint,author:string,recipient_id:bigint,primary_recipient:string,subject:string,to_0:stri'
+        'ng,from_0:string,message_type_id:bigint>>,approvals_tab:array<struct<date_created:string,created_by:'
+        'string,finance_status:string,operations_status:string>>,subsidiaries_tab:array<struct<primary_subsid'
+        'iary:string,subsidiary:string,primary:boolean,isinactive:string,balance:double,balance_base:double,u'
+        'nbilled_orders:double,unbilled_orders_base:double,credit_limit:double,subsidiary_id:bigint,currency:'
+        'string,tax_code:string>>,contacts:array<struct<contact_id:bigint,full_name:string,contact:string,sal'
+        'utation_MR_MS:string,contact_name:string,company_id:bigint,company_name:string,job_title:string,comm'
+        'ents:string,private:string,category:array<string>,email:string,altemail:string,mainphone:string,offi'
+        'cephone:string,mobilephone:string,homephone:string,fax:string,address:string,subsidiary_id:bigint,su'
+        'bsidiary:string,last_sales_activity:timestamp,supervisor:string,supervisorphone:string,assistand:str'
+        'ing,assistantphone:string,is_default_ship_address:string,is_default_bill_address:string,address_tab:'
+        'string,isinactive:string>>>'
     ),
 }

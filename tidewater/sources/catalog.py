@@ -19,8 +19,11 @@ from collections.abc import Iterable, Mapping
 from datetime import datetime, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampNTZType
 
 from tidewater.functions.expr import snapshot_start_value
+from tidewater.sources.inputs import checked
 from tidewater.sources.standins import BASES, STANDINS
 
 BASE_TABLES = (
@@ -82,12 +85,12 @@ class Sources(Mapping):
     @classmethod
     def from_parquet(cls, spark: SparkSession, paths: Mapping[str, str]) -> "Sources":
         """One Parquet path (or folder) per ERP table name."""
-        return cls(spark, {n: (lambda p=p: spark.read.parquet(p)) for n, p in paths.items()})
+        return cls(spark, {n: (lambda n=n, p=p: checked(spark.read.parquet(p), n)) for n, p in paths.items()})
 
     @classmethod
     def from_catalog(cls, spark: SparkSession, database: str, names: Iterable[str] = ERP_TABLES) -> "Sources":
         """Catalog tables ``database.name`` (S1) or ``catalog.database.name``."""
-        return cls(spark, {n: (lambda n=n: spark.table(f"{database}.{n}")) for n in names})
+        return cls(spark, {n: (lambda n=n: checked(spark.table(f"{database}.{n}"), n)) for n in names})
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: datetime,
@@ -103,7 +106,10 @@ class Sources(Mapping):
         def factory(name: str):
             def make() -> DataFrame:
                 sql, used = standin_sql(name, as_of, placeholders=True)
-                return spark.sql(sql, **{b: base(b) for b in used})
+                df = spark.sql(sql, **{b: base(b) for b in used})
+                # The given tables hold local times; the ERP's are instants (UTC).
+                return df.select(*[F.col(f.name).cast("timestamp").alias(f.name) if isinstance(f.dataType, TimestampNTZType) else F.col(f.name)
+                                   for f in df.schema.fields])
             return make
 
         wanted = STANDINS.keys() if names is None else names
