@@ -239,5 +239,7 @@ KINDS |= {name: _columns(text) for name, text in {
     "vendor_communications": _COMMUNICATION + " message:s", "vendor_communications_live": _COMMUNICATION,
     "vendor_approvals": _APPROVAL.format("t"), "vendor_approvals_live": _APPROVAL.format("s"),
     "vendor_subsidiaries": _SUBSIDIARY, "vendor_subsidiaries_live": _SUBSIDIARY, "po_document_shipments": _SHIPMENT,
+    "open_lines_in_order": "po_number:s line_id:i place:i", "problem_summary_in_order": "merchandise_division:s assigned_to:s place:i",
+    "vendor_fields_in_order": "tranid:s original_cancel_date:D edi_855:s place:i",
     "vendor_document_contacts": _CONTACT, "po_document_fields": _DOCUMENT, "vendor_document_addresses": _REACH,
 }.items()} | {"po_document_lines": KINDS["po_line_measures"]}

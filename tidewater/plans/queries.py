@@ -306,6 +306,27 @@ def q_publish_round_trip(spark, sf_dir):
     return back.select("po_number", "expected_arrival_date", F.size("purchase_oder.po_lines").alias("n_lines"))
 
 
+def _placed(name: str, df: DataFrame, *columns: str) -> DataFrame:
+    from tidewater.plans.pipelines import order_of
+    from tidewater.sources.publish import with_place
+    return with_place(df, order_of(name)).select(*columns, "place")
+
+
+def q_open_lines_in_order(spark, sf_dir):
+    """J01 rows with their place in the order of PO numbers."""
+    return _placed("asn_details", asn.asn_details(sources(spark, sf_dir), AS_OF), "po_number", "line_id")
+
+
+def q_problem_summary_in_order(spark, sf_dir):
+    """R2: J02 rows with their place in the order of the first column."""
+    return _placed("asn_summary", asn.asn_summary(sources(spark, sf_dir), AS_OF), "merchandise_division", "assigned_to")
+
+
+def q_vendor_fields_in_order(spark, sf_dir):
+    """J05 rows with their place by cancel date upward, then EDI 855 label downward."""
+    return _placed("edi_chr_po_vendor_fields", asn.edi_po_vendor_fields(sources(spark, sf_dir), AS_OF), "tranid", "original_cancel_date", "edi_855")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_in_transit_lines": q_open_in_transit_lines,
     "division_problem_summary": q_division_problem_summary,
@@ -328,6 +349,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "text_price_clean": q_text_price_clean,
     "zone_yesterday": q_zone_yesterday,
     "publish_round_trip": q_publish_round_trip,
+    "open_lines_in_order": q_open_lines_in_order,
+    "problem_summary_in_order": q_problem_summary_in_order,
+    "vendor_fields_in_order": q_vendor_fields_in_order,
     **{name: _tab_query(tab, False) for name, tab in TABS.items()},
     **{f"{name}_live": _tab_query(tab, True) for name, tab in TABS.items()},
     "po_document_fields": q_po_document_fields,

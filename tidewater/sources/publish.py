@@ -12,7 +12,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -95,3 +95,22 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def present(df: DataFrame, order) -> DataFrame:
     """R1-R3 for reading or export: a global ``orderBy`` (range shuffle)."""
     return df.orderBy(*order)
+
+
+def with_place(df: DataFrame, order, out: str = "place") -> DataFrame:
+    """R1-R3 as a column: each row's dense rank in the global ``order``.
+
+    Rows are range-partitioned and stored once (rows of equal keys share a
+    part), ranked inside their part, and moved up by the distinct keys of the
+    parts before: a prefix sum over one row per part. No task sees all rows.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "ordered")
+    df.repartitionByRange(*order).withColumn("__part", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    rows = rows.withColumn("__rank", F.dense_rank().over(Window.partitionBy("__part").orderBy(*order)))
+    sizes = rows.groupBy("__part").agg(F.max("__rank").alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1))
+    bases = sizes.select(F.col("__part").alias("__of"), F.coalesce(before, F.lit(0)).alias("__base"))
+    placed = rows.join(bases, rows["__part"] == bases["__of"])
+    return placed.select(*df.columns, (F.col("__base") + F.col("__rank")).cast("bigint").alias(out))
