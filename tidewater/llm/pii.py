@@ -41,7 +41,7 @@ _NAME = r"\p{Lu}[\p{Ll}\p{M}]{1,40}"
 #: or possessive, so that long texts cost time in proportion to their length.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,512}|(?<![\p{L}\p{N}])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,512}|(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[\p{{L}}\p{{N}}])",
     "phone": r"(?<![\p{L}\p{N}+])\+?[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\p{N})|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?!\p{N})"
     r"|(?<![\p{L}\p{N}.])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\p{N})|(?<![\p{L}\p{N}.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\p{N}-])",
@@ -50,6 +50,8 @@ PATTERNS = {
     "name": rf"(?<!\p{{L}})(?:{'|'.join(sorted({*FEMALE, *MALE}, key=len, reverse=True))})\.? {_NAME}(?:[ -]{_NAME}){{0,2}}(?!\p{{L}})",
 }
 ANY = "|".join(f"(?:{p})" for p in PATTERNS.values())
+#: What every entity holds at least: a text without it needs no closer look.
+HINT = "[0-9@:=]|" + "|".join(f"{first}(?:{'|'.join(sorted({x[1:] for x in (*FEMALE, *MALE) if x[0] == first}))})[. ]" for first in sorted({x[0] for x in (*FEMALE, *MALE)}))
 #: Syllables of drawn names by script, and their endings by gender.
 SYLLABLES = {"latin": "ba be do fa ga hu ka le lo ma mi na no pe ra ri sa so ta ve wi za", "cyrillic": "ба ве го да жи ка ле ма ни по ра са та фе", "greek": "βα γε δι κα λε μα νι πο ρα σα τα φε"}
 ENDINGS = {
@@ -191,7 +193,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_as:
     column for the number of replaced places."""
     names = docs.columns
     text = F.col(text_column)
-    found = F.coalesce(F.rlike(text, F.lit(ANY)), F.lit(False))
+    found = F.coalesce(F.rlike(text, F.lit(HINT)) & F.rlike(text, F.lit(ANY)), F.lit(False))
     clean, touched = docs.where(~found), docs.where(found)
     by_text = touched.select(F.xxhash64(text).alias("key"), F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)).alias("mentions")).dropDuplicates(["key"])
     mentions = by_text.select("key", F.explode(F.array_distinct("mentions")).alias("mention"))
