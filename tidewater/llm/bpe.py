@@ -15,12 +15,10 @@ mark: a word is then the same chunk with and without a comma after it.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 
-from tidewater.llm.common import slices, utf8
+from tidewater.llm.common import kept, slices, utf8
 
 #: Bytes of text that are worked on at once, and distinct chunks that are kept.
 SLICE_BYTES, MEMO_CHUNKS = 4 << 20, 700_000
@@ -143,7 +141,6 @@ class ChunkEncoder:
             yield a, b, self.ids[at], sums[first[1:]] - sums[first[:-1]], ends
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str, with_ids: bool) -> ChunkEncoder:
-    """One encoder for a worker process; lengths and ids have memos of their own."""
-    return ChunkEncoder(path)
+    """The worker's encoder; lengths and ids have memos of their own."""
+    return kept(("bpe", path, with_ids), lambda: ChunkEncoder(path))

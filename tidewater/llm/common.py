@@ -40,6 +40,23 @@ def prepare(spark: SparkSession) -> None:
     if root not in paths:
         env["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
     env.setdefault("TOKENIZERS_PARALLELISM", "false")
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")  # gives memory back between batches
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+#: Bytes of rows that go to a Python worker at once, however long the texts are.
+BATCH_BYTES = 8 << 20
+_kept: dict = {}
+
+
+def kept(key: tuple, build):
+    """What ``build`` makes for ``key``, kept by this worker process until it is
+    asked for another key: workers live on between stages, and the memo of one
+    operator must not stand beside that of the next."""
+    if key not in _kept:
+        _kept.clear()
+        _kept[key] = build()
+    return _kept[key]
 
 
 def stage_dir(spark: SparkSession, name: str) -> str:

@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import normalise, prepare, utf8, word_texts
+from tidewater.llm.common import kept, normalise, prepare, utf8, word_texts
 
 WINDOW = 10
 PART_BYTES = 64 << 20
@@ -66,7 +66,6 @@ def _broadcast(bench: DataFrame, **how) -> list[tuple]:
 
 #: Automata that a worker process keeps.
 KEPT_AUTOMATA = 4
-_AUTOMATA: dict[str, object] = {}
 
 
 def _automaton(part: tuple):
@@ -74,16 +73,17 @@ def _automaton(part: tuple):
     import ahocorasick
 
     key, broadcast = part
-    if key not in _AUTOMATA:
+    automata = kept(("automata",), dict)
+    if key not in automata:
         automaton = ahocorasick.Automaton()
         for pattern, items in pickle.loads(broadcast.value):
             spaced = f" {pattern.decode('latin-1')} "
             automaton.add_word(spaced, (len(spaced), items))
         automaton.make_automaton()
-        if len(_AUTOMATA) >= KEPT_AUTOMATA:
-            _AUTOMATA.clear()
-        _AUTOMATA[key] = automaton
-    return _AUTOMATA[key]
+        if len(automata) >= KEPT_AUTOMATA:
+            automata.clear()
+        automata[key] = automaton
+    return automata[key]
 
 
 def _scan(automaton, words: bytes) -> tuple[np.ndarray, set]:

@@ -31,22 +31,20 @@ table gives an empty result.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidewater.llm.common import GOLDEN, SubstringHash, mix64, prepare, slices, utf8
+from tidewater.llm.common import GOLDEN, SubstringHash, kept, mix64, prepare, slices, utf8
 
 #: Fixed value: the sign that stands for a blank in pieces.
 ESCAPE = "▁"
 #: What a text's own escape sign becomes inside the lattice: no piece spells it.
 FOREIGN = 0x110000
 ALPHA, SEED, RANK_OFFSET = 1.0, 20_240, 10
-SLICE_BYTES, MEMO_NODES = 1 << 20, 3_000_000
+SLICE_BYTES, MEMO_NODES = 1 << 18, 1_000_000
 #: Draws and the bounds that they are held against are integers of so many bits.
 DRAW_BITS = 30
 #: Marks that a word may be cut off from, where no piece joins a letter to them.
@@ -262,11 +260,12 @@ class Lattices:
         chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(data))
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if self.nodes + 2 * len(data) > MEMO_NODES and self.place:
-            self.clear()
         place = list(map(self.place.get, distinct))
         missing = [x for x, k in zip(distinct, place) if k is None]
         if missing:
+            if self.place and self.nodes + sum(map(len, missing)) + len(missing) > MEMO_NODES:
+                self.clear()
+                missing = distinct
             self.add(missing)
             place = list(map(self.place.__getitem__, distinct))
         return np.array(place, np.int64)[coded.indices.to_numpy()]
@@ -316,14 +315,12 @@ def chunk_cuts(data: np.ndarray, bounds: np.ndarray, marks: str) -> np.ndarray:
     return np.flatnonzero(is_cut)
 
 
-@lru_cache(maxsize=2)
 def lattices(path: str, alpha: float) -> Lattices:
-    return Lattices(path, alpha)
+    return kept(("lattice", path, alpha), lambda: Lattices(path, alpha))
 
 
-@lru_cache(maxsize=2)
 def surfaces(path: str) -> list[bytes]:
-    return Pieces(path, 1.0).surface
+    return kept(("surface", path), lambda: Pieces(path, 1.0).surface)
 
 
 def spell(surface: list[bytes], ids: np.ndarray, ends: np.ndarray) -> list[str]:

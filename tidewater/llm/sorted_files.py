@@ -9,7 +9,6 @@ about ``SHARD_ROWS`` each, so a task that writes one holds a bounded part.
 from __future__ import annotations
 
 import uuid
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -17,7 +16,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import prepare, stage_dir
+from tidewater.llm.common import kept, prepare, stage_dir
 
 SHARD_ROWS = 1_000_000
 
@@ -92,6 +91,5 @@ class SortedTable:
         return there[indices], value[indices]
 
 
-@lru_cache(maxsize=2)
 def open_sorted(folder: str, names: tuple[str, ...]) -> SortedTable:
-    return SortedTable(folder, names)
+    return kept(("sorted", folder), lambda: SortedTable(folder, names))
