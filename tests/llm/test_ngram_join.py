@@ -76,6 +76,12 @@ def test_odd_rows(spark):
     assert J.jaccard_classes(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_equal_sets_only(spark):
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "a b c d e f g"), (4, "a, b c d e f!")]
+    out = J.jaccard_classes(spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA), threshold=1.0).collect()
+    assert sorted((r.doc_id, r.class_id, r.n_links) for r in out) == [(1, 1, 2), (2, 1, 2), (3, 3, 0), (4, 1, 2)]
+
+
 def test_keep_one_of_each_class(spark):
     rows = [(5, "one two three", "a", 1), (4, "One two three!", "b", 2), (4, "One two three!", "b", 2), (6, "other words here", None, None), (7, None, "c", 1), (None, "six seven", "d", 1)]
     docs = spark.createDataFrame(rows, SCHEMA)

@@ -206,7 +206,9 @@ def verify_tile(sets: list[np.ndarray], copies: np.ndarray, on_left: np.ndarray,
 
 def _tiles(members: DataFrame, threshold: float) -> DataFrame:
     """Deal members (digest, n_copies, n_shingles, component) to pairs of tiles."""
-    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(-math.log(threshold))).cast("int")
+    # Any step of at least -log(threshold) keeps linked sets in neighbouring levels.
+    step = max(-math.log(threshold), 0.05)
+    level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(step)).cast("int")
     members = members.withColumn("level", level)
     weigh = F.ceil(F.greatest(F.sum("n") / F.lit(TILE_DOCS), F.sum("weight") / F.lit(TILE_SHINGLES))).cast("int")
     levels = members.groupBy("component", "level").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("weight"))
