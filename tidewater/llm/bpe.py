@@ -15,13 +15,15 @@ mark: a word is then the same chunk with and without a comma after it.
 
 from __future__ import annotations
 
+from itertools import chain
+
 import numpy as np
 import pyarrow as pa
 
 from tidewater.llm.common import kept, slices, utf8
 
 #: Bytes of text that are worked on at once, and distinct chunks that are kept.
-SLICE_BYTES, MEMO_CHUNKS = 4 << 20, 700_000
+SLICE_BYTES, MEMO_CHUNKS = 8 << 20, 1_000_000
 #: Encode at most so many bytes of chunks in one call of the library.
 CALL_BYTES = 1 << 20
 #: Marks that a word may be cut off from (no apostrophe: it may begin a suffix).
@@ -71,10 +73,10 @@ class ChunkEncoder:
             while end < len(chunks) and (end == at or size < CALL_BYTES):
                 size += 4 * len(chunks[end])
                 end += 1
-            for x in self.tokenizer.encode_batch_fast(chunks[at:end], add_special_tokens=False):
-                if with_ids:
-                    ids.extend(x.ids)
-                lengths.append(len(x))
+            coded = self.tokenizer.encode_batch_fast(chunks[at:end], add_special_tokens=False)
+            lengths.extend(map(len, coded))
+            if with_ids:
+                ids.extend(chain.from_iterable([x.ids for x in coded]))
             at = end
         lengths = np.array(lengths, np.int64)
         first = len(self.place)
