@@ -31,7 +31,7 @@ def test_lookup_keeps_row_count_on_unique_key(spark, left, dim_keys):
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.one_of(st.none(), st.text("ab", max_size=2))), max_size=12))
 def test_nest_then_explode_gives_back_children(spark, rows):
     df = spark.createDataFrame(rows, "p int, v string")
-    nested = ops.nest(df, ["p"], [F.col("v")], "arr", partition_by="p")
+    nested = ops.nest(df, ["p"], [F.col("v")], "arr")
     back = nested.select("p", F.explode("arr").alias("e")).select("p", "e.v").collect()
     assert Counter((r.p, r.v) for r in back) == Counter(rows)
 
