@@ -24,7 +24,7 @@ def luhn(number):
 def done(spark):
     texts = [
         "Mail Ann.72@mail3.example.com or ANN.72@MAIL3.EXAMPLE.COM, call +1 (337) 555-7349 or 337-555-7349.",
-        "Cards 4111 1111 1111 1111, 4111111111111111 and 4952935900253052; ip 169.122.221.182, 8.8.8.8!",
+        "Cards 4111 1111 1111 1111, 4111111111111111 and 4952935900253052; ip 169.122.221.182, 8.8.8.8.The end, not 1.2.3.4.5",
         'token = "2abc3ff2ca8fb1e4c565a0eb63815530a948bdde"### SSN 123-45-6789 password: hunter2hunter',
         "Mrs. Anna Smith met Mr. Smith and Frau Müller. Госпожа Иванова и Господин Иванова. Κύριος Παππάς",
         'TOKEN = "2ABC3FF2CA8FB1E4C565A0EB63815530A948BDDE"!!',
@@ -47,6 +47,7 @@ def test_formats(done):
     phones = re.search(r"\+1 \((\d{3})\) (\d{3})-(\d{4}) or (\d{3})-(\d{3})-(\d{4})\.", out[0]).groups()
     assert phones[:3] == phones[3:]
     assert all(0 <= int(x) <= 255 for ip in re.findall(IP, out[1]) for x in ip.split("."))
+    assert "8.8.8.8" not in out[1] and out[1].endswith(".The end, not 1.2.3.4.5")
     assert re.search(r'token = "[0-9a-f]{40}"### SSN \d{3}-\d{2}-\d{4} password: \w{13}$', out[2])
 
 

@@ -42,7 +42,7 @@ _NAME = r"\p{Lu}[\p{Ll}\p{M}]{1,40}"
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
     "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,512}|(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
-    "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?[\p{{L}}\p{{N}}])",
+    "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\p{{N}})",
     "phone": r"(?<![\p{L}\p{N}+])\+?[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\p{N})|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?!\p{N})"
     r"|(?<![\p{L}\p{N}.])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\p{N})|(?<![\p{L}\p{N}.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\p{N}-])",
     "ssn": r"(?<![\p{L}\p{N}-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![\p{N}-])",
@@ -211,9 +211,10 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_as:
 
     replaced = whole.select("key", "mention", F.aggregate("pieces", start, put, lambda s: F.concat(s["out"], s["rest"])).alias("new"))
     per_text = replaced.groupBy("key").agg(F.map_from_entries(F.collect_list(F.struct("mention", "new"))).alias("__new"))
-    keyed = touched.withColumn("__key", F.xxhash64(text)).join(per_text.withColumnRenamed("key", "__key"), "__key")
-    places = F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1))
-    gaps = F.split(text, ANY, -1)
+    # The texts are cut into mentions and what stands between before they move.
+    cut = touched.withColumns({"__key": F.xxhash64(text), "__places": F.regexp_extract_all(text, F.lit(f"({ANY})"), F.lit(1)), "__gaps": F.split(text, ANY, -1)})
+    keyed = cut.drop(text_column).join(per_text.withColumnRenamed("key", "__key"), "__key")
+    places, gaps = F.col("__places"), F.col("__gaps")
     filled = F.concat(F.array_join(F.zip_with(F.slice(gaps, 1, F.size(places)), places, lambda g, m: F.concat(g, F.coalesce(F.col("__new")[m], F.lit("[removed]")))), ""), F.element_at(gaps, -1))
     counted = [F.size(places).cast("long").alias(count_as)] if count_as else []
     done = keyed.select(*(filled.alias(c) if c == text_column else F.col(c) for c in names), *counted)
