@@ -102,3 +102,18 @@ def test_columns_copies_and_empty_table(spark):
 def test_plan_has_no_python(spark):
     docs = spark.createDataFrame([(1, "a@bc.de", "x", 1)], SCHEMA)
     assert not re.search("Python|Arrow|Pandas", pii.pseudonymise(docs, "k")._jdf.queryExecution().executedPlan().toString())
+
+
+def test_long_secrets_go_whole(spark):
+    letters = "".join(chr(97 + i * i % 23) + str(i % 10) for i in range(400))
+    secrets = [letters, "eyJhbGciOiJIUzI1.eyJzdWIiOiIxMjM0.SflKxwRJ-SMeKKF2_4fw", ("0123456789abcDEF" * 20)[:200], "1234567890" * 4, "0123456789abcdef" * 8000]
+    texts = [f"token = {secrets[0]}, and", f"api_key: {secrets[1]}. Then", f"sum {secrets[2]} end", f"id {secrets[3]}; end", f"sum {secrets[4]} end"]
+    out = run(spark, texts)
+    for secret, text, new in zip(secrets, texts, out):
+        at = text.index(secret)
+        value = new[at : at + len(secret)]
+        assert new[:at] + new[at + len(secret) :] == text[:at] + text[at + len(secret) :]
+        assert not any(secret[i : i + 12] in value for i in range(0, len(secret) - 11, 12)) or len(secret) > 1000
+        assert sum(a == b for a, b in zip(secret, value)) < 0.5 * len(secret)
+    assert re.fullmatch(r"id [0-9]{40}; end", out[3]) and re.fullmatch(r"sum [0-9a-fA-F]{200} end", out[2])
+    assert re.fullmatch(r"api_key: [\w+/-]{16}\.[\w+/-]{16}\.[\w+/-]{20}\. Then", out[1])

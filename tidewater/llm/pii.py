@@ -41,7 +41,7 @@ _NAME = r"\p{Lu}[\p{Ll}\p{M}]{1,40}"
 #: or possessive, so that long texts cost time in proportion to their length.
 PATTERNS = {
     "email": r"(?<![\p{L}\p{N}._%+-])[\p{L}\p{N}._%+-]{1,64}+@(?:[\p{L}\p{N}-]{1,63}\.){1,8}\p{L}{2,24}",
-    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,512}|(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,128}(?![\p{L}\p{N}])",
+    "secret": r"(?<![\p{L}\p{N}])(?i:token|secret|password|passwd|api[_-]?key)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']?[A-Za-z0-9_+/-]{8,}+(?:\.[A-Za-z0-9_+/-]++)*+|(?<![\p{L}\p{N}])(?=[A-Fa-f]{0,31}[0-9])[0-9A-Fa-f]{32,}+(?![\p{L}\p{N}])",
     "ip": rf"(?<![\p{{L}}\p{{N}}.]){_OCTET}(?:\.{_OCTET}){{3}}(?!\.?\p{{N}})",
     "phone": r"(?<![\p{L}\p{N}+])\+?[0-9]{1,3}[ .-]?\([0-9]{2,4}\)[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?!\p{N})|(?<![\p{L}\p{N}+])\+[0-9]{1,3}(?:[ .-]?[0-9]{2,4}){2,5}(?!\p{N})"
     r"|(?<![\p{L}\p{N}.])\([0-9]{3}\)[ .-]?[0-9]{3}[ .-][0-9]{4}(?!\p{N})|(?<![\p{L}\p{N}.-])[0-9]{3}[ .-][0-9]{3}[ .-][0-9]{4}(?![\p{N}-])",
@@ -67,6 +67,7 @@ LETTERS, DIGITS, HEX = "abcdefghijklmnopqrstuvwxyz", "0123456789", "0123456789ab
 def kind_of(mention: Column) -> Column:
     is_name = mention.rlike(rf"\A(?:{PATTERNS['name']})\z")
     out = F.when(mention.contains("@"), "email").when(is_name, "name")
+    out = out.when(mention.rlike(r"\A[0-9A-Fa-f]{32,}+\z"), "secret")
     for kind in ("ip", "ssn"):
         out = out.when(mention.rlike(rf"\A(?:{PATTERNS[kind]})\z"), kind)
     return out.when(mention.rlike(rf"\A(?:{PATTERNS['card']})\z"), "card").when(mention.rlike(r"\A[0-9+(]") & mention.rlike(r"\A[0-9+() .-]+\z"), "phone").otherwise("secret")
@@ -81,7 +82,7 @@ def parts_of(mention: Column) -> Column:
     mention that it replaces; the rest of the mention stays."""
     kind = kind_of(mention)
     digits = F.regexp_replace(mention, "[^0-9]", "")
-    value = F.regexp_extract(mention, r"([A-Za-z0-9_+/-]+)\z", 1)
+    value = F.regexp_extract(mention, r"([A-Za-z0-9_+/-]++(?:\.[A-Za-z0-9_+/-]++)*+)\z", 1)
     hexadecimal = value.rlike(r"\A[0-9A-Fa-f]+\z")
 
     def one(kind_name, canonical, piece):
@@ -141,7 +142,7 @@ def surrogate_of(kind: Column, canonical: Column, attempt: Column, key: str) ->
         stem = F.array_join(F.transform(F.sequence(F.lit(1), F.lit(2) + F.floor(attempt / 2).cast("int")), lambda i: at(i, syllables)), "")
         return F.concat(stem, at(F.lit(0), endings))
 
-    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "hex", F.concat(_like(seed, canonical, HEX), F.regexp_replace(more, "[^0-9a-f]", "0")))
+    out = F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "hex", F.concat(F.when(canonical.rlike(r"\A[0-9]+\z"), digits).otherwise(_like(seed, canonical, HEX)), F.regexp_replace(more, "[^0-9a-f]", "0")))
     out = out.when(kind == "secret", F.concat(_like(seed, canonical), more)).when(kind == "phone", leading).when(kind == "card", card).when(kind == "ssn", digits)
     for script in SYLLABLES:
         for role in ENDINGS[script]:
@@ -184,7 +185,7 @@ def _in_format(kind: Column, piece: Column, surrogate: Column) -> Column:
     seen = F.transform(chars, lambda c, i: F.length(F.regexp_replace(piece.substr(F.lit(1), i + 1), "[^0-9]", "")))
     numbers = F.array_join(F.zip_with(chars, seen, lambda c, n: F.when(c.rlike("[0-9]") & (n > kept), surrogate.substr((n - kept).cast("int"), F.lit(1))).otherwise(c)), "")
     cased = F.when(piece == F.lower(piece), surrogate).when(piece == F.upper(piece), F.upper(surrogate)).otherwise(
-        F.array_join(F.transform(F.split(surrogate, ""), lambda c, i: F.when(piece.substr(i + 1, F.lit(1)).rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), ""))
+        F.array_join(F.zip_with(F.split(surrogate, ""), chars, lambda c, p: F.when(p.rlike(r"\p{Lu}"), F.upper(c)).otherwise(c)), ""))
     return (F.when(kind.isin("phone", "card", "ssn"), numbers).when(kind.startswith("name."), F.initcap(surrogate)).when(kind.isin("email", "hex"), cased).otherwise(surrogate))
 
 
