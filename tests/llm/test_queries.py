@@ -34,11 +34,11 @@ def test_query_matches_sql(spark, con, name):
 
 def test_every_dealt_operator_is_registered_once():
     names = list(entry.queries())
-    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in range(1, 11)] == [1] * 10
+    assert [sum(bool(re.match(rf"op{n}_", x)) for x in names) for n in (*range(1, 11), 12, 13)] == [1] * 12
     assert "pipeline" in names and set(SQL) <= set(entry.oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(queries.QUERIES))
+@pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - {"op12_spelling_variants"}))
 def test_one_row_for_each_row_of_the_table(spark, name):
     got = queries.QUERIES[name](spark, SF)
     key = {"op1": "vec_id", "op6": "page_id"}.get(name.split("_")[0], "doc_id")
