@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewater.llm import alignment, decontaminate, embedding_dedup, kn_quality, lattice, licenses, ngram_join, pii, spelling, token_counts, token_files, url_rules
+from tidewater.llm import alignment, decontaminate, embedding_dedup, kn_quality, lattice, licenses, mixing, ngram_join, pii, spelling, token_counts, token_files, url_rules
 from tidewater.llm.sql import SQL as SQL  # for __spark_entry__.py
 
 #: The tokenizer files are installed with the public package; only their path is used.
@@ -77,6 +77,10 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), tokenizer_path(BPE))
 
 
+def op11_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.variants(table(spark, sf_dir, "documents"))
 
@@ -85,4 +89,4 @@ def op13_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return alignment.align(table(spark, sf_dir, "documents"), tokenizer_path(BPE), tokenizer_path(PIECES)).documents
 
 
-QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op7_kn_quality, op8_decontamination, op9_sampled_pieces, op10_token_counts, op12_spelling_variants, op13_tokenizer_alignment)}
+QUERIES = {f.__name__: f for f in (op1_embedding_dedup, op2_token_files, op3_license_scan, op4_surrogates, op5_ngram_jaccard, op6_url_rules, op7_kn_quality, op8_decontamination, op9_sampled_pieces, op10_token_counts, op11_source_mix, op12_spelling_variants, op13_tokenizer_alignment)}
