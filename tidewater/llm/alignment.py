@@ -425,7 +425,7 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id",
                     yield pa.RecordBatch.from_pylist([row | {"file": file}], schema=pa.schema([("part", pa.int32()), ("inputs", pa.list_(pa.string())), ("file", pa.string())]))
 
         merged = stage(jobs.select("part", "inputs").repartition(PARTS * batches).mapInArrow(up, "part int, inputs array<string>, file string"), "alignment-merges")
-        levels.append(merged)
+        levels.append((merged, batches))
         inputs, n = merged.select("part", F.col("file").alias("input")), batches
 
     # Down: (part, inputs, answer of their merge) -> (part, file of the inputs' answers).
@@ -438,10 +438,10 @@ def align(docs: DataFrame, a_path: str, b_path: str, id_column: str = "doc_id",
 
     no_answer = [F.lit(None).cast("string").alias("merged"), F.lit(None).cast("string").alias("answer")]
     roots = answered = stage(jobs.select("part", "inputs", *no_answer).repartition(PARTS).mapInArrow(back, "part int, inputs array<string>, file string"), "alignment-answers")
-    for merged in reversed(levels):
+    for merged, batches in reversed(levels):
         known = answered.select(F.explode("inputs").alias("merged"), F.col("file").alias("answer"))
         work = merged.withColumnRenamed("file", "merged").join(known, "merged").select("part", "inputs", "merged", "answer")
-        answered = stage(work.repartition(PARTS * fan_in).mapInArrow(back, "part int, inputs array<string>, file string"), "alignment-answers")
+        answered = stage(work.repartition(PARTS * batches).mapInArrow(back, "part int, inputs array<string>, file string"), "alignment-answers")
 
     # Leaves: one run's answers of all parts.
     leaves = answered.select("part", F.explode("inputs").alias("input"), "file").groupBy("input").agg(F.collect_list(F.struct("part", "file")).alias("answers"))
