@@ -15,6 +15,10 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from tidewater.sources import tables
+from tidewater.sources.layout import key_bounds, laid_out
+from tidewater.sources.store import Store
+
 
 def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder (``spark.checkpoint.dir``).
@@ -38,31 +42,53 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def publish(df: DataFrame, path: str, partition_by: str | None = None, cluster_by: str | None = None,
-            files_per_partition: int | None = None, sort_within=None) -> str:
-    """Write ``df`` as Parquet at ``path``, replacing what was there (K1).
+            files: int | None = None, sort_within=None, keys: DataFrame | None = None, keep: int = 0) -> str:
+    """Write ``df`` as Parquet and make it the current version of the table at
+    ``path`` in one step (K1, see ``tables``); the folder of the version.
 
     ``partition_by`` gives one folder per value (K2; NULL lands in the
-    default partition and reads back as NULL). ``cluster_by`` range-partitions
-    the rows on that column and sorts within each file (K3), so Parquet
-    min/max statistics let readers skip files. With ``partition_by`` too,
-    rows are range-partitioned on (partition value, cluster column): the
-    sampled bounds split a date that holds most rows into several tasks by
-    cluster-key ranges, so one date does not become one task.
+    default partition and reads back as NULL). ``cluster_by`` lays the rows out
+    by that column (K3, see ``layout``) in about ``files`` files, so Parquet
+    min/max statistics let readers skip files; with ``partition_by`` too, a
+    value that holds most rows is split by cluster-key ranges. ``keys`` may give
+    the (partition, cluster) columns of the same rows from a cheaper source.
     """
-    out = df
+    run = tables.begin(path)
+    try:
+        write_run(df, path, run, partition_by, cluster_by, files, sort_within, keys)
+        tables.commit(df.sparkSession, path, run, keep)
+    except BaseException:
+        tables.abandon(df.sparkSession, path, run)
+        raise
+    return tables.run_folder(path, run)
+
+
+def write_run(df: DataFrame, path: str, run: str, partition_by: str | None = None, cluster_by: str | None = None,
+              files: int | None = None, sort_within=None, keys: DataFrame | None = None) -> str:
+    """Write the files of a run without making it current; its folder."""
+    out, scratch = df, None
     if sort_within is not None and cluster_by is None:
         # The reference's ORDER BY, kept inside each file (a stored
         # table has no global order; see ``present`` for an ordered export).
         out = out.sortWithinPartitions(*sort_within)
     if cluster_by is not None:
-        keys = [F.col(partition_by), F.col(cluster_by)] if partition_by else [F.col(cluster_by)]
-        n = files_per_partition or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        out = out.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    w = out.write.mode("overwrite").format("parquet")
+        columns = [partition_by, cluster_by] if partition_by else [cluster_by]
+        n = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        if keys is None:
+            # The rows are worked out once; bounds and layout read them back.
+            scratch = scratch_path(df.sparkSession, "unlaid")
+            df.write.parquet(scratch)
+            out = df.sparkSession.read.schema(df.schema).parquet(scratch)
+            keys = out.select(*columns)
+        out = laid_out(out, columns, key_bounds(keys, columns, n))
+    folder = tables.run_folder(path, run)
+    w = out.write.format("parquet")
     if partition_by is not None:
         w = w.partitionBy(partition_by)
-    w.save(path)
-    return path
+    w.save(folder)
+    if scratch is not None:
+        Store(df.sparkSession, scratch).remove()
+    return folder
 
 
 def publish_bucketed(df: DataFrame, path: str, table: str, bucket_by: str, buckets: int | None = None,
