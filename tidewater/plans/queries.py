@@ -11,7 +11,7 @@ places, integers as BIGINT.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
+from datetime import datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -184,7 +184,10 @@ def q_contact_categories_active(spark, sf_dir):
 
 
 def q_po_document_flat(spark, sf_dir):
-    df = compliance.po_document(sources(spark, sf_dir), AS_OF)
+    return _po_document_flat(compliance.po_document(sources(spark, sf_dir), AS_OF))
+
+
+def _po_document_flat(df: DataFrame) -> DataFrame:
     p = "purchase_oder"
     return df.select(
         "expected_arrival_date", "po_number",
@@ -213,7 +216,10 @@ def q_edi_line_extract(spark, sf_dir):
 
 
 def q_vendor_document_flat(spark, sf_dir):
-    df = compliance.vendor_document(sources(spark, sf_dir))
+    return _vendor_document_flat(compliance.vendor_document(sources(spark, sf_dir)))
+
+
+def _vendor_document_flat(df: DataFrame) -> DataFrame:
     return df.select(
         "name", "internal_vendor_id", "status", "custom_vendor_externalid",
         c("email_phone_address.email").alias("email"), c("email_phone_address.address").alias("address"),
@@ -307,9 +313,9 @@ def q_publish_round_trip(spark, sf_dir):
 
 
 def _placed(name: str, df: DataFrame, *columns: str) -> DataFrame:
-    from tidewater.plans.pipelines import order_of
-    from tidewater.sources.publish import with_place
-    return with_place(df, order_of(name)).select(*columns, "place")
+    from tidewater.operators.spread import with_place
+    from tidewater.plans.pipelines import ORDER
+    return with_place(df, ORDER[name]).select(*columns, "place")
 
 
 def q_open_lines_in_order(spark, sf_dir):
@@ -318,15 +324,67 @@ def q_open_lines_in_order(spark, sf_dir):
 
 
 def q_problem_summary_in_order(spark, sf_dir):
-    """R2: J02 rows with their place in the order of the first column."""
+    """J02 rows with their place in the order of divisions."""
     return _placed("asn_summary", asn.asn_summary(sources(spark, sf_dir), AS_OF), "merchandise_division", "assigned_to")
 
 
+def q_carrier_rows_in_order(spark, sf_dir):
+    """R2: J03 rows with their place in the order of the second column, the vendor."""
+    return _placed("carrier_shipment_info_chr", asn.carrier_shipment_info(sources(spark, sf_dir), AS_OF), "po_number", "vendor", "shipment_id")
+
+
 def q_vendor_fields_in_order(spark, sf_dir):
     """J05 rows with their place by cancel date upward, then EDI 855 label downward."""
     return _placed("edi_chr_po_vendor_fields", asn.edi_po_vendor_fields(sources(spark, sf_dir), AS_OF), "tranid", "original_cancel_date", "edi_855")
 
 
+def q_replaced_table(spark, sf_dir):
+    """K1: J01 published for a run a month before, then replaced; what readers see
+    now. One version is left."""
+    from tidewater.sources import tables
+    from tidewater.sources.publish import publish, scratch_path
+    t, path = sources(spark, sf_dir), scratch_path(spark, "replaced")
+    for as_of in (AS_OF - timedelta(days=30), AS_OF):
+        publish(asn.asn_details(t, as_of), path, cluster_by="po_number")
+    n = len(tables.versions(spark, path))
+    return tables.read_table(spark, path).select("po_number", "line_id", "qty_in_transit", "transit_window_end", F.lit(n).alias("n_versions"))
+
+
+def _staged(spark, sf_dir, name: str) -> DataFrame:
+    """Pipeline B run from stored stages; the current version of a final table."""
+    from tidewater.plans.pipelines import run_pipeline_b
+    from tidewater.sources import tables
+    from tidewater.sources.publish import scratch_path, stage_path
+    base = scratch_path(spark, "staged")
+    run_pipeline_b(spark, sources(spark, sf_dir), AS_OF, base, keep_stage=False)
+    return tables.read_table(spark, stage_path(base, "final", name))
+
+
+def q_staged_po_documents(spark, sf_dir):
+    """J12 by way of the staged J07, J08 and J09, flattened."""
+    return _po_document_flat(_staged(spark, sf_dir, "purchase_order_nested"))
+
+
+def q_staged_vendor_documents(spark, sf_dir):
+    """J15 by way of the staged J10 and J11, flattened."""
+    return _vendor_document_flat(_staged(spark, sf_dir, "vendor_contacts_nested"))
+
+
+def q_catalog_lines(spark, sf_dir):
+    """J14 over tables read from the catalog, two- and three-part names."""
+    import uuid
+
+    from tidewater.sources.publish import scratch_path
+    t, base, db = sources(spark, sf_dir), scratch_path(spark, "catalog"), f"tidewater_{uuid.uuid4().hex[:8]}"
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{base}'")
+    names = ("edi_856_asn_line", "po_types", "merchandise_division")
+    for name in names:
+        t[name].write.option("path", f"{base}/{name}").saveAsTable(f"{db}.{name}")
+    two, three = (Sources.from_catalog(spark, prefix, names) for prefix in (db, f"spark_catalog.{db}"))
+    both = [compliance.edi_856_asn_line(x).withColumn("name_parts", F.lit(parts)) for parts, x in ((2, two), (3, three))]
+    return both[0].unionByName(both[1])
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_in_transit_lines": q_open_in_transit_lines,
     "division_problem_summary": q_division_problem_summary,
@@ -352,6 +410,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "open_lines_in_order": q_open_lines_in_order,
     "problem_summary_in_order": q_problem_summary_in_order,
     "vendor_fields_in_order": q_vendor_fields_in_order,
+    "carrier_rows_in_order": q_carrier_rows_in_order,
+    "replaced_table": q_replaced_table,
+    "staged_po_documents": q_staged_po_documents,
+    "staged_vendor_documents": q_staged_vendor_documents,
+    "catalog_lines": q_catalog_lines,
     **{name: _tab_query(tab, False) for name, tab in TABS.items()},
     **{f"{name}_live": _tab_query(tab, True) for name, tab in TABS.items()},
     "po_document_fields": q_po_document_fields,
