@@ -437,3 +437,31 @@ def test_skewed_vendor_messages_kept_whole(tables):
     assert j06 == {5: n, 6: 1}
     j10 = {r.internal_vendor_id: len(r.communications_tab) for r in compliance.vendor_contacts_stage(t).collect()}
     assert j10 == {5: n, 6: 1}
+
+
+def test_j04_equal_contacts_addresses_and_types_multiply(tables):
+    # Two equal contacts x two equal addresses: each type stands four times; another address twice.
+    contact = dict(contact_id=5, name="N", firstname="A", lastname="B")
+    address = dict(entity_id=5, address="X", is_default_ship_address="T")
+    t = tables(contacts=[contact, contact], address_book=[address, address, dict(address, address=None)],
+               contact_types=[dict(contact_id=5, name="Ship"), dict(contact_id=5, name=None)])
+    got = {r.address1: r.category for r in asn.contact_details(t).collect()}
+    assert got == {"X": [""] * 4 + ["Ship"] * 4, None: [""] * 2 + ["Ship"] * 2}
+
+
+def test_j08_presence_in_yesterdays_snapshot_never_fans_out(tables):
+    # S1 twice in yesterday's snapshot, S2 in today's only, S3 in none.
+    from tidewater.functions.expr import snapshot_start_value
+    from datetime import timedelta
+    day = snapshot_start_value(AS_OF)
+    line = dict(transaction_id=1, brand_id=1, product_group_id=1, item_count=10.0, item_unit_price="2.0", amount=20.0)
+    t = tables(
+        transactions=[PO],
+        transaction_lines=[dict(line, transaction_line_id=k, item_id=k) for k in (1, 2, 3)],
+        items_cv=[dict(item_id=k, item_extid=f"S{k}") for k in (1, 2, 3)],
+        brand=[dict(brand_id=1, brand_name="B")], product_group=[dict(product_group_id=1, product_group_name="G")],
+        sb_inventory=[dict(sku="S1", snapshot_day=day), dict(sku="S1", snapshot_day=day), dict(sku="S2", snapshot_day=day + timedelta(hours=24))],
+    )
+    row = compliance.po_lines_nested(t, AS_OF).collect()[0]
+    assert {x.transaction_line_id: x.inventory_owned_flag for x in row.po_lines} == {1: True, 2: False, 3: False}
+    assert len(row.po_lines) == 3 and row.total_on_order_quantity == 30.0 and row.total_amount_lines == 60.0

@@ -29,3 +29,27 @@ def test_live_lookup_is_inner_to_live_rows(spark):
     dim = spark.createDataFrame([(1, False), (2, True), (3, None)], "k long, _fivetran_deleted boolean")
     out = ops.lookup(df, dim, F.col("k"), "k", how="inner", live_only=True)
     assert [r.k for r in out.collect()] == [1]
+
+
+def test_nest_by_runs_equals_nest_and_splits_a_large_parent(spark):
+    # Nine tenths of all rows have one parent; equal first fields, NULLs and equal rows are among them.
+    df = spark.range(0, 20_000, 1, 8).select(
+        F.when(F.col("id") % 10 > 0, F.lit("hot")).when(F.col("id") % 400 == 0, F.lit(None)).otherwise(F.concat(F.lit("p"), F.col("id") % 37)).alias("parent"),
+        F.when(F.col("id") % 3 > 0, F.col("id") % 5).alias("a"), (F.col("id") * 7919 % 6007).alias("b"), F.lit(1).alias("one"))
+    fields = [F.col("a"), F.col("b")]
+    keep = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        runs = ops.sorted_runs(df, ["parent"], fields, by=2).select("parent", "__part", F.size("__run").alias("n")).collect()
+        got = ops.nest_runs(df, ["parent"], fields, "arr", sums={"n": F.col("one")}, maxima={"top": F.col("b")}, by=2)
+        want = ops.nest(df, ["parent"], fields, "arr", [F.sum("one").alias("n"), F.max("b").alias("top")])
+        assert {r.parent: r for r in got.collect()} == {r.parent: r for r in want.collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", keep)
+    assert sum(r.n for r in runs) == 20_000 and max(r.n for r in runs) < 0.3 * 20_000
+    assert len([r for r in runs if r.parent == "hot"]) >= 5
+
+
+def test_nest_by_runs_of_nothing(spark):
+    df = spark.createDataFrame([], "parent string, a long")
+    assert ops.nest_runs(df, ["parent"], [F.col("a")], "arr").collect() == []

@@ -126,3 +126,36 @@ def test_j02_distinct_counts_are_two_level(t):
     text = "\n".join(tree(asn.asn_summary(t, AS_OF)))
     assert "Expand" in text  # distinct counts expanded, then merged per division
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text
+
+
+@pytest.mark.parametrize("build", [asn.contact_details, compliance.contact_details_stage])
+def test_contact_children_never_multiply_as_rows(t, no_auto_broadcast, build):
+    """No join has raw child rows on its null side: addresses are distinct values
+    with counts and drive their join, types are nested by themselves."""
+    text = "\n".join(tree(build(t)))
+    # left joins: the lookups of contacts and one nested row a contact for its types
+    assert "RightOuter" not in text and len(re.findall(r"Join \[contact_id#\d+L?\], \[__typed", text)) >= 1
+    assert re.search(r"Join \[__addressed#\d+L?\], \[contact_id#\d+L?\], Inner", text)
+    assert re.search(r"HashAggregate\(keys=\[entity_id#\d+L?, is_default_ship_address.*partial_count", text)
+
+
+def test_hot_contact_is_split_over_its_addresses(spark):
+    """One contact holds nearly all addresses; adaptive execution splits their join."""
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
+                                           "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "spark.sql.adaptive.skewJoin.skewedPartitionFactor")}
+    for k, v in zip(keep, ("-1", "64k", "64k", "1.5")):
+        spark.conf.set(k, v)
+    try:
+        t = sources(spark, SF)
+        n = 60_000
+        hot = t["contacts"].selectExpr("min(contact_id)").first()[0]
+        book = spark.range(0, n, 1, 8).selectExpr(f"if(id % 50 = 0, -id, {hot}L) entity_id", "'T' is_default_ship_address", "cast(null as string) is_default_bill_address", "concat('a', sha2(cast(id as string), 512)) address")
+        tables = {x: t[x] for x in ("contacts", "subsidiaries", "companies", "entity", "contact_types")} | {"address_book": book}
+        from tidewater.sources.catalog import Sources
+        df = asn.contact_details(Sources.from_tables(spark, tables))
+        held = df.where(f"contact_id = {hot}").count()
+        df.collect()
+        assert held == n - n // 50 and "skew=true" in df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

@@ -4,8 +4,8 @@ contacts, EDI PO/vendor fields and the vendor document (J01-J06).
 Each builder is ``(t, as_of) -> DataFrame`` over the source mapping ``t``
 (see ``tidewater.sources.catalog``). Joins the reference writes as LEFT but
 filters on afterwards (null-rejecting WHERE) are written as the inner joins
-they are, so Catalyst can push them down to the scans; code lists are
-broadcast only after ``t.is_small`` checked their size.
+they are, so Catalyst can push them down to the scans; only code lists,
+bounded by their definition (``t.is_small``), carry a broadcast hint.
 """
 
 from __future__ import annotations
@@ -207,24 +207,44 @@ CONTACT_FIELDS = [
 ]
 
 
-def _contacts_joined(t, contacts: DataFrame) -> DataFrame:
-    """Contacts with subsidiary, company, supervisor, assistant, address rows and types.
+def contact_groups(t, contacts: DataFrame, keys: list) -> DataFrame:
+    """Contacts by their ``keys`` (which hold the contact id), each with one of its
+    addresses and the sorted ``category`` array of its types.
 
-    The one-to-one lookups run first, on the contact rows before any fan-out;
-    the two one-to-many joins on the contact id come last, so the second of
-    them and the GROUP BY that follows (the contact id is one of its keys)
-    reuse one hash partitioning.
+    The reference left-joins the raw address and type rows to the contact and groups
+    the product. Here neither child's rows meet the other's:
+
+    * contacts, after their one-to-one lookups, are grouped first, with their count;
+    * addresses are reduced to distinct values with their count, and are the left
+      side of their join, so a contact with very many of them is split over tasks;
+      contacts without any follow from an anti join on distinct ids;
+    * types are nested by themselves, one array a contact, which meets the contacts
+      before they are grouped: nothing above the address join asks for its
+      partitioning, so adaptive execution is free to split it.
+
+    The product's row count is the product of the counts, so each type stands
+    ``contacts x addresses`` times in its array (G10). A contact without types has ``['']``.
     """
-    df = ops.lookup(contacts, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {"sub_name": "name"},
+    types = ops.nest(t["contact_types"].where(c("contact_id").isNotNull()), [c("contact_id").alias("__typed")],
+                     [F.coalesce(c("name"), F.lit("")).alias("name")], "__types")
+    df = contacts.join(types, contacts["contact_id"] == types["__typed"], "left").drop("__typed")
+    df = ops.lookup(df, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {"sub_name": "name"},
                     small=t.is_small("subsidiaries"))
     df = ops.lookup(df, t["companies"], c("company_id"), "company_id", {"company": "companyname"})
     df = ops.lookup(df, t["entity"], c("supervisior_id"), "entity_id", {"supervisor": "name"})
     df = ops.lookup(df, t["entity"], c("assistant_id"), "entity_id", {"assistand": "name"})
-    df = ops.lookup(df, t["address_book"], c("contact_id"), "entity_id", {
-        "ab_ship": "is_default_ship_address", "ab_bill": "is_default_bill_address", "ab_address": "address",
-    })
-    df = ops.lookup(df, t["contact_types"], c("contact_id"), "contact_id", {"type_name": "name"})
-    return df
+    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first("__types").alias("__types"))
+    addresses = t["address_book"].where(c("entity_id").isNotNull()).groupBy(
+        c("entity_id").alias("__addressed"), c("is_default_ship_address").alias("ab_ship"),
+        c("is_default_bill_address").alias("ab_bill"), c("address").alias("ab_address")).agg(F.count(F.lit(1)).alias("__m"))
+    found = addresses.join(base, addresses["__addressed"] == base["contact_id"], "inner").drop("__addressed")
+    ids = t["address_book"].select(c("entity_id").alias("__addressed")).distinct()
+    lone = base.join(ids, base["contact_id"] == ids["__addressed"], "left_anti").select(
+        *[F.lit(None).cast(found.schema[x].dataType).alias(x) for x in ("ab_ship", "ab_bill", "ab_address")], F.lit(1).cast("bigint").alias("__m"), "*")
+    rows = found.unionByName(lone)
+    names = F.coalesce(F.transform("__types", lambda x: x["name"]), F.array(F.lit("")))
+    times = (c("__n") * c("__m")).cast("int")
+    return rows.withColumn("category", F.flatten(F.transform(names, lambda x: F.array_repeat(x, times)))).drop("__n", "__m", "__types")
 
 
 def contact_details(t, as_of: datetime | None = None) -> DataFrame:
@@ -234,19 +254,16 @@ def contact_details(t, as_of: datetime | None = None) -> DataFrame:
     categories (G10), as in the reference; a contact without types gets
     ``['']``.
     """
-    df = _contacts_joined(t, t["contacts"])
-    keys = [
+    out = contact_groups(t, t["contacts"], [
         c("contact_id"), c("full_name"), c("name").alias("contact"), c("salutation").alias("salutation_MR_MS"),
         F.concat(c("firstname"), F.lit(" "), c("lastname")).alias("name"), c("company_id"), c("company"),
         c("title").alias("job_title"), c("comments"), c("is_private").alias("private"), c("email"),
         c("altemail"), c("phone").alias("mainphone"), c("officephone"), c("mobilephone"), c("homephone"),
         c("fax"), c("address"), c("subsidiary").alias("subsidiary_id"), c("sub_name").alias("subsidiary"),
         c("last_sales_activity"), c("supervisor"), c("supervisorphone"), c("assistand"), c("assistantphone"),
-        c("ab_ship").alias("is_default_ship_address"), c("ab_bill").alias("is_default_bill_address"),
-        c("ab_address").alias("address1"), c("isinactive"),
-    ]
-    out = df.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
+        c("isinactive"),
+    ])
+    out = out.withColumnsRenamed({"ab_ship": "is_default_ship_address", "ab_bill": "is_default_bill_address", "ab_address": "address1"})
     return out.select(*CONTACT_FIELDS)
 
 
@@ -462,7 +479,8 @@ def _communications_tab(t, live_rows: bool) -> DataFrame:
     rows = ops.lookup(rows, t["employees"], c("recipient_id"), "employee_id", {"t_recipient": "full_name"}, how=how,
                       live_only=live_rows)
     body = [] if live_rows else [c("message")]
-    return ops.nest(rows, [c("company_id").alias("__vendor")], [
+    # A vendor's messages are sorted run by run: their dates alone may all be equal.
+    return ops.nest_runs(rows.withColumnRenamed("company_id", "__vendor"), ["__vendor"], [
         c("date_0").alias("date"), c("author_id"), c("t_author").alias("author"), c("recipient_id"),
         F.coalesce(c("t_recipient"), c("to_0")).alias("primary_recipient"), c("subject"), c("to_0"), c("from_0"),
-        c("message_type_id"), *body], "communications_tab")
+        c("message_type_id"), *body], "communications_tab", by=6)

@@ -58,7 +58,7 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
     many lines one small row per department before the shuffle.
 
     The calendar is joined twice: the fiscal week of the edit day (X6, an
-    equi join on two expressions, broadcast after a size check), and the row
+    equi join on two expressions; the calendar is a code list), and the row
     of yesterday (X7, a left join whose condition reads only the calendar:
     it multiplies every PO row by the number of calendar rows for that day,
     done here with a scalar count and ``explode``, no cross join).
@@ -291,15 +291,17 @@ def po_lines_nested(t, as_of: datetime) -> DataFrame:
     grouping by po_number (W2-W4). A window total is the same for every group
     of the PO, so it is exactly the sum over the PO's groups: computed here
     in the same aggregation that builds the array, without a window.
+
+    The array is put together from runs that are sorted apart, so an order with
+    very many lines is not sorted by one task.
     """
     g = po_line_groups(t, as_of)
-    return ops.nest(g, ["po_number"], [c(x) for x in LINE_FIELDS], "po_lines", extra=[
-        F.sum("__total_qty_term").alias("total_on_order_quantity"),
-        F.sum("__total_cost_term").alias("total_on_order_cost"),
-        F.max("expected_arrival_eta_line").alias("expected_arrival_date"),
-        F.round(F.sum("__amount_term"), 2).alias("total_amount_lines"),
-    ]).select("po_number", "po_lines", "total_on_order_quantity", "total_on_order_cost",
-              "expected_arrival_date", "total_amount_lines")
+    nested = ops.nest_runs(
+        g, ["po_number"], [c(x) for x in LINE_FIELDS], "po_lines", maxima={"expected_arrival_date": c("expected_arrival_eta_line")},
+        sums={"total_on_order_quantity": c("__total_qty_term"), "total_on_order_cost": c("__total_cost_term"),
+              "__total_amount": c("__amount_term")}, by=2)
+    return nested.select("po_number", "po_lines", "total_on_order_quantity", "total_on_order_cost",
+                         "expected_arrival_date", F.round("__total_amount", 2).alias("total_amount_lines"))
 
 
 # ----------------------------------------------------------------------- J09
@@ -385,15 +387,13 @@ def contact_details_stage(t, as_of: datetime | None = None) -> DataFrame:
     and last name apart, ``company`` -> ``company_name``, ``address1`` ->
     ``address_tab`` (30 columns)."""
     contacts = (t["contacts"].where(live()).where(c("company_id").isNotNull()).where(c("isinactive") == "No"))
-    df = asn._contacts_joined(t, contacts)
-    keys = [
+    g = asn.contact_groups(t, contacts, [
         c("contact_id"), c("full_name"), c("name"), c("salutation"), c("firstname"), c("lastname"), c("company_id"),
         c("company"), c("title"), c("comments"), c("is_private"), c("email"), c("altemail"), c("phone"),
         c("officephone"), c("mobilephone"), c("homephone"), c("fax"), c("address"), c("subsidiary"), c("sub_name"),
         c("last_sales_activity"), c("supervisor"), c("supervisorphone"), c("assistand"), c("assistantphone"),
-        c("ab_ship"), c("ab_bill"), c("ab_address"), c("isinactive"),
-    ]
-    g = df.groupBy(*keys).agg(F.sort_array(F.collect_list(F.coalesce(c("type_name"), F.lit("")))).alias("category"))
+        c("isinactive"),
+    ])
     return g.select(
         c("contact_id"), c("full_name"), c("name").alias("contact"), c("salutation").alias("salutation_MR_MS"),
         F.concat(c("firstname"), F.lit(" "), c("lastname")).alias("name"), c("company_id"),
