@@ -66,3 +66,23 @@ def test_empty_and_equal(spark):
     assert spread.with_place(spark.createDataFrame([], schema), [("day", True)]).collect() == []
     same = spark.createDataFrame([(1, None), (1, None)], schema)
     assert [tuple(r) for r in spread.with_place(same, [("day", False)]).collect()] == [(1, None, 1)] * 2
+
+
+def test_grid_join_equals_a_join_and_spreads_one_key(spark, many_parts):
+    left = spark.range(0, 3000, 1, 4).select(F.col("id").alias("l"), F.when(F.col("id") % 10 > 0, "usd").when(F.col("id") % 100 == 0, F.lit(None)).otherwise(F.concat(F.lit("c"), F.col("id") % 3)).alias("lk"))
+    right = spark.range(0, 400, 1, 4).select(F.col("id").alias("r"), F.when(F.col("id") % 20 > 0, "usd").when(F.col("id") % 40 == 0, F.lit(None)).otherwise("c1").alias("rk"))
+    met = spread.grid_join(left, right, "lk", "rk", tile=64)
+    want = left.join(right, left["lk"] == right["rk"])
+    assert met.columns == want.columns
+    assert met.exceptAll(want).isEmpty() and want.exceptAll(met).isEmpty() and met.count() == want.count() > 1_000_000
+    sizes = [r["count"] for r in met.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(sizes) < 0.3 * sum(sizes) and len(sizes) >= 12  # one key has nearly all pairs
+    text = met._jdf.queryExecution().executedPlan().toString()
+    assert "Cartesian" not in text and "NestedLoop" not in text
+
+
+def test_grid_join_of_nothing_and_equal_rows(spark):
+    a = spark.createDataFrame([("x", 1), ("x", 1), (None, 2)], "ak string, a long")
+    b = spark.createDataFrame([("x", 7), ("x", 7), (None, 8)], "bk string, b long")
+    assert spread.grid_join(a, b, "ak", "bk", tile=1).count() == 4
+    assert spread.grid_join(a.limit(0), b, "ak", "bk").collect() == []

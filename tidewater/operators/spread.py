@@ -18,6 +18,8 @@ from tidewater.sources.publish import scratch_path
 
 #: Share of all rows beyond which a key is heavy: at most 1,000 keys are.
 SHARE = 0.001
+#: Rows of a side in one cell of a grid join.
+TILE = 2048
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -43,6 +45,32 @@ def join_unique(rows: DataFrame, unique: DataFrame, on: Sequence[str], n: str, t
     return in_few.unionByName(others.join(rest, [others[x].eqNullSafe(F.col(y)) for x, y in names.items()], "left").drop(*names.values()))
 
 
+def grid_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, tile: int = TILE) -> DataFrame:
+    """Inner join on one key of few values, many to many, dealt to a grid.
+
+    The rows of a key on either side are dealt to tiles of about ``tile`` rows by the
+    hash of the row, and each left tile meets each right tile in a cell of its own,
+    so the number of cells grows with the rows of a key, not with the keys. A left
+    row is copied once for each right tile, and the other way round: ``tile`` times
+    fewer copies than the join has rows. Counts are one row a key, from map-side sums.
+    Neither side may hold a column of the other, or one that begins with ``__grid``.
+    """
+    counts = {}
+    for name, side, key in (("l", left, left_key), ("r", right, right_key)):
+        tiles = F.ceil(F.count(F.lit(1)) / tile).cast("int")
+        counts[name] = side.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("__grid_key")).agg(tiles.alias(f"__grid_{name}"))
+    shape = counts["l"].join(counts["r"], "__grid_key")
+    cells = []
+    for name, other, side, key in (("l", "r", left, left_key), ("r", "l", right, right_key)):
+        dealt = side.join(shape.withColumnRenamed("__grid_key", f"__grid_key_{name}"), side[key] == F.col(f"__grid_key_{name}")).drop(f"__grid_key_{name}")
+        own = F.pmod(F.xxhash64(*[F.col(f"`{x}`") for x in side.columns]), F.col(f"__grid_{name}")).cast("int")
+        dealt = dealt.withColumn(f"__grid_own_{name}", own).withColumn(f"__grid_other_{name}", F.explode(F.sequence(F.lit(0), F.col(f"__grid_{other}") - 1)))
+        cells.append(dealt.drop("__grid_l", "__grid_r"))
+    a, b = cells
+    met = a.join(b, (a[left_key] == b[right_key]) & (a["__grid_own_l"] == b["__grid_other_r"]) & (a["__grid_other_l"] == b["__grid_own_r"]))
+    return met.drop("__grid_own_l", "__grid_other_l", "__grid_own_r", "__grid_other_r")
+
+
 def with_place(df: DataFrame, order: Sequence[tuple[str, bool]], out: str = "place", share: float = SHARE) -> DataFrame:
     """R1-R3 as a column: each row's dense rank in the global order, given as
     (column, ascending). NULLs come first upward and last downward.

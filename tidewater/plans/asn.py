@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import expr as E
 from tidewater.functions.expr import c
-from tidewater.operators import ops
+from tidewater.operators import ops, spread
 
 PURCHASE_ORDER = "Purchase Order"
 
@@ -271,14 +271,15 @@ EDI_ROLES = [("edi_810", "edi_810_id"), ("edi_846", "edi_846_id"), ("edi_850", "
              ("edi_855", "edi_855_id"), ("edi_856", "edi_856_id"), ("edi_860", "edi_860_id")]
 
 
-def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
+def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE) -> DataFrame:
     """Distinct EDI fields of recent POs x EDI vendors of the same currency (36 columns).
 
     The vendor join is on currency alone (G1), a many-to-many fan-out under a
     dedupe. Each side is reduced to its distinct rows with the set of their
     currencies; a pair of rows is joined on the least currency that both sets
     hold, so pairs are distinct by construction and nothing is shuffled or
-    deduplicated above the join. AQE splits a currency that holds most rows.
+    deduplicated above the join. There are few currencies, so the join is a grid:
+    ``tile`` distinct order rows and vendor rows a cell.
     """
     po = (t["transactions"].where(c("transaction_type") == PURCHASE_ORDER)
           .where(c("n_850_last_execution_timestamp") >= E.recent_since(as_of)))
@@ -339,8 +340,9 @@ def edi_po_vendor_fields(t, as_of: datetime) -> DataFrame:
         c("edi_856"), c("edi_860"), E.t_yes_no(c("edi_capable")).alias("edi_capable"),
     )
     left, right = _with_currencies(po_side, "__cur", "__pset"), _with_currencies(vend_side, "__vcur", "__vset")
-    pair = (c("__cur") == c("__vcur")) & (c("__cur") == F.array_min(F.array_intersect("__pset", "__vset")))
-    return left.join(right, pair, "inner").drop("__cur", "__vcur", "__pset", "__vset")
+    # A currency's orders and vendors meet in a grid of tiles: as many tasks as there is work.
+    met = spread.grid_join(left, right, "__cur", "__vcur", tile)
+    return met.where(c("__cur") == F.array_min(F.array_intersect("__pset", "__vset"))).drop("__cur", "__vcur", "__pset", "__vset")
 
 
 def _with_currencies(side: DataFrame, currency: str, out: str) -> DataFrame:
