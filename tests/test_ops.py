@@ -53,3 +53,21 @@ def test_nest_by_runs_equals_nest_and_splits_a_large_parent(spark):
 def test_nest_by_runs_of_nothing(spark):
     df = spark.createDataFrame([], "parent string, a long")
     assert ops.nest_runs(df, ["parent"], [F.col("a")], "arr").collect() == []
+
+
+def test_lookup_deals_rows_of_null_keys(spark):
+    # Nine tenths of the keys are NULL; the same rows come out, and no task reads most of them.
+    df = spark.range(0, 20_000, 1, 8).select("id", F.when(F.col("id") % 10 == 0, F.col("id") % 97).alias("fk"))
+    dim = spark.range(0, 90, 1, 2).select(F.col("id").alias("k"), F.concat(F.lit("v"), "id").alias("v")).union(spark.createDataFrame([(None, "null")], "k long, v string"))
+    keep = {k: spark.conf.get(k) for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        want = ops.lookup(df, dim, F.col("fk"), "k", {"v": "v"})
+        got = ops.lookup(df, dim, F.col("fk"), "k", {"v": "v"}, spread_by=("id",))
+        assert got.columns == want.columns and sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+        sizes = lambda x: sorted(r["count"] for r in x.groupBy(F.spark_partition_id()).count().collect())
+        assert max(sizes(want)) > 0.85 * 20_000 and max(sizes(got)) < 0.3 * 20_000
+    finally:
+        for k, v in keep.items():
+            spark.conf.set(k, v)

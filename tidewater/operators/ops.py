@@ -16,6 +16,9 @@ from tidewater.functions.expr import live
 
 _ids = itertools.count()
 
+#: Places to which the rows of a NULL join key are dealt.
+NULL_TASKS = 10_000
+
 
 def _tmp(prefix: str) -> str:
     return f"__{prefix}{next(_ids)}"
@@ -31,6 +34,7 @@ def lookup(
     live_only: bool = False,
     where: Column | None = None,
     small: bool = False,
+    spread_by: Sequence[str] = (),
 ) -> DataFrame:
     """Join ``dim`` to ``df`` on equal keys and bring ``fields`` along.
 
@@ -40,6 +44,11 @@ def lookup(
     ``_fivetran_deleted = False`` (F9; use it with ``how="inner"``), ``where``
     filters the dimension first. ``small`` puts a broadcast hint on the
     dimension; callers pass it only for code lists, bounded by their definition.
+
+    A left join hashes all rows of a NULL key to one task, though they match
+    nothing. ``spread_by`` names columns of ``df`` that tell its rows apart: their
+    hash then deals the rows of NULL keys to ``NULL_TASKS`` places, by a second join
+    key that is 0 wherever the key is not NULL.
     """
     left_keys = [left_key] if isinstance(left_key, Column) else list(left_key)
     right_keys = [right_key] if isinstance(right_key, (str, Column)) else list(right_key)
@@ -52,6 +61,14 @@ def lookup(
     d = d.select(*cols)
     if small:
         d = F.broadcast(d)
+    if spread_by and how == "left" and not small:
+        deal, none = _tmp("k"), F.lit(False)
+        for lk in left_keys:
+            none = none | lk.isNull()
+        left_keys.append(F.when(none, 1 + F.pmod(F.xxhash64(*[df[x] for x in spread_by]), F.lit(NULL_TASKS))).otherwise(F.lit(0).cast("bigint")))
+        # Always 0, but no literal: a constant would not remain a join key.
+        d = d.withColumn(deal, F.pmod(F.xxhash64(*key_names), F.lit(1).cast("bigint")))
+        key_names.append(deal)
     cond = None
     for lk, rk in zip(left_keys, key_names):
         e = lk == d[rk]

@@ -20,6 +20,8 @@ from tidewater.functions.expr import c
 from tidewater.operators import ops, spread
 
 PURCHASE_ORDER = "Purchase Order"
+#: What tells rows apart where a NULL foreign key deals them out (``ops.lookup``).
+LINE_ID, MESSAGE_ID = ("transaction_id", "transaction_line_id"), ("company_id", "date_0", "subject", "recipient_id", "author_id")
 
 
 def _po_lines_in_transit(t, as_of: datetime, shipped_over: str) -> DataFrame:
@@ -77,17 +79,17 @@ def asn_details(t, as_of: datetime) -> DataFrame:
     ]:
         key = "list_id" if dim != "merchandise_division" else "merchandise_division_id"
         df = ops.lookup(df, t[dim], E.as_key(df, fk), E.as_key(t[dim], key), {out: label},
-                        small=t.is_small(dim))
+                        small=t.is_small(dim), spread_by=LINE_ID)
     df = ops.lookup(df, t["brand"], E.as_key(df, "brand_id"), E.as_key(t["brand"], "brand_id"),
-                    {"brand": "brand_name"}, small=t.is_small("brand"))
+                    {"brand": "brand_name"}, small=t.is_small("brand"), spread_by=LINE_ID)
     emp = t["employees"]
     df = ops.lookup(df, emp, E.as_key(df, "sales_rep_id"), E.as_key(emp, "employee_id"),
-                    {"buyer": "full_name"})
+                    {"buyer": "full_name"}, spread_by=LINE_ID)
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        {"units": "name"}, small=t.is_small("uom"))
     df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"),
-                    {"sku": "item_extid", "upc": "upc_code", "units": "units"})
+                    {"sku": "item_extid", "upc": "upc_code", "units": "units"}, spread_by=LINE_ID)
     return df.select(
         c("vendor"), c("brand"), c("trandate").alias("po_date"), c("ship_date"), c("cancel_date"),
         c("tranid").alias("po_number"), c("merchandise_division"), c("po_type"), c("season_code"),
@@ -123,17 +125,17 @@ def asn_summary(t, as_of: datetime) -> DataFrame:
     for dim, fk in [("season", "season_code_id"), ("year1", "season_year_id"), ("po_types", "po_type_id")]:
         df = ops.lookup(df, t[dim], E.as_key(df, fk), E.as_key(t[dim], "list_id"), small=t.is_small(dim))
     df = ops.lookup(df, t["brand"], E.as_key(df, "brand_id"), E.as_key(t["brand"], "brand_id"),
-                    small=t.is_small("brand"))
+                    small=t.is_small("brand"), spread_by=LINE_ID)
     items = t["items_cv"]
     items = ops.lookup(items, t["uom"], E.as_key(items, "uom_id"), E.as_key(t["uom"], "uom_id"),
                        small=t.is_small("uom"))
-    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"))
+    df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"), spread_by=LINE_ID)
     merch = t["merchandise_division"]
     df = ops.lookup(df, merch, E.as_key(df, "merchandise_division_id"),
                     E.as_key(merch, "merchandise_division_id"),
                     {"merchandise_division": "merchandise_division_name", "assigned_to_id": "assigned_to_id"},
-                    small=t.is_small("merchandise_division"))
-    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"})
+                    small=t.is_small("merchandise_division"), spread_by=LINE_ID)
+    df = ops.lookup(df, t["employees"], c("assigned_to_id"), "employee_id", {"assigned_to": "full_name"}, spread_by=LINE_ID)
     fine = (df.groupBy("merchandise_division", "assigned_to_id", "assigned_to",
                        c("tranid").alias("po_number"), "vendor")
             .agg(F.count(F.lit(1)).alias("n")))
@@ -183,7 +185,8 @@ def carrier_shipment_info(t, as_of: datetime) -> DataFrame:
                        "invoice_number", "invoiced"]},
     }, how="inner")
     ent = t["entity"]
-    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"})
+    df = ops.lookup(df, ent, E.as_key(df, "entity_id"), E.as_key(ent, "entity_id"), {"vendor": "name"},
+                    spread_by=("transaction_id", "shipment_id"))
     return df.select(
         c("tranid").alias("name"), c("vendor"),
         F.concat(F.lit("Purchase Order #"), F.lit(" "), c("tranid")).alias("po_number"),
@@ -229,10 +232,10 @@ def contact_groups(t, contacts: DataFrame, keys: list) -> DataFrame:
                      [F.coalesce(c("name"), F.lit("")).alias("name")], "__types")
     df = contacts.join(types, contacts["contact_id"] == types["__typed"], "left").drop("__typed")
     df = ops.lookup(df, t["subsidiaries"], c("subsidiary"), "subsidiary_id", {"sub_name": "name"},
-                    small=t.is_small("subsidiaries"))
-    df = ops.lookup(df, t["companies"], c("company_id"), "company_id", {"company": "companyname"})
-    df = ops.lookup(df, t["entity"], c("supervisior_id"), "entity_id", {"supervisor": "name"})
-    df = ops.lookup(df, t["entity"], c("assistant_id"), "entity_id", {"assistand": "name"})
+                    small=t.is_small("subsidiaries"), spread_by=("contact_id",))
+    df = ops.lookup(df, t["companies"], c("company_id"), "company_id", {"company": "companyname"}, spread_by=("contact_id",))
+    df = ops.lookup(df, t["entity"], c("supervisior_id"), "entity_id", {"supervisor": "name"}, spread_by=("contact_id",))
+    df = ops.lookup(df, t["entity"], c("assistant_id"), "entity_id", {"assistand": "name"}, spread_by=("contact_id",))
     base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first("__types").alias("__types"))
     addresses = t["address_book"].where(c("entity_id").isNotNull()).groupBy(
         c("entity_id").alias("__addressed"), c("is_default_ship_address").alias("ab_ship"),
@@ -381,8 +384,8 @@ def vendor_documents(t, live_rows: bool) -> DataFrame:
     v = v.where(E.live()) if live_rows else v
     emp = t["employees"]
     v = ops.lookup(v, emp, E.as_key(v, "created_by_ven_id"), E.as_key(emp, "employee_id"), {"t_creator": "full_name"},
-                   how=how, live_only=live_rows)
-    one = {"live_only": live_rows}
+                   how=how, live_only=live_rows, spread_by=("vendor_id",))
+    one = {"live_only": live_rows, "spread_by": ("vendor_id",)}
     ok = F.lit(True)
     for dim, fk, key, fields in [
         ("vendor_types", c("vendor_type_id"), "vendor_type_id", {"vendor_category": "name"}),
@@ -398,7 +401,7 @@ def vendor_documents(t, live_rows: bool) -> DataFrame:
         v = ops.lookup(v, t[dim], E.as_key(v, f"{dim}_ven_id"), E.as_key(t[dim], "list_id"),
                        {f"t_{dim}": "list_item_name", f"ok_{dim}": ok}, small=t.is_small(dim), **one)
     if live_rows:
-        v = ops.lookup(v, emp, c("accounting_clerk_id"), "employee_id", {"t_clerk_email": "email", "t_clerk": "full_name"})
+        v = ops.lookup(v, emp, c("accounting_clerk_id"), "employee_id", {"t_clerk_email": "email", "t_clerk": "full_name"}, spread_by=("vendor_id",))
 
     maps = t["vendor_subsidiary_map"]
     maps = maps.where(E.live()) if live_rows else maps
@@ -466,7 +469,7 @@ def _address_tab(t, live_rows: bool) -> DataFrame:
 def _relationships_tab(t, live_rows: bool) -> DataFrame:
     rows = t["contacts"].where(E.live()) if live_rows else t["contacts"]
     rows = ops.lookup(rows, t["contact_types"], c("contact_id"), "contact_id", {"t_type": "name"},
-                      how="inner" if live_rows else "left", live_only=live_rows)
+                      how="inner" if live_rows else "left", live_only=live_rows, spread_by=("company_id", "name", "email"))
     return ops.nest(rows, [c("company_id").alias("__vendor")], [
         c("name").alias("contact_name"), c("t_type").alias("category"), c("title").alias("job_title"), c("email"),
         c("phone"), c("contact_id")], "relationships_tab")
@@ -477,9 +480,10 @@ def _communications_tab(t, live_rows: bool) -> DataFrame:
     rows = t["message"].where(E.live()) if live_rows else t["message"]
     people, key = (t["entity"], "entity_id") if live_rows else (t["employees"], "employee_id")
     how = "inner" if live_rows else "left"
-    rows = ops.lookup(rows, people, c("author_id"), key, {"t_author": "full_name"}, how=how, live_only=live_rows)
+    rows = ops.lookup(rows, people, c("author_id"), key, {"t_author": "full_name"}, how=how, live_only=live_rows,
+                      spread_by=MESSAGE_ID)
     rows = ops.lookup(rows, t["employees"], c("recipient_id"), "employee_id", {"t_recipient": "full_name"}, how=how,
-                      live_only=live_rows)
+                      live_only=live_rows, spread_by=MESSAGE_ID)
     body = [] if live_rows else [c("message")]
     # A vendor's messages are sorted run by run: their dates alone may all be equal.
     return ops.nest_runs(rows.withColumnRenamed("company_id", "__vendor"), ["__vendor"], [

@@ -38,6 +38,8 @@ PO_KEYS = [  # PO columns among the GROUP BY keys; the two po_ names are output
     "competing_bids", "reason_for_purchase", "acknowledgment_date", "acknowledgment_terms",
     "acknowledgment_scheduled_date", "acknowledgment_memo", "transaction_purpose", "sent_to_chr",
 ]
+#: What tells J07's rows apart before they are grouped: they are at (PO, department) grain.
+GROUP_ID = ("transaction_id", "department_id")
 LABEL_KEYS = [
     "buyer", "po_vendor", "po_type", "season_code", "season_year", "po_terms", "po_allocation_channel",
     "merchandise_division", "location", "location_code", "integration_status", "po_category",
@@ -108,12 +110,14 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
         df = ops.lookup(df, t[dim], c(fk), "list_id", {out: "list_item_name"}, small=t.is_small(dim))
     md = t["merchandise_division"]
     df = ops.lookup(df, md, E.as_key(df, "merchandise_division_id"), E.as_key(md, "merchandise_division_id"),
-                    {"merchandise_division": "merchandise_division_name"}, small=t.is_small("merchandise_division"))
+                    {"merchandise_division": "merchandise_division_name"}, small=t.is_small("merchandise_division"),
+                    spread_by=GROUP_ID)
     df = ops.lookup(df, t["locations"], c("location_id"), "location_id",
-                    {"location": "full_name", "location_code_l": "location_code"}, small=t.is_small("locations"))
+                    {"location": "full_name", "location_code_l": "location_code"}, small=t.is_small("locations"),
+                    spread_by=GROUP_ID)
     df = df.drop("location_code").withColumnRenamed("location_code_l", "location_code")
     df = ops.lookup(df, t["departments"], c("department_id"), "department_id", {"cost_center": "full_name"},
-                    small=t.is_small("departments"))
+                    small=t.is_small("departments"), spread_by=GROUP_ID)
 
     # The group keys are the formatted payment day and the decoded flag.
     df = df.withColumns({"po_fixed_payment_date": E.fmt_day(c("fixed_payment_date")),
@@ -207,7 +211,7 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
     items = ops.lookup(items, snap.select("sku").distinct(), c("item_extid"), "sku", {"inv_sku": "sku"})
     df = ops.lookup(df, items, E.as_key(df, "item_id"), E.as_key(t["items_cv"], "item_id"), {
         "item_extid": "item_extid", "salesdescription": "salesdescription", "upc_code": "upc_code",
-        "axis_1_option_header_id": "axis_1_option_header_id", "inv_sku": "inv_sku"})
+        "axis_1_option_header_id": "axis_1_option_header_id", "inv_sku": "inv_sku"}, spread_by=asn.LINE_ID)
     uom = t["uom"]
     df = ops.lookup(df, uom, E.as_key(df, "unit_of_measure_id"), E.as_key(uom, "uom_id"),
                     {"uom_name": "name", "conversion_rate": "conversion_rate"}, small=t.is_small("uom"))
