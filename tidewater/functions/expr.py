@@ -17,8 +17,9 @@ from pyspark.sql import types as T
 
 # Fixed output formats of the reference (BigQuery FORMAT_TIMESTAMP patterns
 # "%m-%d-%Y" and "%m-%d-%Y %H:%M:%S"), written as Spark datetime patterns.
+# (the second one is put together from the day and the time of day).
 DAY_FORMAT = "MM-dd-yyyy"
-SECOND_FORMAT = "MM-dd-yyyy HH:mm:ss"
+SECONDS_OF_DAY = 86_400
 
 # Fixed default date of the reference for missing or not-yet-valid dates.
 DEFAULT_DAY = "1900-01-01"
@@ -64,11 +65,6 @@ def _utc(as_of: datetime) -> datetime:
     return as_of.astimezone(timezone.utc)
 
 
-def naive_utc(as_of: datetime) -> datetime:
-    """``as_of`` as a naive UTC datetime (what a UTC session shows)."""
-    return _utc(as_of).replace(tzinfo=None)
-
-
 # ---------------------------------------------------------------- keys and casts
 
 def as_key(df: DataFrame, name: str) -> Column:
@@ -99,19 +95,48 @@ def rate_text(price: Column) -> Column:
 
 # ---------------------------------------------------------------- dates
 
+# Days and texts are those of UTC whatever the session's zone is: an instant is taken
+# apart as a number of seconds, never by a cast or a pattern that asks the session.
+# ``typeof`` is a constant of the plan, so only the branch of the column's type is left.
+
+def _seconds(ts: Column) -> Column:
+    return F.unix_seconds(ts.cast("timestamp"))
+
+
+def utc_day(x: Column) -> Column:
+    """The UTC day of a timestamp; a date is its own, text and zoneless
+    timestamps are read as UTC."""
+    instant = F.date_from_unix_date(F.floor(_seconds(x) / SECONDS_OF_DAY).cast("int"))
+    return (F.when(F.typeof(x) == "timestamp", instant).when(F.typeof(x) == "date", x.cast("date"))
+            .otherwise(x.cast("timestamp_ntz").cast("date")))
+
+
+def utc_midnight(x: Column) -> Column:
+    """``TIMESTAMP_TRUNC(TIMESTAMP(x), DAY)``: the start of the UTC day."""
+    return F.timestamp_seconds(F.unix_date(utc_day(x)).cast("bigint") * SECONDS_OF_DAY)
+
+
+def _utc_time(x: Column) -> Column:
+    of_day = F.pmod(_seconds(x), F.lit(SECONDS_OF_DAY))
+    parts = [F.floor(of_day / 3600), F.floor(of_day % 3600 / 60), of_day % 60]
+    text = F.concat_ws(":", *[F.lpad(p.cast("int").cast("string"), 2, "0") for p in parts])
+    return (F.when(F.typeof(x) == "timestamp", text).when(F.typeof(x) == "date", F.lit("00:00:00"))
+            .otherwise(F.substring(x.cast("timestamp_ntz").cast("string"), 12, 8)))
+
+
 def fmt_day(ts: Column) -> Column:
     """``FORMAT_TIMESTAMP('%m-%d-%Y', TIMESTAMP(x))``."""
-    return F.date_format(ts.cast("timestamp"), DAY_FORMAT)
+    return F.date_format(utc_day(ts), DAY_FORMAT)  # a date has no zone
 
 
 def fmt_ts(ts: Column) -> Column:
     """``FORMAT_TIMESTAMP('%m-%d-%Y %H:%M:%S', TIMESTAMP(x))``."""
-    return F.date_format(ts.cast("timestamp"), SECOND_FORMAT)
+    return F.when(ts.isNotNull(), F.concat(fmt_day(ts), F.lit(" "), _utc_time(ts)))
 
 
 def transit_window_end(est_delivery: Column, shipped: Column) -> Column:
     """(estimated delivery day, else shipment day) + 14 days; NULL if both are."""
-    return F.date_add(F.coalesce(est_delivery.cast("date"), shipped.cast("date")), TRANSIT_DAYS)
+    return F.date_add(F.coalesce(utc_day(est_delivery), utc_day(shipped)), TRANSIT_DAYS)
 
 
 def in_window(as_of: datetime, window_end: Column) -> Column:
@@ -132,19 +157,18 @@ def recent_since(as_of: datetime) -> Column:
 
 def days_past_due(as_of: datetime, due: Column) -> Column:
     """Days from the due day to the run day; 0 when there is no due date."""
-    return F.when(due.isNotNull(), F.datediff(as_of_date(as_of), due.cast("date"))).otherwise(0)
+    return F.when(due.isNotNull(), F.datediff(as_of_date(as_of), utc_day(due))).otherwise(0)
 
 
 def minus_days(ts: Column, days: Column) -> Column:
     """``TIMESTAMP_SUB(ts, INTERVAL n DAY)`` with a column day count."""
-    return ts - F.make_dt_interval(days.cast("int"))
+    # Spark's own interval arithmetic moves days along the session zone's clock.
+    return F.timestamp_micros(F.unix_micros(ts.cast("timestamp")) - days.cast("bigint") * (SECONDS_OF_DAY * 1_000_000))
 
 
 def status_dated(status: Column, value: Column) -> Column:
-    """The date when the status is one of DATED_STATUSES, else 1900-01-01."""
-    return F.when(F.lower(status).isin(*DATED_STATUSES), value.cast("timestamp")).otherwise(
-        F.lit(DEFAULT_DAY).cast("timestamp")
-    )
+    """The day when the status is one of DATED_STATUSES, else 1900-01-01."""
+    return F.when(F.lower(status).isin(*DATED_STATUSES), utc_day(value)).otherwise(F.lit(DEFAULT_DAY).cast("date"))
 
 
 def snapshot_start(as_of: datetime, zone: str = SNAPSHOT_ZONE) -> Column:
@@ -153,12 +177,11 @@ def snapshot_start(as_of: datetime, zone: str = SNAPSHOT_ZONE) -> Column:
     ``timestamp_sub(TIMESTAMP_TRUNC(ts, DAY, zone), INTERVAL 1 DAY)``: local
     midnight of the run day, then minus 24 hours (not one calendar day).
     """
-    local = F.from_utc_timestamp(as_of_ts(as_of), zone)
-    return F.to_utc_timestamp(F.date_trunc("DAY", local), zone) - F.expr("INTERVAL 24 HOURS")
+    return F.lit(snapshot_start_value(as_of, zone).replace(tzinfo=timezone.utc))
 
 
 def snapshot_start_value(as_of: datetime, zone: str = SNAPSHOT_ZONE) -> datetime:
-    """Python value of ``snapshot_start`` (used to build test inputs only)."""
+    """``snapshot_start`` as a naive UTC datetime."""
     local = _utc(as_of).astimezone(ZoneInfo(zone))
     midnight = local.replace(hour=0, minute=0, second=0, microsecond=0)
     return (midnight.astimezone(timezone.utc) - timedelta(hours=24)).replace(tzinfo=None)

@@ -314,8 +314,8 @@ def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE) -> DataFra
                     {"__rf": "list_item_name"}, small=t.is_small("ready_for_860_transmit"))
     po_side = df.select(
         c("currency_id").alias("__cur"),
-        c("tranid"), c("original_ship_date").cast("date").alias("original_ship_date"),
-        c("original_cancel_date").cast("date").alias("original_cancel_date"),
+        c("tranid"), E.utc_day(c("original_ship_date")).alias("original_ship_date"),
+        E.utc_day(c("original_cancel_date")).alias("original_cancel_date"),
         c("tranid").alias("Carrier_Shipping_Data"), E.t_yes_no(c("sent_to_chr")).alias("sent_to_chr"),
         E.fmt_day(c("n_860_last_execution_timestamp")).alias("n_860_last_execution_timestamp"),
         c("location_code").cast("bigint").alias("location_code"),

@@ -94,11 +94,10 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
     days = F.round(F.coalesce(c("days_to_edit").cast("double"), F.lit(0.0))).cast("bigint")
     df = df.withColumn("__edit_ts", E.minus_days(c("ship_date"), days))
     cal = t["dim_dates"]
-    df = ops.lookup(df, cal, c("__edit_ts"), F.date_trunc("DAY", c("calendar_date")),
+    df = ops.lookup(df, cal, c("__edit_ts"), E.utc_midnight(c("calendar_date")),
                     {"po_edit_fiscal_week_number": "REALIGNED_FISCAL_WEEK_NO"}, small=t.is_small("dim_dates"))
     # Calendar row(s) of yesterday; only their number matters.
-    yday = F.lit(E.naive_utc(as_of).date()).cast("timestamp") - F.expr("INTERVAL 1 DAY")
-    n_yday = cal.where(F.date_trunc("DAY", c("calendar_date")) == yday).agg(F.count(F.lit(1)))
+    n_yday = cal.where(E.utc_day(c("calendar_date")) == F.date_sub(E.as_of_date(as_of), 1)).agg(F.count(F.lit(1)))
     df = ops.repeat_rows(df, n_yday.scalar())
     for dim, fk, out in [("allocation_channel", "allocation_channel_id", "po_allocation_channel"),
                          ("integrationstatuses", "integration_status_id", "integration_status"),
@@ -133,8 +132,8 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
         c("transaction_extid"), c("external_id"), c("buyer"), c("status").alias("po_status"), c("po_vendor"),
         c("po_terms"), E.fmt_day(c("cancel_date")).alias("po_cancel_date"),
         E.fmt_day(c("trandate")).alias("po_created_date"), E.fmt_day(c("ship_date")).alias("po_ship_date"),
-        E.fmt_day(E.status_dated(c("status"), c("ship_date")).cast("date")).alias("po_original_ship_date"),
-        E.fmt_day(E.status_dated(c("status"), c("original_cancel_date")).cast("date")).alias("po_original_cancel_date"),
+        E.fmt_day(E.status_dated(c("status"), c("ship_date"))).alias("po_original_ship_date"),
+        E.fmt_day(E.status_dated(c("status"), c("original_cancel_date"))).alias("po_original_cancel_date"),
         c("due_date").alias("po_due_date"), F.lit("-1").alias("po_email_sent"),
         E.true_false_blank(c("first_transmission")).alias("po_first_transmission"),
         c("po_fixed_payment_date"), c("po_is_finalized"), F.lit("NS").alias("record_source_system"),
@@ -255,7 +254,7 @@ def po_line_groups(t, as_of: datetime) -> DataFrame:
         "po_number",
         c("item_extid"), c("vendor_sku"), c("salesdescription").alias("item_description"),
         c("memo").alias("po_item_description"),
-        F.coalesce(c("expected_arrival_eta_line"), F.lit(E.DEFAULT_DAY).cast("timestamp")).cast("date")
+        F.coalesce(E.utc_day(c("expected_arrival_eta_line")), F.lit(E.DEFAULT_DAY).cast("date"))
         .alias("expected_arrival_eta_line"),
         c("period_closed").alias("closed"), c("item_count"), c("original_transmitted_qty"),
         c("quantity_received_in_shipment"), c("number_billed"), c("uom_name").alias("unit_of_measure"),
