@@ -54,7 +54,8 @@ def safe_cuts(data: np.ndarray, marks: str = "") -> np.ndarray:
 
 
 class ChunkEncoder:
-    slice_bytes, memo_chunks = SLICE_BYTES, MEMO_CHUNKS
+    #: Limits of a subclass; without them the module's own hold.
+    slice_bytes = memo_chunks = None
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -96,7 +97,7 @@ class ChunkEncoder:
         chunks = pa.LargeStringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts), pa.py_buffer(np.ascontiguousarray(data)))
         coded = chunks.dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        if len(self.place) + len(distinct) > self.memo_chunks:
+        if len(self.place) + len(distinct) > (self.memo_chunks or MEMO_CHUNKS):
             self.clear()
         place = list(map(self.place.get, distinct))
         missing = [x for x, k in zip(distinct, place) if k is None]
@@ -108,17 +109,18 @@ class ChunkEncoder:
     def _slices(self, column: pa.Array):
         """Slices of whole rows; a row beyond the slice size is cut into pieces, of
         which only the last comes with ``ends`` set."""
+        slice_bytes = self.slice_bytes or SLICE_BYTES
         data, offsets = utf8(column)
-        for a, b in slices(offsets, self.slice_bytes):
+        for a, b in slices(offsets, slice_bytes):
             part, low = data[offsets[a] : offsets[b]], 0
-            if b - a > 1 or len(part) <= self.slice_bytes:
+            if b - a > 1 or len(part) <= slice_bytes:
                 yield a, b, part, offsets[a : b + 1] - offsets[a], True
                 continue
             cuts = safe_cuts(part, self.marks)
             while low < len(part):
-                k = int(np.searchsorted(cuts, low + self.slice_bytes, "right"))
+                k = int(np.searchsorted(cuts, low + slice_bytes, "right"))
                 k -= k > 0 and cuts[k - 1] > low  # the last cut in reach, else the first beyond
-                high = int(cuts[k]) if k < len(cuts) and low + self.slice_bytes < len(part) else len(part)
+                high = int(cuts[k]) if k < len(cuts) and low + slice_bytes < len(part) else len(part)
                 yield a, b, part[low:high], np.array([0, high - low]), high == len(part)
                 low = high
 
