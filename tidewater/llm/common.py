@@ -16,6 +16,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 from tidewater.sources.publish import shared_dir
 
@@ -59,6 +60,43 @@ def kept(key: tuple, build):
     return _kept[key]
 
 
+def free_names(columns: list[str], *wanted: str) -> list[str]:
+    """Private column names that no column of the input has (in any letter case):
+    each wanted name, with as many underscores behind it as that takes."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    """A column name for ``F.col``, whatever signs it holds."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def all_but(df: DataFrame, *names: str | None) -> list[str]:
+    """The columns of ``df`` besides those that give way to new ones of these names."""
+    gone = {n.lower() for n in names if n}
+    return [c for c in df.columns if c.lower() not in gone]
+
+
+def map_rows(df: DataFrame, run, schema: StructType) -> DataFrame:
+    """``df.mapInArrow``, which takes no names with dots or backticks, for columns
+    of any names: inside, the columns are numbered."""
+    numbers = [f"c{i}" for i in range(len(schema))]
+
+    def numbered(batches):
+        for out in run(batches):
+            yield pa.RecordBatch.from_arrays(out.columns, numbers)
+
+    inner = df.toDF(*(f"c{i}" for i in range(len(df.columns))))
+    fields = [StructField(n, f.dataType, f.nullable) for n, f in zip(numbers, schema.fields)]
+    return inner.mapInArrow(numbered, StructType(fields)).toDF(*schema.names)
+
+
 def stage_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder name under the shared folder of the session."""
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"

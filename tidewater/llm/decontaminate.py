@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import kept, normalise, prepare, utf8, word_texts
+from tidewater.llm.common import kept, map_rows, normalise, prepare, utf8, word_texts
 
 WINDOW = 10
 PART_BYTES = 64 << 20
@@ -174,4 +174,4 @@ def drop_contaminated(docs: DataFrame, bench: DataFrame, window: int = WINDOW, p
                         clean[i] = False
             yield batch.filter(pa.array(clean))
 
-    return docs.mapInArrow(keep, docs.schema)
+    return map_rows(docs, keep, docs.schema)

@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidewater.llm.common import GOLDEN, SubstringHash, kept, mix64, prepare, slices, utf8
+from tidewater.llm.common import GOLDEN, SubstringHash, all_but, free_names, kept, map_rows, mix64, prepare, quoted, slices, utf8
 
 #: Fixed value: the sign that stands for a blank in pieces.
 ESCAPE = "▁"
@@ -332,10 +332,14 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
            decoded: str | None = None) -> DataFrame:
     """``docs`` with a column ``into`` (array of int): a segmentation of the text
     drawn by the row's key. All other columns pass through unchanged. ``decoded``
-    names a column for the text that the pieces spell, decoded in the same pass."""
+    names a column for the text that the pieces spell, decoded in the same pass.
+    A column of ``docs`` with the name of a new one gives way to it."""
     prepare(docs.sparkSession)
-    text, names = docs.columns.index(text_column), [*docs.columns, into, *([decoded] if decoded else [])]
-    keyed = docs.withColumn("__key", F.coalesce(F.xxhash64(key_column), F.lit(0)))
+    stay = all_but(docs, into, decoded)
+    text, names = docs.columns.index(text_column), [*stay, into, *([decoded] if decoded else [])]
+    places = [docs.columns.index(c) for c in stay]
+    (key,) = free_names(docs.columns, "__key")
+    keyed = docs.withColumn(key, F.coalesce(F.xxhash64(quoted(key_column)), F.lit(0)))
 
     def run(batches):
         built = lattices(model, alpha)
@@ -344,22 +348,23 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
             tokens, counts = built.encode(batch.column(text).cast(pa.large_string()), keys)
             ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
             spelled = [pa.array(spell(built.pieces.surface, tokens, ends), pa.string())] if decoded else []
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.ListArray.from_arrays(ends, pa.array(tokens)), *spelled], names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), pa.ListArray.from_arrays(ends, pa.array(tokens)), *spelled], names)
 
     more = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
-    return keyed.mapInArrow(run, StructType([*docs.schema.fields, *more]))
+    return map_rows(keyed, run, StructType([*(docs.schema.fields[i] for i in places), *more]))
 
 
 def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str = "decoded") -> DataFrame:
     """``rows`` with a column ``into``: the text that the pieces spell."""
     prepare(rows.sparkSession)
-    at, names = rows.columns.index(pieces_column), [*rows.columns, into]
+    at, stay = rows.columns.index(pieces_column), all_but(rows, into)
+    names, places = [*stay, into], [rows.columns.index(c) for c in stay]
 
     def run(batches):
         surface = surfaces(model)
         for batch in batches:
             lists = batch.column(at)
             flat, ends = lists.values.to_numpy(zero_copy_only=False), lists.offsets.to_numpy()
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(spell(surface, flat, ends), pa.string())], names)
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), pa.array(spell(surface, flat, ends), pa.string())], names)
 
-    return rows.mapInArrow(run, StructType([*rows.schema.fields, StructField(into, StringType())]))
+    return map_rows(rows, run, StructType([*(rows.schema.fields[i] for i in places), StructField(into, StringType())]))

@@ -19,7 +19,8 @@ buckets; at the threshold that has a probability below ``1 - target``.
 
 Defined results: documents without words (null, empty, punctuation) link with
 nothing; repeated rows are copies of each other; a null id sorts last; an empty
-table gives an empty result; columns besides id and text are not read.
+table gives an empty result; columns besides id and text are not read, and may
+have any names.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SubstringHash, discard, mix64, prepare, slices, stage, word_texts
+from tidewater.llm.common import SubstringHash, discard, free_names, mix64, prepare, slices, stage, word_texts
 from tidewater.llm.components import connected_components
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
@@ -286,7 +287,8 @@ def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESH
 def keep_one(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs``, one of each class: the one of the least id (rows equal
     in id and text are one row). All columns pass through unchanged."""
-    gone = jaccard_classes(docs, **how).where("not kept").select(F.col("doc_id").alias("__gone_id"), F.col("tie").alias("__gone_tie")).distinct()
-    tie = F.xxhash64(F.col("text").cast("string"))
-    left = docs.withColumn("__tie", tie).join(gone, F.col("doc_id").eqNullSafe(F.col("__gone_id")) & (F.col("__tie") == F.col("__gone_tie")), "left_anti")
-    return left.dropDuplicates(["doc_id", "__tie"]).drop("__tie")
+    tie, gone_id, gone_tie = free_names(docs.columns, "__tie", "__gone_id", "__gone_tie")
+    gone = jaccard_classes(docs, **how).where("not kept").select(F.col("doc_id").alias(gone_id), F.col("tie").alias(gone_tie)).distinct()
+    tied = docs.withColumn(tie, F.xxhash64(F.col("text").cast("string")))
+    left = tied.join(gone, F.col("doc_id").eqNullSafe(F.col(gone_id)) & (F.col(tie) == F.col(gone_tie)), "left_anti")
+    return left.dropDuplicates(["doc_id", tie]).drop(tie)
