@@ -117,3 +117,37 @@ def test_long_secrets_go_whole(spark):
         assert sum(a == b for a, b in zip(secret, value)) < 0.5 * len(secret)
     assert re.fullmatch(r"id [0-9]{40}; end", out[3]) and re.fullmatch(r"sum [0-9a-fA-F]{200} end", out[2])
     assert re.fullmatch(r"api_key: [\w+/-]{16}\.[\w+/-]{16}\.[\w+/-]{20}\. Then", out[1])
+
+
+def test_bare_names_corefer(spark):
+    texts = [
+        "Mr. John Smith called. Later Smith said that John would pay. Contact: Smith, John. SMITH, J. Smith; The Smithson case.",
+        "Mrs. J. Smith and Mr. O'Brien met McDonald. Mr. McDonald left, O'Brien stayed. MRS. ANNA SMITH; Dr. Peter Jones, Ms. 李娜.",
+        "Госпожа Иванова и Господин Иванов. Петров и Иванова, Иванов.",
+        "John and Smith without a form of address. He saw O'Brien.",
+        "Mr. Smith He said. Then The end.",
+    ]
+    out = run(spark, texts)
+    m = re.fullmatch(r"Mr\. (\w+) (\w+) called\. Later (\w+) said that (\w+) would pay\. Contact: (\w+), (\w+)\. ([A-Z]+), ([A-Z])\. (\w+); The Smithson case\.", out[0])
+    given, smith, *rest = m.groups()
+    assert rest == [smith, given, smith, given, smith.upper(), given[0], smith] and not {given, smith} & {"John", "Smith"}
+    m = re.fullmatch(r"Mrs\. ([A-Z])\. (\w+) and Mr\. (\w+) met (\w+)\. Mr\. (\w+) left, (\w+) stayed\. MRS\. ([A-Z]+) ([A-Z]+); Dr\. (\w+) (\w+), Ms\. (\w+)\.", out[1])
+    _, smith2, obrien, mcdonald, mcdonald2, obrien2, _, smith3, peter, jones, li = m.groups()
+    assert smith2 == smith and smith3 == smith.upper() and obrien == obrien2 and mcdonald == mcdonald2
+    assert not {obrien, mcdonald, peter, jones, li} & {"O'Brien", "McDonald", "Peter", "Jones", "李娜"} and re.fullmatch(r"[一-鿿]+", li)
+    assert peter.lower().endswith(tuple(pii.ENDINGS["latin"]["any"].split()))
+    m = re.fullmatch(r"Госпожа (\w+) и Господин (\w+)\. Петров и (\w+), (\w+)\.", out[2])
+    assert m.group(1) == m.group(3) == m.group(2) + "а" and m.group(2) == m.group(4) != "Иванов"
+    assert out[3] == texts[3]
+    assert out[4] == f"Mr. {smith} He said. Then The end."
+
+
+def test_keyed_hash_is_hmac(spark):
+    import hashlib
+    import hmac
+
+    from pyspark.sql import functions as F
+
+    for key in ("k", "ключ", "x" * 100):
+        got = spark.createDataFrame([("é msg",)], "m string").select(pii.keyed_hash(F.col("m"), key)).first()[0]
+        assert got == hmac.new(key.encode(), "é msg".encode(), hashlib.sha256).hexdigest()
