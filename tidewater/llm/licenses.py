@@ -2,7 +2,7 @@
 
 One Aho-Corasick automaton over normalised words finds notice phrases and
 identifier tags in a single pass. After a tag (``SPDX-License-Identifier``) the
-original line holds a license expression; a shunting-yard parser turns it into
+original line, up to the next tag, holds a license expression; a shunting-yard parser turns it into
 postfix order (``with`` binds tighter than ``and``, ``and`` than ``or``) and
 evaluates it.
 
@@ -12,6 +12,11 @@ worse, and ``with`` moves a grade halfway to 1. All findings of a text hold
 together, so the text's score is the least of them; a text without finding has
 no grant and scores 0.
 
+A notice that stands inside a longer one says less than it ("cc by" in "cc by
+nc") and does not count there; where it stands alone it does. Base phrases always
+count. Phrases inside an expression give labels, but only the expression a grade.
+Work is in proportion to the text, however many hits it holds.
+
 Defined results: null and empty texts have no words, no labels and score 0;
 repeated rows are judged row by row; a malformed expression gives the labels
 that it names and the least of their grades; an empty table gives no rows.
@@ -20,13 +25,14 @@ that it names and the least of their grades; an empty table gives no rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import prepare, utf8, word_texts
+from tidewater.llm.common import normalise, prepare, utf8, word_texts
 
 #: The base phrases and their labels.
 BASE = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
@@ -46,6 +52,7 @@ NOTICES = {
     "redistribution and use in source and binary forms": "bsd",
     "bsd license": "bsd",
     "isc license": "isc",
+    "mit license": "mit",
     "cc by": "cc-by",
     "cc by sa": "cc-by-sa",
     "cc by nd": "cc-by-nd",
@@ -58,6 +65,7 @@ NOTICES = {
     "public domain": "public-domain",
     "all rights reserved": "all-rights-reserved",
 }
+_LABELS = {**NOTICES, **BASE}
 TAGS = ("spdx license identifier", "license expression")
 GRADES = {
     "public-domain": 1.0, "cc0": 1.0, "unlicense": 1.0, "mit": 0.95, "isc": 0.95, "bsd": 0.95, "zlib": 0.95, "apache-2": 0.9, "cc-by": 0.85,
@@ -67,7 +75,12 @@ GRADES = {
 UNKNOWN_GRADE = 0.3
 _STRENGTH = {"or": 1, "and": 2, "with": 3}
 _TOKEN = re.compile(r"[()]|[A-Za-z0-9][A-Za-z0-9.+-]*")
-_TAG_LINE = re.compile(r"(?i:spdx-license-identifier|license-expression)[ \t]*[:=]?[ \t]*([^\r\n]*)")
+#: Signs between words, those that may stand between a tag and its expression, and a
+#: tag in the original text: its words with any such signs between, in one line or several.
+_GAP, _LEAD = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+", r"[\x00-\x09\x0B\x0C\x0E-\x27\x29-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]*"
+_WORD_SIGN = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+_TAG = re.compile(rf"(?<!{_WORD_SIGN})(?:{'|'.join(t.replace(' ', _GAP) for t in TAGS)})(?!{_WORD_SIGN}){_LEAD}", re.I | re.A)
+_LINE_END = re.compile(r"[\r\n]")
 
 
 def label_of(identifier: str) -> str:
@@ -79,12 +92,13 @@ def label_of(identifier: str) -> str:
     return max(families, key=len) if families else name
 
 
-def parse(expression: str) -> tuple[list[tuple[str, str]], bool]:
-    """Postfix order of a license expression, as (kind, text) pairs, and whether
-    it is well formed. Reading stops at the first word that cannot follow."""
-    output, stack, expect, whole = [], [], True, True
-    for m in _TOKEN.finditer(expression):
-        token, word = m.group(), m.group().lower()
+def parse(text: str, start: int = 0, end: int | None = None) -> tuple[list[tuple[str, str]], bool, int]:
+    """Postfix order of the license expression in ``text[start:end]``, as (kind, text)
+    pairs, whether it is well formed and where it ends. Reading stops at the first word that cannot follow."""
+    output, stack, expect, whole, stop = [], [], True, True, start
+    for m in _TOKEN.finditer(text, start, len(text) if end is None else end):
+        token = m.group().rstrip(".")  # the end of a sentence
+        word = token.lower()
         if expect:
             if token == "(":
                 stack.append(token)
@@ -104,14 +118,15 @@ def parse(expression: str) -> tuple[list[tuple[str, str]], bool]:
                 output.append(("op", top))
         else:
             break  # prose after the expression
+        stop = m.end()
     whole &= not expect and "(" not in stack
     output += [("op", x) for x in reversed(stack) if x != "("]
-    return output, whole
+    return output, whole, stop
 
 
-def evaluate(expression: str) -> tuple[set[str], float | None]:
-    """Labels named in an expression and its grade; None where it names none."""
-    postfix, whole = parse(expression)
+def evaluate(text: str, start: int = 0, end: int | None = None) -> tuple[set[str], float | None, int]:
+    """Labels named in the expression in ``text[start:end]``, its grade (None where it names none) and its end."""
+    postfix, whole, stop = parse(text, start, end)
     stack: list[tuple[float, str]] = []
     labels: set[str] = set()
     exceptions = {i - 1 for i, (kind, text) in enumerate(postfix) if kind == "op" and text == "with" and i >= 2}
@@ -125,7 +140,7 @@ def evaluate(expression: str) -> tuple[set[str], float | None]:
             right, left = stack.pop(), stack.pop()
             grade = max(left[0], right[0]) if text == "or" else min(left[0], right[0]) if text == "and" else (left[0] + 1) / 2
             stack.append((grade, ""))
-    return labels, min((x[0] for x in stack), default=None)
+    return labels, min((x[0] for x in stack), default=None), stop
 
 
 @lru_cache(maxsize=1)
@@ -139,29 +154,53 @@ def _automaton():
     return automaton
 
 
-def judge(words: bytes, original: str) -> tuple[list[int], set[str], set[str], float]:
-    """Starts of base places (in words), base labels, all labels and the score."""
+def expressions(original: str):
+    """(start, end) of what follows each tag: up to the line's end or the next tag."""
+    last = None
+    for m in _TAG.finditer(original):
+        if last is not None:
+            yield last, m.start()
+        last = m.end()
+    if last is not None:
+        yield last, len(original)
+
+
+def findings(words: bytes) -> tuple[list[tuple[int, str]], bool]:
+    """(start in words, phrase) of the hits that count, and whether there is a tag."""
     spaced = f" {words.decode('latin-1')} "
-    starts, base, found, tagged = [], set(), set(), False
+    tagged, hits, out = False, [], []
     for end, phrase in _automaton().iter(spaced):
-        if phrase in BASE:
-            starts.append(spaced.count(" ", 0, end - len(phrase)) - 1)
-            base.add(BASE[phrase])
-            found.add(phrase)
-        elif phrase in TAGS:
+        if phrase in TAGS:
             tagged = True
         else:
-            found.add(phrase)
-    # A notice inside a longer one says less than it: "cc by" in "cc by nc".
-    lasting = {p for p in found if p in BASE or not any(p != q and f" {p} " in f" {q} " for q in found)}
-    names = {BASE.get(p) or NOTICES[p] for p in lasting}
-    grades = [GRADES[x] for x in names]
+            hits.append((end - len(phrase), -end, phrase))
+    hits.sort()
+    word, counted, reach = -1, 0, 0
+    for start, end, phrase in hits:
+        # Where an earlier hit reaches as far, this one stands inside it.
+        if phrase in BASE or -end > reach:
+            word, counted = word + spaced.count(" ", counted, start), start
+            out.append((word, phrase))
+        reach = max(reach, -end)
+    return out, tagged
+
+
+def judge(words: bytes, original: str) -> tuple[list[int], set[str], set[str], float]:
+    """Starts of base places (in words), base labels, all labels and the score."""
+    found, tagged = findings(words)
+    base = {BASE[p] for _, p in found if p in BASE}
+    names, grades = {_LABELS[p] for _, p in found}, []
+    outside = Counter(p for _, p in found)
     if tagged:
-        for m in _TAG_LINE.finditer(original):
-            labels, grade = evaluate(m.group(1))
+        for start, stop in expressions(original):
+            line = _LINE_END.search(original, start, stop)
+            labels, grade, stop = evaluate(original, start, line.start() if line else stop)
             names |= labels
             grades += [] if grade is None else [grade]
-    return starts, base, names, min(grades, default=0.0)
+            # An expression's names are judged by it alone, also those that are phrases.
+            outside.subtract(p for _, p in findings(normalise(original[start:stop].encode()))[0])
+    grades += [GRADES[_LABELS[p]] for p, n in outside.items() if n > 0]
+    return [i for i, p in found if p in BASE], base, names, min(grades, default=0.0)
 
 
 def license_scan(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
