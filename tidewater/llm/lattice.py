@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
-from tidewater.llm.common import GOLDEN, SubstringHash, all_but, free_names, kept, map_rows, mix64, prepare, quoted, slices, utf8
+from tidewater.llm.common import GOLDEN, SubstringHash, free_names, kept, map_rows, mix64, prepare, quoted, slices, utf8
 
 #: Fixed value: the sign that stands for a blank in pieces.
 ESCAPE = "▁"
@@ -333,9 +333,9 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
     """``docs`` with a column ``into`` (array of int): a segmentation of the text
     drawn by the row's key. All other columns pass through unchanged. ``decoded``
     names a column for the text that the pieces spell, decoded in the same pass.
-    A column of ``docs`` with the name of a new one gives way to it."""
+    A column of ``docs`` with just the name of a new one gives way to it."""
     prepare(docs.sparkSession)
-    stay = all_but(docs, into, decoded)
+    stay = [c for c in docs.columns if c not in (into, decoded)]
     text, names = docs.columns.index(text_column), [*stay, into, *([decoded] if decoded else [])]
     places = [docs.columns.index(c) for c in stay]
     (key,) = free_names(docs.columns, "__key")
@@ -357,7 +357,7 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
 def decode(rows: DataFrame, model: str, pieces_column: str = "pieces", into: str = "decoded") -> DataFrame:
     """``rows`` with a column ``into``: the text that the pieces spell."""
     prepare(rows.sparkSession)
-    at, stay = rows.columns.index(pieces_column), all_but(rows, into)
+    at, stay = rows.columns.index(pieces_column), [c for c in rows.columns if c != into]
     names, places = [*stay, into], [rows.columns.index(c) for c in stay]
 
     def run(batches):
