@@ -101,9 +101,85 @@ def test_shared_counts_in_tiles():
     assert (J.shared_counts(sets, left, right) == want[:17, 17:]).all()
 
 
-def test_prefix_is_shortened_to_the_target():
-    depth = J.prefix_depth()
-    assert J.recall(J.THRESHOLD, J.TREES, depth) >= J.TARGET > J.recall(J.THRESHOLD, J.TREES, depth + 1)
+def test_missed_links():
+    assert J.missed_links(0, 0, 32) == 31 / 64  # without links nothing is known
+    assert J.missed_links(9, 19, 32) == 31 / 32 * 100 / 40
+    assert J.missed_links(0, 1000, 32) < 0.0005
+
+
+def test_every_pair_is_new_once():
+    """Over all lengths and trees, a pair is new exactly once if it shares a node."""
+    rng = np.random.default_rng(1)
+    labels = rng.integers(0, 2, (60, 6, 5)).astype(np.uint16)
+    every, times = np.arange(60), np.zeros((60, 60), int)
+    for depth in range(5, 2, -1):
+        for tree in range(6):
+            times += J.new_pairs(labels, every, every, tree, depth)
+    shared = (labels[:, None, :, :3] == labels[None, :, :, :3]).all(3).any(2)
+    assert (times == shared).all() and 0 < shared.mean() < 1
+    pairs = np.argwhere(np.triu(shared, 1))
+    meets = (labels[pairs[:, 0], :, :3] == labels[pairs[:, 1], :, :3]).all(2).sum(1)
+    assert J.tally(labels, pairs, range(3, 5))[:3] == [len(pairs), (meets == 1).sum(), (meets == 2).sum()]
+
+
+def staged(monkeypatch):
+    """(name, rows) of each staged table, in order."""
+    seen, stage = [], J.stage
+
+    def counted(df, name):
+        out = stage(df, name)
+        seen.append((name, out.count()))
+        return out
+
+    monkeypatch.setattr(J, "stage", counted)
+    return seen
+
+
+def changed(rng, text, share):
+    return " ".join(f"x{rng.random()}".replace(".", "") if rng.random() < share else w for w in text.split())
+
+
+def test_recall_of_planted_pairs_at_the_threshold(spark):
+    """400 pairs of a similarity of 0.81."""
+    rows = []
+    for i in range(400):
+        words = [f"w{i}x{k}" for k in range(100)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join([*words[:90], *(f"u{i}x{k}" for k in range(10))]))]
+    near = {len(grams(a) & grams(b)) / len(grams(a) | grams(b)) for (_, a), (_, b) in zip(rows[::2], rows[1::2])}
+    assert near == {86 / 106} and 0.8 <= 86 / 106 < 0.82
+    assert sum(n for _, n, _ in run(spark, rows)) / 2 >= 0.99 * 400
+
+
+def test_rounds_end_when_the_target_is_shown(spark, monkeypatch):
+    """Many links that meet in several trees end the rounds before the floor; a
+    few links never do."""
+    rng, rows = random.Random(2), []
+    for i in range(600):
+        words = [f"w{i}x{k}" for k in range(50)]
+        rows += [(2 * i, " ".join(words)), (2 * i + 1, " ".join(words[:-1] + ["z"] * 3))]
+    docs = spark.createDataFrame([(*r, "x", 1) for r in rows], SCHEMA)
+    seen = staged(monkeypatch)
+    assert sum(r.n_links for r in J.jaccard_classes(docs, threshold=0.9, target=0.99).collect()) == 1200
+    early = sum(name == "verified" for name, _ in seen)
+    seen.clear()
+    J.jaccard_classes(docs.limit(20), threshold=0.9, target=0.99).collect()
+    assert early < sum(name == "verified" for name, _ in seen) == J.MAX_DEPTH - J.MIN_DEPTH + 1
+
+
+def test_templates_are_not_chained(spark, monkeypatch):
+    """Pages of one template, none alike enough: nodes chain most of them, yet
+    the sets moved to be verified are few a page, at either size."""
+    share = {}
+    for n in (300, 900):
+        rng = random.Random(4)
+        words = [f"w{k}" for k in range(300)]
+        rows = [(i, changed(rng, " ".join(words), 0.05)) for i in range(n)]
+        with monkeypatch.context() as patch:
+            seen = staged(patch)
+            assert all(links == 0 and i == least for i, links, least in run(spark, rows))
+            share[n] = sum(c for name, c in seen if name == "active") / n
+            assert max(c for name, c in seen if name == "active") <= J.TREES * n
+    assert share[900] <= J.TREES * (J.MAX_DEPTH - J.MIN_DEPTH + 1)
 
 
 def test_components_of_paths_stars_and_rings(spark):

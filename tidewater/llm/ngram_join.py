@@ -2,20 +2,29 @@
 
 * A document is the set of its runs of ``size`` words (all its words, if fewer).
   Documents of equal sets are one class from the start.
-* Each class has a signature of ``trees`` sequences of ``max_depth`` minima. A
-  tree is the trie of its sorted sequences. Starting from the whole sequence,
-  the matched prefix is shortened until a pair at the threshold meets in some
-  tree with probability ``target`` or more; prefixes of that depth are the
-  buckets. Classes that meet are linked to the bucket's least, never in pairs.
-* What buckets link is one candidate group. Inside a group all pairs are
-  verified exactly, by the sets, in tiles of bounded size: a group is dealt to
-  length classes (sets whose sizes differ by more than the threshold allows
+* Each class has a signature of ``trees`` sequences of ``max_depth`` labels (16
+  bits of a minimum each). A tree is the trie of its sorted sequences, a node a
+  prefix that several classes share. The forest is one table, sorted by tree and
+  sequence, of the sequences that share their first ``min_depth`` labels.
+* The first round matches whole sequences; each further round shortens the
+  matched prefix by one label. A round verifies just the pairs that meet at its
+  length and at no greater one, in the first tree where they do: a pair is seen
+  once, nodes of the same members are one, and what only a chain of nodes joins
+  is never compared. The labels alone tell which members have such a pair; only
+  their sets are read and moved.
+* Verification is exact, by the sets, in tiles of bounded size: a node is dealt
+  to length classes (sets whose sizes differ by more than the threshold allows
   cannot pass) and hashed tiles, and every pair of tiles is a task of its own.
   Shingles of few documents are counted pair by pair, the others by a matrix
   product. A tile gives back counts and a spanning forest, not pairs.
+* Rounds end when the links found so far show the target recall: of the links
+  less than ``MARGIN`` above the threshold, those that meet in one tree only and
+  in two only at the present length tell by Chao's estimate how many meet in none.
+  One link more is assumed of the first kind, so that few links never
+  end the rounds; then ``min_depth`` does.
 
-Recall: a pair is missed only if its classes meet in no tree and in no chain of
-buckets; at the threshold that has a probability below ``1 - target``.
+Recall: at ``min_depth`` a pair at the threshold meets in no tree with a
+probability of 3 in a million.
 
 Defined results: documents without words (null, empty, punctuation) link with
 nothing; repeated rows are copies of each other; a null id sorts last; an empty
@@ -37,24 +46,19 @@ from tidewater.llm.components import connected_components
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
 SIZE, THRESHOLD = 5, 0.8
-TREES, MAX_DEPTH, TARGET = 32, 10, 0.9999
+TREES, MAX_DEPTH, MIN_DEPTH, TARGET = 32, 8, 5, 0.9999
+#: Links that are less than this above the threshold tell the recall.
+MARGIN = 0.05
 #: Documents and shingles of a tile, bytes of words hashed at once.
 TILE_DOCS, TILE_SHINGLES, SLICE_BYTES = 2048, 2_000_000, 1 << 20
 #: A shingle of more documents of a tile is counted by matrix product.
 DENSE_FROM, DENSE_COLUMNS = 32, 1024
 
 
-def recall(threshold: float, trees: int, depth: int) -> float:
-    """Probability that a pair at the threshold shares a prefix of this depth."""
-    return 1 - (1 - threshold**depth) ** trees
-
-
-def prefix_depth(threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, target: float = TARGET) -> int:
-    """Shorten the prefix from ``max_depth`` until the target recall is met."""
-    depth = max_depth
-    while depth > 1 and recall(threshold, trees, depth) < target:
-        depth -= 1
-    return depth
+def missed_links(once: int, twice: int, trees: int) -> float:
+    """Chao's estimate of the links that meet in no tree, from those that meet in
+    one and in two; one more of the first kind is assumed."""
+    return (trees - 1) / max(trees, 1) * (once + 1) ** 2 / (2 * (twice + 1))
 
 
 def shingle_runs(column: pa.Array, size: int):
@@ -88,18 +92,42 @@ def _as_long(x: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(x).view(np.int64)
 
 
-def forest_prefixes(hashes: np.ndarray, starts: np.ndarray, trees: int, depth: int) -> np.ndarray:
-    """Each row's trie node of the given depth in every tree: a matrix of hashes."""
+def forest_labels(hashes: np.ndarray, starts: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """Each row's sequence of labels in every tree: rows x (trees * depth)."""
     factors = mix64(np.arange(1, trees * depth + 1, dtype=np.uint64)) | np.uint64(1)
-    nodes = np.empty((len(starts), trees), np.uint64)
+    labels = np.empty((len(starts), trees * depth), np.uint16)
     scratch = np.empty_like(hashes)
-    for tree in range(trees):
-        node = np.full(len(starts), tree + 1, np.uint64)
-        for level in range(depth):
-            np.multiply(hashes, factors[tree * depth + level], out=scratch)
-            node = mix64(node ^ mix64(np.minimum.reduceat(scratch, starts)))
-        nodes[:, tree] = node
-    return nodes
+    for at, factor in enumerate(factors):
+        np.multiply(hashes, factor, out=scratch)
+        labels[:, at] = mix64(np.minimum.reduceat(scratch, starts))  # the low 16 bits
+    return labels
+
+
+def node_hashes(labels: np.ndarray, depth: int) -> np.ndarray:
+    """Hashes of the prefixes of this length: rows x trees, from rows x trees x labels."""
+    node = np.zeros(labels.shape[:2], np.uint64)
+    for level in range(depth):
+        node = mix64(node ^ (labels[:, :, level].astype(np.uint64) + np.uint64(1)))
+    return node
+
+
+def meet(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Which rows of two matrices of nodes share one in some tree."""
+    out = np.zeros((len(left), len(right)), bool)
+    for tree in range(left.shape[1]):
+        out |= left[:, None, tree] == right[None, :, tree]
+    return out
+
+
+def new_pairs(labels: np.ndarray, left: np.ndarray, right: np.ndarray, tree: int, depth: int) -> np.ndarray:
+    """Pairs that share a prefix of this length, in no tree before this one, and
+    no longer prefix in any tree."""
+    here = node_hashes(labels[:, : tree + 1], depth)
+    out = (here[left, None, tree] == here[None, right, tree]) & ~meet(here[left, :tree], here[right, :tree])
+    if depth < labels.shape[2] and out.any():
+        longer = node_hashes(labels[:, tree:], depth + 1)
+        out &= ~meet(longer[left], longer[right])
+    return out
 
 
 def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
@@ -108,22 +136,23 @@ def _keyed(docs: DataFrame, id_column: str, text_column: str) -> DataFrame:
 
 
 def signatures(rows: DataFrame, size: int, trees: int, depth: int) -> DataFrame:
-    """id, tie, digest, n_shingles and nodes of every row; null where it has no words."""
+    """id, tie, digest, n_shingles and labels of every row; null where it has no words."""
 
     def sign(batches):
         for batch in batches:
             n = batch.num_rows
-            digests, counts, nodes = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, trees), np.uint64)
+            digests, counts, labels = np.zeros(n, np.int64), np.zeros(n, np.int64), np.zeros((n, trees * depth), np.uint16)
             for which, hashes, starts in shingle_runs(batch.column(2), size):
-                nodes[which] = forest_prefixes(hashes, starts, trees, depth)
+                labels[which] = forest_labels(hashes, starts, trees, depth)
                 for i, a, b in zip(which.tolist(), starts.tolist(), [*starts[1:].tolist(), len(hashes)]):
                     own = np.unique(hashes[a:b])
                     counts[i], digests[i] = len(own), set_digest(own)
-            lists = pa.ListArray.from_arrays(np.arange(0, n * trees + 1, trees, dtype=np.int32), pa.array(_as_long(nodes).ravel()))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, mask=counts == 0), pa.array(counts), lists], ["id", "tie", "digest", "n_shingles", "nodes"])
+            ends = np.arange(n + 1, dtype=np.int32) * np.int32(labels.itemsize * trees * depth)
+            held = pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends), pa.py_buffer(labels)])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, mask=counts == 0), pa.array(counts), held], ["id", "tie", "digest", "n_shingles", "labels"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, tie long, digest long, n_shingles long, nodes array<long>")
+    return rows.mapInArrow(sign, f"id {kind}, tie long, digest long, n_shingles long, labels binary")
 
 
 def shingle_sets(rows: DataFrame, wanted: tuple, size: int) -> DataFrame:
@@ -177,19 +206,28 @@ def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -
     return np.triu(out, 1) + np.triu(out, 1).T if same else out
 
 
-def verify_tile(sets: list[np.ndarray], copies: np.ndarray, on_left: np.ndarray, on_right: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Of each set of a pair of tiles: documents linked with it (copies counted),
-    and the least set that links inside these tiles reach."""
-    n = len(sets)
-    same = bool((on_left & on_right).any())
+def sides(on_left: np.ndarray, on_right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the left and right sets of a pair of tiles: the same or disjoint."""
     left = np.flatnonzero(on_left)
-    right = left if same else np.flatnonzero(on_right)
+    return left, left if (on_left & on_right).any() else np.flatnonzero(on_right)
+
+
+def verify_tile(sets: list[np.ndarray], copies: np.ndarray, left: np.ndarray, right: np.ndarray, wanted: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each set of a pair of tiles: documents linked with it (copies counted),
+    and the least set that links inside these tiles reach; then the pairs that
+    link by less than ``MARGIN`` above the threshold. Only wanted pairs link."""
+    n, same = len(sets), left is right
     links, root = np.zeros(n, np.int64), np.arange(n)
     if not len(left) or not len(right):
-        return links, root
+        return links, root, np.zeros((0, 2), np.int64)
     sizes = np.array([len(x) for x in sets], np.float64)
     shared = shared_counts(sets, left, right).astype(np.float64)
-    linked = (shared > 0) & (shared / (sizes[left][:, None] + sizes[right][None, :] - shared) >= threshold)
+    alike = shared / (sizes[left][:, None] + sizes[right][None, :] - shared)
+    linked = wanted & (shared > 0) & (alike >= threshold)
+    near = np.argwhere(linked & (alike < threshold + MARGIN))
+    near = np.stack([left[near[:, 0]], right[near[:, 1]]], axis=1)
+    if same:
+        near = near[near[:, 0] < near[:, 1]]
     links[left] += linked @ copies[right]
     if not same:
         links[right] += linked.T @ copies[left]
@@ -201,12 +239,49 @@ def verify_tile(sets: list[np.ndarray], copies: np.ndarray, on_left: np.ndarray,
         np.minimum.at(new, right, low)
         new = new[new]
         if (new == root).all():
-            return links, root
+            return links, root, near
         root = new
 
 
+def tally(labels: np.ndarray, pairs: np.ndarray, depths: range) -> list[int]:
+    """The number of pairs, then of each length those that share a prefix of it in
+    one tree only and in two only."""
+    out = [len(pairs)]
+    for depth in depths:
+        node, seen = node_hashes(labels, depth), np.zeros(labels.shape[1] + 2, np.int64)
+        for a in range(0, len(pairs), 100_000):
+            i, j = pairs[a : a + 100_000].T
+            seen += np.bincount((node[i] == node[j]).sum(1), minlength=len(seen))
+        out += [int(seen[1]), int(seen[2])]
+    return out
+
+
+def _forest(classes: DataFrame, trees: int, max_depth: int, min_depth: int) -> DataFrame:
+    """tree, path and digest of the sequences that share their first ``min_depth``
+    labels with another's, sorted by tree and path."""
+    wide = 2 * max_depth
+    paths = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda k: F.substring("labels", k * wide + 1, F.lit(wide)))
+    placed = classes.select("digest", F.posexplode(paths).alias("tree", "path"))
+    placed = placed.withColumn("floor", F.xxhash64("tree", F.substring("path", 1, 2 * min_depth)))
+    shared = placed.groupBy("floor").agg(F.count("*").alias("n")).where("n > 1").select("floor")
+    held = placed.join(shared, "floor").select("tree", "path", "digest")
+    return stage(stage(held, "paths").repartitionByRange("tree", "path", "digest").sortWithinPartitions("tree", "path", "digest"), "forest")
+
+
+def _nodes(forest: DataFrame, depth: int, first: bool) -> DataFrame:
+    """component (a node), tree and digest of the members of the nodes of this
+    length that may hold new pairs, one node of those with the same members."""
+    prefix = F.substring("path", 1, 2 * depth)
+    longer = F.substring("path", 1, 2 * depth + 2)
+    nodes = forest.groupBy("tree", prefix.alias("prefix")).agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("who"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("also"), F.min(longer).alias("low"), F.max(longer).alias("high"))
+    nodes = nodes.where("n > 1" if first else "n > 1 and low <> high")
+    once = nodes.groupBy("n", "who", "also").agg(F.min(F.struct("tree", "prefix")).alias("node")).select("node.*")
+    return forest.withColumn("prefix", prefix).join(once, ["tree", "prefix"]).select(F.xxhash64("tree", "prefix").alias("component"), "tree", "digest")
+
+
 def _tiles(members: DataFrame, threshold: float) -> DataFrame:
-    """Deal members (digest, n_copies, n_shingles, component) to pairs of tiles."""
+    """Deal members (digest, n_shingles, component, tree) to pairs of tiles."""
     # Any step of at least -log(threshold) keeps linked sets in neighbouring levels.
     step = max(-math.log(threshold), 0.05)
     level = F.floor(F.log(F.col("n_shingles").cast("double")) / F.lit(step)).cast("int")
@@ -229,44 +304,82 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
     pairs = F.when(F.col("all_tiles") <= 1, F.array(F.struct(F.lit("").alias("low"), F.lit("").alias("high"), F.lit(True).alias("on_left"), F.lit(True).alias("on_right")))).otherwise(
         F.transform(F.concat(others(-1), others(0), others(1)), lambda x: F.struct(
             F.least(F.col("own"), x).alias("low"), F.greatest(F.col("own"), x).alias("high"), (F.col("own") <= x).alias("on_left"), (F.col("own") >= x).alias("on_right"))))
-    return dealt.withColumn("own", own).select("digest", "n_copies", "component", F.inline(pairs))
-
-
-def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, target: float = TARGET,
+    return dealt.withColumn("own", own).select("digest", "component", "tree", F.inline(pairs))
+
+
+def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, trees: int, max_depth: int, min_depth: int, target: float) -> DataFrame:
+    """digest, links and root, once for each tile that a class stands in."""
+    forest = _forest(classes, trees, max_depth, min_depth)
+    place = "digest long, component long, tree int, low string, high string, on_left boolean, on_right boolean"
+
+    def side_arrays(tile: pa.Table) -> tuple:
+        labels = np.frombuffer(b"".join(tile["labels"].to_pylist()), np.uint16).reshape(-1, trees, max_depth)
+        return labels, *sides(*(np.array(tile[x].to_pylist(), bool) for x in ("on_left", "on_right")))
+
+    def find(depth: int):
+        def run(tile: pa.Table) -> pa.Table:
+            labels, left, right = side_arrays(tile)
+            new, held = new_pairs(labels, left, right, tile["tree"][0].as_py(), depth), np.zeros(len(labels), bool)
+            if left is right:
+                np.fill_diagonal(new, False)
+            held[left[new.any(1)]] = True
+            held[right[new.any(0)]] = True
+            return tile.drop(["labels"]).filter(pa.array(held))
+
+        return run
+
+    def verify(depth: int):
+        def run(tile: pa.Table) -> pa.Table:
+            digests, lists = tile["digest"].to_numpy(), tile["shingles"].combine_chunks()
+            flat, ends = lists.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
+            sets = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+            labels, left, right = side_arrays(tile)
+            new = new_pairs(labels, left, right, tile["tree"][0].as_py(), depth)
+            links, root, near = verify_tile(sets, tile["n_copies"].to_numpy(), left, right, new, threshold)
+            seen = [tally(labels, near, range(min_depth, depth + 1))] + [None] * (len(digests) - 1)
+            return pa.table({"digest": digests, "links": links, "root": digests[root], "seen": pa.array(seen, pa.list_(pa.int64()))})
+
+        return run
+
+    found, known = None, np.zeros(1 + 2 * (max_depth - min_depth + 1), np.int64)
+    for depth in range(max_depth, min_depth - 1, -1):
+        members = stage(_nodes(forest, depth, depth == max_depth).join(classes.select("digest", "n_shingles"), "digest"), "members")
+        dealt = _tiles(members, threshold).join(classes.select("digest", "labels"), "digest")
+        dealt = dealt.select("digest", "component", "tree", "low", "high", "on_left", "on_right", "labels")
+        active = stage(dealt.groupBy("component", "low", "high").applyInArrow(find(depth), place), "active")
+        discard(members)
+        # The sets of these classes' first rows; the texts stay where they are.
+        here = classes.join(active.select("digest").distinct(), "digest", "left_semi")
+        wanted = write_sorted(here.select(F.xxhash64("rep.id", "rep.tie").alias("key")))
+        sets = shingle_sets(rows.select(F.xxhash64("id", "tie").alias("key"), "text"), wanted, size).dropDuplicates(["digest"])
+        tiles = active.join(sets.join(classes.select("digest", "n_copies", "labels"), "digest"), "digest")
+        new = stage(tiles.groupBy("component", "low", "high").applyInArrow(verify(depth), "digest long, links long, root long, seen array<long>"), "verified")
+        discard(active)
+        found = new if found is None else found.union(new)
+        at = 1 + 2 * (depth - min_depth)
+        sums = new.agg(*(F.coalesce(F.sum(F.col("seen")[i]), F.lit(0)) for i in range(at + 2))).first()
+        known[: at + 2] += np.array(sums, np.int64)
+        missed = missed_links(int(known[at]), int(known[at + 1]), trees)
+        if known[0] / (known[0] + missed) >= target:
+            break
+    discard(forest)
+    return found.select("digest", "links", "root")
+
+
+def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESHOLD, trees: int = TREES, max_depth: int = MAX_DEPTH, min_depth: int = MIN_DEPTH, target: float = TARGET,
                     id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """One row per row of ``docs``: its id, tie (hash of the text), class_id (least
     id that links reach, itself included), n_links (other rows linked directly,
     copies included) and kept (it is the class's one row to keep)."""
     prepare(docs.sparkSession)
     rows = _keyed(docs, id_column, text_column)
-    depth = prefix_depth(threshold, trees, max_depth, target)
-    signed = stage(signatures(rows, size, trees, depth), "signatures")
+    signed = stage(signatures(rows, size, trees, max_depth), "signatures")
     row_key = F.struct(F.col("id").isNull().alias("absent"), "id", "tie")
     classes = signed.where("digest is not null").groupBy("digest").agg(
-        F.count("*").alias("n_copies"), F.min(row_key).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("nodes").alias("nodes"))
+        F.count("*").alias("n_copies"), F.min(row_key).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels"))
     classes = stage(classes, "classes")
 
-    placed = classes.select("digest", F.explode("nodes").alias("node"))
-    shared = placed.groupBy("node").agg(F.min("digest").alias("head"), F.count("*").alias("n")).where("n > 1").select("node", "head")
-    candidates = connected_components(placed.join(shared, "node").select(F.col("digest").alias("a"), F.col("head").alias("b")))
-    members = stage(candidates.withColumnRenamed("node", "digest").join(classes.drop("nodes"), "digest"), "members")
-
-    # The sets of these classes' first rows; the texts stay where they are.
-    wanted = write_sorted(members.select(F.xxhash64("rep.id", "rep.tie").alias("key")))
-    sets = shingle_sets(rows.select(F.xxhash64("id", "tie").alias("key"), "text"), wanted, size).dropDuplicates(["digest"])
-
-    def verify(tile: pa.Table) -> pa.Table:
-        digests = tile["digest"].to_numpy()
-        lists = tile["shingles"].combine_chunks()
-        flat, ends = lists.flatten().to_numpy().view(np.uint64), np.concatenate([[0], np.cumsum(np.diff(lists.offsets.to_numpy()))])
-        sets_ = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
-        side = [np.array(tile[x].to_pylist(), bool) for x in ("on_left", "on_right")]
-        links, root = verify_tile(sets_, tile["n_copies"].to_numpy(), *side, threshold)
-        return pa.table({"digest": digests, "links": links, "root": digests[root]})
-
-    tiles = _tiles(members, threshold).join(sets, "digest")
-    found = stage(tiles.groupBy("component", "low", "high").applyInArrow(verify, "digest long, links long, root long"), "verified")
-    discard(candidates)
+    found = _links(rows, classes, size, threshold, trees, max_depth, min_depth, target)
     joined = connected_components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("digest").agg(F.sum("links").alias("links"))
     merged = classes.select("digest", "rep").join(joined.withColumnRenamed("node", "digest"), "digest")
