@@ -310,6 +310,8 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
 def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, trees: int, max_depth: int, min_depth: int, target: float) -> DataFrame:
     """digest, links and root, once for each tile that a class stands in."""
     forest = _forest(classes, trees, max_depth, min_depth)
+    # Of the classes only those of the forest are joined, round by round.
+    classes = stage(classes.join(forest.select("digest").distinct(), "digest", "left_semi"), "forest-classes")
     place = "digest long, component long, tree int, low string, high string, on_left boolean, on_right boolean"
 
     def side_arrays(tile: pa.Table) -> tuple:
@@ -363,6 +365,7 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, tre
         if known[0] / (known[0] + missed) >= target:
             break
     discard(forest)
+    discard(classes)
     return found.select("digest", "links", "root")
 
 
