@@ -1,9 +1,10 @@
 """Quality classifier: an interpolated modified Kneser-Ney model of trusted text.
 
-* Trusted texts are documents whose labels are all good and not toxic. The model is fitted on a bounded
-  sample of them (``max_trusted`` in each language: those of least hash of their
-  id), so that a rare language comes with all it has; a fifth of a language's sample
-  is held out to calibrate its threshold, and ``MIN_HELD_OUT`` if half of it is as many.
+* Trusted texts are documents whose labels are all good and not toxic. All of them
+  take part: a fifth of a language's (by hash of their id) is held out to calibrate its
+  threshold, and ``MIN_HELD_OUT`` if half of them are as many; the model is fitted on
+  the others. A caller may ask for fewer (``max_trusted`` in each language: those of
+  least hash).
 * N-grams are of characters (digits are folded to 0), with start and end marks.
   The highest order has counts, the lower orders count distinct characters to the
   left. Each order has three discounts from its counts of counts.
@@ -39,8 +40,10 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 from tidewater.llm.common import all_but, free_names, map_rows, mix64, prepare, quoted, stage, utf8
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
-ORDER, MAX_TRUSTED, HELD_OUT = 5, 40_000, 5
+ORDER, HELD_OUT = 5, 5
 QUANTILE, SHRINK, MIN_HELD_OUT = 0.995, 200, 20
+#: Trusted documents of a language up to which the held out ones are counted off exactly.
+RANKED = 2_000
 #: Scores are compared in steps of this size, so that quantiles are exact on few values.
 STEP = 0.001
 START, END = "\x02", "\x03"
@@ -214,32 +217,45 @@ def _score(mean, surprise: str = "__surprise", places: str = "__places") -> F.Co
     return F.round((F.col(surprise) + SHRINK * mean) / (F.col(places) + SHRINK) / STEP).cast("long")
 
 
-def trusted_sample(labels: DataFrame, max_trusted: int = MAX_TRUSTED, docs: DataFrame | None = None) -> DataFrame:
-    """(doc_id, lang, held_out) of documents whose labels are all of quality 1 and not
-    toxic: in each language of ``docs`` (without it, in all) at most ``max_trusted``, those of least hash."""
+def trusted_sample(labels: DataFrame, max_trusted: int | None = None, docs: DataFrame | None = None) -> DataFrame:
+    """(doc_id, lang, held_out) of all documents whose labels are all of quality 1 and not
+    toxic, or with ``max_trusted`` of at most so many, those of least hash, in each language
+    of ``docs`` (without it, in all)."""
     good = labels.where("doc_id is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"), F.max("toxic").alias("toxic")).where("quality = 1 and coalesce(toxic, 0) = 0").select("doc_id")
     if docs is None:
         good = good.withColumn("lang", F.lit(None).cast("string"))
     else:
         good = good.join(docs.select("doc_id", "lang"), "doc_id").distinct()
     good = stage(good.withColumn("__order", F.xxhash64("doc_id", F.lit("trusted"))), "trusted")
+    if max_trusted is None:
+        n = good.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("__n"))  # one row a language
+        counted = good.join(F.broadcast(n), F.col("lang").eqNullSafe(F.col("__lang")))
+        # Only languages of few are ranked; of many, the share is cut off by hash.
+        few = counted.where(F.col("__n") <= RANKED).withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy("__order", "doc_id")))
+        few = few.select("doc_id", "lang", (F.col("__rank") <= _n_held_out()).alias("held_out"))
+        many = counted.where(F.col("__n") > RANKED)
+        return few.unionByName(many.select("doc_id", "lang", (F.col("__order").cast("double") / 2.0**64 + 0.5 < 1 / HELD_OUT).alias("held_out")))
     # A cut by hash leaves little more than is asked for (ten deviations), however
     # many a language has; only these are ranked.
     cuts = good.groupBy(F.col("lang").alias("__lang")).agg(F.least(F.count("*"), F.lit(max_trusted)).alias("__n"), ((max_trusted + 10 * max_trusted**0.5 + 10) / F.count("*") - 0.5).alias("__cut"))
     least = good.join(cuts, F.col("lang").eqNullSafe(F.col("__lang"))).where(F.col("__order").cast("double") / 2.0**64 < F.col("__cut"))
     ranked = least.withColumn("__rank", F.row_number().over(Window.partitionBy("lang").orderBy("__order", "doc_id"))).where(F.col("__rank") <= max_trusted)
-    held_out = F.greatest(F.col("__n") / HELD_OUT, F.when(F.col("__n") >= 2 * MIN_HELD_OUT, MIN_HELD_OUT))
-    return ranked.select("doc_id", "lang", (F.col("__rank") <= held_out).alias("held_out"))
+    return ranked.select("doc_id", "lang", (F.col("__rank") <= _n_held_out()).alias("held_out"))
 
 
-def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: int = MAX_TRUSTED, quantile: float = QUANTILE, into: str = "__judged") -> DataFrame:
+def _n_held_out() -> F.Column:
+    return F.greatest(F.col("__n") / HELD_OUT, F.when(F.col("__n") >= 2 * MIN_HELD_OUT, MIN_HELD_OUT))
+
+
+def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: int | None = None, quantile: float = QUANTILE, into: str = "__judged") -> DataFrame:
     """``docs`` with perplexity, score, score_limit (null where there is none) and
     kept in a struct ``into``; a column of ``docs`` with that name gives way to it."""
     spark = docs.sparkSession
     prepare(spark)
     sample = stage(trusted_sample(labels, max_trusted, docs), "trusted").withColumnRenamed("lang", "__lang")
-    # At most max_trusted ids a language.
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").join(F.broadcast(sample), "doc_id").where(F.col("lang").eqNullSafe(F.col("__lang")))
+    # The ids grow with the labels: they are joined, not broadcast, and their texts written once for both uses.
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").join(sample, "doc_id").where(F.col("lang").eqNullSafe(F.col("__lang")))
+    texts = stage(texts.select("lang", "text", "held_out"), "trusted-texts")
     model = train(texts.where("not held_out"), order)
     grams = stage(distinct_grams(docs.select(F.col("text").cast("string").alias("text")), order), "kn-grams")
     table = probabilities(grams, model)
