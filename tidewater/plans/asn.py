@@ -236,7 +236,10 @@ def contact_groups(t, contacts: DataFrame, keys: list) -> DataFrame:
     df = ops.lookup(df, t["companies"], c("company_id"), "company_id", {"company": "companyname"}, spread_by=("contact_id",))
     df = ops.lookup(df, t["entity"], c("supervisior_id"), "entity_id", {"supervisor": "name"}, spread_by=("contact_id",))
     df = ops.lookup(df, t["entity"], c("assistant_id"), "entity_id", {"assistand": "name"}, spread_by=("contact_id",))
-    base = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first("__types").alias("__types"))
+    # The rows are dealt before they are grouped: a task that reads many contacts would
+    # sort them all for its part of the aggregate. Two keys, so that the address join
+    # below still has a shuffle of its own.
+    base = df.repartition("contact_id", "full_name").groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"), F.first("__types").alias("__types"))
     addresses = t["address_book"].where(c("entity_id").isNotNull()).groupBy(
         c("entity_id").alias("__addressed"), c("is_default_ship_address").alias("ab_ship"),
         c("is_default_bill_address").alias("ab_bill"), c("address").alias("ab_address")).agg(F.count(F.lit(1)).alias("__m"))
