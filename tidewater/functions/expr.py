@@ -168,7 +168,17 @@ def minus_days(ts: Column, days: Column) -> Column:
 
 def status_dated(status: Column, value: Column) -> Column:
     """The day when the status is one of DATED_STATUSES, else 1900-01-01."""
-    return F.when(F.lower(status).isin(*DATED_STATUSES), utc_day(value)).otherwise(F.lit(DEFAULT_DAY).cast("date"))
+    return dated_day(is_dated(status), value)
+
+
+def is_dated(status: Column) -> Column:
+    """The status is one of DATED_STATUSES."""
+    return F.lower(status).isin(*DATED_STATUSES)
+
+
+def dated_day(dated: Column, value: Column) -> Column:
+    """The day where ``dated`` holds, else 1900-01-01."""
+    return F.when(dated, utc_day(value)).otherwise(F.lit(DEFAULT_DAY).cast("date"))
 
 
 def snapshot_start(as_of: datetime, zone: str = SNAPSHOT_ZONE) -> Column:

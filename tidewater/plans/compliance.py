@@ -119,12 +119,13 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
                     small=t.is_small("departments"), spread_by=GROUP_ID)
 
     # The group keys are the formatted payment day and the decoded flag.
-    df = df.withColumns({"po_fixed_payment_date": E.fmt_day(c("fixed_payment_date")),
+    # Whether the status keeps its dates is a fact of the order's status, found once a row.
+    df = df.withColumns({"__dated": E.is_dated(c("status")), "po_fixed_payment_date": E.fmt_day(c("fixed_payment_date")),
                          "po_is_finalized": E.true_false_blank(c("is_finalized"))})
     # One shuffle on the PO number serves both the wide GROUP BY and the
     # DISTINCT (the number is among the keys of each); the rows here are
     # already at (PO, department) grain, so no map-side combine is lost.
-    g = df.repartition("tranid").groupBy(*PO_KEYS, *LABEL_KEYS).agg(
+    g = df.repartition("tranid").groupBy(*PO_KEYS, *LABEL_KEYS, "__dated").agg(
         F.sum("__n").alias("line_count"), F.sum("__qty").alias("total_quantity"),
         F.sum("__open").alias("remaining_open_quantity"), F.sum("__recv").alias("received_amount"))
     return g.select(
@@ -132,8 +133,8 @@ def purchase_orders_all(t, as_of: datetime) -> DataFrame:
         c("transaction_extid"), c("external_id"), c("buyer"), c("status").alias("po_status"), c("po_vendor"),
         c("po_terms"), E.fmt_day(c("cancel_date")).alias("po_cancel_date"),
         E.fmt_day(c("trandate")).alias("po_created_date"), E.fmt_day(c("ship_date")).alias("po_ship_date"),
-        E.fmt_day(E.status_dated(c("status"), c("ship_date"))).alias("po_original_ship_date"),
-        E.fmt_day(E.status_dated(c("status"), c("original_cancel_date"))).alias("po_original_cancel_date"),
+        E.fmt_day(E.dated_day(c("__dated"), c("ship_date"))).alias("po_original_ship_date"),
+        E.fmt_day(E.dated_day(c("__dated"), c("original_cancel_date"))).alias("po_original_cancel_date"),
         c("due_date").alias("po_due_date"), F.lit("-1").alias("po_email_sent"),
         E.true_false_blank(c("first_transmission")).alias("po_first_transmission"),
         c("po_fixed_payment_date"), c("po_is_finalized"), F.lit("NS").alias("record_source_system"),
@@ -336,11 +337,11 @@ def carrier_rows(t) -> DataFrame:
     lk = lines.select(E.as_key(lines, "transaction_id").alias("__tid"))
     po = ops.keys_present(po, lk, E.as_key(po, "transaction_id"), "__tid")
     nc = t["carrier_shipping_data"].where(c("is_inactive") == "F")
-    df = ops.lookup(po, nc, c("tranid"), "carrier_shipping_data_name", {
     # The vendor is looked up while the rows are narrow and one a PO.
     ent = t["entity"]
     po = po.select("tranid", E.as_key(po, "entity_id").alias("__entity"))
     po = ops.lookup(po, ent, c("__entity"), E.as_key(ent, "entity_id"), {"vendor": "name"}, how="inner", live_only=True)
+    df = ops.lookup(po, nc, c("tranid"), "carrier_shipping_data_name", {
         "nc_id": "carrier_shipping_data_id", "po_shipping_status": "po_shipping_status",
         "date_created": "date_created", "nc_inactive": "is_inactive"}, how="inner")
     df = ops.lookup(df, t["carrier_shipments"], c("nc_id"), "carrier_shipping_data_id", {
