@@ -1,10 +1,13 @@
-"""Whether a status keeps its dates is found once a row."""
+"""E17 in two steps: the flag of a status, and the day that it keeps."""
 
-from tidewater.plans import compliance
-from tidewater.plans.queries import AS_OF, sources
+from datetime import date
 
+from pyspark.sql import functions as F
 
-def test_j07_lowers_each_status_once(spark):
-    df = compliance.purchase_orders_all(sources(spark, "/root/testdata/sf0.001"), AS_OF)
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("lower(") == 1
+from tidewater.functions import expr as E
+
+
+def test_the_flag_and_its_day_are_status_dated(spark):
+    df = spark.createDataFrame([("Pending Bill", date(2001, 3, 15)), ("Closed", date(2001, 3, 15)), (None, date(2001, 3, 15)), ("FULLY BILLED", None)], "s string, d date")
+    rows = df.withColumn("f", E.is_dated(F.col("s"))).select(E.dated_day(F.col("f"), F.col("d")), E.status_dated(F.col("s"), F.col("d"))).collect()
+    assert [r[0] for r in rows] == [r[1] for r in rows] == [date(2001, 3, 15), date(1900, 1, 1), date(1900, 1, 1), None]
