@@ -35,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from tidewater.llm.common import all_but, free_names, map_rows, mix64, prepare, quoted, stage, utf8
 from tidewater.llm.sorted_files import open_sorted, write_sorted
@@ -225,7 +225,7 @@ def trusted_sample(labels: DataFrame, max_trusted: int | None = None, docs: Data
     if docs is None:
         good = good.withColumn("lang", F.lit(None).cast("string"))
     else:
-        good = good.join(docs.select("doc_id", "lang"), "doc_id").distinct()
+        good = docs.select("doc_id", "lang").join(good, "doc_id").distinct()
     good = stage(good.withColumn("__order", F.xxhash64("doc_id", F.lit("trusted"))), "trusted")
     if max_trusted is None:
         n = good.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("__n"))  # one row a language
@@ -247,15 +247,32 @@ def _n_held_out() -> F.Column:
     return F.greatest(F.col("__n") / HELD_OUT, F.when(F.col("__n") >= 2 * MIN_HELD_OUT, MIN_HELD_OUT))
 
 
+def trusted_texts(docs: DataFrame, sample: DataFrame) -> DataFrame:
+    """(lang, text, held_out) of the documents in ``sample`` (as ``trusted_sample`` gives
+    it for them). Each task looks its rows up by a 64-bit hash of id and language, so the
+    texts stay where they are read; only ids are shuffled."""
+    key = F.xxhash64("doc_id", "lang", F.col("lang").isNull()).alias("key")
+    where = write_sorted(sample.select(key, F.col("held_out").cast("double").alias("value")))
+    rows = docs.where("doc_id is not null").select(key, "lang", F.col("text").cast("string").alias("text"))
+
+    def look_up(batches):
+        known = open_sorted(*where)
+        for batch in batches:
+            there, held = known.find(batch.column(0).to_numpy().view(np.uint64))
+            found = batch.filter(pa.array(there))
+            yield pa.RecordBatch.from_arrays([*found.columns[1:], pa.array(held[there] > 0)], ["lang", "text", "held_out"])
+
+    return map_rows(rows, look_up, StructType([rows.schema["lang"], rows.schema["text"], StructField("held_out", BooleanType())]))
+
+
 def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: int | None = None, quantile: float = QUANTILE, into: str = "__judged") -> DataFrame:
     """``docs`` with perplexity, score, score_limit (null where there is none) and
     kept in a struct ``into``; a column of ``docs`` with that name gives way to it."""
     spark = docs.sparkSession
     prepare(spark)
-    sample = stage(trusted_sample(labels, max_trusted, docs), "trusted").withColumnRenamed("lang", "__lang")
-    # The ids grow with the labels: they are joined, not broadcast, and their texts written once for both uses.
-    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), "lang").join(sample, "doc_id").where(F.col("lang").eqNullSafe(F.col("__lang")))
-    texts = stage(texts.select("lang", "text", "held_out"), "trusted-texts")
+    sample = stage(trusted_sample(labels, max_trusted, docs), "trusted")
+    # Written once for both uses.
+    texts = stage(trusted_texts(docs, sample), "trusted-texts")
     model = train(texts.where("not held_out"), order)
     grams = stage(distinct_grams(docs.select(F.col("text").cast("string").alias("text")), order), "kn-grams")
     table = probabilities(grams, model)
