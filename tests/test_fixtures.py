@@ -2,7 +2,7 @@
 
 from datetime import datetime
 
-from tidewater.plans import asn, compliance
+from tidewater.plans import asn, compliance, queries
 
 AS_OF = datetime(2024, 3, 15, 12, 0, 0)
 PO = dict(transaction_id=1, tranid="PO1", transaction_type="Purchase Order", po_type_id=1, entity_id=7)
@@ -179,6 +179,23 @@ def test_j05_row_under_two_currencies_meets_a_vendor_once(tables):
     assert sorted(r.edi_capable for r in rows) == ["No", "Yes"]
 
 
+def test_j05_shown_rows_are_the_normalised_ones(tables):
+    # Sides under one, two and three currencies; rows that differ in what is shown alike stay two rows.
+    po = dict(PO, n_850_last_execution_timestamp=datetime(2024, 3, 1), original_ship_date=datetime(2024, 3, 9))
+    t = tables(
+        transactions=[dict(po, transaction_id=i, tranid=f"P{n}", currency_id=cur) for i, (n, cur) in
+                      enumerate([(1, 1), (2, 1), (2, 2), (3, 1), (3, 2), (3, 3), (4, None), (5, 3)], 1)],
+        transaction_lines=[dict(transaction_id=i, transaction_line_id=1, acknowledgment_rate=rate, asn_shipment_date=datetime(2024, 3, 2, 1, 2, 3, ms))
+                           for i in (1, 2, 3, 4, 5) for rate, ms in ((0.10001, 0), (0.10002, 0), (0.10002, 5), (None, 0))],
+        vendors=[dict(vendor_id=i, currency_id=cur, edi="T", edi_capable=cap) for i, (cur, cap) in
+                 enumerate([(1, "T"), (2, "T"), (3, "T"), (1, "F"), (2, "F"), (None, "T")], 1)],
+    )
+    rows = sorted(map(repr, queries.normalise(asn.edi_po_vendor_fields(t, AS_OF)).collect()))
+    shown = asn.edi_po_vendor_fields(t, AS_OF, shown=queries.normalised)
+    assert sorted(map(repr, shown.collect())) == rows
+    assert len(rows) == 2 * (4 + 4 + 4) + 2 and len(set(rows)) < len(rows)
+
+
 def test_j05_currency_fanout_deduped(tables):
     # 2 EDI vendors + 1 non-EDI vendor on one currency, a PO with 3 lines -> 6 rows before dedupe.
     t = tables(

@@ -5,7 +5,7 @@ import re
 
 import pytest
 
-from tidewater.plans import asn, compliance
+from tidewater.plans import asn, compliance, queries
 from tidewater.plans.queries import AS_OF, sources
 
 SF = "/root/testdata/sf0.001"
@@ -56,6 +56,13 @@ def test_j05_pairs_are_distinct_without_a_shuffle_above_the_join(t, no_auto_broa
     assert not exchanges(top) and not any("Aggregate" in x for x in top)
 
 
+def test_j05_values_are_normalised_before_the_pairs_are_made(spark, no_auto_broadcast):
+    lines = tree(queries.run("currency_fanout_dedupe", spark, SF))
+    meet = next(i for i, x in enumerate(lines) if "SortMergeJoin" in x)
+    assert not any(re.search("date_format|FLOOR", x) for x in lines[:meet]) and any("date_format" in x for x in lines[meet:])
+    assert re.search(r"size\(__pset.*= 1.*OR", lines[meet])
+
+
 @pytest.fixture
 def planned_once(spark):
     """Without adaptive execution the plan shows which shuffles are reused."""

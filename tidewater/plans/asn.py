@@ -10,6 +10,7 @@ bounded by their definition (``t.is_small``), carry a broadcast hint.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import datetime
 
 from pyspark.sql import DataFrame
@@ -277,7 +278,7 @@ EDI_ROLES = [("edi_810", "edi_810_id"), ("edi_846", "edi_846_id"), ("edi_850", "
              ("edi_855", "edi_855_id"), ("edi_856", "edi_856_id"), ("edi_860", "edi_860_id")]
 
 
-def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE) -> DataFrame:
+def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE, shown: Callable[[list], list] | None = None) -> DataFrame:
     """Distinct EDI fields of recent POs x EDI vendors of the same currency (36 columns).
 
     The vendor join is on currency alone (G1), a many-to-many fan-out under a
@@ -286,6 +287,9 @@ def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE) -> DataFra
     hold, so pairs are distinct by construction and nothing is shuffled or
     deduplicated above the join. There are few currencies, so the join is a grid:
     ``tile`` distinct order rows and vendor rows a cell.
+
+    There are many more pairs than rows. ``shown`` (fields to columns) is how a caller
+    wants to see the values: each side's distinct rows are put so before they meet.
     """
     po = (t["transactions"].where(c("transaction_type") == PURCHASE_ORDER)
           .where(c("n_850_last_execution_timestamp") >= E.recent_since(as_of)))
@@ -345,16 +349,20 @@ def edi_po_vendor_fields(t, as_of: datetime, tile: int = spread.TILE) -> DataFra
         E.fmt_day(c("edi_855_activation_date")).alias("edi_855_activation_date"),
         c("edi_856"), c("edi_860"), E.t_yes_no(c("edi_capable")).alias("edi_capable"),
     )
-    left, right = _with_currencies(po_side, "__cur", "__pset"), _with_currencies(vend_side, "__vcur", "__vset")
+    left, right = _with_currencies(po_side, "__cur", "__pset", shown), _with_currencies(vend_side, "__vcur", "__vset", shown)
     # A currency's orders and vendors meet in a grid of tiles: as many tasks as there is work.
     met = spread.grid_join(left, right, "__cur", "__vcur", tile)
-    return met.where(c("__cur") == F.array_min(F.array_intersect("__pset", "__vset"))).drop("__cur", "__vcur", "__pset", "__vset")
+    # Where a side has one currency, the pair meets once anyway, and no sets are compared.
+    least = (F.size("__pset") == 1) | (F.size("__vset") == 1) | (c("__cur") == F.array_min(F.array_intersect("__pset", "__vset")))
+    return met.where(least).drop("__cur", "__vcur", "__pset", "__vset")
 
 
-def _with_currencies(side: DataFrame, currency: str, out: str) -> DataFrame:
+def _with_currencies(side: DataFrame, currency: str, out: str, shown: Callable[[list], list] | None = None) -> DataFrame:
     """Distinct rows of one side with the set of their currencies, one row per currency."""
     values = [x for x in side.columns if x != currency]
     rows = side.where(c(currency).isNotNull()).groupBy(*values).agg(F.collect_set(currency).alias(out))
+    if shown:
+        rows = rows.select(*shown(rows.schema.fields[:-1]), out)
     return rows.withColumn(currency, F.explode(out))
 
 
