@@ -102,10 +102,28 @@ def stage_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str) -> DataFrame:
+#: Shuffle partitions that share a file of a narrow staged table, where there are many.
+PARTITIONS_A_FILE = 16
+
+
+def n_files(spark: SparkSession) -> int:
+    """Files of a narrow staged table at most: two for each core, or more as the
+    shuffle partitions (and with them the data) get more."""
+    return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_A_FILE)
+
+
+def stage(df: DataFrame, name: str, narrow: bool = False, dealt: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: short lineage, and
-    a lost executor costs a reread instead of a recomputation."""
+    a lost executor costs a reread instead of a recomputation.
+
+    Every file costs its writer requests to the store, and on a local folder a few
+    child processes. A ``narrow`` table (keys and numbers) has ``n_files`` of them,
+    not one a partition: each is written by one task from several partitions, one
+    after another. Where the work above is uneven (``dealt``), the rows are dealt
+    out to the files in a shuffle, and the work keeps its tasks."""
     spark = df.sparkSession
+    if narrow:
+        df = df.repartition(n_files(spark)) if dealt else df.coalesce(n_files(spark))
     path = stage_dir(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)

@@ -265,7 +265,7 @@ def _forest(classes: DataFrame, trees: int, max_depth: int, min_depth: int) -> D
     placed = placed.withColumn("floor", F.xxhash64("tree", F.substring("path", 1, 2 * min_depth)))
     shared = placed.groupBy("floor").agg(F.count("*").alias("n")).where("n > 1").select("floor")
     held = placed.join(shared, "floor").select("tree", "path", "digest")
-    return stage(stage(held, "paths").repartitionByRange("tree", "path", "digest").sortWithinPartitions("tree", "path", "digest"), "forest")
+    return stage(stage(held, "paths", narrow=True).repartitionByRange("tree", "path", "digest").sortWithinPartitions("tree", "path", "digest"), "forest")
 
 
 def _nodes(forest: DataFrame, depth: int, first: bool) -> DataFrame:
@@ -311,7 +311,7 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, tre
     """digest, links and root, once for each tile that a class stands in."""
     forest = _forest(classes, trees, max_depth, min_depth)
     # Of the classes only those of the forest are joined, round by round.
-    classes = stage(classes.join(forest.select("digest").distinct(), "digest", "left_semi"), "forest-classes")
+    classes = stage(classes.join(forest.select("digest").distinct(), "digest", "left_semi"), "forest-classes", narrow=True)
     place = "digest long, component long, tree int, low string, high string, on_left boolean, on_right boolean"
 
     def side_arrays(tile: pa.Table) -> tuple:
@@ -345,17 +345,17 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, tre
 
     found, known = None, np.zeros(1 + 2 * (max_depth - min_depth + 1), np.int64)
     for depth in range(max_depth, min_depth - 1, -1):
-        members = stage(_nodes(forest, depth, depth == max_depth).join(classes.select("digest", "n_shingles"), "digest"), "members")
+        members = stage(_nodes(forest, depth, depth == max_depth).join(classes.select("digest", "n_shingles"), "digest"), "members", narrow=True)
         dealt = _tiles(members, threshold).join(classes.select("digest", "labels"), "digest")
         dealt = dealt.select("digest", "component", "tree", "low", "high", "on_left", "on_right", "labels")
-        active = stage(dealt.groupBy("component", "low", "high").applyInArrow(find(depth), place), "active")
+        active = stage(dealt.groupBy("component", "low", "high").applyInArrow(find(depth), place), "active", narrow=True, dealt=True)
         discard(members)
         # The sets of these classes' first rows; the texts stay where they are.
         here = classes.join(active.select("digest").distinct(), "digest", "left_semi")
         wanted = write_sorted(here.select(F.xxhash64("rep.id", "rep.tie").alias("key")))
         sets = shingle_sets(rows.select(F.xxhash64("id", "tie").alias("key"), "text"), wanted, size).dropDuplicates(["digest"])
         tiles = active.join(sets.join(classes.select("digest", "n_copies", "labels"), "digest"), "digest")
-        new = stage(tiles.groupBy("component", "low", "high").applyInArrow(verify(depth), "digest long, links long, root long, seen array<long>"), "verified")
+        new = stage(tiles.groupBy("component", "low", "high").applyInArrow(verify(depth), "digest long, links long, root long, seen array<long>"), "verified", narrow=True, dealt=True)
         discard(active)
         found = new if found is None else found.union(new)
         at = 1 + 2 * (depth - min_depth)
@@ -380,7 +380,7 @@ def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESH
     row_key = F.struct(F.col("id").isNull().alias("absent"), "id", "tie")
     classes = signed.where("digest is not null").groupBy("digest").agg(
         F.count("*").alias("n_copies"), F.min(row_key).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels"))
-    classes = stage(classes, "classes")
+    classes = stage(classes, "classes", narrow=True)
 
     found = _links(rows, classes, size, threshold, trees, max_depth, min_depth, target)
     joined = connected_components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))

@@ -195,7 +195,7 @@ def surrogate_of(kind: Column, canonical: Column, attempt: Column, key: str) ->
 
 def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
     """(kind, canonical, surrogate) of distinct entities: distinct inside a kind, and no entity."""
-    entities = stage(entities.select("kind", "canonical").distinct(), "entities")
+    entities = stage(entities.select("kind", "canonical").distinct(), "entities", narrow=True)
     taken = entities.select("kind", F.col("canonical").alias("surrogate"))
     pending, done = entities, []
     for attempt in range(ROUNDS):
@@ -204,9 +204,9 @@ def draw_surrogates(entities: DataFrame, key: str) -> DataFrame:
         won = drawn.groupBy("kind", "surrogate").agg(F.min("canonical").alias("canonical")).join(taken, ["kind", "surrogate"], "left_anti")
         for earlier in done:
             won = won.join(earlier, ["kind", "surrogate"], "left_anti")
-        won = stage(won.select("kind", "canonical", "surrogate"), "surrogates")
+        won = stage(won.select("kind", "canonical", "surrogate"), "surrogates", narrow=True)
         done.append(won)
-        rest = stage(pending.join(won, ["kind", "canonical"], "left_anti"), "entities")
+        rest = stage(pending.join(won, ["kind", "canonical"], "left_anti"), "entities", narrow=True)
         if pending is not entities:
             discard(pending)
         pending = rest
@@ -258,7 +258,7 @@ def pseudonymise(docs: DataFrame, key: str, text_column: str = "text", count_as:
     places = at_entities(lambda pattern: F.regexp_extract_all(text, F.lit(f"({pattern})"), F.lit(1)))
     by_text = touched.select(F.xxhash64(text).alias("key"), F.filter(F.array_distinct(places), lambda m: ~m.rlike(_WHOLE_BARE)).alias("mentions")).dropDuplicates(["key"])
     mentions = by_text.select("key", F.explode("mentions").alias("mention"))
-    parts = stage(mentions.select("key", "mention", F.posexplode(parts_of(F.col("mention"))).alias("place", "part")).select("key", "mention", "place", "part.*"), "mentions")
+    parts = stage(mentions.select("key", "mention", F.posexplode(parts_of(F.col("mention"))).alias("place", "part")).select("key", "mention", "place", "part.*"), "mentions", narrow=True, dealt=True)
     drawn = draw_surrogates(parts, key)
     written = parts.join(drawn, ["kind", "canonical"]).select("key", "mention", "place", "piece", "kind", _in_format(F.col("kind"), F.col("piece"), F.col("surrogate"), F.col("feminine")).alias("new"))
     # A mention is its pieces and what stands between; it has at most five pieces.
