@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from tidewater.llm.common import all_but, free_names, map_rows, mix64, prepare, quoted, stage, utf8
+from tidewater.llm.common import all_but, free_names, lean, map_rows, mix64, prepare, quoted, stage, utf8
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
 ORDER, HELD_OUT = 5, 5
@@ -110,7 +110,7 @@ def gram_counts(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 grams = [text[k : k + order] for k in places[first].tolist()]
                 yield pa.RecordBatch.from_arrays([pa.array(grams, pa.string()), pa.array(counts)], ["gram", "c"])
 
-    return texts.select("text").mapInArrow(count, "gram string, c long").groupBy("gram").agg(F.sum("c").alias("c"))
+    return texts.select("text").mapInArrow(lean(count), "gram string, c long").groupBy("gram").agg(F.sum("c").alias("c"))
 
 
 def distinct_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
@@ -126,7 +126,7 @@ def distinct_grams(texts: DataFrame, order: int = ORDER) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array([text[k : k + order] for k in places[first[new]].tolist()], pa.string())], ["gram"])
                     seen = np.union1d(seen, own[new]) if len(seen) < REMEMBERED else np.sort(own)
 
-    return texts.select("text").mapInArrow(gather, "gram string").distinct()
+    return texts.select("text").mapInArrow(lean(gather), "gram string").distinct()
 
 
 def discounts(often: dict[int, int]) -> list[float]:
@@ -190,7 +190,7 @@ def write_table(table: DataFrame, order: int) -> tuple[str, tuple[str, ...]]:
             codes = np.frombuffer("".join(batch.column(0).to_pylist()).encode("utf-32-le"), np.uint32)
             yield pa.RecordBatch.from_arrays([pa.array(gram_hashes(codes, order)[::order].view(np.int64)), pa.array(np.log(batch.column(1).to_numpy()))], ["key", "value"])
 
-    return write_sorted(table.select("gram", "p").mapInArrow(hashed, "key long, value double"))
+    return write_sorted(table.select("gram", "p").mapInArrow(lean(hashed), "key long, value double"))
 
 
 def with_surprise(docs: DataFrame, table: tuple, order: int, text_column: str = "text", into: tuple[str, str] = ("__surprise", "__places")) -> DataFrame:

@@ -44,7 +44,9 @@ ESCAPE = "▁"
 #: What a text's own escape sign becomes inside the lattice: no piece spells it.
 FOREIGN = 0x110000
 ALPHA, SEED, RANK_OFFSET = 1.0, 20_240, 10
-SLICE_BYTES, MEMO_NODES = 1 << 18, 1_000_000
+SLICE_BYTES, MEMO_NODES = 1 << 17, 500_000
+#: Bytes of texts whose rows go back to Spark at once (a longer text alone).
+OUT_BYTES = 1 << 20
 #: Draws and the bounds that they are held against are integers of so many bits.
 DRAW_BITS = 30
 #: Marks that a word may be cut off from, where no piece joins a letter to them.
@@ -343,12 +345,17 @@ def encode(docs: DataFrame, model: str, alpha: float = ALPHA, seed: int = SEED,
 
     def run(batches):
         built = lattices(model, alpha)
-        for batch in batches:
-            keys = row_keys(batch.column(batch.num_columns - 1).to_numpy(), seed)
-            tokens, counts = built.encode(batch.column(text).cast(pa.large_string()), keys)
-            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-            spelled = [pa.array(spell(built.pieces.surface, tokens, ends), pa.string())] if decoded else []
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), pa.ListArray.from_arrays(ends, pa.array(tokens)), *spelled], names)
+        try:
+            for whole in batches:
+                for a, b in slices(utf8(whole.column(text))[1], OUT_BYTES):
+                    batch = whole.slice(a, b - a)
+                    keys = row_keys(batch.column(batch.num_columns - 1).to_numpy(), seed)
+                    tokens, counts = built.encode(batch.column(text).cast(pa.large_string()), keys)
+                    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+                    spelled = [pa.array(spell(built.pieces.surface, tokens, ends), pa.string())] if decoded else []
+                    yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), pa.ListArray.from_arrays(ends, pa.array(tokens)), *spelled], names)
+        finally:
+            built.clear()  # the model stays with the worker, the memo goes with the task
 
     more = [StructField(into, ArrayType(IntegerType())), *([StructField(decoded, StringType())] if decoded else [])]
     return map_rows(keyed, run, StructType([*(docs.schema.fields[i] for i in places), *more]))

@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SubstringHash, discard, free_names, mix64, prepare, slices, stage, word_texts
+from tidewater.llm.common import SubstringHash, discard, free_names, lean, mix64, prepare, slices, stage, word_texts
 from tidewater.llm.components import connected_components
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
@@ -152,7 +152,7 @@ def signatures(rows: DataFrame, size: int, trees: int, depth: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(digests, mask=counts == 0), pa.array(counts), held], ["id", "tie", "digest", "n_shingles", "labels"])
 
     kind = rows.schema["id"].dataType.simpleString()
-    return rows.mapInArrow(sign, f"id {kind}, tie long, digest long, n_shingles long, labels binary")
+    return rows.mapInArrow(lean(sign), f"id {kind}, tie long, digest long, n_shingles long, labels binary")
 
 
 def shingle_sets(rows: DataFrame, wanted: tuple, size: int) -> DataFrame:
@@ -170,7 +170,7 @@ def shingle_sets(rows: DataFrame, wanted: tuple, size: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([set_digest(x) for x in own], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(_as_long(np.concatenate(own))))], ["digest", "shingles"])
 
-    return rows.mapInArrow(sets, "digest long, shingles array<long>")
+    return rows.mapInArrow(lean(sets), "digest long, shingles array<long>")
 
 
 def shared_counts(sets: list[np.ndarray], left: np.ndarray, right: np.ndarray) -> np.ndarray:
