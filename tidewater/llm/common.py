@@ -132,6 +132,12 @@ def n_files(spark: SparkSession) -> int:
     return max(2 * spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTITIONS_A_FILE)
 
 
+def narrowed(df: DataFrame, dealt: bool = False) -> DataFrame:
+    """``df`` in as many partitions as a narrow staged table has files."""
+    n = n_files(df.sparkSession)
+    return df.repartition(n) if dealt else df.coalesce(n)
+
+
 def stage(df: DataFrame, name: str, narrow: bool = False, dealt: bool = False) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: short lineage, and
     a lost executor costs a reread instead of a recomputation.
@@ -143,7 +149,7 @@ def stage(df: DataFrame, name: str, narrow: bool = False, dealt: bool = False) -
     out to the files in a shuffle, and the work keeps its tasks."""
     spark = df.sparkSession
     if narrow:
-        df = df.repartition(n_files(spark)) if dealt else df.coalesce(n_files(spark))
+        df = narrowed(df, dealt)
     path = stage_dir(spark, name)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)

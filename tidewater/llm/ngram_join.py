@@ -41,7 +41,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewater.llm.common import SubstringHash, discard, free_names, lean, mix64, prepare, slices, stage, word_texts
+from tidewater.llm.common import SubstringHash, discard, free_names, lean, mix64, narrowed, prepare, slices, stage, word_texts
 from tidewater.llm.components import connected_components
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
@@ -257,27 +257,27 @@ def tally(labels: np.ndarray, pairs: np.ndarray, depths: range) -> list[int]:
 
 
 def _forest(classes: DataFrame, trees: int, max_depth: int, min_depth: int) -> DataFrame:
-    """tree, path and digest of the sequences that share their first ``min_depth``
-    labels with another's, sorted by tree and path."""
+    """tree, path, digest and n_shingles of the sequences that share their first
+    ``min_depth`` labels with another's, sorted by tree and path."""
     wide = 2 * max_depth
     paths = F.transform(F.sequence(F.lit(0), F.lit(trees - 1)), lambda k: F.substring("labels", k * wide + 1, F.lit(wide)))
-    placed = classes.select("digest", F.posexplode(paths).alias("tree", "path"))
+    placed = classes.select("digest", "n_shingles", F.posexplode(paths).alias("tree", "path"))
     placed = placed.withColumn("floor", F.xxhash64("tree", F.substring("path", 1, 2 * min_depth)))
     shared = placed.groupBy("floor").agg(F.count("*").alias("n")).where("n > 1").select("floor")
-    held = placed.join(shared, "floor").select("tree", "path", "digest")
-    return stage(stage(held, "paths", narrow=True).repartitionByRange("tree", "path", "digest").sortWithinPartitions("tree", "path", "digest"), "forest")
+    held = placed.join(shared, "floor").select("tree", "path", "digest", "n_shingles")
+    return stage(stage(narrowed(held), "paths").repartitionByRange("tree", "path", "digest").sortWithinPartitions("tree", "path", "digest"), "forest")
 
 
 def _nodes(forest: DataFrame, depth: int, first: bool) -> DataFrame:
-    """component (a node), tree and digest of the members of the nodes of this
-    length that may hold new pairs, one node of those with the same members."""
+    """component (a node), tree, digest and n_shingles of the members of the nodes of
+    this length that may hold new pairs, one node of those with the same members."""
     prefix = F.substring("path", 1, 2 * depth)
     longer = F.substring("path", 1, 2 * depth + 2)
     nodes = forest.groupBy("tree", prefix.alias("prefix")).agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("digest")).alias("who"), F.bit_xor(F.xxhash64("digest", F.lit(1))).alias("also"), F.min(longer).alias("low"), F.max(longer).alias("high"))
     nodes = nodes.where("n > 1" if first else "n > 1 and low <> high")
     once = nodes.groupBy("n", "who", "also").agg(F.min(F.struct("tree", "prefix")).alias("node")).select("node.*")
-    return forest.withColumn("prefix", prefix).join(once, ["tree", "prefix"]).select(F.xxhash64("tree", "prefix").alias("component"), "tree", "digest")
+    return forest.withColumn("prefix", prefix).join(once, ["tree", "prefix"]).select(F.xxhash64("tree", "prefix").alias("component"), "tree", "digest", "n_shingles")
 
 
 def _tiles(members: DataFrame, threshold: float) -> DataFrame:
@@ -307,11 +307,18 @@ def _tiles(members: DataFrame, threshold: float) -> DataFrame:
     return dealt.withColumn("own", own).select("digest", "component", "tree", F.inline(pairs))
 
 
+def _beside(places: DataFrame, classes: DataFrame) -> DataFrame:
+    """``places`` with the columns of their class. A class has places in many trees
+    and tiles: it is joined once with all of them, and they part again behind the join."""
+    held = places.groupBy("digest").agg(F.collect_list(F.struct(*(c for c in places.columns if c != "digest"))).alias("places"))
+    return held.join(classes, "digest").select(*classes.columns, F.inline("places"))
+
+
 def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, trees: int, max_depth: int, min_depth: int, target: float) -> DataFrame:
     """digest, links and root, once for each tile that a class stands in."""
     forest = _forest(classes, trees, max_depth, min_depth)
     # Of the classes only those of the forest are joined, round by round.
-    classes = stage(classes.join(forest.select("digest").distinct(), "digest", "left_semi"), "forest-classes", narrow=True)
+    classes = stage(narrowed(classes.join(forest.select("digest").distinct(), "digest", "left_semi")), "forest-classes")
     place = "digest long, component long, tree int, low string, high string, on_left boolean, on_right boolean"
 
     def side_arrays(tile: pa.Table) -> tuple:
@@ -345,17 +352,17 @@ def _links(rows: DataFrame, classes: DataFrame, size: int, threshold: float, tre
 
     found, known = None, np.zeros(1 + 2 * (max_depth - min_depth + 1), np.int64)
     for depth in range(max_depth, min_depth - 1, -1):
-        members = stage(_nodes(forest, depth, depth == max_depth).join(classes.select("digest", "n_shingles"), "digest"), "members", narrow=True)
-        dealt = _tiles(members, threshold).join(classes.select("digest", "labels"), "digest")
+        members = stage(narrowed(_nodes(forest, depth, depth == max_depth)), "members")
+        dealt = _beside(_tiles(members, threshold), classes.select("digest", "labels"))
         dealt = dealt.select("digest", "component", "tree", "low", "high", "on_left", "on_right", "labels")
-        active = stage(dealt.groupBy("component", "low", "high").applyInArrow(find(depth), place), "active", narrow=True, dealt=True)
+        active = stage(narrowed(dealt.groupBy("component", "low", "high").applyInArrow(find(depth), place), dealt=True), "active")
         discard(members)
         # The sets of these classes' first rows; the texts stay where they are.
         here = classes.join(active.select("digest").distinct(), "digest", "left_semi")
         wanted = write_sorted(here.select(F.xxhash64("rep.id", "rep.tie").alias("key")))
         sets = shingle_sets(rows.select(F.xxhash64("id", "tie").alias("key"), "text"), wanted, size).dropDuplicates(["digest"])
-        tiles = active.join(sets.join(classes.select("digest", "n_copies", "labels"), "digest"), "digest")
-        new = stage(tiles.groupBy("component", "low", "high").applyInArrow(verify(depth), "digest long, links long, root long, seen array<long>"), "verified", narrow=True, dealt=True)
+        tiles = _beside(active, sets.join(classes.select("digest", "n_copies", "labels"), "digest"))
+        new = stage(narrowed(tiles.groupBy("component", "low", "high").applyInArrow(verify(depth), "digest long, links long, root long, seen array<long>"), dealt=True), "verified")
         discard(active)
         found = new if found is None else found.union(new)
         at = 1 + 2 * (depth - min_depth)
@@ -380,7 +387,7 @@ def jaccard_classes(docs: DataFrame, size: int = SIZE, threshold: float = THRESH
     row_key = F.struct(F.col("id").isNull().alias("absent"), "id", "tie")
     classes = signed.where("digest is not null").groupBy("digest").agg(
         F.count("*").alias("n_copies"), F.min(row_key).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("labels").alias("labels"))
-    classes = stage(classes, "classes", narrow=True)
+    classes = stage(narrowed(classes), "classes")
 
     found = _links(rows, classes, size, threshold, trees, max_depth, min_depth, target)
     joined = connected_components(found.select(F.col("digest").alias("a"), F.col("root").alias("b")))
