@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from tidewater.llm.common import all_but, free_names, lean, map_rows, mix64, prepare, quoted, stage, utf8
+from tidewater.llm.common import all_but, free_names, lean, map_rows, mix64, narrowed, prepare, quoted, stage, utf8
 from tidewater.llm.sorted_files import open_sorted, write_sorted
 
 ORDER, HELD_OUT = 5, 5
@@ -153,9 +153,9 @@ class Model:
 def train(texts: DataFrame, order: int = ORDER) -> Model:
     """Fit the model on the column ``text``."""
     prepare(texts.sparkSession)
-    counts = [stage(gram_counts(texts, order), "kn-counts", narrow=True)]
+    counts = [stage(narrowed(gram_counts(texts, order)), "kn-counts")]
     for n in range(order - 1, 0, -1):
-        counts.insert(0, stage(counts[0].groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c")), "kn-counts", narrow=True))
+        counts.insert(0, stage(narrowed(counts[0].groupBy(F.substring("gram", 2, n).alias("gram")).agg(F.count("*").alias("c"))), "kn-counts"))
     found, contexts = [], []
     for n, table in enumerate(counts, 1):
         often = table.groupBy(F.least("c", F.lit(4)).alias("k")).count().collect()  # four rows
@@ -179,7 +179,7 @@ def probabilities(grams: DataFrame, model: Model) -> DataFrame:
         else:
             rows = rows.withColumn("suffix", F.substring("gram", 2, n - 1)).join(lower.select(F.col("gram").alias("suffix"), F.col("p").alias("lower")), "suffix")
         p = F.when(F.col("total").isNull(), F.col("lower")).otherwise((c - taken) / F.col("total") + F.col("saved") / F.col("total") * F.col("lower"))
-        lower = stage(rows.select("gram", p.alias("p")), "kn-probabilities", narrow=True)
+        lower = stage(narrowed(rows.select("gram", p.alias("p"))), "kn-probabilities")
     return lower
 
 
@@ -226,7 +226,7 @@ def trusted_sample(labels: DataFrame, max_trusted: int | None = None, docs: Data
         good = good.withColumn("lang", F.lit(None).cast("string"))
     else:
         good = docs.select("doc_id", "lang").join(good, "doc_id").distinct()
-    good = stage(good.withColumn("__order", F.xxhash64("doc_id", F.lit("trusted"))), "trusted", narrow=True)
+    good = stage(narrowed(good.withColumn("__order", F.xxhash64("doc_id", F.lit("trusted")))), "trusted")
     if max_trusted is None:
         n = good.groupBy(F.col("lang").alias("__lang")).agg(F.count("*").alias("__n"))  # one row a language
         counted = good.join(F.broadcast(n), F.col("lang").eqNullSafe(F.col("__lang")))
@@ -270,11 +270,11 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: i
     kept in a struct ``into``; a column of ``docs`` with that name gives way to it."""
     spark = docs.sparkSession
     prepare(spark)
-    sample = stage(trusted_sample(labels, max_trusted, docs), "trusted", narrow=True)
+    sample = stage(narrowed(trusted_sample(labels, max_trusted, docs)), "trusted")
     # Written once for both uses.
     texts = stage(trusted_texts(docs, sample), "trusted-texts")
     model = train(texts.where("not held_out"), order)
-    grams = stage(distinct_grams(docs.select(F.col("text").cast("string").alias("text")), order), "kn-grams", narrow=True)
+    grams = stage(narrowed(distinct_grams(docs.select(F.col("text").cast("string").alias("text")), order)), "kn-grams")
     table = probabilities(grams, model)
     where = write_table(table, order)
     held = stage(with_surprise(texts.where("held_out").select("lang", "text"), where, order).select("lang", "__surprise", "__places"), "held-out")
@@ -289,7 +289,7 @@ def judge(docs: DataFrame, labels: DataFrame, order: int = ORDER, max_trusted: i
         limits = limits.where(F.col("n") >= MIN_HELD_OUT).drop("n")
         scored = held.join(F.broadcast(limits), F.col("lang").eqNullSafe(F.col("__lang"))).select("__lang", "__mean", _score(F.col("__mean")).alias("score"))
         limit, spread = F.percentile("score", F.lit(quantile)), F.round(F.avg("score") + 3 * F.stddev("score"))
-        limits = stage(scored.groupBy("__lang", "__mean").agg(F.when(F.count("*") * (1 - quantile) < 1, F.greatest(limit, spread)).otherwise(limit).alias("__limit")), "limits", narrow=True)
+        limits = stage(narrowed(scored.groupBy("__lang", "__mean").agg(F.when(F.count("*") * (1 - quantile) < 1, F.greatest(limit, spread)).otherwise(limit).alias("__limit"))), "limits")
     lang, mean, most, surprise, places = free_names(docs.columns, "__lang", "__mean", "__limit", "__surprise", "__places")
     judged = with_surprise(docs.withColumn("text", F.col("text").cast("string")) if dict(docs.dtypes)["text"] != "string" else docs, where, order, into=(surprise, places))
     # One row a language.
